@@ -31,7 +31,9 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every module that registers queries."""
     from corpusmill.plans import (  # noqa: F401
+        feature_queries,
         html_queries,
+        stats_queries,
         sequence_queries,
         text_queries,
     )
