@@ -32,6 +32,7 @@ def load_all() -> None:
     """Import every module that registers queries."""
     from corpusmill.plans import (  # noqa: F401
         feature_queries,
+        graph_queries,
         html_queries,
         stats_queries,
         sequence_queries,
