@@ -34,6 +34,7 @@ def load_all() -> None:
         feature_queries,
         graph_queries,
         html_queries,
+        ml_queries,
         stats_queries,
         sequence_queries,
         text_queries,
