@@ -33,7 +33,7 @@ def _fold_span(bits: Column) -> Column:
     zero = F.struct(
         F.lit(0).alias("k"), F.lit(0).alias("s"), F.lit(1 << 30).alias("mins"), F.lit(-1).alias("argmin"),
         F.lit(-(1 << 30)).alias("best"), F.lit(0).alias("bi"), F.lit(1).alias("bj"),
-        F.lit(0).alias("bsi"), F.lit(0).alias("bsj"), F.lit(0).alias("smin_at"),
+        F.lit(0).alias("bsi"), F.lit(0).alias("bsj"),
     )
 
     def step(acc, c):
@@ -50,7 +50,6 @@ def _fold_span(bits: Column) -> Column:
             F.when(take, acc["k"]).otherwise(acc["bj"]).alias("bj"),
             F.when(take, acc["mins"]).otherwise(acc["bsi"]).alias("bsi"),
             F.when(take, acc["s"]).otherwise(acc["bsj"]).alias("bsj"),
-            F.lit(0).alias("smin_at"),
         )
 
     return F.aggregate(chars, zero, step)
@@ -94,7 +93,8 @@ def surface_row_max(pages: DataFrame, key: str = "page_id", html: str = "html")
     b = pages.select(key, X.page_bits(html).alias("bits"))
     n = F.length("bits")
     b = b.withColumn("T", n - F.length(F.regexp_replace("bits", "1", ""))).withColumn("n", n)
-    pos = b.select(key, "T", "n", F.posexplode(F.split("bits", "")).alias("k", "c"))
+    pos = b.select(key, "T", "n", F.posexplode_outer(F.split("bits", "")).alias("k", "c")).filter(
+        F.col("c").isNotNull())
     w = Window.partitionBy(key).orderBy("k")
     pos = pos.withColumn("step", F.when(F.col("c") == "0", 1).otherwise(-1))
     pos = pos.withColumn("s_before", F.coalesce(F.sum("step").over(w.rowsBetween(Window.unboundedPreceding, -1)),
@@ -109,7 +109,8 @@ def surface_row_max(pages: DataFrame, key: str = "page_id", html: str = "html")
 
 def links(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """(key, url, link) one row per href, resolved against the page URL."""
-    return pages.select(key, "url", F.explode(X.page_links("html")).alias("href")).select(
+    hrefs = pages.select(key, "url", F.explode_outer(X.page_links("html")).alias("href"))
+    return hrefs.filter(F.col("href").isNotNull()).select(
         key, "url", X.resolve_link(F.col("href"), F.col("url")).alias("link"))
 
 
@@ -155,7 +156,8 @@ def blocks(pages: DataFrame, key: str = "page_id", stops=STOP_WORDS_EN) -> DataF
     """Text blocks of each page with the classifier's features: length, link
     density and stop-word density. Script, style and comments are removed first."""
     body = F.regexp_replace(F.regexp_replace("html", SCRIPT_STYLE, " "), BLOCK_TAGS, "\u0001")
-    parts = pages.select(key, F.posexplode(F.split(body, "\u0001")).alias("block", "raw"))
+    parts = pages.select(key, F.posexplode_outer(F.split(body, "\u0001")).alias("block", "raw")).filter(
+        F.col("raw").isNotNull())
     link_text = F.array_join(F.regexp_extract_all("raw", F.lit(r"(?is)<a[^>]*>(.*?)</a>"), 1), " ")
     clean = lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]*>", " "), r"[ \t\r\n]+", " "))
     b = parts.select(key, "block", clean("raw").alias("text"), clean(link_text).alias("link_text"))

@@ -55,7 +55,11 @@ def tokenize(docs: DataFrame, text: str = "text", key: str = "doc_id", stops: Da
     ``stops`` (a one-column ``token`` frame of bounded size) removes stop words by
     broadcast anti-join (J1); ``min_len`` keeps tokens longer than it (P10).
     """
-    toks = token_arrays(docs, text, key).select(key, F.posexplode("tokens").alias("pos", "token"))
+    # explode_outer + null filter: a plain explode makes the optimizer add a
+    # size(tokens) > 0 pre-filter that evaluates the whole tokeniser again
+    # below any exchange, before the rows are spread over the cluster
+    toks = token_arrays(docs, text, key).select(key, F.posexplode_outer("tokens").alias("pos", "token")).filter(
+        F.col("token").isNotNull())
     if min_len:
         toks = toks.filter(F.length("token") > min_len)
     if stops is not None:
@@ -129,7 +133,8 @@ def zipf(counts: DataFrame, k: int = 30) -> DataFrame:
 def typo_words(texts: DataFrame, text: str = "text") -> DataFrame:
     """Query words for the spelling jobs: the distinct tokens of ``texts`` with the
     middle letter of each token of three or more letters removed."""
-    toks = texts.select(F.explode(X.word_tokens(X.normalize_text(text))).alias("t")).distinct()
+    toks = texts.select(F.explode_outer(X.word_tokens(X.normalize_text(text))).alias("t")).filter(
+        F.col("t").isNotNull()).distinct()
     n = F.length("t")
     half = F.floor(n / 2).cast("int")
     word = F.when(n >= 3, F.concat(F.col("t").substr(F.lit(1), half), F.col("t").substr(half + 2, F.lit(1 << 30))))
@@ -139,7 +144,8 @@ def typo_words(texts: DataFrame, text: str = "text") -> DataFrame:
 def spell_candidates(words: DataFrame, unigrams: DataFrame) -> DataFrame:
     """(word, candidate, n) for edit-1 candidates present in the vocabulary:
     exploded candidates equi-joined to the unigram table."""
-    cands = words.select("word", F.explode(X.edit1_candidates("word")).alias("candidate"))
+    cands = words.select("word", F.explode_outer(X.edit1_candidates("word")).alias("candidate")).filter(
+        F.col("candidate").isNotNull())
     return cands.join(unigrams.select(F.col("token").alias("candidate"), "n"), "candidate")
 
 
