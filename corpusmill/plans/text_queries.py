@@ -239,3 +239,55 @@ def q_search_top3(spark, sf):
     post = page_postings(docs)
     queries = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     return TX.search(queries, post, docs.select("doc_id", "url"), k=3, stops=_stops(spark))
+
+
+# X13 / T1 (stem=True) ------------------------------------------------------------
+@register("stem_counts")
+def q_stem_counts(spark, sf):
+    from corpusmill.functions.stem import stem_tokens
+
+    toks = TX.tokenize(_docs(spark, sf), stops=_stops(spark))
+    return stem_tokens(toks).groupBy("stem").agg(F.count(F.lit(1)).alias("n"))
+
+
+# T12 ------------------------------------------------------------------------------
+# A small illustrative lexicon (word, valence) used as the query's
+# input; any (word, valence) table can be passed to the operator instead.
+SENTIMENT_LEXICON = (
+    ("good", 1.9), ("great", 3.1), ("excellent", 2.7), ("happy", 2.7), ("love", 3.2), ("nice", 1.8),
+    ("bad", -2.5), ("poor", -2.1), ("terrible", -2.1), ("sad", -2.1), ("hate", -2.7), ("awful", -2.0),
+    ("best", 3.2), ("worst", -3.1), ("fine", 0.8), ("wrong", -2.1), ("free", 2.3), ("strong", 2.3),
+    ("well", 1.1), ("like", 1.5),
+)
+
+
+def _sentiment_sql() -> str:
+    from corpusmill.operators import sentiment as SE
+
+    lex = "MAP {" + ", ".join(f"{S.q(w)}: {v}::DOUBLE" for w, v in sorted(SENTIMENT_LEXICON)) + "}"
+    lst = lambda ws: "[" + ", ".join(S.q(w) for w in ws) + "]"
+    toks = S.split_words(S.normalize("text"))
+
+    def prev(k):
+        return f"CASE WHEN i >= {k} THEN t[i + 1 - {k}] END"
+
+    def member(ws, x):
+        return f"coalesce(list_contains({lst(ws)}, {x}), false)"
+
+    v = f"map_extract_value({lex}, t[i + 1])"
+    boosted = (f"({v} + CASE WHEN {member(SE.BOOSTERS, prev(1))} THEN sign({v}) * {SE.BOOST} "
+               f"WHEN {member(SE.DAMPENERS, prev(1))} THEN -sign({v}) * {SE.BOOST} ELSE 0.0 END)")
+    negated = " OR ".join(member(SE.NEGATIONS, prev(k)) for k in (1, 2, 3))
+    contrib = f"CASE WHEN {v} IS NULL THEN 0.0 WHEN {negated} THEN {boosted} * {SE.NEGATION_SCALAR} ELSE {boosted} END"
+    return (f"SELECT doc_id, round(s / sqrt(s * s + {SE.ALPHA}), 6) AS compound FROM (SELECT doc_id, "
+            f"CASE WHEN len(t) > 0 THEN list_sum(list_transform(range(0, len(t)), lambda i: {contrib})) ELSE 0.0 END "
+            f"AS s FROM (SELECT doc_id, {toks} AS t FROM documents))")
+
+
+@register("sentiment", _sentiment_sql())
+def q_sentiment(spark, sf):
+    from corpusmill.operators import sentiment as SE
+
+    lex = spark.createDataFrame(list(SENTIMENT_LEXICON), "word string, valence double")
+    out = SE.sentiment(_docs(spark, sf), "text", lex)
+    return out.select("doc_id", F.round("compound", 6).alias("compound"))

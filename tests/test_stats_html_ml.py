@@ -183,3 +183,21 @@ def test_rbf_svm_separable(spark):
     acc = LinearSVC(regParam=1e-4, maxIter=100).fit(z).transform(z).select(
         F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
     assert acc > max(y.mean(), 1 - y.mean()) + 0.05
+
+
+def test_sentiment_rules(spark):
+    from corpusmill.operators import sentiment as SE
+
+    lex = spark.createDataFrame([("good", 1.9), ("bad", -2.5)], "word string, valence double")
+    df = spark.createDataFrame([(0, "good"), (1, "not good"), (2, "very good"), (3, "not at all bad"),
+                                (4, "nothing here"), (5, "")], "id long, text string")
+    got = {r.id: r.compound for r in SE.sentiment(df, "text", lex).collect()}
+
+    def norm(s):
+        return s / math.sqrt(s * s + 15)
+
+    assert got[0] == pytest.approx(norm(1.9))
+    assert got[1] == pytest.approx(norm(1.9 * -0.74))
+    assert got[2] == pytest.approx(norm(1.9 + 0.293))
+    assert got[3] == pytest.approx(norm(-2.5 * -0.74))
+    assert got[4] == 0.0 and got[5] == 0.0
