@@ -218,3 +218,61 @@ def extract_page(pages: DataFrame, key: str = "page_id") -> DataFrame:
     pub = published(pages, key)
     return pages.select(key, "url").join(content, key, "left").join(lk, key).join(pub, key).select(
         key, "url", F.coalesce("content", F.lit("")).alias("content"), "links", "published_at")
+
+
+# --------------------------------------------------------------------------- T11
+def _strip_tags(c: Column) -> Column:
+    return F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]*>", ""), r"[ \t\r\n]+", " "))
+
+
+def _first(html: Column, pattern: str) -> Column:
+    v = _strip_tags(F.regexp_extract(html, pattern, 1))
+    return F.when(v == "", None).otherwise(v)
+
+
+def _all(html: Column, pattern: str) -> Column:
+    return F.regexp_extract_all(html, F.lit(pattern), 1)
+
+
+def extract_profiles(pages: DataFrame, key: str = "url", html: str = "html") -> DataFrame:
+    """T11 (Q11 corrected): researcher profile pages -> one nested record each:
+    name, caption, institution, keywords (comma joined), image URL, citation /
+    h-index / i10-index counts (all, since2018), coauthors and papers."""
+    h = F.col(html)
+    cells = _all(F.regexp_extract(h, r'(?s)id="gsc_rsb_st"(.*?)</table>', 1), r"(?s)<td[^>]*>(.*?)</td>")
+
+    def pair(i):
+        return F.struct(_strip_tags(F.get(cells, i)).alias("all"), _strip_tags(F.get(cells, i + 1)).alias("since2018"))
+
+    kw_block = F.regexp_extract(h, r'(?s)id="gsc_prf_int"(.*?)</div>', 1)
+    keywords = F.array_join(F.transform(F.regexp_extract_all(kw_block, F.lit(r'(?s)class="gs_ibl"[^>]*>(.*?)</a>'), 1),
+                                        _strip_tags), ",")
+    img_tag = F.regexp_extract(h, r'<img[^>]*id="gsc_prf_pup-img"[^>]*>', 0)
+    co_blocks = _all(h, r'(?s)class="gsc_rsb_a_desc"(.*?)</li>')
+    coauthors = F.transform(co_blocks, lambda b: F.struct(
+        _strip_tags(F.regexp_extract(b, r"(?s)<a[^>]*>(.*?)</a>", 1)).alias("coauthor_name"),
+        _strip_tags(F.regexp_extract(b, r'(?s)class="gsc_rsb_a_ext"[^>]*>(.*?)</span>', 1)).alias("coauthor_title"),
+        F.regexp_extract(b, r'href="([^"]*)"', 1).alias("coauthor_link")))
+    rows = _all(F.regexp_extract(h, r'(?s)id="gsc_a_b"(.*?)</tbody>', 1), r"(?s)<tr[^>]*>(.*?)</tr>")
+
+    def paper(r):
+        cell = F.regexp_extract(r, r'(?s)class="gsc_a_t"[^>]*>(.*?)</td>', 1)
+        divs = F.regexp_extract_all(cell, F.lit(r"(?s)<div[^>]*>(.*?)</div>"), 1)
+        return F.struct(
+            _strip_tags(F.regexp_extract(r, r'(?s)class="gsc_a_at"[^>]*>(.*?)</a>', 1)).alias("paper_title"),
+            _strip_tags(F.get(divs, 0)).alias("paper_authors"), _strip_tags(F.get(divs, 1)).alias("paper_journal"),
+            _strip_tags(F.regexp_extract(r, r'(?s)class="gsc_a_c"[^>]*>.*?<a[^>]*>(.*?)</a>', 1)).alias(
+                "paper_citedby"),
+            _strip_tags(F.regexp_extract(r, r'(?s)class="gsc_a_y"[^>]*>.*?<span[^>]*>(.*?)</span>', 1)).alias(
+                "paper_year"))
+
+    return pages.select(
+        key,
+        _first(h, r'(?s)id="gsc_prf_in"[^>]*>(.*?)</div>').alias("researcher_name"),
+        _first(h, r'(?s)class="gsc_prf_il"[^>]*>(.*?)</div>').alias("researcher_caption"),
+        _first(h, r'(?s)class="gsc_prf_ila"[^>]*>(.*?)</a>').alias("researcher_institution"),
+        keywords.alias("researcher_keywords"),
+        F.regexp_extract(img_tag, r'src="([^"]*)"', 1).alias("researcher_imgURL"),
+        pair(1).alias("researcher_citations"), pair(4).alias("researcher_hindex"),
+        pair(7).alias("researcher_i10index"),
+        coauthors.alias("researcher_coauthors"), F.transform(rows, paper).alias("researcher_papers"))

@@ -201,3 +201,35 @@ def test_sentiment_rules(spark):
     assert got[2] == pytest.approx(norm(1.9 + 0.293))
     assert got[3] == pytest.approx(norm(-2.5 * -0.74))
     assert got[4] == 0.0 and got[5] == 0.0
+
+
+PROFILE_HTML = """<html><body>
+<img alt="x" id="gsc_prf_pup-img" src="https://img/p.jpg">
+<div id="gsc_prf_in">Ada Lovelace</div>
+<div class="gsc_prf_il">Professor of <b>Computing</b></div>
+<div class="gsc_prf_il"><a class="gsc_prf_ila" href="/u">Analytical U</a></div>
+<div class="gsc_prf_il" id="gsc_prf_int"><a class="gs_ibl" href="/k1">engines</a><a class="gs_ibl">notes</a></div>
+<table id="gsc_rsb_st"><thead><tr><th></th><th>All</th><th>Since 2018</th></tr></thead><tbody>
+<tr><td class="gsc_rsb_sc1">Citations</td><td class="gsc_rsb_std">120</td><td class="gsc_rsb_std">80</td></tr>
+<tr><td>h-index</td><td>5</td><td>4</td></tr><tr><td>i10-index</td><td>3</td><td>2</td></tr></tbody></table>
+<ul class="gsc_rsb_a"><li><span class="gsc_rsb_a_desc"><a href="/c1">Charles B</a><span class="gsc_rsb_a_ext">Engine U</span></span></li>
+<li><span class="gsc_rsb_a_desc"><a href="/c2">Mary S</a><span class="gsc_rsb_a_ext">Math U</span></span></li></ul>
+<table><tbody id="gsc_a_b"><tr class="gsc_a_tr"><td class="gsc_a_t"><a class="gsc_a_at" href="/p1">Notes on the engine</a>
+<div class="gs_gray">A Lovelace</div><div class="gs_gray">Journal X, 1843</div></td>
+<td class="gsc_a_c"><a href="/cites">42</a></td><td class="gsc_a_y"><span class="gsc_a_h">1843</span></td></tr>
+</tbody></table></body></html>"""
+
+
+def test_extract_profiles(spark):
+    df = spark.createDataFrame([("https://scholar/x", PROFILE_HTML)], "url string, html string")
+    r = H.extract_profiles(df).first()
+    assert r.researcher_name == "Ada Lovelace" and r.researcher_caption == "Professor of Computing"
+    assert r.researcher_institution == "Analytical U" and r.researcher_keywords == "engines,notes"
+    assert r.researcher_imgURL == "https://img/p.jpg"
+    assert (r.researcher_citations["all"], r.researcher_citations["since2018"]) == ("120", "80")
+    assert (r.researcher_hindex["all"], r.researcher_i10index["since2018"]) == ("5", "2")
+    assert [(c.coauthor_name, c.coauthor_title, c.coauthor_link) for c in r.researcher_coauthors] == [
+        ("Charles B", "Engine U", "/c1"), ("Mary S", "Math U", "/c2")]
+    p = r.researcher_papers[0]
+    assert (p.paper_title, p.paper_authors, p.paper_journal, p.paper_citedby, p.paper_year) == (
+        "Notes on the engine", "A Lovelace", "Journal X, 1843", "42", "1843")
