@@ -73,10 +73,11 @@ def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> D
     Output: by..., bin, lo, hi, n (only non-empty bins)."""
     by = list(by)
     x = F.col(value).cast("double")
-    mm = df.groupBy(*by).agg(F.min(x).alias("__mn"), F.max(x).alias("__mx")) if by else df.agg(
-        F.min(x).alias("__mn"), F.max(x).alias("__mx")).withColumn("__k", F.lit(0))
-    base = df.withColumn("__k", F.lit(0)) if not by else df
-    j = base.join(F.broadcast(mm) if not by else mm, by or ["__k"])
+    if by:
+        mm = df.groupBy(*by).agg(F.min(x).alias("__mn"), F.max(x).alias("__mx"))
+        j = df.join(mm, by)
+    else:  # global bounds enter as scalar subqueries
+        j = df.withColumn("__mn", df.select(F.min(x)).scalar()).withColumn("__mx", df.select(F.max(x)).scalar())
     width = (F.col("__mx") - F.col("__mn")) / F.lit(bins)
     b = F.when(F.col("__mx") == F.col("__mn"), F.lit(0)).otherwise(
         F.least(F.floor((x - F.col("__mn")) / (F.col("__mx") - F.col("__mn")) * bins), F.lit(bins - 1))).cast("bigint")
@@ -147,10 +148,9 @@ def prf(df: DataFrame, y: str = "y", p: str = "p", average: str = "weighted", po
     acc = F.sum("tp") / F.sum("support")
     if average == "binary":
         row = pc.filter(F.col("label") == F.lit(pos_label))
-        m = pc.agg(acc.alias("accuracy")).withColumn("__k", F.lit(0))
-        r = row.select(F.col("pr").alias("precision"), F.col("rc").alias("recall"), F.col("f").alias("f1")).withColumn(
-            "__k", F.lit(0))
-        return m.join(r, "__k").drop("__k")
+        accuracy = pc.select(acc).scalar()
+        return row.select(accuracy.alias("accuracy"), F.col("pr").alias("precision"), F.col("rc").alias("recall"),
+                          F.col("f").alias("f1"))
     if average == "micro":
         mp = _safe_div(F.sum("tp"), F.sum("tp") + F.sum("fp"))
         mr = _safe_div(F.sum("tp"), F.sum("tp") + F.sum("fn"))
@@ -276,8 +276,10 @@ def ami(df: DataFrame, labels_true: str, labels_pred: str, chunk: int = 4096) ->
     n_total = ct.agg(F.sum("n")).first()[0]  # one scalar, needed by the batch function
     ra = ct.groupBy("a").agg(F.sum("n").alias("ma")).groupBy("ma").agg(F.count(F.lit(1)).alias("ca"))
     cb = ct.groupBy("b").agg(F.sum("n").alias("mb")).groupBy("mb").agg(F.count(F.lit(1)).alias("cb"))
-    # every pair of distinct margin values; both sides are bounded by the class count
-    pairs = ra.withColumn("__k", F.lit(0)).join(F.broadcast(cb.withColumn("__k", F.lit(0))), "__k")
+    # every pair of distinct margin values: the right margins (bounded by the
+    # class count) enter as one scalar array and are exploded against the left
+    right = cb.select(F.collect_list(F.struct("mb", "cb"))).scalar()
+    pairs = ra.select("ma", "ca", F.explode(right).alias("r")).select("ma", "ca", "r.mb", "r.cb")
     lo = F.greatest(F.lit(1), F.col("ma") + F.col("mb") - F.lit(n_total))
     hi = F.least("ma", "mb")
     starts = pairs.select("ma", "mb", (F.col("ca") * F.col("cb")).alias("mult"), lo.alias("lo"), hi.alias("hi"))
