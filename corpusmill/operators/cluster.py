@@ -193,11 +193,15 @@ def dbscan(df: DataFrame, key: str, vec: str, min_cos: float, min_pts: int = 5,
     for i in range(max_rounds):
         nb = ce.join(lab.withColumnRenamed("a", "b").withColumnRenamed("lab", "nl"), "b").groupBy("a").agg(
             F.min("nl").alias("m"))
-        new = lab.join(nb, "a", "left").select("a", F.least("lab", F.coalesce("m", "lab")).alias("lab"))
-        new = cut_lineage(new)
-        changed = new.join(lab.withColumnRenamed("lab", "old"), "a").filter(F.col("lab") != F.col("old")).limit(
-            1).count()
-        lab = new
+        step = lab.join(nb, "a", "left").select("a", F.least("lab", F.coalesce("m", "lab")).alias("lab"))
+        # pointer jumping: a label is itself a core point of the same component,
+        # so taking the label of the label is safe and shortens the chains
+        jump = step.join(step.select(F.col("a").alias("lab"), F.col("lab").alias("ll")), "lab", "left").select(
+            "a", F.least("lab", F.coalesce("ll", "lab")).alias("lab"))
+        new = cut_lineage(jump.join(lab.withColumnRenamed("lab", "old"), "a").withColumn(
+            "chg", F.col("lab") != F.col("old")).drop("old"))
+        changed = new.filter("chg").limit(1).count()
+        lab = new.drop("chg")
         if changed == 0:
             break
     border = both.join(lab.withColumnRenamed("a", "b").withColumnRenamed("lab", "nl"), "b").groupBy("a").agg(

@@ -103,7 +103,7 @@ def q_rf(spark, sf):
 @register("mlp")
 def q_mlp(spark, sf):
     tr, te = _train_test(_lines(spark, sf))
-    est = M.classifier("mlp", layers=[4, 32, 16, 3], maxIter=50)
+    est = M.classifier("mlp", layers=[4, 32, 16, 3], maxIter=20)
     return M.fit_predict(tr, te, M.tabular_stages(LINE_FEATURES, scale=True), est, ["row_key", "label"])
 
 
