@@ -218,3 +218,12 @@ def split_list(c, sep: str = ",") -> Column:
 def pct(c, digits: int = 2) -> Column:
     """``{:.2f}%`` rendering of a fraction."""
     return F.concat(F.format_string(f"%.{digits}f", _col(c) * 100.0), F.lit("%"))
+
+
+def decode_text(c, encoding: str = "UTF-8") -> Column:
+    """Bytes -> string in ``encoding``; for UTF-8, invalid byte sequences
+    become U+FFFD instead of failing the row."""
+    col = _col(c)
+    if encoding.upper().replace("-", "") == "UTF8":
+        return F.make_valid_utf8(col.cast("string"))
+    return F.decode(col, encoding)

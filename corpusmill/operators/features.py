@@ -44,6 +44,12 @@ def fill_blank(df: DataFrame) -> DataFrame:
     return df.na.fill("")
 
 
+def split_by(df: DataFrame, pred: Column) -> tuple[DataFrame, DataFrame]:
+    """Rows where ``pred`` holds and rows where it does not (nulls count as not)."""
+    p = F.coalesce(pred, F.lit(False))
+    return df.filter(p), df.filter(~p)
+
+
 def split(df: DataFrame, key: str, frac: float = 0.8, seed: int = 42, out: str = "is_train") -> DataFrame:
     """Deterministic train/test split: hash bucket of (seed, key) in [0, 1000) < frac * 1000."""
     return df.withColumn(out, (seeded_hash(seed, key) % 1000) < int(round(frac * 1000)))

@@ -66,6 +66,9 @@ def pagerank(edges: DataFrame, nodes: DataFrame, lam: float = 0.25, max_iter: in
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Edge x out-degree, partitioned by src once and reused by every iteration
     adj = links.join(out, "src").repartition(parts, "src").cache()
+    # nodes (and so every rank table) hash-partitioned like the edges: each
+    # iteration then shuffles only the contributions
+    nodes = nodes.repartition(parts, "node").cache()
     ranks = nodes.select("node", F.lit(1.0 / n).alias("pr"))
     stopped_at = None
     it = 0
@@ -91,7 +94,10 @@ def pagerank(edges: DataFrame, nodes: DataFrame, lam: float = 0.25, max_iter: in
                     ranks = new
                     break
         ranks = new
+    # the result is lazy: materialise it before releasing the cached inputs it reads
+    ranks = cut_lineage(ranks)
     adj.unpersist()
+    nodes.unpersist()
     return PageRankResult(ranks, it, stopped_at)
 
 
@@ -108,9 +114,10 @@ def bipartite_rank(pairs: DataFrame, left: str, right: str, iters: int = 20) ->
     edges = l_.select(F.col("a").alias("src"), F.col("b").alias("dst")).union(
         l_.select(F.col("b").alias("src"), F.col("a").alias("dst")))
     deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("out"))
-    verts = edges.select(F.col("src").alias("node")).distinct()
+    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    verts = edges.select(F.col("src").alias("node")).distinct().repartition(parts, "node").cache()
     n = verts.count()
-    adj = edges.join(deg, "src").cache()
+    adj = edges.join(deg, "src").repartition(parts, "src").cache()
     ranks = verts.select("node", F.lit(1.0 / n).alias("pr"))
     for it in range(1, iters + 1):
         ranks = verts.join(
@@ -119,4 +126,7 @@ def bipartite_rank(pairs: DataFrame, left: str, right: str, iters: int = 20) ->
             "node", F.coalesce("pr", F.lit(0.0)).alias("pr"))
         if it % 5 == 0:
             ranks = cut_lineage(ranks)
+    ranks = cut_lineage(ranks)
+    adj.unpersist()
+    verts.unpersist()
     return ranks

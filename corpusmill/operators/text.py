@@ -214,3 +214,10 @@ def search(queries: DataFrame, post: DataFrame, doc_map: DataFrame, k: int = 3,
         .filter(F.col("rank") <= k)
         .select(qkey, F.col("rank").cast("bigint").alias("rank"), key, "url", "term", "tf")
     )
+
+
+def spell(words: DataFrame, unigrams: DataFrame, proba: bool = False, correct: bool = False) -> DataFrame:
+    """T3/T4 entry with the two modes mutually exclusive."""
+    if proba == correct:
+        raise ValueError("choose exactly one of proba=True or correct=True")
+    return spell_proba(words, unigrams) if proba else spell_correct(words, unigrams)

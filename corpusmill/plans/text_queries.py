@@ -291,3 +291,10 @@ def q_sentiment(spark, sf):
     lex = spark.createDataFrame(list(SENTIMENT_LEXICON), "word string, valence double")
     out = SE.sentiment(_docs(spark, sf), "text", lex)
     return out.select("doc_id", F.round("compound", 6).alias("compound"))
+
+
+# X22 ------------------------------------------------------------------------------
+@register("doc_term_map")
+def q_doc_term_map(spark, sf):
+    m = TX.doc_term_map(TX.postings(TX.tokenize(_docs(spark, sf))))
+    return m.select("doc_id", F.size("terms").cast("bigint").alias("n_terms"), "terms")

@@ -131,3 +131,26 @@ def test_search_orders_by_tf_then_doc(spark):
     q = spark.createDataFrame([(7, "Apple pear")], "query_id long, text string")
     got = [(r.rank, r.doc_id, r.term) for r in TX.search(q, post, docs, k=3).orderBy("rank").collect()]
     assert got == [(1, 2, "pear"), (2, 0, "apple"), (3, 0, "pear")]
+
+
+def test_spell_modes_exclusive(spark):
+    import pytest
+
+    w = spark.createDataFrame([("x",)], "word string")
+    u = spark.createDataFrame([("x", 1)], "token string, n long")
+    with pytest.raises(ValueError):
+        TX.spell(w, u, proba=True, correct=True)
+    assert TX.spell(w, u, correct=True).first().correction == "x"
+
+
+def test_decode_text(spark):
+    df = spark.createDataFrame([(bytearray(b"caf\xc3\xa9"), bytearray(b"caf\xe9"))], "u binary, l binary")
+    r = df.select(X.decode_text("u").alias("u"), X.decode_text("l", "ISO-8859-1").alias("l"),
+                  X.decode_text("l").alias("bad")).first()
+    assert r.u == "caf\xe9" and r.l == "caf\xe9" and r.bad == "caf�"
+
+
+def test_doc_term_map(spark):
+    docs = spark.createDataFrame([(1, "a b a")], "doc_id long, text string")
+    m = TX.doc_term_map(TX.postings(TX.tokenize(docs))).first().terms
+    assert m == {"a": 2, "b": 1}
