@@ -26,3 +26,15 @@ def test_scan_prunes_columns(spark):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() >= 0 and "url" in df.columns
+
+
+def test_search_topk_uses_map_side_group_limit(spark):
+    df = E.queries()["search_top3"](spark, SF001)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 2  # partial before the shuffle, final after
+
+
+def test_filter_pushed_to_scan(spark):
+    df = E.queries()["pagerank_lookup"](spark, SF001)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert any("p_brand" in line and "DataFilters" in line for line in plan.splitlines())

@@ -153,3 +153,21 @@ def test_bipartite_rank_sums_to_one(spark):
     pairs = spark.createDataFrame([(1, 10), (1, 11), (2, 10), (3, 12)], "u long, j long")
     r = G.bipartite_rank(pairs, "u", "j", iters=10)
     assert sum(x.pr for x in r.collect()) == pytest.approx(1.0)
+
+
+def test_hot_value_third_of_rows(spark):
+    """A value holding a third of all rows: gaps, as-of indexes and dense ids stay whole and exact."""
+    rnd = random.Random(21)
+    vals = [777] * 400 + [rnd.randint(0, 2000) for _ in range(800)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i long, v long")
+    s = sorted(set(vals))
+    best = max((s[k + 1] - s[k], -s[k]) for k in range(len(s) - 1))
+    r = O.max_gap(df, "v", parts=7).first()
+    assert (r.gap, r.left) == (best[0], -best[1])
+    b = df.select(F.col("v").alias("x"))
+    a = spark.createDataFrame([(777,), (5000,)], "x long")
+    fl = {x.x: x.idx for x in O.asof_index(a, b, "x", "floor").collect()}
+    sv = sorted(vals)
+    assert fl == {777: sum(1 for v in sv if v <= 777) - 1, 5000: len(sv) - 1}
+    ids = O.dense_id(df, ["v", "i"], parts=7)
+    assert ids.count() == 1200 and ids.agg(F.countDistinct("id")).first()[0] == 1200
