@@ -38,3 +38,16 @@ def test_filter_pushed_to_scan(spark):
     df = E.queries()["pagerank_lookup"](spark, SF001)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert any("p_brand" in line and "DataFilters" in line for line in plan.splitlines())
+
+
+@pytest.mark.parametrize("name", ["dense_doc_id", "max_gap_per_user", "asof_floor", "zipf_top", "search_top3",
+                                  "block_split", "describe_column", "undersample_rows"])
+def test_results_independent_of_partition_count(spark, name):
+    def rows(parts):
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        try:
+            return sorted(map(tuple, E.queries()[name](spark, SF001).collect()))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+    assert rows(1) == rows(11)
