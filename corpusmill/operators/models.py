@@ -157,8 +157,10 @@ def calibrate(scored: DataFrame, label: str = "label", raw: str = "rawPrediction
     """Platt scaling per class on the raw margin (one-vs-rest), renormalised so
     each row's probabilities sum to 1. Returns (model list, scoring function)."""
     n_classes = n_classes or int(scored.agg(F.max(label)).first()[0]) + 1
-    arr = vector_to_array(F.col(raw))
-    base = scored.withColumn("_raw_arr", arr)
+    from corpusmill.session import cut_lineage
+
+    # the margins are materialised once; every per-class fit reads only them
+    base = cut_lineage(scored.select(F.col(label), vector_to_array(F.col(raw)).alias("_raw_arr")))
     fits = []
     for c in range(n_classes):
         d = base.select(F.when(F.col(label) == c, 1.0).otherwise(0.0).alias("y"),
