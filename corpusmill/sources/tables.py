@@ -28,10 +28,14 @@ def spread(df: DataFrame, size_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
     has fewer partitions than the default parallelism, rows are spread
     round-robin; a large input already has many splits and passes unchanged.
     """
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if size_bytes >= SPREAD_MIN_BYTES and df.rdd.getNumPartitions() < par:
-        return df.repartition(par)
-    return df
+    if size_bytes < SPREAD_MIN_BYTES:
+        return df
+    try:
+        par = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (Spark Connect): leave the scan as it is
+        return df
+    return df.repartition(par) if splits < par else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
