@@ -12,8 +12,6 @@ bound on its k-th distance, the second pass is exact for that radius.
 from __future__ import annotations
 
 import math
-from typing import Sequence
-
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import BisectingKMeans, KMeans

@@ -7,7 +7,6 @@ fold (Q12).
 """
 from __future__ import annotations
 
-import os
 from typing import Sequence
 
 import numpy as np

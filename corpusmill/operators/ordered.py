@@ -14,7 +14,6 @@ import math
 from typing import Iterator, Sequence
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T

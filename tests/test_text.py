@@ -1,5 +1,4 @@
 """Scalar text functions and text jobs: goldens and brute-force rules."""
-import itertools
 import random
 import string
 
