@@ -45,7 +45,9 @@ PROFILE = b"http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 def store(path: str) -> tuple[fs.FileSystem, str]:
     """File system and path of a URI or a plain path."""
-    return fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+    if "://" not in path:  # a plain path, or file:/path as Spark reports it
+        path = "file://" + path.removeprefix("file:")
+    return fs.FileSystem.from_uri(path)
 
 
 def record(row: dict, date: str) -> bytes:
