@@ -5,7 +5,6 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from corpusmill.llm.common import read
 
@@ -15,6 +14,8 @@ ORACLES: dict[str, str] = {}
 RANKS = "byte_bpe_multi_50k.tiktoken"
 WORD_BPE = "word_bpe_49k.json"
 END_ID = 1
+#: The free id of the rank file, used as end of document.
+SEPARATOR = 50_256
 
 
 def query(sql: str | None = None):
@@ -37,11 +38,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     WITH w AS (
-        SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w
+        SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+') IF x <> ''] AS w
         FROM documents
     ), s AS (
         SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-                            ELSE list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))) END AS s
+                            ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s
         FROM w
     ), e AS (
         SELECT doc_id, unnest(s) AS g FROM s
@@ -83,6 +84,14 @@ def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(rows, rows.filter("vec_id % 50 = 0"), 5)
 
 
+@query()
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line with words, its class's first line, and whether it goes."""
+    from corpusmill.llm.line_dedup import later_matches
+
+    return later_matches(read(spark, sf_dir, "documents"))
+
+
 @query()
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents, learnt outside the held-out fold."""
@@ -91,6 +100,27 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+SHARDS = [f"shard-{i:02d}" for i in range(64)]
+
+
+def _shard_sql() -> str:
+    from corpusmill.llm.sharding import lookup_table
+
+    table = lookup_table(SHARDS)
+    return f"""
+    WITH t AS (SELECT {table} AS shards),
+    d AS (SELECT doc_id, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) % {len(table)} AS slot FROM documents)
+    SELECT doc_id, slot, shards[slot + 1] AS shard FROM d, t"""
+
+
+@query(_shard_sql())
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's slot and shard of 64."""
+    from corpusmill.llm.sharding import place
+
+    return place(read(spark, sf_dir, "documents").select("doc_id"), "doc_id", SHARDS)
+
+
 @query("""
     WITH t AS (
         SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
@@ -105,6 +135,14 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(read(spark, sf_dir, "documents"))
 
 
+@query()
+def op9_token_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, by scanning flat token files for separators."""
+    from corpusmill.llm.token_scan import counted_documents
+
+    return counted_documents(read(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN, SEPARATOR)
+
+
 @query()
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as WARC records and read back."""
