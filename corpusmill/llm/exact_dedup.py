@@ -73,7 +73,8 @@ def tree_merge(rows: DataFrame, fan: int = FAN, keep: str = "largest") -> DataFr
 def exact_duplicates(docs: DataFrame, fan: int = FAN, keep: str = "largest") -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256."""
     rows = stored(digest_rows(docs), "op8-rows")
-    merged = tree_merge(rows, fan, keep)
+    # written, so that the join gets exchanges of its own, whose hot digests AQE can split
+    merged = stored(tree_merge(rows, fan, keep), "op8-merged")
     out = rows.join(merged.select("digest", "stays", F.col("n").alias("group_size")), "digest")
     return out.select(
         "doc_id",
@@ -91,11 +92,11 @@ def drop_exact_duplicates(docs: DataFrame, fan: int = FAN, keep: str = "largest"
     same text, the rows that share both are reduced to one.
     """
     rows = stored(digest_rows(docs.select("doc_id", "text")), "op8-rows")
-    merged = tree_merge(rows, fan, keep)
+    merged = stored(tree_merge(rows, fan, keep), "op8-merged")
     j = rows.join(merged.select("digest", F.col("stays.doc_id").alias("keep_id"), F.col("stays.r").alias("r")), "digest")
     same = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     lost = stored(j.filter(-F.col("row") != F.col("r")).select(F.col("doc_id").alias("__id"), F.col("digest").alias("__d"), same.alias("__twin")), "op8-lost")
-    discard(rows)
+    discard(rows, merged)
     keyed = docs.withColumn("__digest", F.unhex(F.sha2(normal_text(F.col("text")), 256)))
     if lost.isEmpty():
         return docs
