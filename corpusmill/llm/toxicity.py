@@ -66,7 +66,7 @@ LOSSES = (
 )
 
 
-def fit(off_p, slots_p, off_u, slots_u, prior: float, epochs: int = 300, rate: float = 0.05, decay: float = 1e-5, gamma: float = 1.0) -> tuple[np.ndarray, float]:
+def fit(off_p, slots_p, off_u, slots_u, prior: float, epochs: int = 500, rate: float = 0.05, decay: float = 1e-5, gamma: float = 1.0) -> tuple[np.ndarray, float]:
     """Weights (one a slot) and intercept by full-batch Adam on the non-negative risk."""
     n_p, n_u = len(off_p) - 1, len(off_u) - 1
     in_p, in_u = np.bincount(slots_p, minlength=SLOTS), np.bincount(slots_u, minlength=SLOTS)
