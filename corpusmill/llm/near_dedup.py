@@ -12,12 +12,16 @@ All candidates are confirmed on full sets, in integers:
 
 Scale. Documents of equal sets are one vertex. Rows that share no left (or no right)
 collection value with any other document have no table key in common with one and
-leave early, so keys are built for the rest only. Pairs are never emitted for a
-whole bucket: in some rounds each document is compared with one member of another
-component that shares most of its collections, which joins large groups of near
-copies at linear cost; then only pairs of *different* components that share a table
-key remain, found from the smaller components' side, and all of these are compared.
-Nothing is capped. Links and components stay distributed.
+leave early. Pairs are never emitted for a
+whole bucket: in rounds each document is compared with one member of another
+component that shares most of its collections, at first the bucket's most central
+member, which joins large groups of near copies at linear cost; rounds go on while they
+still find links. Then only pairs of *different* components that share a table
+key remain, found from the smaller components' side. Those meet on the key's left value,
+its right value is compared there, a pair counts at its first common left value only,
+and a parity sketch of the sets (each shingle flips one of 1024 bits, so differing bits
+are a lower bound of the symmetric difference) drops pairs that cannot be similar.
+All others are compared in full. Nothing is capped. Links and components stay distributed.
 
 Defined results: null text or no words: empty set, linked with nothing; null
 doc_id: never linked, component_id null, kept; rows that repeat a doc_id are one
@@ -38,8 +42,11 @@ from corpusmill.llm.shingles import distinct, shingle_hashes
 WIDTH = 5
 SIMILARITY = 75
 SIDE, ROWS = 16, 3
-#: Rounds of joining components by single comparisons, before all remaining pairs are compared.
-ROUNDS = 2
+#: Least rounds of joining components by single comparisons, before all remaining pairs are
+#: compared. More follow while a round finds a link for one in ENOUGH candidates.
+ROUNDS, ENOUGH = 2, 50
+#: Longs of the parity sketch.
+SKETCH = 16
 #: Shingles that one step of the minhash loop takes, so that they stay in the CPU cache.
 _STEP = 1 << 15
 
@@ -72,8 +79,17 @@ def collections(sets: list[np.ndarray], side: int = SIDE, rows: int = ROWS) -> n
     return out
 
 
+def sketches(sets: list[np.ndarray], longs: int = SKETCH) -> np.ndarray:
+    """(documents, longs) int64: bit i tells whether an odd number of a set's hashes fall into bin i."""
+    bits = 64 * longs
+    bins = np.concatenate(sets) >> np.uint64(64 - (bits.bit_length() - 1))
+    doc = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    odd = np.bincount(doc * bits + bins.astype(np.int64), minlength=bits * len(sets)).astype(np.uint8) & 1
+    return np.packbits(odd.reshape(len(sets), bits), axis=1).view(np.int64)
+
+
 def signatures(docs: DataFrame, width: int = WIDTH, side: int = SIDE, rows: int = ROWS) -> DataFrame:
-    """doc_id, n_shingles, digest of the set (null if empty), sig: the 2 * side collection values (null if empty)."""
+    """doc_id, n_shingles; of non-empty sets also digest, sig (the 2 * side collection values) and sketch."""
 
     def make():
         def one(part: pa.RecordBatch) -> pa.RecordBatch:
@@ -81,18 +97,20 @@ def signatures(docs: DataFrame, width: int = WIDTH, side: int = SIDE, rows: int
             full = [i for i, s in enumerate(sets) if len(s)]
             sig: list = [None] * len(sets)
             dig: list = [None] * len(sets)
+            odd: list = [None] * len(sets)
             if full:
-                for i, row in zip(full, collections([sets[i] for i in full], side, rows)):
-                    sig[i] = row
+                some = [sets[i] for i in full]
+                for i, row, bits in zip(full, collections(some, side, rows), sketches(some)):
+                    sig[i], odd[i] = row, bits
                     dig[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
             return pa.RecordBatch.from_arrays(
-                [part.column("doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(dig, pa.binary()), pa.array(sig, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "digest", "sig"],
+                [part.column("doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(dig, pa.binary()), pa.array(sig, pa.list_(pa.int64())), pa.array(odd, pa.list_(pa.int64()))],
+                names=["doc_id", "n_shingles", "digest", "sig", "sketch"],
             )
 
         return one
 
-    return map_slices(docs.select("doc_id", "text"), "text", make, "doc_id long, n_shingles long, digest binary, sig array<long>")
+    return map_slices(docs.select("doc_id", "text"), "text", make, "doc_id long, n_shingles long, digest binary, sig array<long>, sketch array<long>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int = WIDTH, similarity: int = SIMILARITY) -> DataFrame:
@@ -151,64 +169,78 @@ def _moved(rows: DataFrame, comps: DataFrame | None) -> DataFrame:
     return rows.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
 
 
-def _mixed(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The keys whose rows lie in two or more components, with two members x, y of different components."""
-    each = rows.groupBy(*keys, "comp").agg(F.min(F.struct(F.xxhash64("id").alias("h"), "id")).alias("m"))
-    two = each.select(*keys, F.struct("m.h", "m.id", "comp").alias("s")).groupBy(*keys).agg(F.min("s").alias("x"), F.max("s").alias("y"))
-    return two.filter("x.comp <> y.comp").select(*keys, F.col("x.id").alias("x"), F.col("x.comp").alias("xc"), F.col("y.id").alias("y"))
+def _mixed(rows: DataFrame, order: Column) -> DataFrame:
+    """The buckets (c, v) whose rows lie in two or more components, with the last members by ``order`` of two: x, its component, y."""
+    each = rows.groupBy("c", "v", "comp").agg(F.max(F.struct(order.alias("h"), "id")).alias("m"))
+    two = each.select("c", "v", F.struct("m.h", "m.id", "comp").alias("s")).groupBy("c", "v").agg(F.max("s").alias("x"), F.min("s").alias("y"))
+    return two.filter("x.comp <> y.comp").select("c", "v", F.col("x.id").alias("x"), F.col("x.comp").alias("xc"), F.col("y.id").alias("y"))
+
+
+def _any(tests: list[Column]) -> Column:
+    out = tests[0]
+    for t in tests[1:]:
+        out |= t
+    return out
+
+
+def _could_be_similar(side: int, similarity: int) -> Column:
+    """For rows a and b that meet at left collection c: a table key in common, first met here, and sizes and sketches that allow a link."""
+    sig_a, sig_b = F.col("a.sig"), F.col("b.sig")
+    same = [sig_a[i] == sig_b[i] for i in range(2 * side)]
+    before = _any([(F.lit(i) < F.col("a.c")) & same[i] for i in range(side)])
+    na, nb = F.col("a.n"), F.col("b.n")
+    differ = sum((F.bit_count(F.col("a.sketch")[i].bitwiseXOR(F.col("b.sketch")[i])) for i in range(SKETCH)), F.lit(0))
+    sizes = 100 * F.least(na, nb) >= similarity * F.greatest(na, nb)
+    # |A & B| / |A | B| >= s  <=>  |A ^ B| * (1 + s) <= (|A| + |B|) * (1 - s)
+    return sizes & (differ * (100 + similarity) <= (na + nb) * (100 - similarity)) & _any(same[side:]) & ~before
 
 
 def links_by_tables(classes: DataFrame, texts_of, side: int = SIDE, width: int = WIDTH, similarity: int = SIMILARITY, rounds: int = ROUNDS) -> DataFrame | None:
-    """Components (id, comp) of classes (id, n, sig), or None if no two are candidates."""
+    """Components (id, comp) of classes (id, n, sig, sketch), or None if no two are candidates."""
     coll = classes.select("id", F.posexplode("sig").alias("c", "v"))
-    shared = coll.groupBy("c", "v").agg(F.min("id").alias("x"), F.max("id").alias("y")).filter("x <> y").select("c", "v")
+    shared = coll.groupBy("c", "v").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.count(F.lit(1)).alias("m")).filter("x <> y").select("c", "v", "m")
     hits = coll.join(shared, ["c", "v"])
     left = F.sum(F.when(F.col("c") < side, 1).otherwise(0))
-    per = hits.groupBy("id").agg(left.alias("l"), F.count(F.lit(1)).alias("k"), F.collect_list(F.struct("c", "v")).alias("cv")).filter("l > 0 and l < k").select("id", "cv")
-    hits = stored(per.join(classes.select("id", "n"), "id"), "op2-hits")  # at most 2 * side values a row
-    if hits.isEmpty():
+    per = hits.groupBy("id").agg(left.alias("l"), F.count(F.lit(1)).alias("k"), F.sum("m").alias("central"), F.collect_list(F.struct("c", "v")).alias("cv"))
+    hits = stored(per.filter("l > 0 and l < k").select("id", "central", "cv"), "op2-hits")  # at most 2 * side values a row
+    total = hits.count()
+    if not total:
         return None
     texts = stored(texts_of(hits.select("id")), "op2-texts")
-    flat = hits.select("id", "n", F.inline("cv"))
-    sizes_agree = lambda a, b: 100 * F.least(a, b) >= similarity * F.greatest(a, b)
-    links, comps = None, None
+    flat = hits.select("id", "central", F.inline("cv"))
+    links, comps, done = None, None, 0
 
     def grown(found: DataFrame) -> tuple[DataFrame, DataFrame]:
         every = found if links is None else links.unionByName(found)
         return every, stored(components(every), "op2-comps")
 
-    for _ in range(rounds):
+    while True:
         rows = _moved(flat, comps)
-        mixed = _mixed(rows, ["c", "v"])
+        mixed = _mixed(rows, F.col("central") if done == 0 else F.xxhash64("id", F.lit(done)))
+        if done >= rounds and (not rounds or ENOUGH * new < total):
+            break
         offers = rows.join(mixed, ["c", "v"]).select("id", F.when(F.col("comp") != F.col("xc"), F.col("x")).otherwise(F.col("y")).alias("p"))
         best = offers.groupBy("id", "p").agg(F.count(F.lit(1)).alias("k")).groupBy("id").agg(F.max(F.struct("k", "p")).alias("o"))
         found = stored(verified(best.select(F.least("id", "o.p").alias("a"), F.greatest("id", "o.p").alias("b")).distinct(), texts, width, similarity), "op2-links")
-        if found.isEmpty():
+        new = found.count()
+        done += 1
+        if new:
+            links, comps = grown(found)
+        elif done >= rounds:
             break
-        links, comps = grown(found)
 
     # all pairs that share a table key and lie in different components
-    rows = _moved(flat, comps)
-    open_ = rows.join(_mixed(rows, ["c", "v"]).select("c", "v"), ["c", "v"])
-    sides = open_.groupBy("id", "n", "comp").agg(
-        F.collect_list(F.when(F.col("c") < side, F.struct("c", "v"))).alias("l"),
-        F.collect_list(F.when(F.col("c") >= side, F.struct("c", "v"))).alias("r"),
-    )
-    cells = sides.select("id", "n", "comp", "r", F.explode("l").alias("l")).select("id", "n", "comp", "l", F.explode("r").alias("r"))
-    keys = stored(cells.select("id", "n", "comp", F.xxhash64("l", "r").alias("key")), "op2-keys")
-    mixed = _mixed(keys, ["key"]).select("key")
-    keys = stored(keys.join(mixed, "key"), "op2-mixed")
-    if not keys.isEmpty():
-        per = keys.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("k"))
-        top = per.groupBy("key").agg(F.max(F.struct("k", "comp")).alias("t")).select("key", F.col("t.comp").alias("top"))
-        marked = keys.join(top, "key")
-        few = marked.filter("comp <> top").select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-        many = marked.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"), (F.col("comp") == F.col("top")).alias("main"))
-        met = few.join(many, "key").filter((F.col("ca") != F.col("cb")) & (F.col("main") | (F.col("a") < F.col("b"))) & sizes_agree(F.col("na"), F.col("nb")))
-        found = stored(verified(met.select("a", "b").distinct(), texts, width, similarity), "op2-links")
-        if not found.isEmpty():
-            links, comps = grown(found)
-    discard(hits, texts, keys)
+    open_ = _moved(flat.filter(F.col("c") < side), comps).join(mixed.select("c", "v"), ["c", "v"])
+    sizes = open_.groupBy("c", "v", "comp").agg(F.count(F.lit(1)).alias("k")).groupBy("c", "v").agg(F.max(F.struct("k", "comp")).alias("t"))
+    rows = open_.join(sizes.select("c", "v", F.col("t.comp").alias("top")), ["c", "v"]).join(classes, "id")
+    rows = stored(rows.select("c", "v", "id", "n", "comp", "top", "sig", "sketch"), "op2-open")
+    few, many = rows.filter("comp <> top").alias("a"), rows.alias("b")
+    cross = (F.col("a.comp") != F.col("b.comp")) & ((F.col("b.comp") == F.col("b.top")) | (F.col("a.id") < F.col("b.id")))
+    met = few.join(many, (F.col("a.c") == F.col("b.c")) & (F.col("a.v") == F.col("b.v")) & cross & _could_be_similar(side, similarity))
+    found = stored(verified(met.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct(), texts, width, similarity), "op2-links")
+    if not found.isEmpty():
+        links, comps = grown(found)
+    discard(hits, texts, rows)
     return comps
 
 
@@ -216,13 +248,13 @@ def near_duplicates(docs: DataFrame, side: int = SIDE, rows: int = ROWS, width:
     """One row per input row: doc_id, n_shingles, component_id, kept."""
     sig = stored(signatures(docs, width, side, rows), "op2-sig")
     full = sig.filter("digest is not null and doc_id is not null")
-    classes = full.groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "sig")).alias("s")).select("digest", F.col("s.doc_id").alias("id"), F.col("s.n_shingles").alias("n"), F.col("s.sig").alias("sig"))
+    classes = full.groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "sig", "sketch")).alias("s")).select("digest", F.col("s.doc_id").alias("id"), F.col("s.n_shingles").alias("n"), "s.sig", "s.sketch")
     classes = stored(classes, "op2-classes")
 
     def texts_of(ids: DataFrame) -> DataFrame:
         return docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi")
 
-    comps = links_by_tables(classes.select("id", "n", "sig"), texts_of, side, width, similarity, rounds)
+    comps = links_by_tables(classes.select("id", "n", "sig", "sketch"), texts_of, side, width, similarity, rounds)
     named = _moved(classes.select("digest", "id"), comps).select("digest", "comp")
     out = sig.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest")).join(named, "digest", "left")
     comp: Column = F.coalesce("comp", "doc_id")
