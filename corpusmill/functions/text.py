@@ -5,6 +5,8 @@ whole-stage codegen; no Python runs per row.
 """
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,13 +28,16 @@ SOUNDEX_DIGITS = "111122222222334556"
 VEC_TOKEN = r"[\p{L}\p{N}_]{2,}"
 # Word characters that are not digits (letters, underscore, non-decimal numbers).
 PAGE_WORD = r"[\p{L}\p{Nl}\p{No}_]+"
-# Anchor tags that carry an href attribute (double or single quoted).
-HREF = r"""<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
+# Anchor tags that carry an href attribute of that very name (double or single quoted, or bare).
+HREF = r"""<a(?:\s[^>]*?)?\shref\s*=\s*["']?([^"'\s>]*)"""
 # Published-time meta tag.
 PUBLISHED_META = r"""<meta[^>]*property=["']article:published_time["'][^>]*content=["']([^"']*)["']"""
-# Latin accented letters and their ASCII base letters (for strip_accents).
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ"
-UNACCENTED = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY"
+# Accented Latin letters and their ASCII base letters (for strip_accents), by canonical decomposition
+# of the Latin blocks; letters without one, such as o with stroke, have their base letter named here.
+_STROKED = dict(zip("øØłŁđĐħĦŧŦ", "oOlLdDhHtT"))
+_BASE = {c: unicodedata.normalize("NFD", c)[0] for c in map(chr, [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)])}
+_BASE = {c: b for c, b in (_BASE | _STROKED).items() if c != b and b.isascii() and b.isalpha()}
+ACCENTED, UNACCENTED = "".join(_BASE), "".join(_BASE.values())
 
 
 def _col(c) -> Column:
@@ -183,24 +188,48 @@ def url_origin(c) -> Column:
 
 
 def resolve_link(link, base) -> Column:
-    """Resolve a link against its page: absolute links are kept, root-relative
-    links get the page origin, other relative links the page directory."""
+    """Resolve a link against its page: links with a scheme (http:, mailto:, ...) are kept,
+    root-relative links get the page origin, other relative links the page directory; an
+    empty link or a bare fragment is the page. ``.`` and ``..`` segments are resolved."""
     link, base = _col(link), _col(base)
     origin = url_origin(base)
     base_dir = F.regexp_extract(base, r"^([^?#]*/)", 1)
     return (
-        F.when(link.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*://"), link)
+        F.when(link.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), link)
         .when(link.startswith("//"), F.concat(F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1), link))
-        .when(link.startswith("/"), F.concat(origin, link))
-        .otherwise(F.concat(base_dir, link))
+        .when((link == "") | link.startswith("#"), F.concat(F.regexp_extract(base, r"^([^#]*)", 1), link))
+        .when(link.startswith("?"), F.concat(F.regexp_extract(base, r"^([^?#]*)", 1), link))
+        .when(link.startswith("/"), F.concat(origin, _dots(link)))
+        .otherwise(F.concat(origin, _dots(F.concat(F.regexp_replace(base_dir, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+", ""), link))))
     )
 
 
+def _dots(path: Column) -> Column:
+    """A path (query and fragment kept) without its ``.`` and ``..`` segments."""
+    head, tail = F.regexp_extract(path, r"^([^?#]*)", 1), F.regexp_extract(path, r"^[^?#]*(.*)$", 1)
+    segments = F.split(head, "/", -1)
+    last = F.element_at(segments, -1)
+
+    def step(acc, x):
+        up = F.when(F.size(acc) > 1, F.slice(acc, 1, F.size(acc) - 1)).otherwise(acc)
+        return F.when(x == ".", acc).when(x == "..", up).otherwise(F.concat(acc, F.array(x)))
+
+    kept = F.aggregate(segments, F.array().cast("array<string>"), step)
+    ends = F.when(last.isin(".", ".."), F.lit("/")).otherwise(F.lit(""))
+    clean = F.when(head.rlike(r"(^|/)\.\.?(/|$)"), F.concat(F.array_join(kept, "/"), ends)).otherwise(head)
+    return F.concat(clean, tail)
+
+
 def published_at(c) -> Column:
     """Published time from the ``article:published_time`` meta tag, null if absent."""
     raw = F.regexp_extract(_col(c), PUBLISHED_META, 1)
-    raw = F.when(raw == "", None).otherwise(raw)
+    raw = F.when(raw == "", None).otherwise(F.regexp_replace(F.trim(raw), r"^[A-Za-z]{3,9},\s*", ""))
+    raw = F.regexp_replace(raw, r"\s*(GMT|UTC|UT)$", " +0000")
     return F.coalesce(
+        F.try_to_timestamp(raw, F.lit("yyyy-MM-dd'T'HH:mm:ssXX")),
+        F.try_to_timestamp(raw, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSXX")),
+        F.try_to_timestamp(raw, F.lit("d MMM yyyy HH:mm:ss XX")),
+        F.try_to_timestamp(raw, F.lit("yyyy-MM-dd HH:mm:ssXXX")),
         F.try_to_timestamp(raw, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")),
         F.try_to_timestamp(raw, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSXXX")),
         F.try_to_timestamp(raw, F.lit("yyyy-MM-dd'T'HH:mm:ss")),

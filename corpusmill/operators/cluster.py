@@ -172,14 +172,14 @@ def core_points(df: DataFrame, pairs: DataFrame, key: str, min_pts: int) -> Data
         F.col("a").alias(key), (F.coalesce("deg", F.lit(0)) + 1 >= min_pts).alias("core"))
 
 
-def dbscan(df: DataFrame, key: str, vec: str, min_cos: float, min_pts: int = 5, max_rounds: int = 100,
+def dbscan(df: DataFrame, key: str, vec: str, min_cos: float, min_pts: int = 5,
            pairs: DataFrame | None = None) -> DataFrame:
     """DBSCAN on cosine neighbourhoods. Core = neighbours + 1 >= min_pts;
     core components by min-label propagation (one join + aggregate per round,
     checkpointed); border points take the smallest neighbouring core label;
     noise is -1. Output: key, cluster (smallest core key of the component), core."""
     pr = pairs if pairs is not None else eps_pairs(df, key, vec, min_cos)
-    pr = pr.select("a", "b")
+    pr = cut_lineage(pr.select("a", "b"))  # read for degrees, core edges and borders
     both = pr.union(pr.select(F.col("b").alias("a"), F.col("a").alias("b")))
     deg = both.groupBy("a").agg(F.count(F.lit(1)).alias("deg"))
     ids = df.select(F.col(key).alias("a"))
@@ -188,7 +188,7 @@ def dbscan(df: DataFrame, key: str, vec: str, min_cos: float, min_pts: int = 5,
     ce = both.join(core, "a").join(core.withColumnRenamed("a", "b"), "b")  # core-core edges
     ce = cut_lineage(ce)
     lab = core.select("a", F.col("a").alias("lab"))
-    for i in range(max_rounds):
+    while True:  # until no label changes
         nb = ce.join(lab.withColumnRenamed("a", "b").withColumnRenamed("lab", "nl"), "b").groupBy("a").agg(
             F.min("nl").alias("m"))
         step = lab.join(nb, "a", "left").select("a", F.least("lab", F.coalesce("m", "lab")).alias("lab"))
@@ -223,63 +223,13 @@ def kmeans(df: DataFrame, key: str, vec: str, k: int, restarts: int = 10, seed:
         cost = m.summary.trainingCost
         if best is None or cost < best[1]:
             best = (m, cost)
-    out = best[0].transform(data).select(key, F.col("prediction").cast("bigint").alias("cluster"))
+    out = cut_lineage(best[0].transform(data).select(key, F.col("prediction").cast("bigint").alias("cluster")))
+    data.unpersist()
     return out, best[1]
 
 
 def bisecting(df: DataFrame, key: str, vec: str, k: int, seed: int = 42) -> DataFrame:
-    """M15 (fully distributed alternative): bisecting k-means."""
+    """M15, re-aimed: hierarchical clusters by bisecting k-means, fully distributed."""
     data = df.select(key, array_to_vector(_vec(vec)).alias("features"))
     m = BisectingKMeans(k=k, seed=seed).fit(data)
     return m.transform(data).select(key, F.col("prediction").cast("bigint").alias("cluster"))
-
-
-def _ward_merge(k: int):
-    def run(pdf):
-        import pandas as pd
-
-        ids = list(pdf["micro"])
-        size = {m: float(s) for m, s in zip(pdf["micro"], pdf["size"])}
-        cent = {m: np.asarray(c, dtype=float) for m, c in zip(pdf["micro"], pdf["centroid"])}
-        members = {m: [m] for m in ids}
-        merges = []
-        while len(cent) > k:
-            keys = sorted(cent)
-            best = None
-            for i, a in enumerate(keys):
-                for b in keys[i + 1:]:
-                    d = size[a] * size[b] / (size[a] + size[b]) * float(np.sum((cent[a] - cent[b]) ** 2))
-                    if best is None or d < best[0]:
-                        best = (d, a, b)
-            d, a, b = best
-            cent[a] = (cent[a] * size[a] + cent[b] * size[b]) / (size[a] + size[b])
-            size[a] += size[b]
-            members[a] += members.pop(b)
-            del cent[b], size[b]
-            merges.append((a, b, d))
-        rows = []
-        for c, (root, ms) in enumerate(sorted(members.items())):
-            rows += [(m, c) for m in ms]
-        return pd.DataFrame(rows, columns=["micro", "cluster"])
-
-    return run
-
-
-def ward(df: DataFrame, key: str, vec: str, k: int, micro: int = 100, seed: int = 42) -> DataFrame:
-    """Ward clustering on micro-cluster summaries (approximate for large
-    inputs): k-means to ``micro`` micro-clusters on Spark, then Ward merges of the
-    (size, centroid) summaries in one bounded task (micro x micro distances),
-    mapped back to the rows."""
-    data = df.select(key, array_to_vector(_vec(vec)).alias("features"))
-    n = data.count()
-    m = KMeans(k=min(micro, n), seed=seed, maxIter=50).fit(data)
-    assigned = m.transform(data).select(key, F.col("prediction").alias("micro"), "features")
-    from pyspark.ml.functions import vector_to_array
-
-    summ = assigned.groupBy("micro").agg(
-        F.count(F.lit(1)).alias("size"),
-        F.array(*[F.avg(vector_to_array("features")[i]) for i in range(len(m.clusterCenters()[0]))]).alias(
-            "centroid"))
-    merged = summ.groupBy(F.lit(0).alias("g")).applyInPandas(
-        lambda pdf: _ward_merge(k)(pdf), "micro int, cluster long")
-    return assigned.join(merged, "micro").select(key, "cluster")

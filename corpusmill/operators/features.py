@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions import text as X
 from corpusmill.operators.ordered import block_of, dense_id
 from corpusmill.operators.text import STOP_WORDS_EN
-
-MAX_ONE_HOT = 1024
+from corpusmill.session import cut_lineage, small_side
 
 
 def seeded_hash(seed: int, *cols) -> Column:
@@ -27,10 +26,10 @@ def seeded_hash(seed: int, *cols) -> Column:
 
 
 def drop_all_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """P2 (Q14): drop rows whose feature columns (all of them) sum to zero."""
+    """P2 (Q14): drop rows whose feature columns (all of them, null as 0) sum to zero."""
     total = F.lit(0)
     for c in cols:
-        total = total + F.col(c)
+        total = total + F.coalesce(F.col(c), F.lit(0))
     return df.filter(total != 0)
 
 
@@ -56,29 +55,34 @@ def split(df: DataFrame, key: str, frac: float = 0.8, seed: int = 42, out: str =
 
 
 def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    """sorted-order code from 0 (dense rank - 1) via a dense id over the distinct values."""
+    """sorted-order code from 0 (dense rank - 1) via a dense id over the distinct values; null comes first.
+
+    Few codes are broadcast, so the rows are not shuffled on a handful of values."""
     out = out or f"{col}_code"
-    codes = dense_id(df.select(col).distinct(), [col], out=out)
-    return df.join(codes, col)
+    codes = dense_id(df.select(F.col(col).alias("__v")).distinct(), ["__v"], out=out)
+    return df.join(small_side(codes), F.col(col).eqNullSafe(F.col("__v"))).drop("__v")
 
 
 def one_hot(df: DataFrame, col: str, prefix: str | None = None) -> DataFrame:
-    """One 0/1 column per sorted distinct value (the domain is collected: it
-    must be categorical, at most MAX_ONE_HOT values)."""
+    """One 0/1 column per sorted distinct value. The domain becomes the schema, so it reaches the
+    driver; ``one_hot_long`` has the same content as rows, for domains of any size."""
     prefix = prefix or col
-    dom = df.select(col).distinct().limit(MAX_ONE_HOT + 1).collect()
-    if len(dom) > MAX_ONE_HOT:
-        raise ValueError(f"{col} has more than {MAX_ONE_HOT} values; not a categorical column")
-    values = sorted(r[0] for r in dom if r[0] is not None)
+    values = sorted(r[0] for r in df.select(col).distinct().collect() if r[0] is not None)
     return df.withColumns({f"{prefix}_{v}": (F.col(col) == F.lit(v)).cast("int") for v in values})
 
 
+def one_hot_long(df: DataFrame, key: str, col: str) -> DataFrame:
+    """F2 without a limit: the ones of the 0/1 matrix as rows (key, value, hot = 1); a null value has none."""
+    return df.filter(F.col(col).isNotNull()).select(key, F.col(col).alias("value"), F.lit(1).alias("hot"))
+
+
 def class_positions(df: DataFrame, label: str, order: Sequence, out: str = "pos") -> DataFrame:
     """0-based position of each row inside its class in ``order``, plus the class size
     ``n_class``. Global dense id over (label, order) minus the class start."""
     ided = dense_id(df, [label, *order], out="__gid")
-    starts = ided.groupBy(label).agg(F.min("__gid").alias("__start"), F.count(F.lit(1)).alias("n_class"))
-    return ided.join(starts, label).withColumn(out, F.col("__gid") - F.col("__start")).drop("__gid", "__start")
+    starts = ided.groupBy(F.col(label).alias("__l")).agg(F.min("__gid").alias("__start"), F.count(F.lit(1)).alias("n_class"))
+    j = ided.join(small_side(starts), F.col(label).eqNullSafe(F.col("__l")))
+    return j.withColumn(out, F.col("__gid") - F.col("__start")).drop("__gid", "__start", "__l")
 
 
 def undersample(df: DataFrame, label: str, key: str, seed: int = 42) -> DataFrame:
@@ -94,18 +98,19 @@ def oversample(df: DataFrame, label: str, key: str, seed: int = 42, chunk: int =
     """every class grown to the largest class size M with replacement; originals
     kept. Deficit slots are generated in chunks spread over tasks; slot s of class c
     draws position hash(seed, c, s) mod n_c, resolved by an equi join."""
-    spark = df.sparkSession
     pos = class_positions(df, label, [key])
     sizes = pos.groupBy(label).agg(F.first("n_class").alias("n_class"))
     m = sizes.select(F.max("n_class")).scalar()
     need = sizes.withColumn("deficit", m - F.col("n_class")).filter(F.col("deficit") > 0)
     starts = need.select(label, "n_class", "deficit",
                          F.explode(F.sequence(F.lit(0), F.col("deficit") - 1, F.lit(chunk))).alias("s0"))
-    slots = starts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).select(
+    slots = starts.repartition(label, "s0").select(
         label, "n_class", F.explode(F.sequence(F.col("s0"), F.least(F.col("deficit") - 1, F.col("s0") + chunk - 1))).alias(
             "slot"))
     draws = slots.select(label, (seeded_hash(seed, label, "slot") % F.col("n_class")).alias("pos"))
-    picked = draws.join(pos.drop("n_class"), [label, "pos"]).drop("pos")
+    pos = pos.drop("n_class").withColumnRenamed("pos", "__p")
+    d = draws.select(F.col(label).alias("__l"), "pos")
+    picked = d.join(pos, F.col(label).eqNullSafe(F.col("__l")) & (F.col("pos") == F.col("__p")))
     return df.unionByName(picked.select(*df.columns))
 
 
@@ -132,6 +137,7 @@ def tfidf(counts: DataFrame, key: str = "doc_id") -> DataFrame:
     """M2/M3: smooth TF-IDF tf * (ln((1 + N) / (1 + df)) + 1), then L2 per document.
     Long form (key, term, weight); MLlib's IDF lacks the +1 term, so it is
     written out here."""
+    counts = cut_lineage(counts)  # counted once, read four times
     n_docs = counts.select(F.count_distinct(key)).scalar()
     df_ = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     w = counts.join(df_, "term").withColumn(

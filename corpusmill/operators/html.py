@@ -100,7 +100,8 @@ def surface_row_max(pages: DataFrame, key: str = "page_id", html: str = "html")
     pos = pos.withColumn("s_before", F.coalesce(F.sum("step").over(w.rowsBetween(Window.unboundedPreceding, -1)),
                                                 F.lit(0)))
     # S(j) for j = k is s_before at row k; suffix max over j in (i, n-1]
-    suffix = Window.partitionBy(key).orderBy("k").rowsBetween(1, Window.unboundedFollowing)
+    # (a running maximum from the page's end, linear in the page)
+    suffix = Window.partitionBy(key).orderBy(F.desc("k")).rowsBetween(Window.unboundedPreceding, -1)
     pos = pos.withColumn("max_sj", F.max("s_before").over(suffix))
     return pos.filter(F.col("k") <= F.col("n") - 2).select(
         key, F.col("k").cast("bigint").alias("i"), (F.col("T") + F.col("max_sj") - F.col("s_before")).cast(
@@ -188,10 +189,10 @@ def classify_blocks(blk: DataFrame, key: str = "page_id") -> DataFrame:
     )
     b = blk.withColumn("cf_class", cf)
     before = Window.partitionBy(key).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy(key).orderBy("block").rowsBetween(1, Window.unboundedFollowing)
+    after = Window.partitionBy(key).orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
     nonshort = F.when(F.col("cf_class") != "short", F.col("cf_class"))
     prev_ns = F.coalesce(F.last(nonshort, ignorenulls=True).over(before), F.lit("bad"))
-    next_ns = F.coalesce(F.first(nonshort, ignorenulls=True).over(after), F.lit("bad"))
+    next_ns = F.coalesce(F.last(nonshort, ignorenulls=True).over(after), F.lit("bad"))
     stage1 = F.when(
         F.col("cf_class") == "short",
         F.when((prev_ns == "good") & (next_ns == "good"), "good")
@@ -201,7 +202,7 @@ def classify_blocks(blk: DataFrame, key: str = "page_id") -> DataFrame:
     b = b.withColumn("s1", stage1)
     decided = F.when(F.col("s1").isin("good", "bad"), F.col("s1"))
     prev_d = F.coalesce(F.last(decided, ignorenulls=True).over(before), F.lit("bad"))
-    next_d = F.coalesce(F.first(decided, ignorenulls=True).over(after), F.lit("bad"))
+    next_d = F.coalesce(F.last(decided, ignorenulls=True).over(after), F.lit("bad"))
     final = F.when(F.col("s1") == "neargood", F.when((prev_d == "good") | (next_d == "good"), "good").otherwise("bad"))
     return b.withColumn("class", final.otherwise(F.col("s1"))).drop("s1")
 
@@ -213,10 +214,9 @@ def extract_page(pages: DataFrame, key: str = "page_id") -> DataFrame:
     content = good.groupBy(key).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "text"))), lambda s: s["text"]),
                      "\n").alias("content"))
-    lk = pages.select(key, "url", X.page_links("html").alias("hrefs"))
-    lk = lk.select(key, F.transform("hrefs", lambda h: X.resolve_link(h, F.col("url"))).alias("links"))
-    pub = published(pages, key)
-    return pages.select(key, "url").join(content, key, "left").join(lk, key).join(pub, key).select(
+    one = pages.select(key, "url", X.page_links("html").alias("hrefs"), X.published_at("html").alias("published_at"))
+    one = one.select(key, "url", "published_at", F.transform("hrefs", lambda h: X.resolve_link(h, F.col("url"))).alias("links"))
+    return one.join(content, key, "left").select(
         key, "url", F.coalesce("content", F.lit("")).alias("content"), "links", "published_at")
 
 

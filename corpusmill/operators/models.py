@@ -40,14 +40,16 @@ from pyspark.sql import functions as F
 from corpusmill.functions.text import VEC_TOKEN
 from corpusmill.operators import stats as ST
 
-NUM_HASH_FEATURES = 1 << 16
+#: Slots that terms are hashed to, unless a caller passes another number; ``term_slots`` shows how many terms share one.
+NUM_HASH_FEATURES = 1 << 17
 
 
-def text_stages(text: str = "text", vocab: bool = False, idf: bool = True, min_df: float = 1.0) -> list:
+def text_stages(text: str = "text", vocab: bool = False, idf: bool = True, min_df: float = 1.0,
+                n_features: int = NUM_HASH_FEATURES, vocab_size: int = 1 << 24) -> list:
     """Tokenise (vectoriser pattern, lower-case) -> stop words -> counts -> IDF -> L2.
 
-    ``vocab=True`` uses CountVectorizer (vocabulary fitted and held by the model);
-    the default hashes terms so nothing vocabulary-sized reaches the driver.
+    ``vocab=True`` uses CountVectorizer (at most ``vocab_size`` terms, fitted and held by the model);
+    the default hashes terms to ``n_features`` slots, so nothing vocabulary-sized reaches the driver.
     """
     stages = [
         RegexTokenizer(inputCol=text, outputCol="_tok", pattern=VEC_TOKEN, gaps=False, toLowercase=True),
@@ -55,9 +57,9 @@ def text_stages(text: str = "text", vocab: bool = False, idf: bool = True, min_d
     ]
     tf_out = "_tf"
     if vocab:
-        stages.append(CountVectorizer(inputCol="_terms", outputCol=tf_out, minDF=min_df))
+        stages.append(CountVectorizer(inputCol="_terms", outputCol=tf_out, minDF=min_df, vocabSize=vocab_size))
     else:
-        stages.append(HashingTF(inputCol="_terms", outputCol=tf_out, numFeatures=NUM_HASH_FEATURES))
+        stages.append(HashingTF(inputCol="_terms", outputCol=tf_out, numFeatures=n_features))
     if idf:
         stages += [IDF(inputCol=tf_out, outputCol="_tfidf"), Normalizer(inputCol="_tfidf", outputCol="features", p=2.0)]
     else:
@@ -65,6 +67,21 @@ def text_stages(text: str = "text", vocab: bool = False, idf: bool = True, min_d
     return stages
 
 
+def term_slots(docs: DataFrame, text: str = "text", n_features: int = NUM_HASH_FEATURES) -> DataFrame:
+    """Distinct terms, slots in use and terms that share a slot under the hashing of ``text_stages``."""
+    pre = Pipeline(stages=text_stages(text, idf=False, n_features=n_features)[:2]).fit(docs).transform(docs)
+    terms = pre.select(F.explode("_terms").alias("t")).distinct().select(F.array("t").alias("_terms"))
+    slots = HashingTF(inputCol="_terms", outputCol="_tf", numFeatures=n_features).transform(terms)
+    per = slots.groupBy("_tf").agg(F.count(F.lit(1)).alias("n"))
+    return per.agg(F.sum("n").alias("terms"), F.count(F.lit(1)).alias("slots"),
+                   F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("shared"))
+
+
+def class_names(df: DataFrame, label: str = "label") -> list[str]:
+    """The class names of an indexed label column, in the order of its indices (column metadata)."""
+    return list(df.schema[label].metadata["ml_attr"]["vals"])
+
+
 def classifier(kind: str, label: str = "label", **kw):
     """M4-M12 estimators by name."""
     common = dict(featuresCol="features", labelCol=label)

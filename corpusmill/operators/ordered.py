@@ -1,6 +1,5 @@
 """Ordered-sequence operators: dense ids, block splits, gaps, as-of lookups,
-sorted merge, primes and the multiplication-table count (W1-W8, P12, P13,
-J7-J9, O6, S16, S18, N1-N4).
+sorted merge and paired loads (W1-W8, P12, P13, J7-J9, O6, N2-N4).
 
 Global order without a single-partition window: the frame is range-partitioned
 on the order key, sorted inside each partition and checkpointed (so the counts
@@ -10,11 +9,10 @@ ever ordered globally.
 """
 from __future__ import annotations
 
-import math
 from typing import Iterator, Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,12 +23,6 @@ _LOCAL = "__local"
 _POS_BITS = 33  # monotonically_increasing_id keeps the position in the low 33 bits
 
 
-def _parts(df: DataFrame, parts: int | None) -> int:
-    if parts:
-        return parts
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _order_cols(order: Sequence) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
@@ -43,8 +35,9 @@ def sorted_partitions(df: DataFrame, order: Sequence, parts: int | None = None)
     partition i+1.
     """
     cols = _order_cols(order)
-    ranged = df.repartitionByRange(_parts(df, parts), *cols).sortWithinPartitions(*cols)
-    ranged = cut_lineage(ranged)
+    # without a fixed number AQE fits the partitions to the data
+    ranged = df.repartitionByRange(parts, *cols) if parts else df.repartitionByRange(*cols)
+    ranged = cut_lineage(ranged.sortWithinPartitions(*cols))
     mid = F.monotonically_increasing_id()
     return ranged.withColumn(_PID, F.shiftright(mid, _POS_BITS)).withColumn(
         _LOCAL, mid.bitwiseAND(F.lit((1 << _POS_BITS) - 1))
@@ -113,7 +106,9 @@ def asof_index(left: DataFrame, right: DataFrame, on: str, direction: str = "flo
 
     Right values are pre-counted per distinct value and left values are
     de-duplicated before the global prefix count, so a hot value is one row.
+    A left row with a null key stays, with a null index; null right keys count as no row.
     """
+    right = right.filter(F.col(on).isNotNull())
     if direction not in ("floor", "ceil"):
         raise ValueError("direction must be 'floor' or 'ceil'")
     right_tag, left_tag = (0, 1) if direction == "floor" else (1, 0)
@@ -129,14 +124,17 @@ def asof_index(left: DataFrame, right: DataFrame, on: str, direction: str = "flo
         n_right = right.select(F.count(F.lit(1))).scalar()
         idx = F.when(F.col("__cum") < n_right, F.col("__cum")).cast("bigint")
     found = cum.select(F.col("__v").alias(on), idx.alias(out))
-    return left.join(found, on)
+    return left.join(found, on, "left")
 
 
 # --------------------------------------------------------------------------- O6 / W8 / P12 / P13
 def merge_sorted(a: DataFrame, b: DataFrame, value: str = "v") -> DataFrame:
-    """One sorted multiset from two sequences: (pos, v), duplicates kept."""
+    """One sorted multiset from two sequences: (pos, v), duplicates kept.
+
+    Equal values are ordered by a running id, so that a hot value is spread over several ranges."""
     both = a.select(F.col(value).alias("v")).unionAll(b.select(F.col(value).alias("v")))
-    return dense_id(both, ["v"], out="pos").select("pos", "v")
+    both = both.withColumn("__t", F.monotonically_increasing_id())
+    return dense_id(both, ["v", "__t"], out="pos").select("pos", "v")
 
 
 def block_of(pos: Column, n: Column, p: int) -> Column:
@@ -157,7 +155,7 @@ def block_split(df: DataFrame, order: Sequence, p: int, out: str = "block") -> D
 
 def balanced_bucket(i: Column, n: Column, p: int) -> Column:
     """Pair row k with row n-k+1 so heavy and light rows share a bucket."""
-    return (F.least(i, n + 1 - i) % F.lit(p)).cast("bigint")
+    return (F.least(i, n + F.lit(1) - i) % F.lit(p)).cast("bigint")
 
 
 # --------------------------------------------------------------------------- W1 / W2
@@ -167,95 +165,30 @@ def gap_per_key(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     return df.withColumn("gap", F.col(value) - F.lag(value).over(w))
 
 
-def _better(a, b):
-    """(gap, left, right) tuples; the larger gap wins, ties go to the smaller left."""
-    if a is None or a[0] is None or a[0] != a[0]:
-        return b
-    if b is None or b[0] is None or b[0] != b[0]:
-        return a
-    return b if (b[0] > a[0] or (b[0] == a[0] and b[1] < a[1])) else a
-
-
-def _gap_summaries(by: list[str], value: str):
-    """Per sorted partition: one summary row per key run (first, last, n, gap,
-    left, right), computed per batch with numpy; a run crossing a batch border is
-    carried and merged, so the output has one row per (partition, key)."""
-    import pandas as pd
-
-    def run(batches):
-        carry = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pdf = pdf.reset_index(drop=True)
-            v = pdf[value]
-            chg = (pdf[by] != pdf[by].shift()).any(axis=1).to_numpy() if by else np.zeros(len(pdf), dtype=bool)
-            chg[0] = True
-            starts = np.flatnonzero(chg)
-            ends = np.append(starts[1:], len(pdf)) - 1
-            gid = np.cumsum(chg) - 1
-            prev = v.shift()
-            gap = (v - prev).where(~chg)
-            g = pd.DataFrame({"gid": gid, "gap": gap, "left": prev, "right": v})
-            has = g.dropna(subset=["gap"])
-            best = has.loc[has.groupby("gid")["gap"].idxmax()].set_index("gid") if len(has) else None
-            out = pdf.loc[starts, by].reset_index(drop=True) if by else pd.DataFrame(index=range(len(starts)))
-            out["first"] = v.to_numpy()[starts]
-            out["last"] = v.to_numpy()[ends]
-            out["n"] = np.add.reduceat(pdf["__n"].to_numpy(dtype=np.int64), starts)
-            for c in ("gap", "left", "right"):
-                out[c] = best[c].reindex(range(len(starts))).to_numpy() if best is not None else np.nan
-            if carry is not None:
-                if all(carry[c] == out.at[0, c] for c in by):
-                    boundary = (out.at[0, "first"] - carry["last"], carry["last"], out.at[0, "first"])
-                    merged = _better(_better((carry["gap"], carry["left"], carry["right"]), boundary),
-                                     (out.at[0, "gap"], out.at[0, "left"], out.at[0, "right"]))
-                    out.at[0, "first"] = carry["first"]
-                    out.at[0, "n"] = carry["n"] + out.at[0, "n"]
-                    out.loc[0, ["gap", "left", "right"]] = list(merged)
-                else:
-                    yield pd.DataFrame([carry])
-            carry = out.iloc[-1].to_dict()
-            if len(out) > 1:
-                yield out.iloc[:-1]
-        if carry is not None:
-            yield pd.DataFrame([carry])
-
-    return run
-
-
 def max_gap(df: DataFrame, value: str, by: Sequence[str] | None = None, parts: int | None = None) -> DataFrame:
     """Largest gap between consecutive values in sorted order,
-    with both witnesses (ties: leftmost), globally or per key.
+    with both witnesses (ties: leftmost), globally or per key, in the column's own type.
 
     Values are first counted per distinct (key, value) (map-side combine, so a hot
-    value is one row), range-partitioned on (key, value) and summarised per sorted
-    partition in one vectorised pass; the <= p summaries per key are stitched with
-    a window. Output: keys..., gap, left, right (null gap for a single value, 0 for
-    one repeated value).
+    value is one row) and range-partitioned on (key, value); each sorted partition gives one
+    summary row per key, and the <= p summaries of a key are stitched with a window. Output:
+    keys..., gap, left, right (null gap for a single value, 0 for one repeated value). Null
+    values count as no value; null keys are a key.
     """
     by = list(by or [])
     vt = df.schema[value].dataType
-    d = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("__n"))
-    ranged = d.repartitionByRange(_parts(df, parts), *[F.col(c) for c in by + [value]]).sortWithinPartitions(
-        *by, value)
-    schema = T.StructType(
-        [df.schema[c] for c in by]
-        + [T.StructField("first", vt), T.StructField("last", vt), T.StructField("n", T.LongType())]
-        + [T.StructField("gap", vt), T.StructField("left", vt), T.StructField("right", vt)]
-    )
-    summ = ranged.mapInPandas(_gap_summaries(by, value), schema)
-    w = Window.partitionBy(*by).orderBy("first") if by else Window.partitionBy(F.lit(0)).orderBy("first")
-    prev_last = F.lag("last").over(w)
-
-    def cand(g, l, r):
-        return F.when(g.isNotNull(), F.struct(F.negative(g).alias("ng"), l.alias("l"), r.alias("r")))
-
-    per_row = summ.select(
-        *by, "first", "n",
-        F.least(cand(F.col("gap"), F.col("left"), F.col("right")),
-                cand((F.col("first") - prev_last).cast(vt), prev_last, F.col("first"))).alias("b"),
-    )
+    d = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("__n"))
+    sp = sorted_partitions(d, [*by, value], parts)
+
+    def step(left: Column, right: Column) -> Column:
+        return F.when(left.isNotNull(), F.struct(F.negative(right - left).alias("ng"), left.alias("l"), right.alias("r")))
+
+    inside = Window.partitionBy(_PID, *by).orderBy(value)
+    steps = sp.withColumn("__b", step(F.lag(value).over(inside), F.col(value)))
+    summ = steps.groupBy(_PID, *by).agg(
+        F.min("__b").alias("__b"), F.min(value).alias("first"), F.max(value).alias("last"), F.sum("__n").alias("n"))
+    w = Window.partitionBy(*by).orderBy(_PID) if by else Window.partitionBy(F.lit(0)).orderBy(_PID)
+    per_row = summ.select(*by, "first", "n", F.least("__b", step(F.lag("last").over(w), F.col("first"))).alias("b"))
     agg = per_row.groupBy(*by).agg(F.min("b").alias("b"), F.min("first").alias("first"), F.sum("n").alias("rows"))
     single_dup = F.col("b").isNull() & (F.col("rows") >= 2)
     return agg.select(
@@ -266,80 +199,15 @@ def max_gap(df: DataFrame, value: str, by: Sequence[str] | None = None, parts: i
     )
 
 
-# --------------------------------------------------------------------------- S18 / N1 / N4 / S16
-def _small_primes(limit: int) -> np.ndarray:
-    """Primes < limit by a plain sieve (driver side, only for limit <= sqrt(N)+1)."""
-    if limit <= 2:
-        return np.array([], dtype=np.int64)
-    sieve = np.ones(limit, dtype=bool)
-    sieve[:2] = False
-    for i in range(2, math.isqrt(limit - 1) + 1):
-        if sieve[i]:
-            sieve[i * i::i] = False
-    return np.flatnonzero(sieve).astype(np.int64)
-
+# --------------------------------------------------------------------------- N4 / P13 on table columns
+def distinct_products(df: DataFrame, a: str, b: str) -> DataFrame:
+    """N4/J9/A11/U5 on columns: rows and distinct products of two columns, by a partial distinct before the count."""
+    return df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.col(a) * F.col(b)).alias("distinct_products"))
 
-def primes(spark: SparkSession, limit: int, block: int = 1 << 20) -> DataFrame:
-    """All primes p < limit, one row each, by a segmented sieve.
 
-    Blocks of ``block`` integers are spread over tasks; each task sieves its blocks
-    with the base primes <= sqrt(limit) (broadcast: their count is bounded by
-    sqrt(limit), not by the data).
-    """
-    base = spark.sparkContext.broadcast(_small_primes(math.isqrt(max(limit - 1, 0)) + 1))
-    nblocks = max(1, -(-limit // block))
-    par = max(1, min(nblocks, spark.sparkContext.defaultParallelism * 4))
-
-    def sieve(batches):
-        import pandas as pd
-
-        bp = base.value
-        for pdf in batches:
-            out = []
-            for b in pdf["id"].to_numpy():
-                lo, hi = int(b) * block, min(limit, (int(b) + 1) * block)
-                if hi <= lo:
-                    continue
-                seg = np.ones(hi - lo, dtype=bool)
-                for p in bp:
-                    p = int(p)
-                    if p * p >= hi:
-                        break
-                    start = max(p * p, -(-lo // p) * p)
-                    seg[start - lo::p] = False
-                if lo < 2:
-                    seg[: 2 - lo] = False
-                out.append(np.flatnonzero(seg).astype(np.int64) + lo)
-            vals = np.concatenate(out) if out else np.array([], dtype=np.int64)
-            yield pd.DataFrame({"p": vals})
-
-    return spark.range(0, nblocks, 1, par).mapInPandas(sieve, "p long")
-
-
-def max_prime_gap(spark: SparkSession, limit: int) -> DataFrame:
-    """Largest gap between consecutive primes below ``limit`` with both primes (Q16: strict)."""
-    return max_gap(primes(spark, limit), "p")
-
-
-def multiplication_rows(spark: SparkSession, n: int, p: int | None = None) -> DataFrame:
-    """Rows i = 1..n of the triangle j <= i, placed by the P13 pairing key so every
-    partition gets about the same number of products."""
-    p = p or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = spark.range(1, n + 1).withColumnRenamed("id", "i")
-    return rows.repartition(p, balanced_bucket(F.col("i"), F.lit(n), p))
-
-
-def distinct_products(spark: SparkSession, n: int) -> DataFrame:
-    """Number of distinct entries of the n x n multiplication table,
-    from the triangle j <= i (explode of sequence(1, i), no self join)."""
-    pairs = multiplication_rows(spark, n).select("i", F.explode(F.sequence(F.lit(1), F.col("i"))).alias("j"))
-    prods = pairs.select((F.col("i") * F.col("j")).alias("v"))
-    return prods.agg(F.lit(n).cast("bigint").alias("n"), F.count_distinct("v").alias("distinct_products"))
-
-
-def rand_sequence(spark: SparkSession, n: int, seed: int = 42, modulus: int = 1_000_000_000) -> DataFrame:
-    """N pseudo-random integers in [0, modulus), reproducible from (seed, i)
-    in any SQL engine (md5-based)."""
-    key = F.concat(F.lit(f"{seed}:"), F.col("id").cast("string"))
-    v = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint") % F.lit(modulus)
-    return spark.range(n).select(F.col("id").alias("i"), v.alias("v"))
+def balanced_load(df: DataFrame, order: Sequence, weight: str, p: int) -> DataFrame:
+    """Rows in ``order`` paired heavy with light over p buckets: (bucket, n_rows, load)."""
+    n = df.select(F.count(F.lit(1))).scalar()
+    ided = dense_id(df, order, out="__pos")
+    return ided.groupBy(balanced_bucket(F.col("__pos") + 1, n, p).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(weight).cast("bigint").alias("load"))

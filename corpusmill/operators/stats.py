@@ -16,11 +16,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.operators.ordered import prefix_sum
+from corpusmill.session import cut_lineage, small_side
 
 EPS_KERAS = 1e-7
 
 
 # --------------------------------------------------------------------------- quantiles
+def _same_keys(by: Sequence[str]) -> Column:
+    """Null-safe equality of the keys with their copies __k0, __k1, ..."""
+    out = F.lit(True)
+    for i, k in enumerate(by):
+        out &= F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    return out
+
+
 def quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Exact quantiles per key (linear interpolation): rows (by..., q, quantile).
 
@@ -31,8 +40,8 @@ def quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence[str]
     d = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("__w"))
     c = prefix_sum(d, by + [value], "__w", "__cum").withColumn("__lo", F.col("__cum") - F.col("__w"))
     if by:
-        ks = c.groupBy(*by).agg(F.min("__lo").alias("__base"), F.sum("__w").alias("__n"))
-        c = c.join(ks, by)
+        ks = c.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(by)]).agg(F.min("__lo").alias("__base"), F.sum("__w").alias("__n"))
+        c = c.join(small_side(ks), _same_keys(by)).drop(*[f"__k{i}" for i in range(len(by))])
         base, n = F.col("__base"), F.col("__n")
     else:
         base, n = F.lit(0).cast("bigint"), d.select(F.sum("__w")).scalar()
@@ -73,8 +82,8 @@ def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> D
     by = list(by)
     x = F.col(value).cast("double")
     if by:
-        mm = df.groupBy(*by).agg(F.min(x).alias("__mn"), F.max(x).alias("__mx"))
-        j = df.join(mm, by)
+        mm = df.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(by)]).agg(F.min(x).alias("__mn"), F.max(x).alias("__mx"))
+        j = df.join(small_side(mm), _same_keys(by))
     else:  # global bounds enter as scalar subqueries
         j = df.withColumn("__mn", df.select(F.min(x)).scalar()).withColumn("__mx", df.select(F.max(x)).scalar())
     width = (F.col("__mx") - F.col("__mn")) / F.lit(bins)
@@ -91,7 +100,8 @@ def boxplot(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     by = list(by)
     qs = quantiles(df, value, [0.25, 0.5, 0.75], by)
     wide = qs.groupBy(*by).pivot("q", [0.25, 0.5, 0.75]).agg(F.first("quantile")).toDF(*by, "q1", "median", "q3")
-    j = df.select(*by, F.col(value).cast("double").alias("x")).join(wide, by)
+    keyed = small_side(wide.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(by)], "q1", "median", "q3"))
+    j = df.select(*by, F.col(value).cast("double").alias("x")).join(keyed, _same_keys(by))
     iqr = F.col("q3") - F.col("q1")
     lo_f, hi_f = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
     return j.groupBy(*by, "q1", "median", "q3").agg(
@@ -122,14 +132,18 @@ def confusion(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
 
 
 def per_class(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
-    """(label, tp, fp, fn, support) from one grouped pass."""
-    cm = confusion(df, y, p)
-    tp = cm.filter(F.col("y") == F.col("p")).select(F.col("y").alias("label"), F.col("n").alias("tp"))
-    pred = cm.groupBy(F.col("p").alias("label")).agg(F.sum("n").alias("pp"))
-    act = cm.groupBy(F.col("y").alias("label")).agg(F.sum("n").alias("support"))
-    return tp.join(pred, "label").join(act, "label").select(
-        "label", "tp", (F.col("pp") - F.col("tp")).alias("fp"), (F.col("support") - F.col("tp")).alias("fn"),
-        "support")
+    """(label, tp, fp, fn, support) from one pass over the rows: counts of (y, p), each told once as
+    truth and once as prediction. No label grid."""
+    cm = cut_lineage(df.groupBy(F.col(y).alias("y"), F.col(p).alias("p")).agg(F.count(F.lit(1)).alias("n")))
+    sides = F.array(F.struct(F.col("y").alias("label"), F.lit(1).alias("act"), F.lit(0).alias("pred")),
+                    F.struct(F.col("p").alias("label"), F.lit(0).alias("act"), F.lit(1).alias("pred")))
+    told = cm.select("n", (F.col("y") == F.col("p")).alias("hit"), F.explode(sides).alias("s")).filter(F.col("s.label").isNotNull())
+    s = told.groupBy(F.col("s.label").alias("label")).agg(
+        F.sum(F.when(F.col("hit"), F.col("n") * F.col("s.act")).otherwise(0)).cast("bigint").alias("tp"),
+        F.sum(F.col("n") * F.col("s.pred")).cast("bigint").alias("pp"),
+        F.sum(F.col("n") * F.col("s.act")).cast("bigint").alias("support"))
+    return s.select("label", "tp", (F.col("pp") - F.col("tp")).alias("fp"), (F.col("support") - F.col("tp")).alias("fn"),
+                    "support")
 
 
 def _safe_div(a: Column, b: Column) -> Column:

@@ -94,6 +94,8 @@ def index_nested(post: DataFrame, key: str = "doc_id", max_postings: int = MAX_P
     with_chunk = post.join(stats, "token").withColumn(
         "chunk", F.pmod(md5_bucket(key), F.ceil(F.col("df") / F.lit(max_postings))).cast("bigint")
     )
+    # dealt out by chunk, or the join's partitioning by token would keep a hot term's chunks in one task
+    with_chunk = with_chunk.repartition("token", "chunk")
     return with_chunk.groupBy("token", "chunk", "df", "total_tf").agg(
         F.array_join(
             F.transform(

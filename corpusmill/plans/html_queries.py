@@ -145,8 +145,8 @@ def q_vec_tokens(spark, sf):
 # X5 --------------------------------------------------------------------------------
 @register(
     "strip_accents",
-    f"SELECT doc_id, md5(translate(text, {S.q(X.ACCENTED)}, {S.q(X.UNACCENTED)})) AS text_md5, "
-    f"CAST(length(translate(text, {S.q(X.ACCENTED)}, {S.q(X.UNACCENTED)})) AS BIGINT) AS n_chars FROM documents",
+    "SELECT doc_id, md5(strip_accents(text)) AS text_md5, CAST(length(strip_accents(text)) AS BIGINT) AS n_chars "
+    "FROM documents",
 )
 def q_strip_accents(spark, sf):
     t = table(spark, sf, "documents").select("doc_id", X.strip_accents("text").alias("t"))

@@ -12,6 +12,8 @@ from corpusmill.plans.registry import register
 from corpusmill.sources.tables import table
 
 SPLIT_SQL = "('0x' || substr(md5('42:' || CAST({k} AS VARCHAR)), 1, 8))::BIGINT % 1000 < 800"
+#: Rows that each tree of the forest is fitted on (the documented bound of that fit).
+ROWS_PER_TREE = 1000.0
 EPS_COS = 0.3  # cosine threshold for the embedding neighbourhoods (eps = sqrt(1.4))
 
 
@@ -95,15 +97,14 @@ def q_dt_entropy(spark, sf):
 @register("rf")
 def q_rf(spark, sf):
     tr, te = _train_test(_lines(spark, sf))
-    n = tr.count()
-    est = M.classifier("rf", numTrees=15, impurity="gini", subsamplingRate=min(1.0, 1000.0 / max(n, 1)))
+    est = M.classifier("rf", numTrees=15, impurity="gini", subsamplingRate=min(1.0, ROWS_PER_TREE / max(tr.count(), 1)))
     return M.fit_predict(tr, te, M.tabular_stages(LINE_FEATURES), est, ["row_key", "label"])
 
 
 @register("mlp")
 def q_mlp(spark, sf):
     tr, te = _train_test(_lines(spark, sf))
-    est = M.classifier("mlp", layers=[4, 32, 16, 3], maxIter=20)
+    est = M.classifier("mlp", layers=[len(LINE_FEATURES), 32, 16, len(M.class_names(tr))], maxIter=20)
     return M.fit_predict(tr, te, M.tabular_stages(LINE_FEATURES, scale=True), est, ["row_key", "label"])
 
 
@@ -125,7 +126,7 @@ def q_svm_rbf(spark, sf):
 def q_calibrated(spark, sf):
     tr, te = _train_test(_docs_lang(spark, sf))
     model = Pipeline(stages=[*M.text_stages(), M.classifier("linear_ovr")]).fit(tr)
-    _, score = M.calibrate(model.transform(tr), "label", n_classes=4)
+    _, score = M.calibrate(model.transform(tr), "label", n_classes=len(M.class_names(tr)))
     out = score(model.transform(te))
     return out.select("doc_id", "label", "prediction", "probs", F.aggregate("probs", F.lit(0.0),
                                                                          lambda a, x: a + x).alias("prob_sum"))
@@ -143,19 +144,19 @@ def q_cv_scores(spark, sf):
 def q_score_docs(spark, sf):
     """Fit, save, reload and score; label rendered and probability of the
     predicted class picked by its index (Q15)."""
-    import tempfile
+    import uuid
 
     from pyspark.ml.feature import IndexToString
 
+    from corpusmill.session import ensure_checkpoint_dir
+
     tr, te = _train_test(_docs_lang(spark, sf))
     model = Pipeline(stages=[*M.text_stages(), M.classifier("multinomial")]).fit(tr)
-    path = f"{spark.sparkContext.getCheckpointDir()}/models/score_docs" if spark.sparkContext.getCheckpointDir() \
-        else tempfile.mkdtemp()
+    path = f"{ensure_checkpoint_dir(spark)}/models/score_docs-{uuid.uuid4().hex}"
     M.save_model(model, path)
     loaded = M.load_model(path)
-    labels = sorted(r[0] for r in tr.select("lang").distinct().collect())
     pred = loaded.transform(te)
-    pred = IndexToString(inputCol="prediction", outputCol="predicted_lang", labels=labels).transform(pred)
+    pred = IndexToString(inputCol="prediction", outputCol="predicted_lang", labels=M.class_names(tr)).transform(pred)
     from pyspark.ml.functions import vector_to_array
 
     p = vector_to_array("probability")
@@ -233,7 +234,18 @@ def q_dbscan_core(spark, sf):
     return C.core_points(emb, C.eps_pairs(emb, "vec_id", "embedding", EPS_COS), "vec_id", 5)
 
 
-@register("dbscan")
+@register(
+    "dbscan",
+    EPS_SQL.replace("WITH u AS", "WITH RECURSIVE u AS") + """, both_ AS (SELECT a, b FROM pr UNION ALL SELECT b, a FROM pr),
+    core AS (SELECT vec_id FROM embeddings LEFT JOIN (SELECT a, count(*) AS d FROM both_ GROUP BY a) g ON g.a = vec_id
+             WHERE coalesce(d, 0) + 1 >= 5),
+    ce AS (SELECT a, b FROM both_ WHERE a IN (SELECT vec_id FROM core) AND b IN (SELECT vec_id FROM core)),
+    reach(id, lab) AS (SELECT vec_id, vec_id FROM core UNION SELECT ce.b, reach.lab FROM reach JOIN ce ON ce.a = reach.id),
+    lab AS (SELECT id, min(lab) AS lab FROM reach GROUP BY id),
+    border AS (SELECT both_.a, min(lab.lab) AS bl FROM both_ JOIN lab ON lab.id = both_.b GROUP BY both_.a)
+    SELECT vec_id, CAST(coalesce(lab.lab, bl, -1) AS BIGINT) AS cluster, lab.lab IS NOT NULL AS core
+    FROM embeddings LEFT JOIN lab ON lab.id = vec_id LEFT JOIN border ON border.a = vec_id""",
+)
 def q_dbscan(spark, sf):
     return C.dbscan(table(spark, sf, "embeddings"), "vec_id", "embedding", EPS_COS, 5)
 
@@ -245,9 +257,9 @@ def q_kmeans(spark, sf):
     return out
 
 
-@register("ward")
-def q_ward(spark, sf):
-    return C.ward(table(spark, sf, "embeddings"), "vec_id", "embedding", k=10, micro=50)
+@register("bisecting")
+def q_bisecting(spark, sf):
+    return C.bisecting(table(spark, sf, "embeddings"), "vec_id", "embedding", k=10)
 
 
 @register("cluster_report")
@@ -258,8 +270,9 @@ def q_cluster_report(spark, sf):
     emb = table(spark, sf, "embeddings")
     cl, _ = C.kmeans(emb, "vec_id", "embedding", k=10, restarts=3)
     j = cut_lineage(emb.select("vec_id", "label").join(cl, "vec_id"))
-    rows = []
+    out = None
     for name, fn in (("ari", ST.ari), ("completeness", ST.completeness), ("ami", ST.ami)):
-        v = fn(j, "label", "cluster").first()[0]
-        rows.append(("kmeans", 10, name, float(v)))
-    return spark.createDataFrame(rows, "method string, k int, metric string, value double")
+        m = fn(j, "label", "cluster")
+        row = cut_lineage(m.select(F.lit("kmeans").alias("method"), F.lit(10).alias("k"), F.lit(name).alias("metric"), F.col(m.columns[0]).cast("double").alias("value")))
+        out = row if out is None else out.unionByName(row)
+    return out

@@ -1,4 +1,4 @@
-"""Ordered-sequence queries."""
+"""Ordered-sequence queries."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
@@ -10,10 +10,6 @@ from corpusmill.sources.tables import table
 EVENT_MICROS = "timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts)"
 
 
-def _count(spark, sf, name) -> int:
-    return table(spark, sf, name).count()
-
-
 def _events_us(spark, sf):
     return table(spark, sf, "events").select("user_id", F.expr(EVENT_MICROS).alias("us"))
 
@@ -47,54 +43,29 @@ def q_max_gap_per_user(spark, sf):
     return O.max_gap(_events_us(spark, sf), "us", by=["user_id"])
 
 
-# N1 ----------------------------------------------------------------------------
-PRIMES_SQL = """WITH lim AS (SELECT count(*) AS n FROM lineitem),
-    c AS (SELECT unnest(range(2, (SELECT n FROM lim))) AS p),
-    comp AS (SELECT DISTINCT i * unnest(range(i, (SELECT n FROM lim) // i + 1)) AS p
-             FROM (SELECT unnest(range(2, CAST(floor(sqrt((SELECT n FROM lim))) AS BIGINT) + 1)) AS i)),
-    pr AS (SELECT p FROM c WHERE p NOT IN (SELECT p FROM comp))"""
-
-
-@register("primes", PRIMES_SQL + " SELECT p FROM pr")
-def q_primes(spark, sf):
-    return O.primes(spark, _count(spark, sf, "lineitem"))
-
-
+# N4 / J9 / A11 / W5 / U5 on table columns ---------------------------------------
 @register(
-    "max_prime_gap",
-    PRIMES_SQL + """, g AS (SELECT lag(p) OVER (ORDER BY p) AS l, p AS r FROM pr)
-    SELECT r - l AS gap, l AS "left", r AS "right" FROM g WHERE l IS NOT NULL ORDER BY r - l DESC, l LIMIT 1""",
+    "distinct_products",
+    """SELECT count(*) AS n, count(DISTINCT CAST(l_quantity AS BIGINT) * CAST(round(l_extendedprice * 100) AS BIGINT))
+    AS distinct_products FROM lineitem""",
 )
-def q_max_prime_gap(spark, sf):
-    return O.max_prime_gap(spark, _count(spark, sf, "lineitem"))
-
-
-# N4 / J9 / A11 / W5 / U5 -------------------------------------------------------
-@register(
-    "mult_table_distinct",
-    """WITH n AS (SELECT count(*) AS n FROM supplier),
-    i AS (SELECT unnest(range(1, (SELECT n FROM n) + 1)) AS i)
-    SELECT (SELECT n FROM n) AS n, count(DISTINCT i * j) AS distinct_products
-    FROM (SELECT i, unnest(range(1, i + 1)) AS j FROM i)""",
-)
-def q_mult_table_distinct(spark, sf):
-    return O.distinct_products(spark, _count(spark, sf, "supplier"))
+def q_distinct_products(spark, sf):
+    li = table(spark, sf, "lineitem").select(
+        F.col("l_quantity").cast("bigint").alias("a"), F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("b"))
+    return O.distinct_products(li, "a", "b")
 
 
 # P13 / A17 -----------------------------------------------------------------------
 @register(
     "balanced_load",
-    """WITH n AS (SELECT count(*) AS n FROM supplier),
-    i AS (SELECT unnest(range(1, (SELECT n FROM n) + 1)) AS i)
-    SELECT CAST(least(i, (SELECT n FROM n) + 1 - i) % 8 AS BIGINT) AS bucket, count(*) AS n_rows,
-           CAST(sum(i) AS BIGINT) AS load
+    """WITH o AS (SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders),
+    i AS (SELECT cents, row_number() OVER (ORDER BY cents, o_orderkey) AS i, count(*) OVER () AS n FROM o)
+    SELECT CAST(least(i, n + 1 - i) % 8 AS BIGINT) AS bucket, count(*) AS n_rows, CAST(sum(cents) AS BIGINT) AS load
     FROM i GROUP BY 1""",
 )
 def q_balanced_load(spark, sf):
-    n = _count(spark, sf, "supplier")
-    rows = spark.range(1, n + 1).withColumnRenamed("id", "i")
-    return rows.groupBy(O.balanced_bucket(F.col("i"), F.lit(n), 8).alias("bucket")).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum("i").cast("bigint").alias("load"))
+    o = table(spark, sf, "orders").select("o_orderkey", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
+    return O.balanced_load(o, ["cents", "o_orderkey"], "cents", 8)
 
 
 # P12 / W7 ------------------------------------------------------------------------
@@ -114,11 +85,15 @@ def _asof_inputs(spark, sf):
     return a, b
 
 
+# an as-of join of its own: ranks of the distinct right values, floor and ceiling by DuckDB's ASOF JOIN
+ASOF_RANKS = """, r AS (SELECT x, count(*) AS n FROM b GROUP BY x),
+    c AS (SELECT x, CAST(sum(n) OVER (ORDER BY x) AS BIGINT) AS upto, n FROM r)"""
+
+
 @register(
     "asof_floor",
-    ASOF_BASE + """, u AS (SELECT x, 0 AS tag, 1 AS w FROM b UNION ALL SELECT DISTINCT x, 1 AS tag, 0 AS w FROM a),
-    c AS (SELECT x, tag, sum(w) OVER (ORDER BY x, tag ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM u)
-    SELECT a.o_orderkey, a.x, CAST(c.cum - 1 AS BIGINT) AS idx FROM a JOIN c ON c.x = a.x AND c.tag = 1""",
+    ASOF_BASE + ASOF_RANKS + """ SELECT a.o_orderkey, a.x, coalesce(c.upto, 0) - 1 AS idx
+    FROM a ASOF LEFT JOIN c ON a.x >= c.x""",
 )
 def q_asof_floor(spark, sf):
     a, b = _asof_inputs(spark, sf)
@@ -127,10 +102,8 @@ def q_asof_floor(spark, sf):
 
 @register(
     "asof_ceil",
-    ASOF_BASE + """, u AS (SELECT x, 1 AS tag, 1 AS w FROM b UNION ALL SELECT DISTINCT x, 0 AS tag, 0 AS w FROM a),
-    c AS (SELECT x, tag, sum(w) OVER (ORDER BY x, tag ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM u)
-    SELECT a.o_orderkey, a.x, CAST(CASE WHEN c.cum < (SELECT count(*) FROM b) THEN c.cum END AS BIGINT) AS idx
-    FROM a JOIN c ON c.x = a.x AND c.tag = 0""",
+    ASOF_BASE + ASOF_RANKS + """ SELECT a.o_orderkey, a.x, CAST(c.upto - c.n AS BIGINT) AS idx
+    FROM a ASOF LEFT JOIN c ON a.x <= c.x""",
 )
 def q_asof_ceil(spark, sf):
     a, b = _asof_inputs(spark, sf)
@@ -148,16 +121,6 @@ def q_sorted_merge(spark, sf):
     return O.merge_sorted(a.select("x"), b, "x")
 
 
-# S16 -----------------------------------------------------------------------------
-@register(
-    "range_gen",
-    """SELECT i, ('0x' || substr(md5('42:' || CAST(i AS VARCHAR)), 1, 8))::BIGINT % 1000000000 AS v
-    FROM (SELECT unnest(range(0, (SELECT count(*) FROM lineitem))) AS i)""",
-)
-def q_range_gen(spark, sf):
-    return O.rand_sequence(spark, _count(spark, sf, "lineitem"), seed=42)
-
-
 # W6 ------------------------------------------------------------------------------
 @register(
     "cumulative_hist",
@@ -165,9 +128,6 @@ def q_range_gen(spark, sf):
     FROM (SELECT CAST(l_quantity AS BIGINT) AS bucket, count(*) AS n FROM lineitem GROUP BY 1)""",
 )
 def q_cumulative_hist(spark, sf):
-    from pyspark.sql import Window
-
     counts = table(spark, sf, "lineitem").groupBy(F.col("l_quantity").cast("bigint").alias("bucket")).agg(
         F.count(F.lit(1)).alias("n"))
-    # the bucket table has one row per distinct bucket value (bounded domain)
-    return counts.withColumn("cum", F.sum("n").over(Window.orderBy("bucket")).cast("bigint"))
+    return O.prefix_sum(counts, ["bucket"], "n", "cum").select("bucket", "n", "cum")

@@ -81,7 +81,10 @@ def page_bits(h: str) -> str:
 
 
 def page_links(h: str) -> str:
-    return f"regexp_extract_all({h}, {q(X.HREF)}, 1)"
+    """Written out, not taken from the code: first the anchor tags, then the href attribute of each."""
+    tags = f"regexp_extract_all({h}, '<a\\s[^>]*')"
+    with_href = f"list_filter({tags}, lambda t: regexp_matches(t, '\\shref\\s*='))"
+    return f"list_transform({with_href}, lambda t: regexp_extract(t, '\\shref\\s*=\\s*[\"'']?([^\"''\\s>]*)', 1))"
 
 
 def url_origin(u: str) -> str:
@@ -90,7 +93,8 @@ def url_origin(u: str) -> str:
 
 def resolve_link(link: str, base: str) -> str:
     return (
-        f"CASE WHEN regexp_matches({link}, '^[a-zA-Z][a-zA-Z0-9+.-]*://') THEN {link} "
+        f"CASE WHEN regexp_matches({link}, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN {link} "
+        f"WHEN {link} = '' OR starts_with({link}, '#') THEN regexp_extract({base}, '^([^#]*)', 1) || {link} "
         f"WHEN starts_with({link}, '//') THEN regexp_extract({base}, '^([a-zA-Z][a-zA-Z0-9+.-]*:)', 1) || {link} "
         f"WHEN starts_with({link}, '/') THEN {url_origin(base)} || {link} "
         f"ELSE regexp_extract({base}, '^([^?#]*/)', 1) || {link} END"

@@ -59,23 +59,27 @@ def _quality_pred(spark, sf):
     return lab.join(docs, "doc_id")
 
 
-def _rnd(df, cols):
-    return df.select(*[F.round(c, R).alias(c) if c in cols else F.col(c) for c in df.columns])
+def _rnd(df, cols, digits=R):
+    return df.select(*[F.round(c, digits).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 LI_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 # A6 / A7 ------------------------------------------------------------------------
+#: Digits of descriptions: a mean of cents ends in a tie at six.
+D = 7
+
+
 def _describe_sql(tab: str, cols) -> str:
     parts = []
     for c in cols:
         x = f"CAST({c} AS DOUBLE)"
         parts.append(
-            f"SELECT '{c}' AS \"column\", count({c}) AS count, round(avg({x}), {R}) AS mean, "
-            f"round(stddev_samp({x}), {R}) AS std, round(min({x}), {R}) AS min, "
-            f"round(quantile_cont({x}, 0.25), {R}) AS q25, round(quantile_cont({x}, 0.5), {R}) AS q50, "
-            f"round(quantile_cont({x}, 0.75), {R}) AS q75, round(max({x}), {R}) AS max FROM {tab}")
+            f"SELECT '{c}' AS \"column\", count({c}) AS count, round(avg({x}), {D}) AS mean, "
+            f"round(stddev_samp({x}), {D}) AS std, round(min({x}), {D}) AS min, "
+            f"round(quantile_cont({x}, 0.25), {D}) AS q25, round(quantile_cont({x}, 0.5), {D}) AS q50, "
+            f"round(quantile_cont({x}, 0.75), {D}) AS q75, round(max({x}), {D}) AS max FROM {tab}")
     return " UNION ALL ".join(parts)
 
 
@@ -84,12 +88,12 @@ _DESC = ["mean", "std", "min", "q25", "q50", "q75", "max"]
 
 @register("describe_table", _describe_sql("lineitem", LI_COLS))
 def q_describe_table(spark, sf):
-    return _rnd(ST.describe(table(spark, sf, "lineitem"), LI_COLS), _DESC)
+    return _rnd(ST.describe(table(spark, sf, "lineitem"), LI_COLS), _DESC, D)
 
 
 @register("describe_column", _describe_sql("orders", ["o_totalprice"]))
 def q_describe_column(spark, sf):
-    return _rnd(ST.describe(table(spark, sf, "orders"), ["o_totalprice"]), _DESC)
+    return _rnd(ST.describe(table(spark, sf, "orders"), ["o_totalprice"]), _DESC, D)
 
 
 # A8 ----------------------------------------------------------------------------

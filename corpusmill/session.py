@@ -6,6 +6,7 @@ import tempfile
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(master: str | None = None, partitions: int = 8, app: str = "corpusmill") -> SparkSession:
@@ -20,6 +21,7 @@ def build_session(master: str | None = None, partitions: int = 8, app: str = "co
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("CORPUSMILL_DRIVER_MEMORY", "16g"))
     )
     if master:
@@ -59,6 +61,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows up to which ``small_side`` lets a side be broadcast.
+SMALL_ROWS = 10_000
+
+
+def small_side(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """``df`` materialised, and broadcast if its counted rows are within ``rows``; else an ordinary join side."""
+    df = cut_lineage(df)
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 _SHIPPED: set[str] = set()
 
 

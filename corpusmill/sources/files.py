@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.functions import text as X
+from corpusmill.session import small_side
 
 CORRUPT = "_corrupt_record"
 
@@ -72,12 +73,12 @@ def read_dir_corpus(spark: SparkSession, root: str, encoding: str = "UTF-8") ->
     from the parent folder, label id by sorted label name."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     docs = files.select(
-        "path", F.decode("content", encoding).alias("text"),
+        "path", X.decode_text("content", encoding).alias("text"),
         F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("label"))
     from corpusmill.operators.ordered import dense_id
 
     ids = dense_id(docs.select("label").distinct(), ["label"], out="label_id")
-    return docs.join(ids, "label").select("path", "text", "label", "label_id")
+    return docs.join(small_side(ids), "label").select("path", "text", "label", "label_id")
 
 
 # --------------------------------------------------------------------------- S6 / S7
@@ -202,8 +203,9 @@ def read_nested(spark: SparkSession, path: str, field: str, schema: str) -> Data
 # --------------------------------------------------------------------------- S13
 def read_images(spark: SparkSession, root: str) -> DataFrame:
     """Labelled image folders ``<root>/<label>/<file>``; class from the folder.
-    Output: path, label, height, width, channels, data (decoded by Spark's image source)."""
-    img = spark.read.format("image").option("dropInvalid", True).option("recursiveFileLookup", True).load(root)
+    Output: path, label, height, width, channels, data (decoded by Spark's image source); a file that
+    is no image stays, with height and width -1."""
+    img = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True).load(root)
     return img.select(F.col("image.origin").alias("path"),
                       F.regexp_extract("image.origin", r"([^/]+)/[^/]+$", 1).alias("label"),
                       F.col("image.height").alias("height"), F.col("image.width").alias("width"),

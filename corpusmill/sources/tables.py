@@ -9,40 +9,23 @@ TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
-# Below this size a scan is left as it is: spreading it costs more than it saves.
-SPREAD_MIN_BYTES = 1 << 20
 
-
-def _size(path: str) -> int:
-    try:
-        return os.path.getsize(path)
-    except OSError:  # remote file systems: let the partition count decide
-        return SPREAD_MIN_BYTES
-
-
-def spread(df: DataFrame, size_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """Give a scan at least one partition per core.
 
     A file written as one row group is read by one task; the row-level work that
     follows (regexes, tokenising, HTML) would then run on one core. When the scan
     has fewer partitions than the default parallelism, rows are spread
-    round-robin; a large input already has many splits and passes unchanged.
+    round-robin; a scan of many splits passes unchanged, on any file system.
     """
-    if size_bytes < SPREAD_MIN_BYTES:
-        return df
-    try:
-        par = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access (Spark Connect): leave the scan as it is
-        return df
-    return df.repartition(par) if splits < par else df
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name}")
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    return spread(spark.read.parquet(path), _size(path))
+    return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
 
 
 def read_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

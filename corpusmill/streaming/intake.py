@@ -30,20 +30,25 @@ def _page_text(html):
     return F.regexp_replace(html, "<[^>]*>", " ")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in its own file system (with or without a scheme); errors are raised."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def intake_batch(batch: DataFrame, batch_id: int, out: str) -> None:
     """One micro-batch of R1: ids continue after every earlier batch's doc map."""
     spark = batch.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     map_path = os.path.join(out, "doc_map")
     offset = 0
-    if os.path.exists(map_path) or "://" in out:
-        try:
-            offset = spark.read.parquet(map_path).filter(F.col("batch_id") < batch_id).count()
-        except Exception:  # first batch: nothing written yet
-            offset = 0
+    if _exists(spark, map_path):
+        last = spark.read.parquet(map_path).filter(F.col("batch_id") < batch_id).agg(F.max("doc_id")).first()[0]
+        offset = 0 if last is None else last + 1
     pages = batch.select("url", "html")
-    ided = dense_id(pages, ["url"], out="local_id").withColumn("doc_id", F.col("local_id") + F.lit(offset))
-    docs = ided.select("doc_id", "url", X.url_hash("url").alias("url_hash"), "html")
+    # only the URLs are ordered and numbered; the pages join their number
+    ids = dense_id(pages.select("url").distinct(), ["url"], out="local_id").withColumn("doc_id", F.col("local_id") + F.lit(offset))
+    docs = pages.join(ids, "url").select("doc_id", "url", X.url_hash("url").alias("url_hash"), "html")
     docs.select("doc_id", "url", "url_hash", F.lit(batch_id).alias("batch_id")).write.mode("overwrite").partitionBy(
         "batch_id").parquet(map_path)
     text = docs.select("doc_id", _page_text(F.col("html")).alias("text"))

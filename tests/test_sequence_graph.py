@@ -68,25 +68,44 @@ def test_merge_sorted_golden(spark):
     assert got == sorted([2, 4, 22, 26, 29, 36, 47, 68, 87, 93, 8, 9, 11, 51, 56, 64, 82, 84, 88, 97])
 
 
-def test_max_gap_partial_golden(spark):
-    r = O.max_gap(O.primes(spark, 10), "p").first()
-    assert (r.gap, r.left, r.right) == (2, 3, 5)
+def _primes(n):
+    sieve = [True] * n
+    sieve[:2] = [False, False]
+    for i in range(2, int(n**0.5) + 1):
+        if sieve[i]:
+            sieve[i * i::i] = [False] * len(sieve[i * i::i])
+    return [i for i, p in enumerate(sieve) if p]
+
+
+@pytest.mark.parametrize("n,gap,left,right", [(10, 2, 3, 5), (100, 8, 89, 97), (1000, 20, 887, 907), (10_000, 36, 9551, 9587)])
+def test_max_gap_of_primes(spark, n, gap, left, right):
+    r = O.max_gap(spark.createDataFrame([(p,) for p in _primes(n)], "p long"), "p").first()
+    assert (r.gap, r.left, r.right) == (gap, left, right)
 
 
-@pytest.mark.parametrize("n,gap,left,right", [(100, 8, 89, 97), (1000, 20, 887, 907), (10_000, 36, 9551, 9587),
-                                              (1_000_000, 114, 492113, 492227)])
-def test_max_prime_gap_goldens(spark, n, gap, left, right):
-    r = O.max_prime_gap(spark, n).first()
-    assert (r.gap, r.left, r.right) == (gap, left, right)
+@pytest.mark.parametrize("parts", [1, 4])
+def test_max_gap_beyond_double_precision(spark, parts):
+    base = 1 << 60
+    rows = [(k, base + v) for k in range(6) for v in (1, 4, 6, 6)] + [(9, base + 5), (9, None), (None, 3), (None, 8)]
+    df = spark.createDataFrame(rows, "k long, v long")
+    got = {r.k: (r.gap, r.left, r.right) for r in O.max_gap(df, "v", ["k"], parts=parts).collect()}
+    assert got == {**{k: (3, base + 1, base + 4) for k in range(6)}, 9: (None, None, None), None: (5, 3, 8)}
+    r = O.max_gap(df.filter("k is not null"), "v", parts=parts).first()
+    assert (r.gap, r.left, r.right) == (3, base + 1, base + 4)
 
 
-def test_primes_count(spark):
-    assert O.primes(spark, 100_000, block=4096).count() == 9592
+def test_asof_keeps_null_keys(spark):
+    b = spark.createDataFrame([(1,), (None,), (5,)], "x long")
+    a = spark.createDataFrame([(0, None), (1, 3)], "i long, x long")
+    assert {r.i: r.idx for r in O.asof_index(a, b, "x", "floor").collect()} == {0: None, 1: 0}
 
 
-@pytest.mark.parametrize("n,expected", [(10, 42), (100, 2906), (1000, 248083)])
-def test_distinct_products(spark, n, expected):
-    assert O.distinct_products(spark, n).first().distinct_products == expected
+def test_products_and_paired_loads(spark):
+    df = spark.createDataFrame([(i, j) for i in range(1, 11) for j in range(1, i + 1)], "i long, j long")
+    assert tuple(O.distinct_products(df, "i", "j").first()) == (55, 42)
+    rows = spark.createDataFrame([(w,) for w in range(1, 17)], "w long")
+    load = {r.bucket: (r.n_rows, r.load) for r in O.balanced_load(rows, ["w"], "w", 4).collect()}
+    assert load == {k: (4, 34) for k in range(4)}
 
 
 @pytest.mark.parametrize("parts", [1, 5, 13])
