@@ -1,19 +1,17 @@
 """Similarity joins and clustering.
 
-Exact k-nearest-neighbour and epsilon joins avoid a cross join with pivot
-filtering: every vector gets its distance to a few pivot vectors (a fixed,
-bounded set); by the triangle inequality two vectors within distance r have
-pivot distances within r of each other, so candidate pairs are produced by an
-equi-join on pivot-distance buckets (the query side spans the few buckets its
-radius covers), then filtered by every pivot bound and finally by the exact
-distance. kNN runs two such passes: a first ring gives each query an upper
-bound on its k-th distance, the second pass is exact for that radius.
+Exact nearest neighbours and epsilon neighbours compare block with block: rows are
+dealt into blocks of about ``BLOCK`` by a hash of their key, each pair of blocks is one
+task's matrix product, and only neighbours leave the task. Work is even over the tasks
+whatever the vectors look like, memory is bounded by the block, and no pair that is not a neighbour
+becomes a row. The comparisons themselves are still quadratic, as an exact answer over
+dense vectors without structure needs; the approximate way is a matter of an index.
 """
 from __future__ import annotations
 
-import math
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
@@ -21,7 +19,8 @@ from pyspark.sql import functions as F
 
 from corpusmill.session import cut_lineage
 
-N_PIVOTS = 4
+#: Rows of a block, and the least number of blocks that a side is dealt into.
+BLOCK, LEAST_BLOCKS = 2048, 4
 
 
 def _vec(c) -> Column:
@@ -65,79 +64,52 @@ def l2_normalize(v: Column) -> Column:
     return F.pandas_udf(_unit_np, "array<double>")(v)
 
 
-def pick_pivots(df: DataFrame, key: str, vec: str, n: int = N_PIVOTS) -> list[list[float]]:
-    """A few pivot vectors: the rows with the smallest md5 of the key (a bounded,
-    data-independent number of rows reaches the driver)."""
-    rows = df.select(vec).orderBy(F.md5(F.col(key).cast("string"))).limit(n).collect()
-    return [list(map(float, r[0])) for r in rows]
+def _count_blocks(df: DataFrame, block: int) -> int:
+    return max(LEAST_BLOCKS, -(-df.count() // block))
 
 
-def with_pivot_dists(df: DataFrame, vec: str, pivots: list[list[float]]) -> DataFrame:
-    """Distances to each pivot (the pivot matrix is a fixed, bounded constant)."""
-    pm = np.asarray(pivots, dtype=float)
+def _in_blocks(df: DataFrame, blocks: int, others: int, own: str, other: str) -> DataFrame:
+    """Rows (id, v) with their block ``own``, once for every block ``other``."""
+    return df.select("*", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias(own),
+                     F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other))
 
-    @F.pandas_udf("array<double>")
-    def pdist(v: pd.Series) -> pd.Series:
-        if not len(v):
-            return pd.Series([], dtype=object)
-        m = _stack(v)
-        d = np.sqrt(((m[:, None, :] - pm[None, :, :]) ** 2).sum(axis=2))
-        return pd.Series(list(d))
 
-    out = df.withColumn("__pds", pdist(_vec(vec)))
-    return out.select(*df.columns, *[F.col("__pds")[i].alias(f"__pd{i}") for i in range(len(pivots))])
-
-
-def _pivot_bound(n: int, r: Column) -> Column:
-    cond = None
-    for i in range(n):
-        c = F.abs(F.col(f"q.__pd{i}") - F.col(f"b.__pd{i}")) <= r
-        cond = c if cond is None else cond & c
-    return cond
-
-
-def _band_candidates(q: DataFrame, b: DataFrame, radius: Column, width: float, n_piv: int) -> DataFrame:
-    """Pairs (q.*, b.*) whose pivot distances all lie within ``radius`` (a column of
-    q): base rows are bucketed on pivot 0, each query explodes the buckets its
-    radius spans, and the equi-join on bucket is followed by the pivot bounds."""
-    bb = b.withColumn("__bk", F.floor(F.col("__pd0") / width).cast("bigint"))
-    lo = F.floor((F.col("__pd0") - radius) / width).cast("bigint")
-    hi = F.floor((F.col("__pd0") + radius) / width).cast("bigint")
-    qq = q.withColumn("__r", radius).withColumn("__bk", F.explode(F.sequence(lo, hi)))
-    j = qq.alias("q").join(bb.alias("b"), F.col("q.__bk") == F.col("b.__bk"))
-    return j.filter(_pivot_bound(n_piv, F.col("q.__r")))
+def _matrix(col: pa.ChunkedArray) -> np.ndarray:
+    return col.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(col), -1)
 
 
 def knn(queries: DataFrame, base: DataFrame, k: int, qkey: str = "qid", bkey: str = "bid", vec: str = "vec",
-        exclude_self: bool = False, digits: int = 9) -> DataFrame:
+        exclude_self: bool = False, digits: int = 9, block: int = BLOCK) -> DataFrame:
     """Exact k nearest neighbours (Euclidean) of every query among ``base``.
-    Ties by (rounded distance, base key). Output: qkey, rank, bkey, dist."""
-    pivots = pick_pivots(base.select(F.col(bkey).alias("__k"), vec), "__k", vec)
-    npv = len(pivots)
-    b = with_pivot_dists(base.select(F.col(bkey).alias("__id"), _vec(vec).alias("__v")), "__v", pivots)
-    q = with_pivot_dists(queries.select(F.col(qkey).alias("__id"), _vec(vec).alias("__v")), "__v", pivots)
-    stats = b.agg(F.min("__pd0").alias("mn"), F.max("__pd0").alias("mx"), F.count(F.lit(1)).alias("n")).first()
-    n_buckets = max(1, int(stats["n"]) // max(4 * k, 64))
-    width = max((float(stats["mx"]) - float(stats["mn"])) / n_buckets, 1e-9)
-    span = float(stats["mx"]) - float(stats["mn"]) + width
-
-    def ranked(pairs):
-        d = F.round(euclid(F.col("q.__v"), F.col("b.__v")), digits)
-        p = pairs.select(F.col("q.__id").alias("qid"), F.col("b.__id").alias("bid"), d.alias("dist"))
-        if exclude_self:
-            p = p.filter(F.col("qid") != F.col("bid"))
-        w = Window.partitionBy("qid").orderBy("dist", "bid")
-        return p.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-
-    # pass 1: the query's own bucket ring gives an upper bound on its k-th distance
-    first = ranked(_band_candidates(q, b, F.lit(width), width, npv))
-    bound = first.groupBy("qid").agg(F.max("dist").alias("r1"), F.count(F.lit(1)).alias("c1"))
-    q2 = q.join(bound.withColumnRenamed("qid", "__id"), "__id", "left").withColumn(
-        "__rad", F.when(F.col("c1") >= k, F.col("r1") + F.lit(10.0 ** -digits)).otherwise(F.lit(span)))
-    q2 = cut_lineage(q2)
-    final = ranked(_band_candidates(q2, b, F.col("__rad"), width, npv))
-    return final.select(F.col("qid").alias(qkey), F.col("rank").cast("bigint").alias("rank"),
-                        F.col("bid").alias(bkey), "dist")
+    Ties by (rounded distance, base key). Output: qkey, rank, bkey, dist.
+
+    Each pair of a query block and a base block gives at most k rows a query (more on ties)."""
+    q = queries.select(F.col(qkey).cast("bigint").alias("id"), _vec(vec).alias("v")).filter("id is not null and v is not null")
+    b = base.select(F.col(bkey).cast("bigint").alias("id"), _vec(vec).alias("v")).filter("id is not null and v is not null")
+    nq, nb = _count_blocks(q, block), _count_blocks(b, block)
+    q, b = _in_blocks(q, nq, nb, "qb", "bb"), _in_blocks(b, nb, nq, "bb", "qb")
+
+    def near(want: pa.Table, have: pa.Table) -> pa.Table:
+        out: list[tuple] = []
+        if want.num_rows and have.num_rows:
+            x, y, ids = _matrix(want["v"]), _matrix(have["v"]), have["id"].to_numpy()
+            sq = (x * x).sum(1)[:, None] + (y * y).sum(1)[None, :]
+            rough = sq - 2 * (x @ y.T)
+            slack = 1e-9 * np.maximum(sq, 1.0)  # above the rounding error of the product form
+            for i, name in enumerate(want["id"].to_pylist()):
+                r = np.where(ids == name, np.inf, rough[i]) if exclude_self else rough[i]
+                n = min(k, len(r)) - 1
+                near_by = np.flatnonzero(r <= np.partition(r, n)[n] + 2 * slack[i].max() + 10.0 ** (1 - digits))
+                near_by = near_by[np.isfinite(r[near_by])]
+                d = np.round(np.sqrt(((y[near_by] - x[i]) ** 2).sum(axis=1)), digits)
+                out += [(name, int(ids[j]), e) for e, j in sorted(zip(d.tolist(), near_by.tolist()), key=lambda t: (t[0], ids[t[1]]))[:k]]
+        cols = list(zip(*out)) or [(), (), ()]
+        return pa.table({"qid": pa.array(cols[0], pa.int64()), "bid": pa.array(cols[1], pa.int64()), "dist": pa.array(cols[2], pa.float64())})
+
+    found = q.groupBy("qb", "bb").cogroup(b.groupBy("qb", "bb")).applyInArrow(near, "qid bigint, bid bigint, dist double")
+    w = Window.partitionBy("qid").orderBy("dist", "bid")
+    best = found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return best.select(F.col("qid").alias(qkey), F.col("rank").cast("bigint").alias("rank"), F.col("bid").alias(bkey), "dist")
 
 
 def knn_vote(neigh: DataFrame, labels: DataFrame, qkey: str, bkey: str, label: str = "label") -> DataFrame:
@@ -148,18 +120,27 @@ def knn_vote(neigh: DataFrame, labels: DataFrame, qkey: str, bkey: str, label: s
         qkey, F.col("b.__l").alias("prediction"))
 
 
-def eps_pairs(df: DataFrame, key: str, vec: str, min_cos: float, digits: int = 6) -> DataFrame:
-    """Pairs (a < b) of L2-normalised vectors with cosine >= min_cos, i.e.
-    Euclidean distance <= sqrt(2 - 2 min_cos); exact, via pivot buckets of that width."""
-    r = math.sqrt(max(2.0 - 2.0 * min_cos, 0.0))
-    u = df.select(F.col(key).alias("__id"), l2_normalize(_vec(vec)).alias("__v"))
-    pivots = pick_pivots(u.withColumnRenamed("__id", "__k"), "__k", "__v")
-    u = with_pivot_dists(u, "__v", pivots)
-    cand = _band_candidates(u, u, F.lit(r), max(r, 1e-9), len(pivots)).filter(F.col("q.__id") < F.col("b.__id"))
-    cos = dot(F.col("q.__v"), F.col("b.__v"))
-    return cand.filter(cos >= F.lit(min_cos) - 1e-12).select(
-        F.col("q.__id").alias("a"), F.col("b.__id").alias("b"), F.round(cos, digits).alias("cos")).filter(
-        F.col("cos") >= F.lit(round(min_cos, digits)))
+def eps_pairs(df: DataFrame, key: str, vec: str, min_cos: float, digits: int = 6, block: int = BLOCK) -> DataFrame:
+    """Pairs (a < b) of vectors whose L2-normalised forms have cosine >= min_cos
+    (Euclidean distance <= sqrt(2 - 2 min_cos)); exact. Zero and null vectors have no pairs."""
+    u = df.select(F.col(key).cast("bigint").alias("id"), _vec(vec).alias("v")).filter("id is not null and v is not null")
+    n = _count_blocks(u, block)
+    own = _in_blocks(u, n, n, "own", "other")
+    sides = own.select("id", "v", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+    def near(t: pa.Table) -> pa.Table:
+        i, j = t["i"][0].as_py(), t["j"][0].as_py()
+        ids, side, x = t["id"].to_numpy(), t["own"].to_numpy(), _matrix(t["v"])
+        with np.errstate(invalid="ignore", divide="ignore"):
+            x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+        first, second = np.flatnonzero(side == i), np.flatnonzero(side == j)
+        cos = np.round(x[first] @ x[second].T, digits)
+        r, c = np.nonzero(cos >= round(min_cos, digits))
+        a, b = ids[first[r]], ids[second[c]]
+        keep = a < b if i == j else a != b
+        return pa.table({"a": np.minimum(a, b)[keep], "b": np.maximum(a, b)[keep], "cos": cos[r, c][keep]})
+
+    return sides.groupBy("i", "j").applyInArrow(near, "a bigint, b bigint, cos double")
 
 
 # --------------------------------------------------------------------------- M16
