@@ -33,7 +33,7 @@ from corpusmill.llm.shingles import mix, prefix_hashes, word_hashes
 SLOTS = 1 << 20
 PREFIXES = (4, 5)
 #: Bounds of the training sample.
-MAX_POSITIVE, MAX_UNLABELLED = 6_000, 12_000
+MAX_POSITIVE, MAX_UNLABELLED = 5_000, 10_000
 #: A feature is trained if so many toxic texts of the sample have it, and they exceed what
 #: the unlabelled texts lead to expect by so many standard deviations.
 MIN_TEXTS, SIGNAL = 4, 4.0
@@ -72,13 +72,13 @@ def fit(off_p, slots_p, off_u, slots_u, prior: float, epochs: int = 500, rate: f
     in_p, in_u = np.bincount(slots_p, minlength=SLOTS), np.bincount(slots_u, minlength=SLOTS)
     expected = in_u * (n_p / max(1, n_u))
     used = np.flatnonzero((in_p >= MIN_TEXTS) & (in_p - expected > SIGNAL * np.sqrt(expected + 1)))
-    index = np.full(SLOTS, -1, np.int64)
+    index = np.full(SLOTS, -1, np.int32)
     index[used] = np.arange(len(used))
 
     def kept(off, slots):
         i = index[slots]
         ok = i >= 0
-        return np.concatenate([[0], np.cumsum(ok)])[off], i[ok]
+        return np.concatenate([[0], np.cumsum(ok, dtype=np.int32)])[off], i[ok]
 
     off_p, x_p = kept(off_p, slots_p)
     off_u, x_u = kept(off_u, slots_u)
@@ -124,9 +124,11 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
         for batch in batches:
             for part in text_slices(batch, "text"):
                 off, slots = features(strings(part, "text"))
-                yield pa.RecordBatch.from_arrays([part.column("p"), pa.ListArray.from_arrays(off.astype(np.int32), slots)], names=["p", "slots"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("p"), pa.ListArray.from_arrays(off.astype(np.int32), slots)], names=["doc_id", "p", "slots"])
 
-    got = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("p", "text").mapInArrow(run, "p boolean, slots array<int>").limit(2 * (max_positive + max_unlabelled)).toArrow()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
+    # one row an id and side at most, however often a doc_id is repeated
+    got = rows.mapInArrow(run, "doc_id long, p boolean, slots array<int>").dropDuplicates(["doc_id", "p"]).select("p", "slots").toArrow()
 
     def side(positive: bool) -> tuple[np.ndarray, np.ndarray]:
         col = got.filter(pa.compute.equal(got["p"], positive))["slots"].combine_chunks()
@@ -138,6 +140,7 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
     p, u = side(True), side(False)
     if len(p[0]) < 2 or len(u[0]) < 2:
         return None
+    del got
     weights, bias = fit(*p, *u, prior)
     slots = np.flatnonzero(weights)
     return slots, weights[slots], bias
