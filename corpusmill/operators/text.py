@@ -194,22 +194,28 @@ def resolve_terms(words: DataFrame, vocab: DataFrame) -> DataFrame:
 
 
 def search(queries: DataFrame, post: DataFrame, doc_map: DataFrame, k: int = 3, qkey: str = "query_id",
-           text: str = "text", key: str = "doc_id", stops: DataFrame | None = None) -> DataFrame:
+           text: str = "text", key: str = "doc_id", stops: DataFrame | None = None,
+           vocab: DataFrame | None = None, merge_docs: bool = False) -> DataFrame:
     """Batch search. Query words are normalised like the index, resolved
     by J5, all postings of the resolved terms are ranked by tf desc (ties: doc id,
     then term) and the first k with a known URL are returned per query.
 
     ``row_number() <= k`` is planned with a map-side group limit, so a query that
-    hits a hot term only ships k rows per map partition.
+    hits a hot term only ships k rows per map partition. ``vocab`` is a stored ``vocabulary``
+    (else it is counted from the postings). ``merge_docs`` gives each document one hit: its tf
+    summed over the query's terms, the terms joined by a space.
     """
     words = tokenize(queries, text=text, key=qkey, stops=stops).select(qkey, F.col("token").alias("word")).distinct()
-    resolved = resolve_terms(words, vocabulary(post))
+    resolved = resolve_terms(words, vocabulary(post) if vocab is None else vocab)
     hits = (
         words.join(resolved, "word")
         .select(qkey, "term").distinct()
         .join(post.select(F.col("token").alias("term"), key, "tf"), "term")
-        .join(doc_map.select(key, "url"), key)
     )
+    if merge_docs:
+        hits = hits.groupBy(qkey, key).agg(  # at most a query's own terms
+            F.sum("tf").cast("bigint").alias("tf"), F.array_join(F.sort_array(F.collect_list("term")), " ").alias("term"))
+    hits = hits.join(doc_map.select(key, "url"), key)
     w = Window.partitionBy(qkey).orderBy(F.col("tf").desc(), F.col(key).asc(), F.col("term").asc())
     return (
         hits.withColumn("rank", F.row_number().over(w))

@@ -219,9 +219,7 @@ def page_postings(docs):
     return TX.postings(TX.tokenize(text, stops=TX.stop_words_df(docs.sparkSession)))
 
 
-@register(
-    "search_top3",
-    f"""WITH d AS ({PAGE_DOCS}), post AS ({PAGE_POSTINGS}),
+SEARCH_HITS = f"""WITH d AS ({PAGE_DOCS}), post AS ({PAGE_POSTINGS}),
     v AS (SELECT DISTINCT token AS term, {S.soundex('token')} AS soundex FROM post),
     bc AS (SELECT soundex, min(term) AS sx_term FROM v GROUP BY soundex),
     qw AS (SELECT DISTINCT item_id AS query_id, word FROM (SELECT item_id, unnest({S.tokens('text')}) AS word
@@ -230,10 +228,12 @@ def page_postings(docs):
            LEFT JOIN v ON v.term = qw.word LEFT JOIN bc ON bc.soundex = {S.soundex('qw.word')}
            WHERE coalesce(v.term, bc.sx_term) IS NOT NULL),
     hits AS (SELECT rw.query_id, rw.term, post.doc_id, post.tf, d.url FROM rw JOIN post ON post.token = rw.term
-             JOIN d ON d.doc_id = post.doc_id),
-    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY tf DESC, doc_id, term) AS rank FROM hits)
-    SELECT query_id, CAST(rank AS BIGINT) AS rank, doc_id, url, term, tf FROM r WHERE rank <= 3""",
-)
+             JOIN d ON d.doc_id = post.doc_id),"""
+SEARCH_TOP = """ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY tf DESC, doc_id, term) AS rank FROM hits)
+    SELECT query_id, CAST(rank AS BIGINT) AS rank, doc_id, url, term, tf FROM r WHERE rank <= 3"""
+
+
+@register("search_top3", SEARCH_HITS + SEARCH_TOP)
 def q_search_top3(spark, sf):
     docs = page_doc_map(spark, sf)
     post = page_postings(docs)
@@ -241,6 +241,38 @@ def q_search_top3(spark, sf):
     return TX.search(queries, post, docs.select("doc_id", "url"), k=3, stops=_stops(spark))
 
 
+def _stored_search(spark, sf, **options):
+    """Build the index once into the shared folder, then search what is stored."""
+    import uuid
+
+    from corpusmill.session import ensure_checkpoint_dir
+    from corpusmill.sources.files import load_search_index, store_search_index
+
+    path = f"{ensure_checkpoint_dir(spark)}/search-index-{uuid.uuid4().hex}"
+    pages = read_pages(spark, sf).select("url", "html")
+    ids = dense_id(pages.select("url").distinct(), ["url"], out="doc_id")
+    store_search_index(page_postings(pages.join(ids, "url")), ids, path)
+    post, vocab, doc_map = load_search_index(spark, path)
+    queries = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    return TX.search(queries, post, doc_map, k=3, stops=_stops(spark), vocab=vocab, **options)
+
+
+@register("search_stored", SEARCH_HITS + SEARCH_TOP)
+def q_search_stored(spark, sf):
+    return _stored_search(spark, sf)
+
+
+@register(
+    "search_merged",
+    SEARCH_HITS + """ m AS (SELECT query_id, doc_id, url, CAST(sum(tf) AS BIGINT) AS tf, string_agg(term, ' ' ORDER BY term) AS term
+          FROM hits GROUP BY query_id, doc_id, url),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY tf DESC, doc_id, term) AS rank FROM m)
+    SELECT query_id, CAST(rank AS BIGINT) AS rank, doc_id, url, term, tf FROM r WHERE rank <= 3""",
+)
+def q_search_merged(spark, sf):
+    return _stored_search(spark, sf, merge_docs=True)
+
+
 # X13 / T1 (stem=True) ------------------------------------------------------------
 @register("stem_counts")
 def q_stem_counts(spark, sf):
@@ -294,7 +326,14 @@ def q_sentiment(spark, sf):
 
 
 # X22 ------------------------------------------------------------------------------
-@register("doc_term_map")
+@register(
+    "doc_term_map",
+    f"""SELECT doc_id, count(*) AS n_terms, md5(string_agg(token || ':' || CAST(tf AS VARCHAR), ' ' ORDER BY token)) AS terms_md5
+    FROM (SELECT doc_id, token, count(*) AS tf FROM ({DOC_TOKENS}) GROUP BY doc_id, token) GROUP BY doc_id""",
+)
 def q_doc_term_map(spark, sf):
+    """The map's size and a digest of its entries in token order (maps have none of their own)."""
     m = TX.doc_term_map(TX.postings(TX.tokenize(_docs(spark, sf))))
-    return m.select("doc_id", F.size("terms").cast("bigint").alias("n_terms"), "terms")
+    entries = F.array_sort(F.transform(F.map_entries("terms"), lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v"))))
+    line = F.array_join(F.transform(entries, lambda e: F.concat(e["k"], F.lit(":"), e["v"].cast("string"))), " ")
+    return m.select("doc_id", F.size("terms").cast("bigint").alias("n_terms"), F.md5(line).alias("terms_md5"))

@@ -163,6 +163,21 @@ def write_index(post: DataFrame, path: str, fmt: str = "parquet", parts: int | N
         raise ValueError(fmt)
 
 
+def store_search_index(post: DataFrame, doc_map: DataFrame, path: str) -> None:
+    """All that a search needs, once: postings sorted by token, the vocabulary with soundex
+    codes and document frequencies, and the doc map."""
+    from corpusmill.operators.text import vocabulary
+
+    write_index(post, f"{path}/postings")
+    vocabulary(read_index(post.sparkSession, f"{path}/postings")).write.mode("overwrite").parquet(f"{path}/vocabulary")
+    doc_map.select("doc_id", "url").write.mode("overwrite").parquet(f"{path}/doc_map")
+
+
+def load_search_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(postings, vocabulary, doc map) of a stored index."""
+    return tuple(spark.read.parquet(f"{path}/{part}") for part in ("postings", "vocabulary", "doc_map"))
+
+
 def read_index(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Back to flat (token, doc_id, tf)."""
     if fmt == "parquet":
