@@ -64,7 +64,18 @@ def q_pagerank_lookup(spark, sf):
     return G.lookup(r, ids).select("node", F.round("pr", PR_DIGITS).alias("pr"))
 
 
-@register("bipartite_rank")
+def _bipartite_sql(iters: int) -> str:
+    ctes = ["l AS (SELECT DISTINCT 'L:' || CAST(l_suppkey AS VARCHAR) AS a, 'R:' || CAST(l_partkey AS VARCHAR) AS b FROM lineitem)",
+            "e AS (SELECT a AS src, b AS dst FROM l UNION ALL SELECT b, a FROM l)",
+            "o AS (SELECT src, count(*) AS out FROM e GROUP BY src)",
+            "r0 AS (SELECT src AS node, 1.0e0 / (SELECT count(*) FROM o) AS pr FROM o)"]
+    for k in range(1, iters + 1):
+        ctes.append(f"r{k} AS MATERIALIZED (SELECT e.dst AS node, sum(r.pr / o.out) AS pr FROM e JOIN o USING (src) "
+                    f"JOIN r{k - 1} r ON r.node = e.src GROUP BY e.dst)")
+    return "WITH " + ",\n".join(ctes) + f"\nSELECT node, round(pr, {PR_DIGITS}) AS pr FROM r{iters}"
+
+
+@register("bipartite_rank", _bipartite_sql(20))
 def q_bipartite_rank(spark, sf):
     pairs = table(spark, sf, "lineitem").select("l_suppkey", "l_partkey")
     return G.bipartite_rank(pairs, "l_suppkey", "l_partkey", iters=20).select(

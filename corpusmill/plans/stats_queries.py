@@ -273,7 +273,18 @@ def q_completeness(spark, sf):
     return _rnd(ST.completeness(table(spark, sf, "documents"), "lang", "source"), ["completeness"])
 
 
-@register("ami")
+@register(
+    "ami",
+    _CT + f""", mi AS (SELECT sum(ct.n / tot.n * (ln(ct.n * tot.n) - ln(ra.m * cb.m))) AS mi
+                 FROM ct JOIN ra USING (a) JOIN cb USING (b), tot),
+    h AS (SELECT (SELECT -sum(m / tot.n * ln(m / tot.n)) FROM ra, tot) AS ha, (SELECT -sum(m / tot.n * ln(m / tot.n)) FROM cb, tot) AS hb),
+    cells AS (SELECT CAST(ra.m AS DOUBLE) AS x, CAST(cb.m AS DOUBLE) AS y, CAST(tot.n AS DOUBLE) AS t,
+              CAST(unnest(range(CAST(greatest(1, ra.m + cb.m - tot.n) AS BIGINT), CAST(least(ra.m, cb.m) AS BIGINT) + 1)) AS DOUBLE) AS k
+              FROM ra, cb, tot),
+    emi AS (SELECT sum(k / t * ln(t * k / (x * y)) * exp(lgamma(x + 1) + lgamma(y + 1) + lgamma(t - x + 1) + lgamma(t - y + 1)
+            - lgamma(t + 1) - lgamma(k + 1) - lgamma(x - k + 1) - lgamma(y - k + 1) - lgamma(t - x - y + k + 1))) AS emi FROM cells)
+    SELECT round(CASE WHEN (ha + hb) / 2 = emi THEN 1.0 ELSE (mi - emi) / ((ha + hb) / 2 - emi) END, {R}) AS ami FROM mi, h, emi""",
+)
 def q_ami(spark, sf):
     return _rnd(ST.ami(table(spark, sf, "documents"), "lang", "source"), ["ami"])
 
