@@ -13,9 +13,12 @@ texts. Word counts cover all lines; the counts of the ``FREQUENT`` most frequent
 are sent to the tasks (the bound of that broadcast), others rank as rarer. Any fixed order gives the same result.
 
 Hot groups. A class needs one earlier similar class to go. So classes are first compared with
-the earliest class that shares their rarest, second and third rarest word, which settles large groups of
+the earliest class that shares their rarest and second rarest word, which settles large groups of
 variants at linear cost; then every class not settled is joined with all
-classes before it over all posted words. Nothing is capped.
+classes before it over all posted words (both sides read one exchange). Nothing is capped.
+
+Texts for verification are fetched by document: a bitmap of hashed doc_ids of fixed size, 8 MB at most
+whatever the input, is broadcast to leave out most others before the join on doc_id.
 
 Defined results: null or empty text is one empty line; lines without words never go;
 rows without doc_id come first in the order; rows that repeat a doc_id are compared like
@@ -39,7 +42,9 @@ THRESHOLD = 0.75
 FREQUENT = 1 << 16
 #: A word is counted for rarity if a slice of text has it in so many lines.
 COMMON = 4
-ROUNDS = 3
+ROUNDS = 2
+#: Bits of the bitmap of wanted documents, as a power of two.
+BITMAP = 26
 
 
 def line_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
@@ -103,7 +108,7 @@ def prefixes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], threshold
             posted = n - -(-n * t.numerator // t.denominator) + 1
             place = np.arange(len(words)) - np.repeat(starts, n)
             keep = place < np.repeat(posted, n)
-            lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(posted)]).astype(np.int32), words[keep].view(np.int64))
+            lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(posted)]).astype(np.int32), (words[keep] >> np.uint64(32)).astype(np.uint32).view(np.int32))
             bits = np.bitwise_or.reduceat(np.uint64(1) << (words >> np.uint64(58)), starts)
             d1, d2 = (np.add.reduceat(mix(words ^ np.uint64(s)), starts).view(np.int64) for s in (0xA5A5, 0x5A5A5A))
             docs_of = part.column("doc_id").take(pa.array(text[has]))
@@ -114,7 +119,7 @@ def prefixes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], threshold
 
         return one
 
-    return map_slices(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "text", make, "doc_id long, line int, d1 long, d2 long, n int, bits long, prefix array<long>")
+    return map_slices(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "text", make, "doc_id long, line int, d1 long, d2 long, n int, bits long, prefix array<int>")
 
 
 def _filters(t: Fraction, a: str, b: str, posted: bool) -> Column:
@@ -131,13 +136,22 @@ def _filters(t: Fraction, a: str, b: str, posted: bool) -> Column:
     return ok
 
 
+def _wanted(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Documents (d, text) that may be among ``ids`` (d): all of those, few others, no shuffle of texts."""
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << BITMAP))
+    word = ids.select(bit("d").alias("h")).distinct().groupBy(F.shiftright("h", 6).alias("__w")).agg(F.bit_or(F.expr("shiftleft(1L, int(h % 64))")).alias("__bits"))
+    t = docs.select(F.col("doc_id").cast("long").alias("d"), "text").withColumn("h", bit("d"))
+    j = t.join(F.broadcast(word), F.shiftright("h", 6) == F.col("__w"))  # 2 ** (BITMAP - 6) rows at most
+    return j.filter(F.expr("shiftright(__bits, int(h % 64)) & 1L") == 1).select("d", "text")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, t: Fraction) -> DataFrame:
-    """The rows b of pairs (a, b: structs of d, l) whose lines are similar to those of a."""
-    ends = pairs.select(F.col("a.d").alias("d"), F.col("a.l").alias("l")).unionByName(pairs.select(F.col("b.d").alias("d"), F.col("b.l").alias("l"))).distinct()
-    per_doc = ends.groupBy("d").agg(F.collect_list("l").alias("ls"))  # at most a document's lines
-    known = docs.select(F.col("doc_id").cast("long").alias("__d"), "text").join(per_doc, F.col("__d").eqNullSafe(F.col("d")))
-    lines = known.select("d", F.explode("ls").alias("l"), "text").select("d", "l", F.get(F.split("text", "\n", -1), F.col("l")).alias("x"))
-    lines = lines.filter("x is not null")
+    """The ends (d, l) of b of the pairs (ad, al, bd, bl) whose lines are similar."""
+    ends = pairs.select(F.col("ad").alias("d"), F.col("al").alias("l")).unionByName(pairs.select(F.col("bd").alias("d"), F.col("bl").alias("l"))).distinct()
+    per_doc = stored(ends.groupBy(F.col("d").alias("e")).agg(F.collect_list("l").alias("ls")), "op5-ends")  # at most a document's lines
+    known = _wanted(docs, per_doc.select(F.col("e").alias("d"))).join(per_doc, F.col("d").eqNullSafe(F.col("e")))
+    lines = known.select("d", F.explode("ls").alias("l"), F.split("text", "\n", -1).alias("s")).select("d", "l", F.get("s", F.col("l")).alias("x"))
+    lines = stored(lines.filter("x is not null"), "op5-texts")
 
     def make():
         def one(part: pa.RecordBatch) -> pa.RecordBatch:
@@ -151,10 +165,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, t: Fraction) -> DataFrame:
 
         return one
 
-    x = lines.select(F.struct("d", "l").alias("a"), "x")
-    y = lines.select(F.struct("d", "l").alias("b"), F.col("x").alias("y"))
-    j = pairs.join(x, "a").join(y, "b").select("b.d", "b.l", "x", "y")
-    return map_slices(j, "x", make, "d long, l int").distinct()
+    x = lines.select(F.col("d").alias("xd"), F.col("l").alias("xl"), "x")
+    y = lines.select(F.col("d").alias("yd"), F.col("l").alias("yl"), F.col("x").alias("y"))
+    j = pairs.join(x, _same("ad", "al", "xd", "xl")).join(y, _same("bd", "bl", "yd", "yl"))
+    out = stored(map_slices(j.select(F.col("bd").alias("d"), F.col("bl").alias("l"), "x", "y"), "x", make, "d long, l int").distinct(), "op5-settled")
+    discard(per_doc, lines)
+    return out
 
 
 def later_matches(docs: DataFrame, threshold: float = THRESHOLD, most: int = FREQUENT, rounds: int = ROUNDS) -> DataFrame:
@@ -172,22 +188,22 @@ def later_matches(docs: DataFrame, threshold: float = THRESHOLD, most: int = FRE
             frame = frame.join(known, F.col("d").eqNullSafe(F.col("__d")) & (F.col("l") == F.col("__l")), "left_anti")
         return frame
 
-    place = F.struct("d", "l")
     for k in range(rounds):
-        open_ = left_over(classes).select(F.get("prefix", F.lit(k)).alias("w"), place.alias("me"), "n", "bits").filter("w is not null")
-        leader = open_.groupBy("w").agg(F.min(F.struct("me", "n", "bits")).alias("x"), F.count(F.lit(1)).alias("m")).filter("m > 1").select("w", "x")
-        near = open_.alias("b").join(leader, "w").select(F.col("x.me").alias("a"), F.col("b.me").alias("b"), "x", F.struct("b.n", "b.bits").alias("y"))
-        near = near.filter(F.col("a") != F.col("b")).filter(_filters(t, "x", "y", False))
-        settled.append(stored(_verified(near.select("a", "b"), docs, t), "op5-settled"))
+        open_ = left_over(classes).select(F.get("prefix", F.lit(k)).alias("w"), "d", "l", "n", "bits").filter("w is not null")
+        leader = open_.groupBy("w").agg(F.min(F.struct("d", "l", "n", "bits")).alias("a"), F.count(F.lit(1)).alias("m")).filter("m > 1").select("w", "a")
+        near = open_.alias("b").join(leader, "w").filter(_before("a", "b") & _filters(t, "a", "b", False))
+        pairs = stored(near.select(F.col("a.d").alias("ad"), F.col("a.l").alias("al"), F.col("b.d").alias("bd"), F.col("b.l").alias("bl")), "op5-pairs")
+        settled.append(_verified(pairs, docs, t))
+        discard(pairs)
 
     marked = classes.join(_union(settled), _same("d", "l", "__d", "__l"), "left") if settled else classes.withColumn("__l", F.lit(None))
     post = marked.select("d", "l", "n", "bits", F.col("__l").isNull().alias("open"), F.posexplode("prefix").alias("at", "w"))
-    post = post.select("w", place.alias("me"), "n", "bits", "open", "at")
     a, b = post.alias("a"), post.alias("b")
-    met = a.join(b, (F.col("a.w") == F.col("b.w")) & F.col("b.open") & (F.col("a.me") < F.col("b.me")) & _filters(t, "a", "b", True))
-    pairs = stored(met.select(F.col("a.me").alias("a"), F.col("b.me").alias("b")).distinct(), "op5-pairs")
-    if not pairs.isEmpty():
-        settled.append(stored(_verified(pairs, docs, t), "op5-settled"))
+    # "open" is tested beside a's column, or it would be pushed down and the two sides would need an exchange each
+    b_open = F.col("b.open") | (F.col("a.n") < 0)
+    met = a.join(b, (F.col("a.w") == F.col("b.w")) & b_open & _before("a", "b") & _filters(t, "a", "b", True))
+    pairs = stored(met.select(F.col("a.d").alias("ad"), F.col("a.l").alias("al"), F.col("b.d").alias("bd"), F.col("b.l").alias("bl")).distinct(), "op5-pairs")
+    settled.append(_verified(pairs, docs, t))
     gone = _union(settled)
     named = classes.join(gone, _same("d", "l", "__d", "__l"), "left").select("d1", "d2", "d", "l", F.col("__l").isNotNull().alias("match"))
     out = lines.select("doc_id", "line", "d1", "d2").join(named, ["d1", "d2"])
@@ -196,6 +212,13 @@ def later_matches(docs: DataFrame, threshold: float = THRESHOLD, most: int = FRE
     return out.select("doc_id", "line", F.col("d").alias("first_doc"), F.col("l").alias("first_line"), (F.col("match") | later).alias("gone"))
 
 
+def _before(a: str, b: str) -> Column:
+    """a's line comes before b's; a null doc_id is the first of all."""
+    ad, bd = F.col(f"{a}.d"), F.col(f"{b}.d")
+    earlier = F.coalesce(ad < bd, ad.isNull() & bd.isNotNull())
+    return earlier | (ad.eqNullSafe(bd) & (F.col(f"{a}.l") < F.col(f"{b}.l")))
+
+
 def _same(d: str, l: str, d2: str, l2: str) -> Column:
     return F.col(d).eqNullSafe(F.col(d2)) & (F.col(l) == F.col(l2))
 
