@@ -85,7 +85,7 @@ def test_neighbours_on_ties_and_blocks(spark):
 
 
 def test_hot_term_chunks_are_dealt_out(spark):
-    post = spark.range(200).select(F.lit("hot").alias("token"), F.col("id").alias("doc_id"), F.lit(1).cast("long").alias("tf"))
+    post = spark.range(200).select(F.when(F.col("id") >= 0, "hot").otherwise("cold").alias("token"), F.col("id").alias("doc_id"), F.lit(1).cast("long").alias("tf"))
     nested = TX.index_nested(post, max_postings=20)
     rows = nested.collect()
     assert len(rows) > 5 and sum(len(r.postings.split(",")) for r in rows) == 200
