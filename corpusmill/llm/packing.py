@@ -14,7 +14,9 @@ partition number and a running number.
 
 Ids come from a ``tokenizers`` file; words are tokenised once and remembered. The
 text is cut at ASCII white space only, which the pre-tokeniser drops, so the ids are those
-of the whole text. Strings of special tokens count as ordinary text.
+of the whole text. New words of printable ASCII and Latin-1 letters, for which lower-casing
+and splitting by the file's pattern are plain and composition changes nothing, go to the file's BPE model directly, any other word through
+the whole tokeniser. Strings of special tokens count as ordinary text.
 
 Defined results: null text or prompt counts as empty; an empty example is its end id
 alone; repeated rows are separate examples; a null id passes through; only the named
@@ -22,6 +24,7 @@ columns are read; an empty table gives an empty result.
 """
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -42,6 +45,10 @@ WORDS = 600_000
 #: Pieces a task pools; more gives the heuristic more choice and costs more time a piece.
 POOL = 1024
 _MARK = "\x01"
+#: Words that need no normaliser but lower-casing, and the file's pattern for these (fixed by that file).
+PLAIN = "^[\\x21-\\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+$"
+_LETTER = "a-z\u00df-\u00f6\u00f8-\u00ff"
+_PIECES = re.compile(f"{_MARK}|'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^{_MARK}0-9{_LETTER}]+")
 SCHEMA = "doc_id long, start long, length long, ids binary, loss_tokens long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -49,10 +56,12 @@ class WordCoder:
     """Ids of texts by a tokenizers file whose pre-tokeniser splits at and drops white space."""
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.mark = np.array(self._plain(_MARK), np.uint32)
         self._clear()
 
@@ -64,8 +73,41 @@ class WordCoder:
         self.starts, self.lengths = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
 
-    def _learn(self, words: list[str]) -> np.ndarray:
-        ids, lengths = [], []
+    def _direct(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each word) of plain words, by the model alone."""
+        pieces = _PIECES.findall(_MARK.join(words).lower())
+        index: dict[str, int] = {_MARK: 0}
+        which = np.fromiter((index.setdefault(p, len(index)) for p in pieces), np.int64, len(pieces))
+        distinct, ids, lengths = list(index)[1:], [], [np.zeros(1, np.int64)]
+        for at in range(0, len(distinct), 10_000):
+            part = distinct[at : at + 10_000]
+            got = self.model.encode(part, is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.array(got.ids, np.uint32))
+            lengths.append(np.bincount(np.array(got.word_ids, np.int64), minlength=len(part)))
+        flat, n = np.concatenate([*ids, np.zeros(0, np.uint32)]), np.concatenate(lengths)
+        starts, each = np.cumsum(n) - n, n[which]
+        ends = np.cumsum(each)
+        out = flat[np.repeat(starts[which] - ends + each, each) + np.arange(each.sum())]
+        word = np.cumsum(which == 0)
+        return out, np.bincount(word, weights=each, minlength=len(words)).astype(np.int64)
+
+    def _learn(self, words: list[str], plain: np.ndarray) -> np.ndarray:
+        """Slots of new words; ``plain`` tells which can go to the model directly."""
+        order = np.argsort(~plain, kind="stable")
+        direct = int(plain.sum())
+        words = [words[i] for i in order.tolist()]
+        ids, lengths = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        if direct:
+            got = self._direct(words[:direct])
+            ids.append(got[0])
+            lengths.append(got[1])
+        slots = self._remember(words, *self._whole(words[direct:], ids, lengths))
+        out = np.empty(len(words), np.int64)
+        out[order] = slots
+        return out
+
+    def _whole(self, words: list[str], ids: list, lengths: list) -> tuple[np.ndarray, np.ndarray]:
+        """The same, after what is in ``ids`` and ``lengths``, by the whole tokeniser."""
         odd = len(self.mark) != 1
         for at in range(0, len(words), 1000):
             part = words[at : at + 1000]
@@ -78,7 +120,9 @@ class WordCoder:
             ends = np.flatnonzero(got == self.mark[0])
             ids.append(np.delete(got, ends))
             lengths.append(np.diff(ends, prepend=-1) - 1)
-        ids, lengths = np.concatenate(ids), np.concatenate(lengths)
+        return np.concatenate(ids), np.concatenate(lengths)
+
+    def _remember(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         n, first = len(words), len(self.known)
         while first + n > len(self.starts):
             self.starts, self.lengths = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.lengths, 2 * len(self.lengths))
@@ -101,7 +145,8 @@ class WordCoder:
         slots = np.fromiter((self.known.get(w, -1) for w in names), np.int64, len(names))
         new = np.flatnonzero(slots < 0)
         if len(new):
-            slots[new] = self._learn([names[i] for i in new.tolist()])
+            plain = pc.match_substring_regex(words.dictionary.take(pa.array(new)), PLAIN).to_numpy(zero_copy_only=False)
+            slots[new] = self._learn([names[i] for i in new.tolist()], plain)
         at = slots[words.indices.to_numpy()]
         n = self.lengths[at]
         ends = np.concatenate([[0], np.cumsum(n)])
