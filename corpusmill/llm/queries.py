@@ -149,3 +149,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpusmill.llm.warc import pages_round_trip
 
     return pages_round_trip(read(spark, sf_dir, "pages"))
+
+
+@query()
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of all vectors."""
+    from corpusmill.llm.whitening import whitened
+
+    return whitened(read(spark, sf_dir, "embeddings"))
