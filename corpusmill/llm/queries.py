@@ -157,3 +157,49 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpusmill.llm.whitening import whitened
 
     return whitened(read(spark, sf_dir, "embeddings"))
+
+
+@query("""
+    WITH d AS (
+        SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+        FROM documents
+    ), w AS (
+        SELECT lang, [x FOR x IN regexp_split_to_array(piece, '[\\x20\\x09]+') IF x <> ''] AS w FROM d
+    ), p AS (
+        SELECT lang, row_number() OVER () AS id, w FROM w
+    ), e AS (
+        SELECT lang, id, unnest(w) AS w1, generate_subscripts(w, 1) AS i FROM p
+    ), v AS (
+        SELECT lang, w1, lead(w1) OVER o AS w2, lead(w1, 2) OVER o AS w3, lead(w1, 3) OVER o AS w4, lead(w1, 4) OVER o AS w5
+        FROM e WINDOW o AS (PARTITION BY id ORDER BY i)
+    ), g AS (
+        SELECT lang, k, phrase, count(*) AS f FROM (
+            SELECT lang, 1 AS k, w1 AS phrase FROM v
+            UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM v
+            UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM v
+            UNION ALL SELECT lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM v
+            UNION ALL SELECT lang, 5, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 || ' ' || w5 FROM v
+        ) WHERE phrase IS NOT NULL GROUP BY ALL
+    ), n AS (
+        SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM g WHERE k = 1 GROUP BY lang
+    ), c AS (
+        SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM g WHERE k >= 2 AND f >= 100
+    ), cut AS (
+        SELECT c.lang, c.phrase, a, j, x.f AS l, y.f AS r, n, CAST((CAST(1000 AS HUGEINT) * a * n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+        FROM c JOIN range(1, 5) t(j) ON j < c.k JOIN n ON n.lang = c.lang
+        JOIN g x ON x.lang = c.lang AND x.phrase = array_to_string(ws[1:j], ' ')
+        JOIN g y ON y.lang = c.lang AND y.phrase = array_to_string(ws[j + 1:], ' ')
+    ), best AS (
+        SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+    ), kept AS (
+        SELECT * FROM best b WHERE NOT EXISTS (
+            SELECT 1 FROM c WHERE c.lang = b.lang AND c.phrase <> b.phrase AND contains(' ' || c.phrase || ' ', ' ' || b.phrase || ' ') AND 100 * c.a >= 100 * b.a)
+    )
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+    FROM kept QUALIFY rank <= 2000""")
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first collocations of every language."""
+    from corpusmill.llm.phrases import collocations
+
+    return collocations(read(spark, sf_dir, "documents"))
