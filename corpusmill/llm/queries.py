@@ -151,6 +151,32 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages_round_trip(read(spark, sf_dir, "pages"))
 
 
+@query("""
+    WITH d AS (
+        SELECT row_number() OVER () AS r, doc_id, [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') IF x <> ''] AS w FROM documents
+    ), e AS (
+        SELECT r, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM d
+    ), v AS (
+        SELECT r, x, i, string_agg(x, ' ') OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING) AS s,
+               count(*) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING) = 35 AS whole
+        FROM e
+    ), t AS (
+        SELECT s FROM v WHERE whole GROUP BY s HAVING count(*) > 1
+    ), c AS (
+        SELECT r, x, i, bool_or(whole AND t.s IS NOT NULL) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+        FROM v LEFT JOIN t ON t.s = v.s
+    ), k AS (
+        SELECT r, count(*) FILTER (WHERE gone) AS n_removed, string_agg(x, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept FROM c GROUP BY r
+    )
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM d LEFT JOIN k ON k.r = d.r""")
+def op11_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document without the passages that repeat anywhere."""
+    from corpusmill.llm.passages import repeated_passages
+
+    return repeated_passages(read(spark, sf_dir, "documents"))
+
+
 @query()
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whitened coordinates of all vectors."""
