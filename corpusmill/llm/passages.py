@@ -4,20 +4,21 @@ Words ``[^\\x20\\x09-\\x0D]+`` of a text, unchanged; a window is ``WINDOW`` cons
 window is its run of ``GRAM`` words with the smallest hash, the leftmost of equals, so equal windows
 have equal minimisers. Consecutive windows whose minimiser stands at the same place travel as one
 super-k-mer: the packed string of their words, joined by one space, with where it came from. The minimiser is
-the bucket. There the windows of a bucket's strings are sorted, and those that have an equal neighbour repeat.
-Two windows of one super-k-mer never are equal (their minimisers stand at different offsets), so a lone string repeats nothing.
+the bucket. There equal strings, whose windows all repeat, become one, the windows of a bucket's different strings are sorted, and those
+that have an equal neighbour repeat. Two windows of one super-k-mer never are equal (their minimisers stand at
+different offsets), so a lone string repeats nothing. What a string repeats returns to the texts by its 128-bit digest.
 
 What does not need to travel stays: minimisers are counted first (8 bytes each), and a bitmap of
 fixed size (2 ** FILTER bits) tells which occur twice or more; a window whose minimiser occurs once cannot repeat.
 A full bitmap lets everything pass, the result stays the same.
 
 Hot buckets. Minimisers of more than ``max(HOT, total / 2**20)`` super-k-mers - 2 ** 20 at most, so they can be
-broadcast - hand over their windows one by one, as 128-bit digests dealt out by the digest: counted with partial aggregates
-and joined back through an exchange that AQE may split. So no task holds more of one bucket than that, and a
+broadcast - go another way: equal strings are counted with partial aggregates, and the windows of different
+strings travel one by one, as 128-bit digests dealt out by the digest. So no task holds more of one bucket than that, and a
 passage that a third of all documents share is spread over all tasks. Nothing is capped.
 
 What returns are covered word ranges (doc_id, hash of the text, from, to). Texts are
-fetched only for documents that a second bitmap of fixed size cannot rule out.
+shuffled only for documents that a second bitmap of fixed size cannot rule out.
 
 Defined results: null text counts as empty: no words, the digest of the empty string; rows of equal (doc_id, text), null doc_id included,
 repeat each other's windows and lose the same words; texts of fewer words than a window keep all; words
@@ -40,9 +41,9 @@ from corpusmill.llm.shingles import mix
 
 WINDOW = 35
 #: Words of a minimiser.
-GRAM = 5
+GRAM = 8
 #: Super-k-mers of a minimiser from which on its windows travel one by one, and how many such minimisers there can be.
-HOT, MOST_HOT = 2048, 1 << 20
+HOT, MOST_HOT = 1 << 14, 1 << 20
 #: Bits of the bitmaps, as a power of two.
 FILTER = 26
 #: Longer words are packed as a digest of fixed size.
@@ -256,29 +257,39 @@ def _buckets(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Record
         yield from held.combine_chunks().to_batches()
 
 
+_RANGES = "array<struct<a:int,b:int>>"
+
+
 def in_buckets(parts: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, h, a, b): word ranges that repeated windows cover, from super-k-mers dealt out and sorted by minimiser."""
+    """(d, ranges): what each string repeats, from super-k-mers (m, d, s) dealt out and sorted by minimiser."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _buckets(batches, SORTED // 16):
-            m = batch.column("m").to_numpy()
-            lone = np.ones(len(m), bool)
-            lone[1:] &= m[1:] != m[:-1]
-            lone[:-1] &= m[1:] != m[:-1]
-            batch = batch.filter(pa.array(~lone))
-            if not batch.num_rows:
-                continue
-            row, a, b = _ranges(*repeated_windows(batch.column("s"), window), window)
-            base = batch.column("at").to_numpy()[row]
-            ids = batch.select(["doc_id", "h"]).take(pa.array(row))
-            yield pa.RecordBatch.from_arrays([*ids.columns, pa.array((base + a).astype(np.int32)), pa.array((base + b).astype(np.int32))], names=["doc_id", "h", "a", "b"])
-
-    dealt = parts.repartition(F.col("m")).sortWithinPartitions("m")
-    return dealt.mapInArrow(run, "doc_id long, h long, a int, b int")
+            codes = batch.column("s").dictionary_encode()
+            code, first = np.unique(codes.indices.to_numpy(), return_index=True)
+            n = np.bincount(codes.indices.to_numpy())
+            m = batch.column("m").to_numpy()[first]
+            company = np.zeros(len(m), bool)
+            company[1:] |= m[1:] == m[:-1]
+            company[:-1] |= m[1:] == m[:-1]
+            lone = code[company]
+            row, a, b = _ranges(*repeated_windows(codes.dictionary.take(pa.array(lone)), window), window)
+            row, single = lone[row], n[lone[row]] == 1
+            whole = np.flatnonzero(n > 1)
+            words = pc.add(pc.count_substring(codes.dictionary.take(pa.array(whole)), " "), 1).to_numpy()
+            row, a, b = np.concatenate([row[single], whole]), np.concatenate([a[single], 0 * whole]), np.concatenate([b[single], words])
+            order = np.argsort(row, kind="stable")
+            row, start = np.unique(row[order], return_index=True)
+            cells = pa.StructArray.from_arrays([pa.array(x[order].astype(np.int32)) for x in (a, b)], names=["a", "b"])
+            lists = pa.ListArray.from_arrays(np.append(start, len(order)).astype(np.int32), cells)
+            yield pa.RecordBatch.from_arrays([batch.column("d").take(pa.array(first[row])), lists], names=["d", "ranges"])
+
+    dealt = parts.select("m", "d", "s").repartition(F.col("m")).sortWithinPartitions("m")
+    return dealt.mapInArrow(run, f"d binary, ranges {_RANGES}")
 
 
 def one_by_one(parts: DataFrame, window: int = WINDOW) -> DataFrame:
-    """As ``in_buckets``, for buckets of any size: each window is a row, counted by its 128-bit digest."""
+    """As ``in_buckets``, for buckets of any size: strings are counted first, then each window of the different ones is a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -288,13 +299,17 @@ def one_by_one(parts: DataFrame, window: int = WINDOW) -> DataFrame:
                 head = np.flatnonzero(np.append(row, -1)[np.minimum(np.arange(len(row)) + window - 1, len(row))] == row)
                 digests = [hashlib.blake2b(data[a:b], digest_size=16).digest() for a, b in zip(starts[head].tolist(), ends[head + window - 1].tolist())]
                 row = row[head]
-                at = batch.column("at").to_numpy()[row] + head - first[row]
-                ids = batch.select(["doc_id", "h"]).take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), *ids.columns, pa.array(at.astype(np.int32))], names=["d", "doc_id", "h", "a"])
+                of = batch.select(["d", "n"]).take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), *of.columns, pa.array((head - first[row]).astype(np.int32))], names=["w", "d", "n", "a"])
 
-    each = parts.mapInArrow(run, "d binary, doc_id long, h long, a int")
-    twice = each.groupBy("d").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("d")
-    return each.join(twice, "d").select("doc_id", "h", "a", (F.col("a") + window).cast("int").alias("b"))
+    strings_ = stored(parts.groupBy("d").agg(F.count(F.lit(1)).alias("n"), F.first("s").alias("s")), "op11-strings")
+    each = strings_.select("d", "n", "s").mapInArrow(run, "w binary, d binary, n long, a int")
+    twice = each.groupBy("w").agg(F.sum("n").alias("n")).filter("n > 1").select("w")
+    some = each.filter("n = 1").join(twice, "w").groupBy("d").agg(F.collect_list("a").alias("l"))  # the windows of one string
+    some = some.select("d", F.transform("l", lambda a: F.struct(a.alias("a"), (a + window).cast("int").alias("b"))).cast(_RANGES).alias("ranges"))
+    words = F.size(F.split(F.col("s").cast("string"), " "))
+    every = strings_.filter("n > 1").select("d", F.array(F.struct(F.lit(0).alias("a"), words.alias("b"))).cast(_RANGES).alias("ranges"))
+    return some.unionByName(every)
 
 
 def covered(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT) -> DataFrame:
@@ -303,13 +318,14 @@ def covered(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int =
     total = counts.agg(F.sum("n")).first()[0] or 0
     many = max(hot, total // MOST_HOT)
     parts = flagged(cut(docs, window, gram), F.col("m"), bitmap(counts.select(F.col("m").alias("key")))).filter("__hit").drop("__hit")
-    heavy = counts.filter(F.col("n") > many).select("m", F.lit(True).alias("heavy"))
-    parts = stored(parts.join(F.broadcast(heavy), "m", "left"), "op11-parts")  # total / many rows at most
+    heavy = counts.filter(F.col("n") > many).select("m", F.lit(True).alias("heavy"))  # total / many rows at most
+    parts = stored(parts.withColumn("d", F.unhex(F.md5("s"))).join(F.broadcast(heavy), "m", "left"), "op11-parts")
     found = in_buckets(parts.filter("heavy is null"), window)
     if not heavy.isEmpty():
         found = found.unionByName(one_by_one(parts.filter("heavy"), window))
-    found = found.distinct().groupBy("doc_id", "h").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))  # of one text
-    out = stored(found, "op11-ranges")
+    back = parts.select("d", "doc_id", "h", "at").join(found, "d").select("doc_id", "h", "at", F.explode("ranges").alias("r"))
+    back = back.select("doc_id", "h", (F.col("at") + F.col("r.a")).alias("a"), (F.col("at") + F.col("r.b")).alias("b")).distinct()
+    out = stored(back.groupBy("doc_id", "h").agg(F.collect_list(F.struct("a", "b")).alias("ranges")), "op11-ranges")  # of one text
     discard(counts, parts)
     return out
 
@@ -320,7 +336,7 @@ def _with_ranges(rows: DataFrame, ranges: DataFrame) -> DataFrame:
     marked = flagged(rows, key, bitmap(ranges.select(key.alias("key"))))
     named = ranges.select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"), "ranges")
     some = marked.filter("__hit").join(named, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("h") == F.col("__h")), "left").drop("__id", "__h")
-    none = marked.filter("not __hit").withColumn("ranges", F.lit(None).cast("array<struct<a:int,b:int>>"))
+    none = marked.filter("not __hit").withColumn("ranges", F.lit(None).cast(_RANGES))
     return some.unionByName(none).drop("__hit")
 
 

@@ -61,7 +61,7 @@ def rows():
     return out
 
 
-@pytest.mark.parametrize("window,gram,hot", [(8, 2, 2048), (8, 3, 2), (12, 5, 2048), (35, 5, 2048), (35, 5, 1), (3, 1, 4)])
+@pytest.mark.parametrize("window,gram,hot", [(8, 2, 2048), (8, 3, 2), (12, 5, 2048), (35, 8, 2048), (35, 5, 1), (3, 1, 4), (6, 6, 1)])
 def test_matches_brute_force(spark, rows, window, gram, hot):
     want = brute(rows, window)
     assert sum(g for _, _, g, _ in want) > 100
