@@ -11,11 +11,12 @@ is counted by the words themselves; if two of its rows share a hash, another see
 taken, so counts are exact.
 
 Windows are thinned before they are counted, without changing any count that matters: a phrase
-counted ``least`` times holds only words, and pairs of words, counted ``least`` times. So a
-window is padded from its first pair on that is rarer. Which words and pairs are frequent is
-told to the tasks by two bitmaps of fixed size (2 ** FILTER bits each, 8 MB); a false hit only leaves a longer window.
-Words, pairs and windows are summed in the task's slice of text before they are shuffled, and by Spark's partial
-aggregates, so a hot word, pair or window is a few rows a task.
+counted ``least`` times holds only words, pairs and triples of words counted ``least`` times. So a
+window is padded from its first triple on that is rarer. Which words, pairs and triples are frequent is
+told to the tasks by bitmaps of fixed size (2 ** FILTER bits each, 8 MB). Pairs and triples are counted by a 40-bit
+hash: what shares one only looks more frequent, and a false hit only leaves a longer window.
+Words, pairs, triples and windows are summed in the task's slice of text before they are shuffled, and by Spark's partial
+aggregates, so a hot one is a few rows a task.
 
 Every cut of a candidate has parts that are at least as frequent, so all counts needed are at hand.
 Scores are floor(1000 * a * n / (l * r)) in DECIMAL(38); counts up to 10 ** 17 fit.
@@ -41,6 +42,8 @@ LONGEST = 5
 LEAST = 100
 SHARE = 100
 TOP = 2000
+#: Windows are thinned by frequent runs of up to so many words.
+THINNED = 3
 #: Bits of a bitmap, as a power of two.
 FILTER = 26
 #: Bytes of text whose words are summed before they leave the task.
@@ -100,9 +103,7 @@ class Words:
         names, at = _bytes_of(langs.dictionary)
         salt = np.array([hash_of(names[a:b].tobytes(), seed) for a, b in zip(at[:-1].tolist(), at[1:].tolist())], np.uint64)
         self.langs, self.lang = langs.dictionary, langs.indices.to_numpy()[text]
-        #: ids of words; 0 is the pad
-        self.ids = mix(_hashes(self.data, self.starts, self.lengths, seed) ^ salt[self.lang]) if len(text) else np.zeros(0, np.uint64)
-        self.ids[self.ids == 0] = 1
+        self.ids = _salted(_hashes(self.data, self.starts, self.lengths, seed), salt, self.lang)
         # whether the next word follows in the same piece of the same text
         breaks = np.cumsum(kind == 2)
         self.joined = np.zeros(len(text), bool)
@@ -119,9 +120,27 @@ def hash_of(name: bytes, seed: int) -> int:
     return int(_hashes(data, np.zeros(1, np.int64), np.array([len(data)]), seed)[0])
 
 
-def pair_ids(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Hashes of pairs of ids; used in bitmaps only."""
-    return mix(a * np.uint64(0xD6E8FEB86659FD93) + b)
+def _salted(hashes: np.ndarray, salt: np.ndarray, lang: np.ndarray) -> np.ndarray:
+    """Ids of words; 0 is left for the pad."""
+    ids = mix(hashes ^ salt[lang]) if len(hashes) else np.zeros(0, np.uint64)
+    ids[ids == 0] = 1
+    return ids
+
+
+def word_ids(langs: pa.Array, words: pa.Array, seed: int) -> np.ndarray:
+    """The ids that ``Words`` gives to these words."""
+    coded = langs.dictionary_encode()
+    salt = np.array([hash_of(g.encode(), seed) for g in coded.dictionary.to_pylist()], np.uint64)
+    data, off = _bytes_of(words)
+    return _salted(_hashes(data, off[:-1], np.diff(off), seed), salt, coded.indices.to_numpy())
+
+
+def run_hashes(ids: np.ndarray, size: int) -> np.ndarray:
+    """40-bit hashes of all runs of ``size`` ids; used to thin windows only."""
+    h = ids[: len(ids) - size + 1].copy()
+    for k in range(1, size):
+        h = mix(h * np.uint64(0xD6E8FEB86659FD93) + ids[k : len(ids) - size + 1 + k])
+    return h >> np.uint64(24)
 
 
 def _signed(a: np.ndarray) -> pa.Array:
@@ -145,16 +164,20 @@ def _slices(docs: DataFrame, seed: int, one: Callable[[Words], pa.RecordBatch],
 
 
 def vocabulary(docs: DataFrame, seed: int = 0) -> DataFrame:
-    """(lang, word, id, f) of all words."""
+    """(lang, word, f, id) of all words."""
 
     def one(words: Words) -> pa.RecordBatch:
-        (ids,), at, n = _counted([words.ids])
+        _, at, n = _counted([words.ids])
         names = pa.array([words.word(i) for i in at.tolist()], pa.binary()).cast(pa.string())
         langs = words.langs.take(pa.array(words.lang[at]))
-        return pa.RecordBatch.from_arrays([langs, names, _signed(ids), pa.array(n)], names=["lang", "word", "id", "n"])
+        return pa.RecordBatch.from_arrays([langs, names, pa.array(n)], names=["lang", "word", "n"])
 
-    rows = _slices(docs, seed, one, "lang string, word string, id long, n long")
-    return rows.groupBy("lang", "word", "id").agg(F.sum("n").alias("f"))
+    def named(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, _signed(word_ids(batch.column("lang"), batch.column("word"), seed))], names=["lang", "word", "f", "id"])
+
+    rows = _slices(docs, seed, one, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("f"))
+    return rows.mapInArrow(named, "lang string, word string, f long, id long")
 
 
 def bitmap(ids: DataFrame) -> np.ndarray:
@@ -171,43 +194,50 @@ def _has(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return (bits[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63))) & np.uint64(1) > 0
 
 
-def _pairs(words: Words, frequent: np.ndarray) -> np.ndarray:
-    """Which words and their next ones are both frequent and stand in one piece."""
-    known = _has(frequent, words.ids)
-    out = words.joined.copy()
-    out[:-1] &= known[:-1] & known[1:]
+def _near(words: Words, maps: list[np.ndarray]) -> list[np.ndarray]:
+    """For runs of 1, 2, ... words: which of them, by where they begin, stand in one piece and may be frequent.
+
+    maps: the bitmaps of the frequent words, pairs, ...; one level more than maps is told, from its parts."""
+    out = [_has(maps[0], words.ids)]
+    for size in range(2, len(maps) + 2):
+        last = out[-1]
+        new = np.zeros_like(last)
+        new[:-1] = last[:-1] & last[1:]
+        if size == 2:
+            new &= words.joined
+        if size <= len(maps):
+            h = run_hashes(words.ids, size)
+            new[: len(h)] &= _has(maps[size - 1], h)
+        out.append(new)
     return out
 
 
-def frequent_pairs(docs: DataFrame, frequent: np.ndarray, seed: int = 0, least: int = LEAST) -> DataFrame:
-    """(id) of the pairs counted ``least`` times."""
+def frequent_runs(docs: DataFrame, maps: list[np.ndarray], seed: int = 0, least: int = LEAST) -> DataFrame:
+    """(id) of the runs, one word longer than those of the last map, whose hash is counted ``least`` times."""
+    size = len(maps) + 1
 
     def one(words: Words) -> pa.RecordBatch:
-        at = np.flatnonzero(_pairs(words, frequent))
-        (a, b), _, n = _counted([words.ids[at], words.ids[at + 1]])
-        return pa.RecordBatch.from_arrays([_signed(a), _signed(b), pa.array(n)], names=["a", "b", "n"])
-
-    pairs = _slices(docs, seed, one, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-
-    def hashed(batches):
-        for batch in batches:
-            a, b = (batch.column(c).to_numpy().view(np.uint64) for c in "ab")
-            yield pa.RecordBatch.from_arrays([_signed(pair_ids(a, b))], names=["id"])
+        h = run_hashes(words.ids, size) if len(words.ids) >= size else np.zeros(0, np.uint64)
+        (h,), _, n = _counted([h[_near(words, maps)[-1][: len(h)]]])
+        return pa.RecordBatch.from_arrays([_signed(h), pa.array(n)], names=["id", "n"])
 
-    return pairs.select("a", "b").mapInArrow(hashed, "id long")
+    return _slices(docs, seed, one, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("id")
 
 
-def windows(docs: DataFrame, frequent: np.ndarray, pairs: np.ndarray, seed: int = 0, longest: int = LONGEST) -> DataFrame:
+def windows(docs: DataFrame, maps: list[np.ndarray], seed: int = 0, longest: int = LONGEST) -> DataFrame:
     """(w1, ..., w5, n): the padded longest windows of two words or more and how often they stand in a slice."""
 
     def one(words: Words) -> pa.RecordBatch:
-        near = _pairs(words, frequent)
-        near[:-1] &= _has(pairs, pair_ids(words.ids[:-1], words.ids[1:]))
-        at = np.flatnonzero(near)
+        near = _near(words, maps[:-1])  # as told by the maps below, then by the last one itself
+        if len(words.ids) >= len(maps):
+            h = run_hashes(words.ids, len(maps))
+            near[-1][: len(h)] &= _has(maps[-1], h)
+        at = np.flatnonzero(near[1])
         lead, alive = [words.ids[at]], np.ones(len(at), bool)
         for k in range(1, longest):
-            alive = alive & near[np.minimum(at + k - 1, len(near) - 1)]  # false at the last word
-            lead.append(np.where(alive, words.ids[np.minimum(at + k, len(near) - 1)], np.uint64(0)))
+            size = min(k + 1, len(maps))  # the last run of this many words must be frequent; false where the slice ends
+            alive = alive & near[size - 1][np.minimum(at + k + 1 - size, len(words.ids) - 1)]
+            lead.append(np.where(alive, words.ids[np.minimum(at + k, len(words.ids) - 1)], np.uint64(0)))
         columns, _, n = _counted(lead)
         return pa.RecordBatch.from_arrays([*(_signed(c) for c in columns), pa.array(n)], names=[*_columns(longest), "n"])
 
@@ -262,8 +292,10 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, sh
         seed += 1
     totals = known.groupBy("lang").agg(F.sum("f").alias("n"))
     words = known.filter(F.col("f") >= least)
-    frequent = bitmap(words)
-    wins = windows(docs, frequent, bitmap(frequent_pairs(docs, frequent, seed, least)), seed, longest)
+    maps = [bitmap(words)]
+    for _ in range(2, THINNED + 1):
+        maps.append(bitmap(frequent_runs(docs, maps, seed, least)))
+    wins = windows(docs, maps, seed, longest)
     candidates = stored(prefix_counts(wins, longest, least).withColumnRenamed("f", "a"), "op13-candidates")
     best = scored(candidates, words, totals).join(inside_longer(candidates, share), "p", "left_anti")
     named = best.select("*", F.posexplode("p").alias("at", "id")).join(words.select("id", "word"), "id")
