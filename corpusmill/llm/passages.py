@@ -50,11 +50,14 @@ FILTER = 26
 LONG = 96
 #: Windows sorted at once: rows of a bucket are never parted, so more if a bucket has more.
 SORTED = 1 << 16
+#: Bytes of words that are hashed at once.
+STEP = 1 << 18
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _RNG = np.random.Generator(np.random.PCG64(50_021))
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BYTE[_SPACE] = 0
 _PLACE = _RNG.integers(1, 1 << 63, 2 * WINDOW, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 with np.errstate(over="ignore"):
     _POWER = np.cumprod(np.full(1 << 16, 0x9E3779B97F4A7C15, dtype=np.uint64))
@@ -67,33 +70,39 @@ class Words:
         wide = texts.cast(pa.large_binary())
         off = np.frombuffer(wide.buffers()[1], np.int64)[wide.offset : wide.offset + len(wide) + 1]
         raw = np.frombuffer(wide.buffers()[2] or b"", np.uint8)[off[0] : off[-1]]
-        off = off - off[0]
+        # a space after each text parts it from the next one
+        raw, off = np.insert(raw, off[1:] - off[0], 0x20), off - off[0] + np.arange(len(off))
         space = _SPACE[raw]
-        begin = ~space
-        begin[1:] &= space[:-1]
-        inner = off[:-1][off[:-1] < len(raw)]
-        begin[inner] = ~space[inner]
-        at = np.flatnonzero(begin)
-        ends = np.ones(len(raw), bool)
-        ends[:-1] = space[1:]
-        ends[off[1:][off[1:] > 0] - 1] = True
-        lengths = np.flatnonzero(ends & ~space) + 1 - at
+        before = np.ones(len(raw), bool)
+        before[1:] = space[:-1]
+        begin = np.flatnonzero(before & ~space)
+        last = space & ~before
+        lengths = np.flatnonzero(last) - begin
         #: words i of text t: first[t] <= i < first[t + 1]
-        self.first = np.searchsorted(at, off)
+        self.first = np.searchsorted(begin, off)
+        keep = last | ~space
+        self.data = raw[keep]
+        self.data[space[keep]] = 0x20
         self.starts = np.cumsum(lengths + 1) - lengths - 1
         self.ends = self.starts + lengths
-        data = np.full(int(lengths.sum()) + len(at), 0x20, np.uint8)
-        word = np.repeat(np.arange(len(at)), lengths)
-        data[np.arange(len(word)) + word] = raw[~space]
-        self.data = data
 
     def hashes(self) -> np.ndarray:
-        if not len(self.starts):
-            return np.zeros(0, np.uint64)
-        place = np.arange(len(self.data), dtype=np.int64)
-        place -= np.repeat(self.starts, np.append(self.starts[1:], len(self.data)) - self.starts)
-        part = _BYTE[self.data] * _POWER[place & 0xFFFF]
-        return mix(np.add.reduceat(part, self.starts))
+        out = np.zeros(len(self.starts), np.uint64)
+        edge = np.append(self.starts, len(self.data))
+        for i, j in word_steps(self.starts, len(self.data)):
+            at = edge[i:j]
+            place = np.arange(edge[i], edge[j]) - np.repeat(at, np.diff(edge[i : j + 1]))
+            out[i:j] = np.add.reduceat(_BYTE[self.data[edge[i] : edge[j]]] * _POWER[place & 0xFFFF], at - edge[i])
+        return mix(out)
+
+
+def word_steps(starts: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+    """Ranges (i, j) of words that together hold about ``STEP`` bytes, one word at least."""
+    i = 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(starts, starts[i] + STEP)))
+        yield i, j
+        i = j
 
 
 def _runs(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -182,7 +191,7 @@ def minimiser_counts(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
 
         return one
 
-    return map_slices(docs.select(F.col("text").cast("string").alias("text")), "text", make, "m long, n long", 4 * SORTED * 64).groupBy("m").agg(F.sum("n").alias("n"))
+    return map_slices(docs.select(F.col("text").cast("string").alias("text")), "text", make, "m long, n long").groupBy("m").agg(F.sum("n").alias("n"))
 
 
 def _bit(key: Column) -> Column:

@@ -27,6 +27,7 @@ an empty table gives an empty result; other columns are not read, whatever their
 """
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -36,6 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import discard, map_slices, stored, strings
+from corpusmill.llm.passages import word_steps
 from corpusmill.llm.shingles import mix
 
 LONGEST = 5
@@ -62,7 +64,9 @@ with np.errstate(over="ignore"):
 
 @lru_cache(4)
 def _byte_values(seed: int) -> np.ndarray:
-    return np.random.Generator(np.random.PCG64(40_013 + seed)).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    values = np.random.Generator(np.random.PCG64(40_013 + seed)).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    values[_KIND > 0] = 0
+    return values
 
 
 def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -72,14 +76,15 @@ def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, off - off[0]
 
 
-def _hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, seed: int) -> np.ndarray:
-    """64-bit hashes of data[start : start + length], each at least one byte long."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    first = np.cumsum(lengths) - lengths
-    place = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
-    part = _byte_values(seed)[data[place + np.repeat(starts, lengths)]] * _POWER[place & 0xFFFF]
-    return mix(np.add.reduceat(part, first) ^ lengths.astype(np.uint64))
+def _hashes(data: np.ndarray, starts: np.ndarray, seed: int) -> np.ndarray:
+    """64-bit hashes of the words that begin at ``starts``; bytes that separate them add nothing."""
+    values, out = _byte_values(seed), np.zeros(len(starts), np.uint64)
+    edge = np.append(starts, len(data))
+    for i, j in word_steps(starts, len(data)):
+        at = edge[i:j]
+        place = np.arange(edge[i], edge[j]) - np.repeat(at, np.diff(edge[i : j + 1]))
+        out[i:j] = np.add.reduceat(values[data[edge[i] : edge[j]]] * _POWER[place & 0xFFFF], at - edge[i])
+    return mix(out)
 
 
 class Words:
@@ -87,37 +92,32 @@ class Words:
 
     def __init__(self, batch: pa.RecordBatch, seed: int):
         raw, off = _bytes_of(strings(batch, "text"))
-        self.data = _LOWER[raw]
+        # a line feed after each text ends its last piece
+        self.data = _LOWER[np.insert(raw, off[1:], 0x0A)]
+        off = off + np.arange(len(off))
         kind = _KIND[self.data]
-        begin = np.ones(len(raw), bool)
-        begin[1:] = kind[:-1] > 0
-        begin[off[:-1][off[:-1] < len(raw)]] = True
-        end = np.ones(len(raw), bool)
-        end[:-1] = kind[1:] > 0
-        end[off[1:][off[1:] > 0] - 1] = True
-        inside = kind == 0
-        self.starts = np.flatnonzero(begin & inside)
-        self.lengths = np.flatnonzero(end & inside) + 1 - self.starts
+        apart = kind > 0
+        before = np.ones(len(apart), bool)
+        before[1:] = apart[:-1]
+        self.starts = np.flatnonzero(before & ~apart)
+        self.lengths = np.flatnonzero(apart & ~before) - self.starts
         text = np.searchsorted(off, self.starts, side="right") - 1
         langs = strings(batch, "lang").dictionary_encode()
-        names, at = _bytes_of(langs.dictionary)
-        salt = np.array([hash_of(names[a:b].tobytes(), seed) for a, b in zip(at[:-1].tolist(), at[1:].tolist())], np.uint64)
+        salt = np.array([hash_of(g, seed) for g in langs.dictionary.to_pylist()], np.uint64)
         self.langs, self.lang = langs.dictionary, langs.indices.to_numpy()[text]
-        self.ids = _salted(_hashes(self.data, self.starts, self.lengths, seed), salt, self.lang)
-        # whether the next word follows in the same piece of the same text
-        breaks = np.cumsum(kind == 2)
+        self.ids = _salted(_hashes(self.data, self.starts, seed), salt, self.lang)
+        # whether the next word follows in the same piece
+        piece = np.searchsorted(np.flatnonzero(kind == 2), self.starts)
         self.joined = np.zeros(len(text), bool)
-        if len(text):
-            self.joined[:-1] = (text[1:] == text[:-1]) & (breaks[self.starts[1:]] == breaks[self.starts[:-1]])
+        self.joined[:-1] = piece[1:] == piece[:-1]
 
     def word(self, i: int) -> bytes:
         return self.data[self.starts[i] : self.starts[i] + self.lengths[i]].tobytes()
 
 
-def hash_of(name: bytes, seed: int) -> int:
+def hash_of(name: str, seed: int) -> int:
     """A language's share of its words' ids."""
-    data = np.frombuffer(name + b"/", np.uint8)
-    return int(_hashes(data, np.zeros(1, np.int64), np.array([len(data)]), seed)[0])
+    return int.from_bytes(hashlib.blake2b(f"{seed} {name}".encode(), digest_size=8).digest())
 
 
 def _salted(hashes: np.ndarray, salt: np.ndarray, lang: np.ndarray) -> np.ndarray:
@@ -130,9 +130,9 @@ def _salted(hashes: np.ndarray, salt: np.ndarray, lang: np.ndarray) -> np.ndarra
 def word_ids(langs: pa.Array, words: pa.Array, seed: int) -> np.ndarray:
     """The ids that ``Words`` gives to these words."""
     coded = langs.dictionary_encode()
-    salt = np.array([hash_of(g.encode(), seed) for g in coded.dictionary.to_pylist()], np.uint64)
+    salt = np.array([hash_of(g, seed) for g in coded.dictionary.to_pylist()], np.uint64)
     data, off = _bytes_of(words)
-    return _salted(_hashes(data, off[:-1], np.diff(off), seed), salt, coded.indices.to_numpy())
+    return _salted(_hashes(data, off[:-1], seed), salt, coded.indices.to_numpy())
 
 
 def run_hashes(ids: np.ndarray, size: int) -> np.ndarray:
