@@ -106,6 +106,19 @@ def soundex_code(c) -> Column:
     return F.rpad(F.substring(collapsed, 1, 4), 4, "0")
 
 
+def deletions(c) -> Column:
+    """The word itself (at = -1) and what is left of it without each one character: array of (part, at, letter)."""
+    w = _col(c)
+    whole = F.struct(w.alias("part"), F.lit(-1).alias("at"), F.lit("").alias("letter"))
+
+    def without(i):
+        return F.struct(
+            F.concat(w.substr(F.lit(1), i), _tail(w, i + 2)).alias("part"), i.alias("at"), w.substr(i + 1, F.lit(1)).alias("letter"))
+
+    each = F.when(F.length(w) > 0, F.transform(F.sequence(F.lit(0), F.length(w) - 1), without))
+    return F.when(each.isNull(), F.array(whole)).otherwise(F.concat(F.array(whole), each))
+
+
 def edit1_candidates(c) -> Column:
     """X12 + U1: all strings one edit away over a-z (deletes, adjacent transposes,
     replaces, inserts), the word itself included, de-duplicated."""

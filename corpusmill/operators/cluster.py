@@ -1,28 +1,20 @@
 """Similarity joins and clustering.
 
-Exact nearest neighbours and epsilon neighbours compare block with block: rows are
-dealt into blocks of about ``BLOCK`` by a hash of their key, each pair of blocks is one
-task's matrix product, and only neighbours leave the task. Work is even over the tasks
-whatever the vectors look like, memory is bounded by the block, and no pair that is not a neighbour
-becomes a row. The comparisons themselves are still quadratic, as an exact answer over
-dense vectors without structure needs; the approximate way is a matter of an index.
+Nearest neighbours and neighbours within a distance are exact and come from the distributed ball tree of
+``operators/balltree.py``; for sparse text vectors see ``operators/sparse.py``.
 """
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusmill.operators import balltree
 from corpusmill.session import cut_lineage
 
-#: Rows of a block, and the least number of blocks that a side is dealt into.
-BLOCK, LEAST_BLOCKS = 2048, 4
-
-
 def _vec(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("array<double>")
 
@@ -64,52 +56,16 @@ def l2_normalize(v: Column) -> Column:
     return F.pandas_udf(_unit_np, "array<double>")(v)
 
 
-def _count_blocks(df: DataFrame, block: int) -> int:
-    return max(LEAST_BLOCKS, -(-df.count() // block))
-
-
-def _in_blocks(df: DataFrame, blocks: int, others: int, own: str, other: str) -> DataFrame:
-    """Rows (id, v) with their block ``own``, once for every block ``other``."""
-    return df.select("*", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias(own),
-                     F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other))
-
-
-def _matrix(col: pa.ChunkedArray) -> np.ndarray:
-    return col.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(col), -1)
+def _rows(df: DataFrame, key: str, vec: str) -> DataFrame:
+    return df.select(F.col(key).cast("bigint").alias("id"), _vec(vec).alias("v"))
 
 
 def knn(queries: DataFrame, base: DataFrame, k: int, qkey: str = "qid", bkey: str = "bid", vec: str = "vec",
-        exclude_self: bool = False, digits: int = 9, block: int = BLOCK) -> DataFrame:
-    """Exact k nearest neighbours (Euclidean) of every query among ``base``.
-    Ties by (rounded distance, base key). Output: qkey, rank, bkey, dist.
-
-    Each pair of a query block and a base block gives at most k rows a query (more on ties)."""
-    q = queries.select(F.col(qkey).cast("bigint").alias("id"), _vec(vec).alias("v")).filter("id is not null and v is not null")
-    b = base.select(F.col(bkey).cast("bigint").alias("id"), _vec(vec).alias("v")).filter("id is not null and v is not null")
-    nq, nb = _count_blocks(q, block), _count_blocks(b, block)
-    q, b = _in_blocks(q, nq, nb, "qb", "bb"), _in_blocks(b, nb, nq, "bb", "qb")
-
-    def near(want: pa.Table, have: pa.Table) -> pa.Table:
-        out: list[tuple] = []
-        if want.num_rows and have.num_rows:
-            x, y, ids = _matrix(want["v"]), _matrix(have["v"]), have["id"].to_numpy()
-            sq = (x * x).sum(1)[:, None] + (y * y).sum(1)[None, :]
-            rough = sq - 2 * (x @ y.T)
-            slack = 1e-9 * np.maximum(sq, 1.0)  # above the rounding error of the product form
-            for i, name in enumerate(want["id"].to_pylist()):
-                r = np.where(ids == name, np.inf, rough[i]) if exclude_self else rough[i]
-                n = min(k, len(r)) - 1
-                near_by = np.flatnonzero(r <= np.partition(r, n)[n] + 2 * slack[i].max() + 10.0 ** (1 - digits))
-                near_by = near_by[np.isfinite(r[near_by])]
-                d = np.round(np.sqrt(((y[near_by] - x[i]) ** 2).sum(axis=1)), digits)
-                out += [(name, int(ids[j]), e) for e, j in sorted(zip(d.tolist(), near_by.tolist()), key=lambda t: (t[0], ids[t[1]]))[:k]]
-        cols = list(zip(*out)) or [(), (), ()]
-        return pa.table({"qid": pa.array(cols[0], pa.int64()), "bid": pa.array(cols[1], pa.int64()), "dist": pa.array(cols[2], pa.float64())})
-
-    found = q.groupBy("qb", "bb").cogroup(b.groupBy("qb", "bb")).applyInArrow(near, "qid bigint, bid bigint, dist double")
-    w = Window.partitionBy("qid").orderBy("dist", "bid")
-    best = found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    return best.select(F.col("qid").alias(qkey), F.col("rank").cast("bigint").alias("rank"), F.col("bid").alias(bkey), "dist")
+        exclude_self: bool = False, digits: int = 9, leaf: int = balltree.LEAF) -> DataFrame:
+    """Exact k nearest neighbours (Euclidean) of every query among ``base``. Ties by (rounded distance, base key).
+    Output: qkey, rank, bkey, dist. Null or not finite vectors take no part; lengths that differ raise ValueError."""
+    found = balltree.nearest(_rows(queries, qkey, vec), _rows(base, bkey, vec), k, exclude_self, digits, leaf)
+    return found.select(F.col("id").alias(qkey), "rank", F.col("bid").alias(bkey), "dist")
 
 
 def knn_vote(neigh: DataFrame, labels: DataFrame, qkey: str, bkey: str, label: str = "label") -> DataFrame:
@@ -120,27 +76,11 @@ def knn_vote(neigh: DataFrame, labels: DataFrame, qkey: str, bkey: str, label: s
         qkey, F.col("b.__l").alias("prediction"))
 
 
-def eps_pairs(df: DataFrame, key: str, vec: str, min_cos: float, digits: int = 6, block: int = BLOCK) -> DataFrame:
+def eps_pairs(df: DataFrame, key: str, vec: str, min_cos: float, digits: int = 6, leaf: int = balltree.LEAF) -> DataFrame:
     """Pairs (a < b) of vectors whose L2-normalised forms have cosine >= min_cos
-    (Euclidean distance <= sqrt(2 - 2 min_cos)); exact. Zero and null vectors have no pairs."""
-    u = df.select(F.col(key).cast("bigint").alias("id"), _vec(vec).alias("v")).filter("id is not null and v is not null")
-    n = _count_blocks(u, block)
-    own = _in_blocks(u, n, n, "own", "other")
-    sides = own.select("id", "v", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-
-    def near(t: pa.Table) -> pa.Table:
-        i, j = t["i"][0].as_py(), t["j"][0].as_py()
-        ids, side, x = t["id"].to_numpy(), t["own"].to_numpy(), _matrix(t["v"])
-        with np.errstate(invalid="ignore", divide="ignore"):
-            x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
-        first, second = np.flatnonzero(side == i), np.flatnonzero(side == j)
-        cos = np.round(x[first] @ x[second].T, digits)
-        r, c = np.nonzero(cos >= round(min_cos, digits))
-        a, b = ids[first[r]], ids[second[c]]
-        keep = a < b if i == j else a != b
-        return pa.table({"a": np.minimum(a, b)[keep], "b": np.maximum(a, b)[keep], "cos": cos[r, c][keep]})
-
-    return sides.groupBy("i", "j").applyInArrow(near, "a bigint, b bigint, cos double")
+    (Euclidean distance <= sqrt(2 - 2 min_cos)); exact. Zero, null or not finite vectors have no pairs; lengths that
+    differ raise ValueError."""
+    return balltree.within(_rows(df, key, vec), min_cos, digits, leaf)
 
 
 # --------------------------------------------------------------------------- M16
@@ -153,21 +93,9 @@ def core_points(df: DataFrame, pairs: DataFrame, key: str, min_pts: int) -> Data
         F.col("a").alias(key), (F.coalesce("deg", F.lit(0)) + 1 >= min_pts).alias("core"))
 
 
-def dbscan(df: DataFrame, key: str, vec: str, min_cos: float, min_pts: int = 5,
-           pairs: DataFrame | None = None) -> DataFrame:
-    """DBSCAN on cosine neighbourhoods. Core = neighbours + 1 >= min_pts;
-    core components by min-label propagation (one join + aggregate per round,
-    checkpointed); border points take the smallest neighbouring core label;
-    noise is -1. Output: key, cluster (smallest core key of the component), core."""
-    pr = pairs if pairs is not None else eps_pairs(df, key, vec, min_cos)
-    pr = cut_lineage(pr.select("a", "b"))  # read for degrees, core edges and borders
-    both = pr.union(pr.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    deg = both.groupBy("a").agg(F.count(F.lit(1)).alias("deg"))
-    ids = df.select(F.col(key).alias("a"))
-    info = ids.join(deg, "a", "left").withColumn("core", F.coalesce("deg", F.lit(0)) + 1 >= min_pts)
-    core = info.filter("core").select("a")
-    ce = both.join(core, "a").join(core.withColumnRenamed("a", "b"), "b")  # core-core edges
-    ce = cut_lineage(ce)
+def core_components(core: DataFrame, ce: DataFrame) -> DataFrame:
+    """(a, lab) of core points (a): the smallest core point that the core-core edges (a, b; both ways) reach;
+    by min-label propagation, one join and aggregate per round, checkpointed."""
     lab = core.select("a", F.col("a").alias("lab"))
     while True:  # until no label changes
         nb = ce.join(lab.withColumnRenamed("a", "b").withColumnRenamed("lab", "nl"), "b").groupBy("a").agg(
@@ -183,6 +111,25 @@ def dbscan(df: DataFrame, key: str, vec: str, min_cos: float, min_pts: int = 5,
         lab = new.drop("chg")
         if changed == 0:
             break
+    return lab
+
+
+def dbscan(df: DataFrame, key: str, vec: str, min_cos: float, min_pts: int = 5,
+           pairs: DataFrame | None = None) -> DataFrame:
+    """DBSCAN on cosine neighbourhoods. Core = neighbours + 1 >= min_pts;
+    core components by min-label propagation (one join + aggregate per round,
+    checkpointed); border points take the smallest neighbouring core label;
+    noise is -1. Output: key, cluster (smallest core key of the component), core."""
+    pr = pairs if pairs is not None else eps_pairs(df, key, vec, min_cos)
+    pr = cut_lineage(pr.select("a", "b"))  # read for degrees, core edges and borders
+    both = pr.union(pr.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    deg = both.groupBy("a").agg(F.count(F.lit(1)).alias("deg"))
+    ids = df.select(F.col(key).alias("a"))
+    info = ids.join(deg, "a", "left").withColumn("core", F.coalesce("deg", F.lit(0)) + 1 >= min_pts)
+    core = info.filter("core").select("a")
+    ce = both.join(core, "a").join(core.withColumnRenamed("a", "b"), "b")  # core-core edges
+    ce = cut_lineage(ce)
+    lab = core_components(core, ce)
     border = both.join(lab.withColumnRenamed("a", "b").withColumnRenamed("lab", "nl"), "b").groupBy("a").agg(
         F.min("nl").alias("bl"))
     out = info.join(lab, "a", "left").join(border, "a", "left").select(

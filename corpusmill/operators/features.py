@@ -133,14 +133,19 @@ def term_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", stops=
     return toks.groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
-def tfidf(counts: DataFrame, key: str = "doc_id") -> DataFrame:
-    """M2/M3: smooth TF-IDF tf * (ln((1 + N) / (1 + df)) + 1), then L2 per document.
-    Long form (key, term, weight); MLlib's IDF lacks the +1 term, so it is
-    written out here."""
-    counts = cut_lineage(counts)  # counted once, read four times
+def tfidf_raw(counts: DataFrame, key: str = "doc_id") -> DataFrame:
+    """M2: smooth TF-IDF tf * (ln((1 + N) / (1 + df)) + 1), not yet normalised: (key, term, weight).
+
+    MLlib's IDF lacks the +1 term, so it is written out here."""
+    counts = cut_lineage(counts)  # counted once, read for N, for df and for the weights
     n_docs = counts.select(F.count_distinct(key)).scalar()
     df_ = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    w = counts.join(df_, "term").withColumn(
-        "w", F.col("n") * (F.log((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + 1))
-    norm = w.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return w.join(norm, key).select(key, "term", (F.col("w") / F.col("norm")).alias("weight"))
+    return counts.join(df_, "term").select(
+        key, "term", (F.col("n") * (F.log((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + 1)).alias("weight"))
+
+
+def tfidf(counts: DataFrame, key: str = "doc_id") -> DataFrame:
+    """M2/M3: ``tfidf_raw``, then L2 per document. Long form (key, term, weight)."""
+    w = tfidf_raw(counts, key)
+    norm = w.groupBy(key).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
+    return w.join(norm, key).select(key, "term", (F.col("weight") / F.col("norm")).alias("weight"))

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from corpusmill.operators import cluster as C
 from corpusmill.operators import features as FE
 from corpusmill.operators import models as M
+from corpusmill.operators import sparse as SP
 from corpusmill.operators import stats as ST
+from corpusmill.plans.feature_queries import TERM_COUNTS_SQL
 from corpusmill.plans.registry import register
 from corpusmill.sources.tables import table
 
@@ -250,6 +252,55 @@ def q_dbscan(spark, sf):
     return C.dbscan(table(spark, sf, "embeddings"), "vec_id", "embedding", EPS_COS, 5)
 
 
+# J12 / M16 on text --------------------------------------------------------------
+TEXT_COS = 0.875  # unit vectors within a Euclidean distance of 0.5
+TEXT_SQL = f"""c AS ({TERM_COUNTS_SQL}), nd AS (SELECT count(DISTINCT doc_id) AS n FROM c),
+    df AS (SELECT term, count(*) AS df FROM c GROUP BY term),
+    w AS (SELECT doc_id, term, n * (ln((1 + (SELECT n FROM nd)) / (1 + df)) + 1) AS w FROM c JOIN df USING (term)),
+    nr AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM w GROUP BY doc_id),
+    v AS (SELECT doc_id, term, w / norm AS w FROM w JOIN nr USING (doc_id)),
+    pr AS (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, sum(x.w * y.w) AS cos FROM v x JOIN v y
+           ON x.term = y.term AND x.doc_id < y.doc_id GROUP BY 1, 2) WHERE round(cos, 6) >= {TEXT_COS}),
+    both_ AS (SELECT a, b FROM pr UNION ALL SELECT b, a FROM pr)"""
+
+
+def _text_join(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return docs, *SP.cosine_join(FE.tfidf_raw(FE.term_counts(docs)), "doc_id", TEXT_COS)
+
+
+@register(
+    "text_links",
+    "WITH " + TEXT_SQL + """, sig AS (SELECT doc_id, md5(string_agg(term || ':' || CAST(n AS VARCHAR), ' ' ORDER BY term)) AS s FROM c GROUP BY doc_id),
+    rep AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY s) AS rep FROM sig),
+    deg AS (SELECT a, count(*) AS links FROM both_ GROUP BY a)
+    SELECT doc_id, rep, coalesce(links, 0) AS links FROM documents LEFT JOIN rep USING (doc_id) LEFT JOIN deg ON a = doc_id""",
+)
+def q_text_links(spark, sf):
+    """Every document's class of equal TF-IDF vectors and its number of similar documents."""
+    docs, members, pairs = _text_join(spark, sf)
+    return SP.links(docs, "doc_id", members, pairs)
+
+
+@register(
+    "dbscan_text",
+    "WITH RECURSIVE " + TEXT_SQL + """, blank AS (SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM c)),
+    deg AS (SELECT a, count(*) AS d FROM both_ GROUP BY a),
+    core AS (SELECT doc_id FROM documents LEFT JOIN deg ON a = doc_id
+             WHERE CASE WHEN doc_id IN (SELECT doc_id FROM blank) THEN (SELECT count(*) FROM blank) ELSE coalesce(d, 0) + 1 END >= 5),
+    ce AS (SELECT a, b FROM both_ WHERE a IN (SELECT doc_id FROM core) AND b IN (SELECT doc_id FROM core)),
+    reach(id, lab) AS (SELECT doc_id, doc_id FROM core UNION SELECT ce.b, reach.lab FROM reach JOIN ce ON ce.a = reach.id),
+    lab AS (SELECT id, CASE WHEN id IN (SELECT doc_id FROM blank) THEN (SELECT min(doc_id) FROM blank) ELSE min(lab) END AS lab FROM reach GROUP BY id),
+    border AS (SELECT both_.a, min(lab.lab) AS bl FROM both_ JOIN lab ON lab.id = both_.b GROUP BY both_.a)
+    SELECT doc_id, CAST(coalesce(lab.lab, bl, -1) AS BIGINT) AS cluster, lab.lab IS NOT NULL AS core
+    FROM documents LEFT JOIN lab ON lab.id = doc_id LEFT JOIN border ON border.a = doc_id""",
+)
+def q_dbscan_text(spark, sf):
+    """DBSCAN of the documents' TF-IDF rows at Euclidean distance 0.5."""
+    docs, members, pairs = _text_join(spark, sf)
+    return SP.dbscan_sparse(docs, "doc_id", members, pairs, 5)
+
+
 # M14 / M15 / M17 -------------------------------------------------------------------
 @register("kmeans")
 def q_kmeans(spark, sf):

@@ -23,6 +23,18 @@ def _spell_words(spark, sf):
     return TX.typo_words(table(spark, sf, "benchmark"))
 
 
+def _spell_inputs(spark, sf):
+    """Words, and the vocabulary with its deletion index, stored once and read back."""
+    import uuid
+
+    from corpusmill.session import ensure_checkpoint_dir
+    from corpusmill.sources.files import load_spell_index, store_spell_index
+
+    path = f"{ensure_checkpoint_dir(spark)}/spell-index-{uuid.uuid4().hex}"
+    store_spell_index(_unigrams(spark, sf), path)
+    return _spell_words(spark, sf), *load_spell_index(spark, path)
+
+
 def _stops(spark):
     return TX.stop_words_df(spark)
 
@@ -157,7 +169,7 @@ def q_index_with_soundex(spark, sf):
 # J2 / T3 / T4 ------------------------------------------------------------------
 @register("spell_candidates", SPELL_CANDS)
 def q_spell_candidates(spark, sf):
-    return TX.spell_candidates(_spell_words(spark, sf), _unigrams(spark, sf))
+    return TX.spell_candidates(*_spell_inputs(spark, sf))
 
 
 @register(
@@ -166,7 +178,7 @@ def q_spell_candidates(spark, sf):
     f"FROM ({SPELL_CANDS})",
 )
 def q_spell_proba(spark, sf):
-    return TX.spell_proba(_spell_words(spark, sf), _unigrams(spark, sf))
+    return TX.spell_proba(*_spell_inputs(spark, sf))
 
 
 @register(
@@ -176,7 +188,7 @@ def q_spell_proba(spark, sf):
     ) b ON b.word = w.word""",
 )
 def q_spell_correct(spark, sf):
-    return TX.spell_correct(_spell_words(spark, sf), _unigrams(spark, sf))
+    return TX.spell_correct(*_spell_inputs(spark, sf))
 
 
 # J5 ----------------------------------------------------------------------------

@@ -132,6 +132,21 @@ def read_unigrams(spark: SparkSession, path: str, fmt: str = "text") -> DataFram
                     F.regexp_extract("value", r"^(.*): (\d+)$", 2).cast("long").alias("n"))
 
 
+def store_spell_index(unigrams: DataFrame, path: str) -> None:
+    """The vocabulary and its symmetric-delete index, once; the index sorted by deletion, so that lookups prune
+    row groups."""
+    from corpusmill.operators.text import spell_index
+
+    unigrams.select("token", "n").write.mode("overwrite").parquet(f"{path}/vocabulary")
+    index = spell_index(unigrams.sparkSession.read.parquet(f"{path}/vocabulary"))
+    index.repartitionByRange("part").sortWithinPartitions("part").write.mode("overwrite").parquet(f"{path}/deletions")
+
+
+def load_spell_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(unigrams, index) as ``store_spell_index`` wrote them."""
+    return spark.read.parquet(f"{path}/vocabulary"), spark.read.parquet(f"{path}/deletions")
+
+
 # --------------------------------------------------------------------------- S10
 def write_index(post: DataFrame, path: str, fmt: str = "parquet", parts: int | None = None) -> None:
     """The inverted index sorted by term.

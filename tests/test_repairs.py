@@ -74,12 +74,12 @@ def test_neighbours_on_ties_and_blocks(spark):
     df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, vec array<double>")
     q, b = df.withColumnRenamed("id", "qid"), df.withColumnRenamed("id", "bid")
     got = {}
-    for r in C.knn(q, b, 4, exclude_self=True, block=16).collect():
+    for r in C.knn(q, b, 4, exclude_self=True, leaf=16).collect():
         got.setdefault(r.qid, {})[r["rank"]] = (r.dist, r.bid)
     d = np.round(np.sqrt(((v[:, None] - v[None]) ** 2).sum(-1)), 9)
     for i in range(70):
         assert [got[i][k] for k in range(1, 5)] == sorted((d[i, j], j) for j in range(70) if j != i)[:4]
-    pairs = {(r.a, r.b) for r in C.eps_pairs(df, "id", "vec", 0.7, block=16).collect()}
+    pairs = {(r.a, r.b) for r in C.eps_pairs(df, "id", "vec", 0.7, leaf=16).collect()}
     u = v / np.linalg.norm(v, axis=1, keepdims=True)
     assert pairs == {(i, j) for i in range(70) for j in range(i + 1, 70) if round(float(u[i] @ u[j]), 6) >= 0.7}
 
