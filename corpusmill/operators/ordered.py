@@ -167,7 +167,8 @@ def gap_per_key(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
 
 def max_gap(df: DataFrame, value: str, by: Sequence[str] | None = None, parts: int | None = None) -> DataFrame:
     """Largest gap between consecutive values in sorted order,
-    with both witnesses (ties: leftmost), globally or per key, in the column's own type.
+    with both witnesses (ties: leftmost), globally or per key. The gap of BIGINT values is DECIMAL(20,0), which holds
+    any of them; other types keep their own.
 
     Values are first counted per distinct (key, value) (map-side combine, so a hot
     value is one row) and range-partitioned on (key, value); each sorted partition gives one
@@ -176,12 +177,12 @@ def max_gap(df: DataFrame, value: str, by: Sequence[str] | None = None, parts: i
     values count as no value; null keys are a key.
     """
     by = list(by or [])
-    vt = df.schema[value].dataType
+    vt = T.DecimalType(20, 0) if isinstance(df.schema[value].dataType, T.LongType) else df.schema[value].dataType
     d = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("__n"))
     sp = sorted_partitions(d, [*by, value], parts)
 
     def step(left: Column, right: Column) -> Column:
-        return F.when(left.isNotNull(), F.struct(F.negative(right - left).alias("ng"), left.alias("l"), right.alias("r")))
+        return F.when(left.isNotNull(), F.struct((left.cast(vt) - right.cast(vt)).alias("ng"), left.alias("l"), right.alias("r")))
 
     inside = Window.partitionBy(_PID, *by).orderBy(value)
     steps = sp.withColumn("__b", step(F.lag(value).over(inside), F.col(value)))

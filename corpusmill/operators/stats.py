@@ -78,9 +78,10 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> DataFrame:
     """Equal-width bins over each group's own [min, max]; last bin closed.
-    Output: by..., bin, lo, hi, n (only non-empty bins)."""
+    Output: by..., bin, lo, hi, n (only non-empty bins). Null and NaN values lie in no bin."""
     by = list(by)
     x = F.col(value).cast("double")
+    df = df.filter(x.isNotNull() & ~F.isnan(x))
     if by:
         mm = df.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(by)]).agg(F.min(x).alias("__mn"), F.max(x).alias("__mx"))
         j = df.join(small_side(mm), _same_keys(by))
@@ -123,12 +124,14 @@ def shape(df: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- A18 / A19
 def confusion(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
-    """(y, p, n) over the full label x label grid (zeros included)."""
+    """(y, p, n) over the full label x label grid (zeros included); a null label is a class."""
     counts = df.groupBy(F.col(y).alias("y"), F.col(p).alias("p")).agg(F.count(F.lit(1)).alias("n"))
     labels = df.select(F.col(y).alias("l")).union(df.select(F.col(p).alias("l"))).distinct()
-    dom = labels.agg(F.array_sort(F.collect_list("l")).alias("d"))  # one row, |classes| entries
-    grid = dom.select(F.explode("d").alias("y"), "d").select("y", F.explode("d").alias("p"))
-    return grid.join(counts, ["y", "p"], "left").select("y", "p", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+    # one row of |classes| entries: the grid that is asked for has their square; structs, as a list keeps no nulls
+    dom = labels.agg(F.array_sort(F.collect_list(F.struct("l"))).alias("d"))
+    grid = dom.select(F.explode("d.l").alias("gy"), "d").select("gy", F.explode("d.l").alias("gp"))
+    on = F.col("gy").eqNullSafe(F.col("y")) & F.col("gp").eqNullSafe(F.col("p"))
+    return grid.join(counts, on, "left").select(F.col("gy").alias("y"), F.col("gp").alias("p"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
 def per_class(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:

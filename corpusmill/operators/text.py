@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as X
+from corpusmill.operators.ordered import dense_id
+from corpusmill.session import cut_lineage
 
 # The default English stop-word list of Spark MLlib's
 # StopWordsRemover (181 words), used as the default stop list.
@@ -241,6 +243,56 @@ def search(queries: DataFrame, post: DataFrame, doc_map: DataFrame, k: int = 3,
     )
 
 
+# --------------------------------------------------------------------------- S10 / O3 with blocks
+#: Postings of an impact-ordered block.
+BLOCK = 128
+
+
+def impact_blocks(post: DataFrame, key: str = "doc_id", block: int = BLOCK) -> DataFrame:
+    """Postings (token, key, tf) in impact order (tf descending, then key), cut into blocks.
+
+    Output: token, no (ascending in that order), lead (whether it is the token's first), tf and first (of its best posting),
+    entries (array of (ntf: -tf, doc)). Places come from the distributed dense order, so a hot token is not one group;
+    a block holds ``block`` postings of one token at most."""
+    placed = dense_id(post.select("token", F.col(key).alias("doc"), F.negative("tf").alias("ntf")), ["token", "ntf", "doc"], out="__at")
+    entry = F.struct("ntf", "doc")
+    blocks = placed.groupBy("token", F.floor(F.col("__at") / block).alias("no")).agg(
+        F.min(entry).alias("best"), F.sort_array(F.collect_list(entry)).alias("entries"))
+    leads = placed.groupBy("token").agg(F.floor(F.min("__at") / block).alias("lead"))
+    return blocks.join(leads, "token").select(
+        "token", "no", (F.col("no") == F.col("lead")).alias("lead"), F.negative("best.ntf").alias("tf"),
+        F.col("best.doc").alias("first"), "entries")
+
+
+def search_blocks(queries: DataFrame, blocks: DataFrame, vocab: DataFrame, doc_map: DataFrame, k: int = 3,
+                  qkey: str = "query_id", text: str = "text", key: str = "doc_id", stops: DataFrame | None = None) -> DataFrame:
+    """T6/O3 over ``impact_blocks``: as ``search``, but a term is read only as far as its postings can enter the first k.
+
+    The first block of each term gives a query's k best so far. Of the other blocks only the best posting (tf, first)
+    is compared with the last of these: where it ranks behind, so does the whole block, and its entries stay
+    unread. One more step is enough, since no block left out can hold a hit."""
+    words = tokenize(queries, text=text, key=qkey, stops=stops).select(qkey, F.col("token").alias("word")).distinct()
+    terms = words.join(resolve_terms(words, vocab), "word").select(qkey, F.col("term").alias("token")).distinct()
+    terms = cut_lineage(terms)
+    order = Window.partitionBy(qkey).orderBy("ntf", "doc", "token")
+
+    def best(hits: DataFrame) -> DataFrame:
+        return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+    def opened(rows: DataFrame) -> DataFrame:
+        return rows.select(qkey, "token", F.inline("entries"))
+
+    lead = cut_lineage(best(opened(terms.join(blocks.filter("lead"), "token"))))
+    last = lead.filter(F.col("rank") == k).select(F.col(qkey).alias("__q"), F.struct("ntf", "doc", "token").alias("last"))
+    heads = blocks.filter(~F.col("lead")).select("token", "no", F.negative("tf").alias("ntf"), F.col("first").alias("doc"))
+    open_ = terms.join(heads, "token").join(last, F.col(qkey).eqNullSafe(F.col("__q")), "left")
+    open_ = open_.filter(F.col("last").isNull() | (F.struct("ntf", "doc", "token") < F.col("last")))
+    wanted = open_.select(qkey, "token", "no")
+    more = opened(wanted.join(blocks.filter(~F.col("lead")).select("token", "no", "entries"), ["token", "no"]))
+    hits = best(lead.drop("rank").unionByName(more)).join(doc_map.select(F.col(key).alias("doc"), "url"), "doc")
+    return hits.select(qkey, F.col("rank").cast("bigint").alias("rank"), F.col("doc").alias(key), "url", F.col("token").alias("term"), F.negative("ntf").alias("tf"))
+
+
 def spell(words: DataFrame, unigrams: DataFrame, proba: bool = False, correct: bool = False,
           index: DataFrame | None = None) -> DataFrame:
     """T3/T4 entry with the two modes mutually exclusive."""

@@ -30,11 +30,14 @@ def q_labelled_docs(spark, sf):
 
 @register(
     "dataset_union",
-    "SELECT doc_id, quality AS label, lang AS dataset FROM labels JOIN documents USING (doc_id)",
+    "SELECT doc_id AS row_id, lang AS label, 'documents' AS dataset FROM documents "
+    "UNION ALL SELECT conv_id, role, 'conversations' FROM conversations",
 )
 def q_dataset_union(spark, sf):
-    """The labelled sets of all languages as one, each row with its set's name; one pass."""
-    return _labelled(spark, sf).select("doc_id", F.col("quality").alias("label"), F.col("lang").alias("dataset"))
+    """Two labelled sets as one, by column name, each row with its set's name."""
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("row_id"), F.col("lang").alias("label"), F.lit("documents").alias("dataset"))
+    turns = table(spark, sf, "conversations").select(F.lit("conversations").alias("dataset"), F.col("role").alias("label"), F.col("conv_id").alias("row_id"))
+    return docs.unionByName(turns)
 
 
 @register("label_encode", "SELECT o_orderkey, dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS code FROM orders")

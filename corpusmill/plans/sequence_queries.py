@@ -23,7 +23,7 @@ def _events_us(spark, sf):
     ORDER BY r - l DESC, l LIMIT 1""",
 )
 def q_max_gap_global(spark, sf):
-    return O.max_gap(_events_us(spark, sf), "us")
+    return O.max_gap(_events_us(spark, sf), "us").withColumn("gap", F.col("gap").cast("bigint"))
 
 
 # W1 / N2 per key ---------------------------------------------------------------
@@ -40,7 +40,7 @@ def q_max_gap_global(spark, sf):
     FROM r WHERE rk = 1""",
 )
 def q_max_gap_per_user(spark, sf):
-    return O.max_gap(_events_us(spark, sf), "us", by=["user_id"])
+    return O.max_gap(_events_us(spark, sf), "us", by=["user_id"]).withColumn("gap", F.col("gap").cast("bigint"))
 
 
 # N4 / J9 / A11 / W5 / U5 on table columns ---------------------------------------

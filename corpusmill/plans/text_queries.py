@@ -221,9 +221,11 @@ def q_url_hash(spark, sf):
 
 
 # T6 / O3 / J4 ------------------------------------------------------------------
-def page_doc_map(spark, sf):
-    """Stored pages with one dense id per URL."""
-    return dense_id(read_pages(spark, sf).select("url", "html"), ["url"], out="doc_id")
+def _numbered_pages(spark, sf):
+    """Stored pages (url, html, doc_id) and the doc map (url, doc_id): one dense id per URL (W8). Only URLs are sorted."""
+    pages = read_pages(spark, sf).select("url", "html")
+    ids = dense_id(pages.select("url").distinct(), ["url"], out="doc_id")
+    return pages.join(ids, "url"), ids
 
 
 def page_postings(docs):
@@ -247,31 +249,32 @@ SEARCH_TOP = """ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER
 
 @register("search_top3", SEARCH_HITS + SEARCH_TOP)
 def q_search_top3(spark, sf):
-    docs = page_doc_map(spark, sf)
-    post = page_postings(docs)
+    pages, ids = _numbered_pages(spark, sf)
     queries = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    return TX.search(queries, post, docs.select("doc_id", "url"), k=3, stops=_stops(spark))
+    return TX.search(queries, page_postings(pages), ids, k=3, stops=_stops(spark))
 
 
-def _stored_search(spark, sf, **options):
-    """Build the index once into the shared folder, then search what is stored."""
+def _stored_index(spark, sf):
+    """Build the index once into the shared folder; (path, queries)."""
     import uuid
 
     from corpusmill.session import ensure_checkpoint_dir
-    from corpusmill.sources.files import load_search_index, store_search_index
+    from corpusmill.sources.files import store_search_index
 
     path = f"{ensure_checkpoint_dir(spark)}/search-index-{uuid.uuid4().hex}"
-    pages = read_pages(spark, sf).select("url", "html")
-    ids = dense_id(pages.select("url").distinct(), ["url"], out="doc_id")
-    store_search_index(page_postings(pages.join(ids, "url")), ids, path)
-    post, vocab, doc_map = load_search_index(spark, path)
-    queries = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    return TX.search(queries, post, doc_map, k=3, stops=_stops(spark), vocab=vocab, **options)
+    pages, ids = _numbered_pages(spark, sf)
+    store_search_index(page_postings(pages), ids, path)
+    return path, table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
 
 
 @register("search_stored", SEARCH_HITS + SEARCH_TOP)
 def q_search_stored(spark, sf):
-    return _stored_search(spark, sf)
+    """Top 3 over the stored impact-ordered blocks."""
+    from corpusmill.sources.files import load_search_blocks
+
+    path, queries = _stored_index(spark, sf)
+    blocks, vocab, doc_map = load_search_blocks(spark, path)
+    return TX.search_blocks(queries, blocks, vocab, doc_map, k=3, stops=_stops(spark))
 
 
 @register(
@@ -282,7 +285,11 @@ def q_search_stored(spark, sf):
     SELECT query_id, CAST(rank AS BIGINT) AS rank, doc_id, url, term, tf FROM r WHERE rank <= 3""",
 )
 def q_search_merged(spark, sf):
-    return _stored_search(spark, sf, merge_docs=True)
+    from corpusmill.sources.files import load_search_index
+
+    path, queries = _stored_index(spark, sf)
+    post, vocab, doc_map = load_search_index(spark, path)
+    return TX.search(queries, post, doc_map, k=3, stops=_stops(spark), vocab=vocab, merge_docs=True)
 
 
 # X13 / T1 (stem=True) ------------------------------------------------------------

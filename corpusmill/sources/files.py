@@ -180,10 +180,12 @@ def write_index(post: DataFrame, path: str, fmt: str = "parquet", parts: int | N
 
 def store_search_index(post: DataFrame, doc_map: DataFrame, path: str) -> None:
     """All that a search needs, once: postings sorted by token, the vocabulary with soundex
-    codes and document frequencies, and the doc map."""
-    from corpusmill.operators.text import vocabulary
+    codes and document frequencies, the doc map, and the impact-ordered blocks of the postings whose document it holds."""
+    from corpusmill.operators.text import impact_blocks, vocabulary
 
     write_index(post, f"{path}/postings")
+    known = read_index(post.sparkSession, f"{path}/postings").join(doc_map.select("doc_id").distinct(), "doc_id", "left_semi")
+    impact_blocks(known).repartitionByRange("token", "no").sortWithinPartitions("token", "no").write.mode("overwrite").parquet(f"{path}/blocks")
     vocabulary(read_index(post.sparkSession, f"{path}/postings")).write.mode("overwrite").parquet(f"{path}/vocabulary")
     doc_map.select("doc_id", "url").write.mode("overwrite").parquet(f"{path}/doc_map")
 
@@ -193,6 +195,11 @@ def load_search_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
     return tuple(spark.read.parquet(f"{path}/{part}") for part in ("postings", "vocabulary", "doc_map"))
 
 
+def load_search_blocks(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(blocks, vocabulary, doc map) of a stored index."""
+    return tuple(spark.read.parquet(f"{path}/{part}") for part in ("blocks", "vocabulary", "doc_map"))
+
+
 def read_index(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Back to flat (token, doc_id, tf)."""
     if fmt == "parquet":
@@ -242,14 +249,21 @@ def read_images(spark: SparkSession, root: str) -> DataFrame:
                       F.col("image.nChannels").alias("channels"), F.col("image.data").alias("data"))
 
 
-def image_pixels(images: DataFrame, flip: bool = False) -> DataFrame:
-    """Pixels rescaled by 1/255 as ARRAY<FLOAT> (row-major, BGR as decoded),
-    optionally mirrored left-right; one vectorised pass per Arrow batch."""
+def image_pixels(images: DataFrame, flip: bool = False, size: tuple[int, int] | None = None) -> DataFrame:
+    """Pixels rescaled by 1/255 as ARRAY<FLOAT> (row-major, BGR as decoded), optionally brought to ``size`` (height, width;
+    nearest pixel) and mirrored left-right; one pass per Arrow batch. A file that is no image has null pixels."""
 
     def to_pixels(data: pd.Series, h: pd.Series, w: pd.Series, c: pd.Series) -> pd.Series:
         out = []
         for d, hh, ww, cc in zip(data, h, w, c):
+            if d is None or not (hh > 0 and ww > 0 and cc > 0):
+                out.append(None)
+                continue
             a = np.frombuffer(d, dtype=np.uint8).reshape(int(hh), int(ww), int(cc)).astype(np.float32) / 255.0
+            if size:
+                rows = (2 * np.arange(size[0]) + 1) * int(hh) // (2 * size[0])
+                columns = (2 * np.arange(size[1]) + 1) * int(ww) // (2 * size[1])
+                a = a[rows][:, columns]
             if flip:
                 a = a[:, ::-1, :]
             out.append(a.reshape(-1))
