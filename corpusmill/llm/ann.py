@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 from corpusmill.llm.common import discard, stored
 
 PIVOTS = 256
-PREFIX = 64
+PREFIX = 128
 BLOCK = 4096
 #: Share of a block that is reranked, and its least number.
-SHARE, LEAST = 1 / 16, 64
+SHARE, LEAST = 1 / 8, 256
 QUERIES = 1024
 
 

@@ -7,12 +7,15 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corpusmill.session import ensure_checkpoint_dir, ship_package
 
 #: Bytes of text a task turns into numpy arrays at once.
 TEXT_BYTES = 4 << 20
+#: Bits of the bitmaps that rule out rows before a join, as a power of two.
+FILTER = 26
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,3 +86,35 @@ def strings(batch: pa.RecordBatch, column: str) -> pa.Array:
     if pa.types.is_null(col.type):
         col = col.cast(pa.string())
     return pc.fill_null(col, "")
+
+
+def free_name(name: str, *frames: DataFrame) -> str:
+    """``name``, with underscores added while a column of the frames has it (in any case)."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def _bit(key: Column) -> Column:
+    return F.pmod(key, F.lit(1 << FILTER))
+
+
+def bitmap(keys: DataFrame) -> DataFrame:
+    """(__w, __b) from (key): the set bits of all keys mod 2 ** FILTER, 64 a row, so 2 ** (FILTER - 6) rows at most."""
+    bit = keys.select(_bit(F.col("key")).alias("b"))
+    return bit.groupBy(F.shiftright("b", 6).alias("__w")).agg(F.bit_or(F.expr("shiftleft(1L, int(b % 64))")).alias("__b"))
+
+
+def flagged(rows: DataFrame, key: Column, bits: DataFrame, hit: str = "__hit") -> DataFrame:
+    """``rows`` with ``hit``: whether the bitmap has the key. False rules a key out; no shuffle of ``rows``."""
+    k, w, b = (free_name(n, rows) for n in ("__k", "__w", "__b"))
+    j = rows.withColumn(k, _bit(key)).join(F.broadcast(bits.toDF(w, b)), F.shiftright(k, 6) == F.col(w), "left")
+    return j.withColumn(hit, F.coalesce(F.expr(f"shiftright({b}, int({k} % 64)) & 1L") == 1, F.lit(False))).drop(k, w, b)
+
+
+def parted(rows: DataFrame, key: Column, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows that may have one of the keys, rows that surely have none); ``keys``: (key), computed like the Column ``key``."""
+    hit = free_name("__hit", rows)
+    marked = flagged(rows, key, stored(bitmap(keys), "bitmap"), hit)
+    return marked.filter(hit).drop(hit), marked.filter(~F.col(hit)).drop(hit)

@@ -11,14 +11,15 @@ Texts are equal when identical after lower-casing A-Z only; null counts as empty
 Equality is by SHA-256, verified in every merge by the text's length and a second,
 independent 64-bit hash; a mismatch raises. Of equal texts the row with the largest
 (or smallest) doc_id stays; of repeated rows with that doc_id, exactly one; a null
-doc_id counts as the smallest. An empty table gives an empty table.
+doc_id counts as the smallest. Texts are digested whole, whatever their length. An empty table gives an empty table.
+Other columns are not read; ``drop_exact_duplicates`` returns them unchanged, whatever their names.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import discard, stored
+from corpusmill.llm.common import discard, free_name, parted, stored
 
 #: Runs that one merge takes in.
 FAN = 16
@@ -97,15 +98,17 @@ def drop_exact_duplicates(docs: DataFrame, fan: int = FAN, keep: str = "largest"
     same = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     lost = stored(j.filter(-F.col("row") != F.col("r")).select(F.col("doc_id").alias("__id"), F.col("digest").alias("__d"), same.alias("__twin")), "op8-lost")
     discard(rows, merged)
-    keyed = docs.withColumn("__digest", F.unhex(F.sha2(normal_text(F.col("text")), 256)))
     if lost.isEmpty():
         return docs
-    on = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__d"))
-    gone = lost.filter(~F.col("__twin")).select("__id", "__d").distinct()
+    # texts whose doc_id surely lost no row go straight on; only the rest is joined
+    maybe, rest = parted(docs, F.xxhash64("doc_id"), lost.select(F.xxhash64("__id").alias("key")))
+    key, ids, own = (free_name(n, docs) for n in ("__digest", "__id", "__d"))
+    keyed = maybe.withColumn(key, F.unhex(F.sha2(normal_text(F.col("text")), 256)))
+    on = F.col("doc_id").eqNullSafe(F.col(ids)) & (F.col(key) == F.col(own))
+    gone = lost.filter(~F.col("__twin")).select(F.col("__id").alias(ids), F.col("__d").alias(own)).distinct()
     kept = keyed.join(gone, on, "left_anti")
-    twins = stored(lost.filter("__twin").select("__id", "__d").distinct(), "op8-twins")
-    if twins.isEmpty():
-        return kept.drop("__digest")
-    single = kept.join(twins, on, "left_anti")
-    once = kept.join(twins, on, "left_semi").dropDuplicates(["doc_id", "__digest"])
-    return single.unionByName(once).drop("__digest")
+    twins = stored(lost.filter("__twin").select(F.col("__id").alias(ids), F.col("__d").alias(own)).distinct(), "op8-twins")
+    if not twins.isEmpty():
+        once = kept.join(twins, on, "left_semi").dropDuplicates(["doc_id", key])
+        kept = kept.join(twins, on, "left_anti").unionByName(once)
+    return rest.unionByName(kept.drop(key))

@@ -21,7 +21,7 @@ Texts for verification are fetched by document: a bitmap of hashed doc_ids of fi
 whatever the input, is broadcast to leave out most others before the join on doc_id.
 
 Defined results: null or empty text is one empty line; lines without words never go;
-rows without doc_id come first in the order; rows that repeat a doc_id are compared like
+texts of any length are cut whole, once; other columns are not read (``dedup_lines`` returns them unchanged, whatever their names); rows without doc_id come first in the order; rows that repeat a doc_id are compared like
 one document, and lines at the same place of them never remove each other unless their sets are equal: then one copy stays in each row; an
 empty table gives an empty result.
 """
@@ -30,12 +30,13 @@ from __future__ import annotations
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import discard, map_slices, stored, strings
+from corpusmill.llm.common import discard, free_name, map_slices, stored, strings
 from corpusmill.llm.shingles import mix, word_hashes
 
 THRESHOLD = 0.75
@@ -150,8 +151,21 @@ def _verified(pairs: DataFrame, docs: DataFrame, t: Fraction) -> DataFrame:
     ends = pairs.select(F.col("ad").alias("d"), F.col("al").alias("l")).unionByName(pairs.select(F.col("bd").alias("d"), F.col("bl").alias("l"))).distinct()
     per_doc = stored(ends.groupBy(F.col("d").alias("e")).agg(F.collect_list("l").alias("ls")), "op5-ends")  # at most a document's lines
     known = _wanted(docs, per_doc.select(F.col("e").alias("d"))).join(per_doc, F.col("d").eqNullSafe(F.col("e")))
-    lines = known.select("d", F.explode("ls").alias("l"), F.split("text", "\n", -1).alias("s")).select("d", "l", F.get("s", F.col("l")).alias("x"))
-    lines = stored(lines.filter("x is not null"), "op5-texts")
+
+    def pick():
+        """Each text is cut into lines once, however many of them are wanted."""
+
+        def one(part: pa.RecordBatch) -> pa.RecordBatch:
+            out: list[tuple] = []
+            for d, ls, text in zip(part.column("d").to_pylist(), part.column("ls").to_pylist(), strings(part, "text").to_pylist()):
+                own = text.split("\n")
+                out += [(d, i, own[i]) for i in ls if i < len(own)]
+            d, at, x = zip(*out) if out else ((), (), ())
+            return pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(at, pa.int32()), pa.array(x, pa.string())], names=["d", "l", "x"])
+
+        return one
+
+    lines = stored(map_slices(known.select("d", "ls", "text"), "text", pick, "d long, l int, x string"), "op5-texts")
 
     def make():
         def one(part: pa.RecordBatch) -> pa.RecordBatch:
@@ -236,10 +250,19 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return gone.groupBy("doc_id").agg(F.sort_array(F.collect_list("line")).alias("gone"))
 
 
+def _without(texts: pd.Series, gone: pd.Series) -> pd.Series:
+    """The texts without the lines of these numbers."""
+    out = []
+    for text, numbers in zip(texts, gone):
+        lost = set() if numbers is None else set(numbers.tolist())
+        out.append(text if not lost or text is None else "\n".join(x for i, x in enumerate(text.split("\n")) if i not in lost))
+    return pd.Series(out, dtype=object)
+
+
 def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with the lines that go cut out of ``text``; other columns unchanged; null text stays null."""
-    gone = removed_lines(docs, threshold).select(F.col("doc_id").alias("__id"), "gone")
-    j = docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left")
-    kept = F.filter(F.split("text", "\n", -1), lambda x, i: ~F.coalesce(F.array_contains("gone", i), F.lit(False)))
-    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return j.select(*(text.alias("text") if c == "text" else docs[c] for c in docs.columns))
+    ids, gone = free_name("__id", docs), free_name("__gone", docs)
+    lost = removed_lines(docs, threshold).select(F.col("doc_id").alias(ids), F.col("gone").alias(gone))
+    j = docs.join(lost, F.col("doc_id").cast("long").eqNullSafe(F.col(ids)), "left")
+    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.pandas_udf(_without, "string")("text", gone))
+    return j.select(*(text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns))

@@ -25,7 +25,8 @@ All others are compared in full. Nothing is capped. Links and components stay di
 
 Defined results: null text or no words: empty set, linked with nothing; null
 doc_id: never linked, component_id null, kept; rows that repeat a doc_id are one
-vertex and all get its component; empty table: empty result.
+vertex and all get its component; texts are read whole, whatever their length; empty table: empty result.
+Other columns are not read; ``drop_near_duplicates`` returns them unchanged, whatever their names.
 """
 from __future__ import annotations
 
@@ -36,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import discard, map_slices, stored, strings
+from corpusmill.llm.common import discard, free_name, map_slices, parted, stored, strings
 from corpusmill.llm.shingles import distinct, shingle_hashes
 
 WIDTH = 5
@@ -159,7 +160,9 @@ def components(edges: DataFrame, label: str = "cc") -> DataFrame:
         if mark == seen or mark[0] == 0:
             break
         seen = mark
-    return e.select(F.col("u").alias("id"), F.col("v").alias("comp")).unionByName(e.select(F.col("v").alias("id"), F.col("v").alias("comp")).distinct())
+    out = e.select(F.col("u").alias("id"), F.col("v").alias("comp")).unionByName(e.select(F.col("v").alias("id"), F.col("v").alias("comp")).distinct())
+    out.stored_path = e.stored_path  # to be discarded with it
+    return out
 
 
 def _moved(rows: DataFrame, comps: DataFrame | None) -> DataFrame:
@@ -208,11 +211,17 @@ def links_by_tables(classes: DataFrame, texts_of, side: int = SIDE, width: int =
         return None
     texts = stored(texts_of(hits.select("id")), "op2-texts")
     flat = hits.select("id", "central", F.inline("cv"))
-    links, comps, done = None, None, 0
-
-    def grown(found: DataFrame) -> tuple[DataFrame, DataFrame]:
-        every = found if links is None else links.unionByName(found)
-        return every, stored(components(every), "op2-comps")
+    comps, done = None, 0
+
+    def grown(found: DataFrame) -> DataFrame:
+        """Components joined by new links between their members: only the components are links from then on."""
+        ends = found
+        if comps is not None:
+            ends = found.unionByName(comps.filter("id <> comp").select(F.col("id").alias("a"), F.col("comp").alias("b")))
+        each = components(ends)
+        new = stored(each, "op2-comps")
+        discard(each, found, *([] if comps is None else [comps]))
+        return new
 
     while True:
         rows = _moved(flat, comps)
@@ -225,7 +234,7 @@ def links_by_tables(classes: DataFrame, texts_of, side: int = SIDE, width: int =
         new = found.count()
         done += 1
         if new:
-            links, comps = grown(found)
+            comps = grown(found)
         elif done >= rounds:
             break
 
@@ -239,7 +248,7 @@ def links_by_tables(classes: DataFrame, texts_of, side: int = SIDE, width: int =
     met = few.join(many, (F.col("a.c") == F.col("b.c")) & (F.col("a.v") == F.col("b.v")) & cross & _could_be_similar(side, similarity))
     found = stored(verified(met.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct(), texts, width, similarity), "op2-links")
     if not found.isEmpty():
-        links, comps = grown(found)
+        comps = grown(found)
     discard(hits, texts, rows)
     return comps
 
@@ -252,7 +261,9 @@ def near_duplicates(docs: DataFrame, side: int = SIDE, rows: int = ROWS, width:
     classes = stored(classes, "op2-classes")
 
     def texts_of(ids: DataFrame) -> DataFrame:
-        return docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi")
+        texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+        maybe, _ = parted(texts, F.xxhash64("id"), ids.select(F.xxhash64("id").alias("key")))
+        return maybe.join(ids, "id", "left_semi")
 
     comps = links_by_tables(classes.select("id", "n", "sig", "sketch"), texts_of, side, width, similarity, rounds)
     named = _moved(classes.select("digest", "id"), comps).select("digest", "comp")
@@ -264,10 +275,14 @@ def near_duplicates(docs: DataFrame, side: int = SIDE, rows: int = ROWS, width:
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each component, all columns unchanged."""
     found = stored(near_duplicates(docs, **options), "op2-result")
-    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(gone, F.col("doc_id") == F.col("__id"), "left_anti")
-    twice = stored(found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("__id")), "op2-twice")
-    if twice.isEmpty():
-        return kept
-    on = F.col("doc_id") == F.col("__id")
-    return kept.join(twice, on, "left_anti").unionByName(kept.join(twice, on, "left_semi").dropDuplicates(["doc_id"]))
+    ids = free_name("__id", docs)
+    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias(ids)).distinct()
+    twice = found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias(ids))
+    twice = stored(twice, "op2-twice")
+    # texts whose doc_id surely is neither go straight on; only the rest is joined
+    maybe, rest = parted(docs, F.xxhash64(F.col("doc_id").cast("long")), gone.unionByName(twice).select(F.xxhash64(ids).alias("key")))
+    on = F.col("doc_id") == F.col(ids)
+    kept = maybe.join(gone, on, "left_anti")
+    if not twice.isEmpty():
+        kept = kept.join(twice, on, "left_anti").unionByName(kept.join(twice, on, "left_semi").dropDuplicates(["doc_id"]))
+    return rest.unionByName(kept)

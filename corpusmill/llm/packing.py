@@ -16,9 +16,9 @@ Ids come from a ``tokenizers`` file; words are tokenised once and remembered. Th
 text is cut at ASCII white space only, which the pre-tokeniser drops, so the ids are those
 of the whole text. New words of printable ASCII and Latin-1 letters, for which lower-casing
 and splitting by the file's pattern are plain and composition changes nothing, go to the file's BPE model directly, any other word through
-the whole tokeniser. Strings of special tokens count as ordinary text.
+the whole tokeniser. A string of a special token in the text becomes that token's id, as the library does it.
 
-Defined results: null text or prompt counts as empty; an empty example is its end id
+Defined results: texts of any length are tokenised whole; pieces of equal demand go in the order they came; null text or prompt counts as empty; an empty example is its end id
 alone; repeated rows are separate examples; a null id passes through; only the named
 columns are read; an empty table gives an empty result.
 """
@@ -59,7 +59,10 @@ class WordCoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        #: strings that the file takes as one token wherever they stand
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        if any(re.search(r"\s", t) for t in self.added):
+            raise ValueError("a token that holds white space cannot be found in single words")
         self.model = Tokenizer(self.tokenizer.model)
         self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.mark = np.array(self._plain(_MARK), np.uint32)
@@ -145,7 +148,10 @@ class WordCoder:
         slots = np.fromiter((self.known.get(w, -1) for w in names), np.int64, len(names))
         new = np.flatnonzero(slots < 0)
         if len(new):
-            plain = pc.match_substring_regex(words.dictionary.take(pa.array(new)), PLAIN).to_numpy(zero_copy_only=False)
+            fresh = words.dictionary.take(pa.array(new))
+            plain = pc.match_substring_regex(fresh, PLAIN).to_numpy(zero_copy_only=False)
+            for token in self.added:
+                plain = plain & ~pc.match_substring(fresh, token, ignore_case=True).to_numpy(zero_copy_only=False)
             slots[new] = self._learn([names[i] for i in new.tolist()], plain)
         at = slots[words.indices.to_numpy()]
         n = self.lengths[at]

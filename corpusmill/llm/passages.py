@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import discard, map_slices, stored, strings
+from corpusmill.llm.common import bitmap, discard, flagged, free_name, map_slices, stored, strings
 from corpusmill.llm.shingles import mix
 
 WINDOW = 35
@@ -44,8 +44,6 @@ WINDOW = 35
 GRAM = 8
 #: Super-k-mers of a minimiser from which on its windows travel one by one, and how many such minimisers there can be.
 HOT, MOST_HOT = 1 << 14, 1 << 20
-#: Bits of the bitmaps, as a power of two.
-FILTER = 26
 #: Longer words are packed as a digest of fixed size.
 LONG = 96
 #: Windows sorted at once: rows of a bucket are never parted, so more if a bucket has more.
@@ -194,23 +192,6 @@ def minimiser_counts(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     return map_slices(docs.select(F.col("text").cast("string").alias("text")), "text", make, "m long, n long").groupBy("m").agg(F.sum("n").alias("n"))
 
 
-def _bit(key: Column) -> Column:
-    return F.pmod(key, F.lit(1 << FILTER))
-
-
-def bitmap(keys: DataFrame) -> DataFrame:
-    """(__w, __b) from (key): the set bits of all keys mod 2 ** FILTER, 64 a row, so 2 ** (FILTER - 6) rows at most."""
-    bit = keys.select(_bit(F.col("key")).alias("b"))
-    return bit.groupBy(F.shiftright("b", 6).alias("__w")).agg(F.bit_or(F.expr("shiftleft(1L, int(b % 64))")).alias("__b"))
-
-
-def flagged(rows: DataFrame, key: Column, bits: DataFrame) -> DataFrame:
-    """``rows`` with __hit: whether the bitmap has the key."""
-    j = rows.withColumn("__k", _bit(key))
-    j = j.join(F.broadcast(bits), F.shiftright("__k", 6) == F.col("__w"), "left")
-    return j.withColumn("__hit", F.coalesce(F.expr("shiftright(__b, int(__k % 64)) & 1L") == 1, F.lit(False))).drop("__k", "__w", "__b")
-
-
 def _boundaries(cells: pa.Array) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of packed strings: all bytes, where each word begins and ends in them, which string it is of, and each string's first word."""
     wide = cells.cast(pa.large_binary())
@@ -408,9 +389,7 @@ def drop_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot:
 
     cut_texts = _finished(_with_ranges(_source(docs), ranges).filter("ranges is not null"), result, "doc_id long, h long, kept string").dropDuplicates(["doc_id", "h"])
     new = cut_texts.select(F.struct(F.col("doc_id").alias("id"), "h", "kept").alias("__new"))
-    name = "__new"
-    while name in docs.columns:
-        name += "_"
+    name = free_name("__new", docs)
     new = new.withColumnRenamed("__new", name)
     j = docs.join(new, F.col("doc_id").cast("long").eqNullSafe(F.col(f"{name}.id")) & (_text_hash() == F.col(f"{name}.h")), "left")
     return j.select(*(F.coalesce(F.col(f"{name}.kept"), F.col("text")).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns))

@@ -192,3 +192,28 @@ def test_line_dedup_texts(spark):
     got = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame(spark, rows)).collect()}
     assert got == {None: "one TWO", 1: "three FOUR\nother", 2: "\nend", 3: None}
     assert line_dedup.dedup_lines(frame(spark, rows).limit(0)).count() == 0
+
+
+CLASHES = "doc_id long, text string, gone int, __id int, __digest int, __d int, __hit int, __k int, __gone int, __w int"
+
+
+def test_clashing_columns(spark):
+    rows = [(1, "one two three four five six"), (2, "ONE two three four five six"), (3, "x y"), (None, "x z"), (4, None), (4, None), (3, "x y")]
+    df = spark.createDataFrame([(*r, *range(8)) for r in rows], CLASHES)
+    for name, fn, kept in (("lines", line_dedup.dedup_lines, 7), ("exact", exact_dedup.drop_exact_duplicates, 4), ("near", near_dedup.drop_near_duplicates, 4)):
+        out = fn(df)
+        assert out.columns == df.columns and out.count() == kept, name
+        assert all(tuple(r)[2:] == tuple(range(8)) for r in out.collect()), name
+        assert fn(df.limit(0)).count() == 0, name
+
+
+def test_very_long_texts(spark):
+    long = [f"line {i} of {i * 7919 % 20011} words {i % 13} end{i}" for i in range(20_000)]
+    other = [x if i % 2 else x + " more" for i, x in enumerate(long)]
+    df = spark.createDataFrame([(1, "\n".join(long)), (2, "\n".join(other)), (3, "short")], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect()}
+    assert got[1] == "\n".join(long) and got[2] == "" and got[3] == "short"
+    assert {r.doc_id for r in near_dedup.drop_near_duplicates(df).collect()} == {1, 2, 3}
+    twice = df.unionByName(df.select((df.doc_id + 10).alias("doc_id"), "text"))
+    assert {r.doc_id for r in exact_dedup.drop_exact_duplicates(twice).collect()} == {11, 12, 13}
+    assert {r.doc_id for r in near_dedup.drop_near_duplicates(twice).collect()} == {1, 2, 3}

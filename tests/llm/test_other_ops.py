@@ -23,14 +23,15 @@ def brute(vectors, queries, n):
     return out
 
 
-def test_ann_recall(spark):
-    rows = spark.read.parquet(f"{SF01}/embeddings.parquet")
+@pytest.mark.parametrize("folder", [SF01, SF01.replace("0.01", "0.1")])
+def test_ann_recall(spark, folder):
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet")
     vectors = {r.vec_id: r.embedding for r in rows.collect()}
     queries = [i for i in vectors if i % 50 == 0]
-    got = ann.nearest(rows, rows.filter("vec_id % 50 = 0"), 5, block=128, least=24).collect()
+    got = ann.nearest(rows, rows.filter("vec_id % 50 = 0"), 5).collect()
     want = brute(vectors, queries, 5)
     hit = sum(r.vec_id in {i for _, i in want[r.query_id]} for r in got)
-    assert hit >= 0.9 * 5 * len(queries)
+    assert hit >= 0.95 * 5 * len(queries)
     assert sorted((r.query_id, r["rank"]) for r in got) == sorted((q, k) for q in queries for k in range(1, 6))
 
 

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from corpusmill.llm import common
 from corpusmill.llm import passages as P
 
 SCHEMA = "doc_id long, text string, h string, ranges string, m int, __new int"
@@ -69,7 +70,7 @@ def test_matches_brute_force(spark, rows, window, gram, hot):
 
 
 def test_full_bitmaps_change_nothing(spark, rows, monkeypatch):
-    monkeypatch.setattr(P, "FILTER", 7)
+    monkeypatch.setattr(common, "FILTER", 7)
     assert run(frame(spark, rows), window=8, gram=2) == digested(brute(rows, 8))
 
 

@@ -70,9 +70,7 @@ def test_bpe_columns_and_empty(spark):
 
 
 def word_ids(text):
-    t = Tokenizer.from_file(WORDS)
-    t.encode_special_tokens = True
-    return t.encode(text, add_special_tokens=False).ids
+    return Tokenizer.from_file(WORDS).encode(text, add_special_tokens=False).ids
 
 
 def test_word_coder_equals_the_library(monkeypatch):
@@ -80,7 +78,7 @@ def test_word_coder_equals_the_library(monkeypatch):
 
     monkeypatch.setattr(packing, "WORDS", 5)  # the memory is emptied all the time
     code = packing.WordCoder(WORDS)
-    texts = [t or "" for t in TEXTS] + ["The THE the, (the) we'll I'd", "́ lone", "ÀÉ ẖ H̱"]
+    texts = [t or "" for t in TEXTS] + ["The THE the, (the) we'll I'd", "́ lone", "ÀÉ ẖ H̱", "x <|endoftext|> y", "a<|endoftext|>b<|startoftext|> <|ENDOFTEXT|> <|endoftext| >", "é<|endoftext|>é"]
     for _ in range(2):
         off, ids = code.encode(pa.array(texts))
         for i, t in enumerate(texts):
