@@ -15,7 +15,7 @@ counted ``least`` times holds only words, pairs and triples of words counted ``l
 window is padded from its first triple on that is rarer. Which words, pairs and triples are frequent is
 told to the tasks by bitmaps of fixed size (2 ** FILTER bits each, 8 MB). Pairs and triples are counted by a 40-bit
 hash: what shares one only looks more frequent, and a false hit only leaves a longer window.
-Words, pairs, triples and windows are summed in the task's slice of text before they are shuffled, and by Spark's partial
+Words are summed in a slice of text, pairs, triples and windows in the whole task before they are shuffled, and by Spark's partial
 aggregates, so a hot one is a few rows a task.
 
 Every cut of a candidate has parts that are at least as frequent, so all counts needed are at hand.
@@ -28,7 +28,7 @@ an empty table gives an empty result; other columns are not read, whatever their
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import discard, map_slices, stored, strings
+from corpusmill.llm.common import discard, map_slices, stored, strings, text_slices
 from corpusmill.llm.passages import word_steps
 from corpusmill.llm.shingles import mix
 
@@ -49,7 +49,9 @@ THINNED = 3
 #: Bits of a bitmap, as a power of two.
 FILTER = 26
 #: Bytes of text whose words are summed before they leave the task.
-SLICE = 8 << 20
+SLICE = 4 << 20
+#: Rows of counts that a task holds and adds up before it hands them on.
+HELD = 1 << 20
 #: Bytes that end a piece, and those that separate its words.
 PIECE_END, WORD_END = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 
@@ -147,27 +149,61 @@ def _signed(a: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(a).view(np.int64))
 
 
-def _counted(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Distinct rows of the columns, where each stands first (by sort), and how often it stands."""
+def _summed(columns: list[np.ndarray], n: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Distinct rows of the columns, where each stands first (by sort), and the sum of its n (else how often it stands)."""
     order = np.lexsort(columns[::-1])
     rows = [c[order] for c in columns]
     new = np.ones(len(order), bool)
     if len(order):
         new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in rows])
     at = np.flatnonzero(new)
-    return [c[at] for c in rows], order[at], np.diff(np.append(at, len(order)))
+    total = np.diff(np.append(at, len(order))) if n is None else np.add.reduceat(n[order], at) if len(at) else n
+    return [c[at] for c in rows], order[at], total
+
+
+def _source(docs: DataFrame) -> DataFrame:
+    return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
 
 
 def _slices(docs: DataFrame, seed: int, one: Callable[[Words], pa.RecordBatch], schema: str) -> DataFrame:
-    source = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    return map_slices(source, "text", lambda: lambda batch: one(Words(batch, seed)), schema, SLICE)
+    return map_slices(_source(docs), "text", lambda: lambda batch: one(Words(batch, seed)), schema, SLICE)
+
+
+def _task_sums(docs: DataFrame, seed: int, one: Callable[[Words], list[np.ndarray]], names: list[str]) -> DataFrame:
+    """(names..., n): the rows that ``one`` makes of each slice, counted over the whole task; about ``HELD`` rows are held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[list[np.ndarray], np.ndarray]] = []
+
+        def merged() -> tuple[list[np.ndarray], np.ndarray]:
+            columns, _, n = _summed([np.concatenate(c) for c in zip(*(c for c, _ in held))], np.concatenate([n for _, n in held]))
+            return columns, n
+
+        def out() -> pa.RecordBatch:
+            (columns, n), = held
+            return pa.RecordBatch.from_arrays([*(_signed(c) for c in columns), pa.array(n)], names=[*names, "n"])
+
+        for batch in batches:
+            for part in text_slices(batch, "text", SLICE):
+                columns, _, n = _summed(one(Words(part, seed)))
+                held.append((columns, n))
+                if sum(len(n) for _, n in held) > HELD:
+                    held = [merged()]
+                    if len(held[0][1]) > HELD // 2:
+                        yield out()
+                        held = []
+        if held:
+            held = [merged()]
+            yield out()
+
+    return _source(docs).mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "n"]))
 
 
 def vocabulary(docs: DataFrame, seed: int = 0) -> DataFrame:
     """(lang, word, f, id) of all words."""
 
     def one(words: Words) -> pa.RecordBatch:
-        _, at, n = _counted([words.ids])
+        _, at, n = _summed([words.ids])
         names = pa.array([words.word(i) for i in at.tolist()], pa.binary()).cast(pa.string())
         langs = words.langs.take(pa.array(words.lang[at]))
         return pa.RecordBatch.from_arrays([langs, names, pa.array(n)], names=["lang", "word", "n"])
@@ -216,18 +252,17 @@ def frequent_runs(docs: DataFrame, maps: list[np.ndarray], seed: int = 0, least:
     """(id) of the runs, one word longer than those of the last map, whose hash is counted ``least`` times."""
     size = len(maps) + 1
 
-    def one(words: Words) -> pa.RecordBatch:
+    def one(words: Words) -> list[np.ndarray]:
         h = run_hashes(words.ids, size) if len(words.ids) >= size else np.zeros(0, np.uint64)
-        (h,), _, n = _counted([h[_near(words, maps)[-1][: len(h)]]])
-        return pa.RecordBatch.from_arrays([_signed(h), pa.array(n)], names=["id", "n"])
+        return [h[_near(words, maps)[-1][: len(h)]]]
 
-    return _slices(docs, seed, one, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("id")
+    return _task_sums(docs, seed, one, ["id"]).groupBy("id").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("id")
 
 
 def windows(docs: DataFrame, maps: list[np.ndarray], seed: int = 0, longest: int = LONGEST) -> DataFrame:
-    """(w1, ..., w5, n): the padded longest windows of two words or more and how often they stand in a slice."""
+    """(w1, ..., w5, n): the padded longest windows of two words or more and how often they stand in a task's texts."""
 
-    def one(words: Words) -> pa.RecordBatch:
+    def one(words: Words) -> list[np.ndarray]:
         near = _near(words, maps[:-1])  # as told by the maps below, then by the last one itself
         if len(words.ids) >= len(maps):
             h = run_hashes(words.ids, len(maps))
@@ -238,10 +273,9 @@ def windows(docs: DataFrame, maps: list[np.ndarray], seed: int = 0, longest: int
             size = min(k + 1, len(maps))  # the last run of this many words must be frequent; false where the slice ends
             alive = alive & near[size - 1][np.minimum(at + k + 1 - size, len(words.ids) - 1)]
             lead.append(np.where(alive, words.ids[np.minimum(at + k, len(words.ids) - 1)], np.uint64(0)))
-        columns, _, n = _counted(lead)
-        return pa.RecordBatch.from_arrays([*(_signed(c) for c in columns), pa.array(n)], names=[*_columns(longest), "n"])
+        return lead
 
-    return _slices(docs, seed, one, ", ".join(f"{c} long" for c in _columns(longest)) + ", n long")
+    return _task_sums(docs, seed, one, _columns(longest))
 
 
 def _columns(longest: int) -> list[str]:
