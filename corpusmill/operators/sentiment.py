@@ -1,5 +1,6 @@
 """Lexicon sentiment with negation and intensity rules (after Hutto &
-Gilbert 2014), per row as array expressions over a bounded lexicon map.
+Gilbert 2014): each text's words, told apart by what stands before them, are counted and joined with the lexicon,
+which may be of any size. Equal texts are scored once.
 
 Each lexicon word contributes its valence; a preceding booster (dampener) moves
 it by +0.293 (-0.293) away from zero; a negation among the three previous tokens
@@ -18,28 +19,15 @@ from corpusmill.functions import text as X
 BOOST = 0.293
 NEGATION_SCALAR = -0.74
 ALPHA = 15.0
-MAX_LEXICON = 100_000
 # Small default word lists (callers pass their own).
 NEGATIONS = ("not", "no", "never", "nor", "none", "nothing", "without", "cannot", "dont", "isnt", "wasnt")
 BOOSTERS = ("very", "really", "extremely", "so", "too", "most", "absolutely", "completely")
 DAMPENERS = ("slightly", "barely", "somewhat", "hardly", "little")
 
 
-def lexicon_map(lexicon: DataFrame) -> Column:
-    """The lexicon (word, valence) as a map literal; its size is checked."""
-    rows = lexicon.select("word", F.col("valence").cast("double")).limit(MAX_LEXICON + 1).collect()
-    if len(rows) > MAX_LEXICON:
-        raise ValueError(f"lexicon larger than {MAX_LEXICON} entries; join it instead of inlining it")
-    return F.create_map(*[x for r in sorted(rows) for x in (F.lit(r[0]), F.lit(float(r[1])))])
-
-
-def sentiment_sum(toks: Column, lex: Column, negations=NEGATIONS, boosters=BOOSTERS,
-                  dampeners=DAMPENERS) -> Column:
-    """Valence sum s of a token-array *column* (pass a column reference, not an
-    expression, so the tokens are computed once per row)."""
-    neg = F.array(*[F.lit(w) for w in negations])
-    up = F.array(*[F.lit(w) for w in boosters])
-    down = F.array(*[F.lit(w) for w in dampeners])
+def word_uses(toks: Column, negations=NEGATIONS, boosters=BOOSTERS, dampeners=DAMPENERS) -> Column:
+    """Array of (word, lift, negated) of a token-array *column*: lift is 1 after a booster, -1 after a dampener, else 0."""
+    neg, up, down = (F.array(*[F.lit(w) for w in ws]) for ws in (negations, boosters, dampeners))
 
     def prev(i, k):
         return F.when(i >= k, F.get(toks, i - k))
@@ -47,22 +35,30 @@ def sentiment_sum(toks: Column, lex: Column, negations=NEGATIONS, boosters=BOOST
     def member(words, x):
         return F.coalesce(F.array_contains(words, x), F.lit(False))
 
-    def contrib(i):
-        v = F.element_at(lex, F.get(toks, i))
-        sign = F.signum(v)
-        boosted = (v + F.when(member(up, prev(i, 1)), sign * BOOST)
-                   .when(member(down, prev(i, 1)), -sign * BOOST).otherwise(0.0))
+    def use(i):
+        lift = F.when(member(up, prev(i, 1)), 1).when(member(down, prev(i, 1)), -1).otherwise(0)
         negated = member(neg, prev(i, 1)) | member(neg, prev(i, 2)) | member(neg, prev(i, 3))
-        return F.when(v.isNull(), F.lit(0.0)).otherwise(F.when(negated, boosted * NEGATION_SCALAR).otherwise(boosted))
+        return F.struct(F.get(toks, i).alias("word"), lift.alias("lift"), negated.alias("negated"))
 
-    idx = F.sequence(F.lit(0), F.size(toks) - 1)
-    return F.when(F.size(toks) > 0, F.aggregate(F.transform(idx, contrib), F.lit(0.0), lambda a, x: a + x)).otherwise(
-        0.0)
+    return F.when(F.size(toks) > 0, F.transform(F.sequence(F.lit(0), F.size(toks) - 1), use))
 
 
 def sentiment(df: DataFrame, text: str, lexicon: DataFrame, out: str = "compound") -> DataFrame:
-    """One compound score per row of ``df``."""
-    lex = lexicon_map(lexicon)
-    t = df.withColumn("__toks", X.split_words(X.normalize_text(text)))
-    t = t.withColumn("__s", sentiment_sum(F.col("__toks"), lex))
-    return t.withColumn(out, F.col("__s") / F.sqrt(F.col("__s") * F.col("__s") + F.lit(ALPHA))).drop("__toks", "__s")
+    """One compound score per row of ``df``; null and empty texts score 0.
+
+    A word that the lexicon (word, valence) repeats has its mean valence; null words and valences are left out."""
+    key = "__text"
+    while key in df.columns:
+        key += "_"
+    digest = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
+    valence = lexicon.select("word", F.col("valence").cast("double").alias("v")).dropna().groupBy("word").agg(F.avg("v").alias("v"))
+    toks = df.select(digest.alias("d"), X.split_words(X.normalize_text(text)).alias("toks"))
+    copies = df.select(digest.alias("d")).groupBy("d").agg(F.count(F.lit(1)).alias("copies"))
+    uses = toks.select("d", F.inline(word_uses(F.col("toks")))).groupBy("d", "word", "lift", "negated").agg(F.count(F.lit(1)).alias("n"))
+    lifted = F.col("v") + F.col("lift") * F.signum("v") * BOOST
+    each = F.when(F.col("negated"), lifted * NEGATION_SCALAR).otherwise(lifted)
+    sums = uses.join(valence, "word").groupBy("d").agg(F.sum(F.col("n") * each).alias("s"))
+    scores = sums.join(copies, "d").select(F.col("d").alias(key), (F.col("s") / F.col("copies")).alias(f"{key}s"))
+    s = F.coalesce(f"{key}s", F.lit(0.0))
+    j = df.withColumn(key, digest).join(scores, key, "left")
+    return j.withColumn(out, s / F.sqrt(s * s + F.lit(ALPHA))).drop(key, f"{key}s")

@@ -93,3 +93,19 @@ def test_blocks_of_a_hot_term_stay_unread(spark, corpus):
     want = TX.search_blocks(queries, blocks, TX.vocabulary(corpus), doc_map).collect()
     got = TX.search_blocks(queries, poison, TX.vocabulary(corpus), doc_map).collect()
     assert sorted(got) == sorted(want) and len(got) == 6
+
+
+# ------------------------------------------------------------ sentiment
+def test_sentiment_joins_a_lexicon_of_any_size(spark):
+    from corpusmill.operators import sentiment as SE
+
+    many = spark.range(150_000).select(F.concat(F.lit("w"), "id").alias("word"), (F.col("id") % 5 - 2).cast("double").alias("valence"))
+    odd = spark.createDataFrame([("good", 1.0), ("good", 3.0), (None, 1.0), ("bad", None)], "word string, valence double")
+    lexicon = many.unionByName(odd)
+    rows = [(1, "good"), (2, "very good, w149999"), (3, "not w4"), (4, None), (5, ""), (6, "bad unknown"), (7, "good"), (7, "good")]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "id long, text string, word string, d int")
+    got = sorted((r.id, round(r.compound, 9), r.word, r.d) for r in SE.sentiment(df, "text", lexicon).collect())
+    raw = {1: 2.0, 2: 2 + 0.293 + 2.0, 3: 2 * -0.74, 4: 0, 5: 0, 6: 0, 7: 2.0}
+    assert got == sorted((i, round(raw[i] / (raw[i] ** 2 + 15) ** 0.5, 9), "x", 1) for i, _ in rows)
+    plan = SE.sentiment(df, "text", lexicon)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
