@@ -125,11 +125,11 @@ def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, out: str =
 def term_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", stops=STOP_WORDS_EN,
                 accents: bool = True) -> DataFrame:
     """M1: long-form term counts (key, term, n): lower-case, accents stripped,
-    vectoriser tokens, English stop words removed (broadcast anti join)."""
+    vectoriser tokens, English stop words removed (anti join)."""
     t = X.strip_accents(F.col(text)) if accents else F.col(text)
     toks = docs.select(key, F.explode_outer(X.vec_tokens(t)).alias("term")).filter(F.col("term").isNotNull())
     stop_df = docs.sparkSession.createDataFrame([(w,) for w in stops], "term string")
-    toks = toks.join(F.broadcast(stop_df), "term", "left_anti")
+    toks = toks.join(stop_df, "term", "left_anti")  # AQE broadcasts a short list
     return toks.groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -42,8 +42,42 @@ class PageRankResult:
     stopped_at: int | None    # first node meeting the threshold (stop rule), if any
 
 
+#: Out-edges from which on a node's edges are cut into chunks, each with a copy of the node's rank.
+HUB = 100_000
+
+
+class CutEdges:
+    """Edges (src, dst, out) dealt out once for all iterations: those of ordinary sources by source, so that rank tables
+    partitioned alike need no shuffle; those of hubs by source and chunk (a hash of dst), so that no task holds a hub."""
+
+    def __init__(self, adj: DataFrame, parts: int, hub: int = HUB) -> None:
+        sizes = adj.groupBy("src").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hub)
+        self.hubs = cut_lineage(sizes.select("src", F.ceil(F.col("n") / hub).alias("k")))
+        self.heavy = None
+        if not self.hubs.isEmpty():
+            heavy = adj.join(self.hubs, "src").withColumn("chunk", F.pmod(F.xxhash64("dst"), F.col("k"))).drop("k")
+            self.heavy = heavy.repartition(parts, "src", "chunk").cache()
+            adj = adj.join(self.hubs, "src", "left_anti")
+        self.light = adj.repartition(parts, "src").cache()
+
+    def contributions(self, ranks: DataFrame) -> DataFrame:
+        """(node, s): the sums of pr / out over in-links; partial sums of all chunks and tasks are merged."""
+        ranks = ranks.select(F.col("node").alias("src"), "pr")
+        share = (F.col("pr") / F.col("out")).alias("c")
+        each = self.light.join(ranks, "src").select("dst", share)
+        if self.heavy is not None:
+            copies = self.hubs.join(ranks, "src").select("src", "pr", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)).alias("chunk"))
+            each = each.unionByName(self.heavy.join(copies, ["src", "chunk"]).select("dst", share))
+        return each.groupBy(F.col("dst").alias("node")).agg(F.sum("c").alias("s"))
+
+    def release(self) -> None:
+        for frame in (self.light, self.heavy):
+            if frame is not None:
+                frame.unpersist()
+
+
 def pagerank(edges: DataFrame, nodes: DataFrame, lam: float = 0.25, max_iter: int = 20, thr: float = 0.0,
-             dup: str = "distinct", stop: str = "any", checkpoint_every: int = 5) -> PageRankResult:
+             dup: str = "distinct", stop: str = "any", checkpoint_every: int = 5, hub: int = HUB) -> PageRankResult:
     """pr' = lam / N + (1 - lam) * sum over in-links k of pr(k) / out(k),
     synchronous, start 1/N, no redistribution of dangling mass.
 
@@ -64,8 +98,8 @@ def pagerank(edges: DataFrame, nodes: DataFrame, lam: float = 0.25, max_iter: in
     else:
         raise ValueError("dup must be 'distinct' or 'reference'")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Edge x out-degree, partitioned by src once and reused by every iteration
-    adj = links.join(out, "src").repartition(parts, "src").cache()
+    # Edge x out-degree, dealt out once and reused by every iteration
+    adj = CutEdges(links.join(out, "src"), parts, hub)
     # nodes (and so every rank table) hash-partitioned like the edges: each
     # iteration then shuffles only the contributions
     nodes = nodes.repartition(parts, "node").cache()
@@ -73,9 +107,7 @@ def pagerank(edges: DataFrame, nodes: DataFrame, lam: float = 0.25, max_iter: in
     stopped_at = None
     it = 0
     while it < max_iter:
-        contrib = adj.join(ranks.withColumnRenamed("node", "src"), "src").groupBy(F.col("dst").alias("node")).agg(
-            F.sum(F.col("pr") / F.col("out")).alias("s"))
-        new = nodes.join(contrib, "node", "left").select(
+        new = nodes.join(adj.contributions(ranks), "node", "left").select(
             "node", (F.lit(lam / n) + F.lit(1.0 - lam) * F.coalesce("s", F.lit(0.0))).alias("pr"))
         it += 1
         if (it % checkpoint_every) == 0:
@@ -96,7 +128,7 @@ def pagerank(edges: DataFrame, nodes: DataFrame, lam: float = 0.25, max_iter: in
         ranks = new
     # the result is lazy: materialise it before releasing the cached inputs it reads
     ranks = cut_lineage(ranks)
-    adj.unpersist()
+    adj.release()
     nodes.unpersist()
     return PageRankResult(ranks, it, stopped_at)
 
@@ -106,7 +138,7 @@ def lookup(ranks: DataFrame, ids: DataFrame) -> DataFrame:
     return ranks.join(ids.select(F.col("node").cast("bigint").alias("node")), "node", "left_semi")
 
 
-def bipartite_rank(pairs: DataFrame, left: str, right: str, iters: int = 20) -> DataFrame:
+def bipartite_rank(pairs: DataFrame, left: str, right: str, iters: int = 20, hub: int = HUB) -> DataFrame:
     """JR(u) = sum over linked v of JR(v) / L(v) on a bipartite graph (both
     directions), no teleport, start 1/N over all vertices."""
     l_ = pairs.select(F.concat(F.lit("L:"), F.col(left).cast("string")).alias("a"),
@@ -117,16 +149,13 @@ def bipartite_rank(pairs: DataFrame, left: str, right: str, iters: int = 20) ->
     parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     verts = edges.select(F.col("src").alias("node")).distinct().repartition(parts, "node").cache()
     n = verts.count()
-    adj = edges.join(deg, "src").repartition(parts, "src").cache()
+    adj = CutEdges(edges.join(deg, "src"), parts, hub)
     ranks = verts.select("node", F.lit(1.0 / n).alias("pr"))
     for it in range(1, iters + 1):
-        ranks = verts.join(
-            adj.join(ranks.withColumnRenamed("node", "src"), "src").groupBy(F.col("dst").alias("node")).agg(
-                F.sum(F.col("pr") / F.col("out")).alias("pr")), "node", "left").select(
-            "node", F.coalesce("pr", F.lit(0.0)).alias("pr"))
+        ranks = verts.join(adj.contributions(ranks), "node", "left").select("node", F.coalesce("s", F.lit(0.0)).alias("pr"))
         if it % 5 == 0:
             ranks = cut_lineage(ranks)
     ranks = cut_lineage(ranks)
-    adj.unpersist()
+    adj.release()
     verts.unpersist()
     return ranks

@@ -65,7 +65,7 @@ def tokenize(docs: DataFrame, text: str = "text", key: str = "doc_id", stops: Da
     if min_len:
         toks = toks.filter(F.length("token") > min_len)
     if stops is not None:
-        toks = toks.join(F.broadcast(stops.select("token")), "token", "left_anti")
+        toks = toks.join(stops.select("token"), "token", "left_anti")  # AQE broadcasts a short list
     return toks
 
 

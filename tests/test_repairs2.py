@@ -109,3 +109,25 @@ def test_sentiment_joins_a_lexicon_of_any_size(spark):
     assert got == sorted((i, round(raw[i] / (raw[i] ** 2 + 15) ** 0.5, 9), "x", 1) for i, _ in rows)
     plan = SE.sentiment(df, "text", lexicon)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+# ------------------------------------------------------------ hubs
+def test_hub_edges_are_cut(spark):
+    from corpusmill.operators import graph as G
+
+    rows = [(0, i) for i in range(1, 4001)] + [(i, (i * 7) % 300) for i in range(1, 400)] + [(i, 0) for i in range(1, 3000, 3)]
+    edges = spark.createDataFrame(rows, "src long, dst long")
+    nodes = spark.range(4001).withColumnRenamed("id", "node")
+    plain = {r.node: r.pr for r in G.pagerank(edges, nodes, max_iter=4).ranks.collect()}
+    cut = {r.node: r.pr for r in G.pagerank(edges, nodes, max_iter=4, hub=200).ranks.collect()}
+    assert plain.keys() == cut.keys() and max(abs(plain[k] - cut[k]) for k in plain) < 1e-15
+    links = edges.distinct().join(edges.distinct().groupBy("src").agg(F.count(F.lit(1)).alias("out")), "src")
+    dealt = G.CutEdges(links, 16, 200)
+    sizes = [r["count"] for r in dealt.heavy.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 4000 and len(sizes) >= 8 and max(sizes) <= 5 * sorted(sizes)[len(sizes) // 2]
+    assert dealt.light.filter("src = 0").isEmpty()
+    dealt.release()
+    both = spark.createDataFrame([(1, i) for i in range(500)] + [(i, i % 9) for i in range(2, 60)], "u long, v long")
+    a = {r.node: r.pr for r in G.bipartite_rank(both, "u", "v", 3).collect()}
+    b = {r.node: r.pr for r in G.bipartite_rank(both, "u", "v", 3, hub=50).collect()}
+    assert a.keys() == b.keys() and max(abs(a[k] - b[k]) for k in a) < 1e-15
