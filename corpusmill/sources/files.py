@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from corpusmill.functions import text as X
 from corpusmill.session import small_side
+from corpusmill.sources.split import cut_records
 
 CORRUPT = "_corrupt_record"
 
@@ -25,15 +26,14 @@ CORRUPT = "_corrupt_record"
 def read_articles(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """S1 (Q1): JSON files, each an array of objects; one row per item with its
     ``text``. Returns (articles(path, text), errors(path)) — unreadable files are
-    reported, not fatal."""
-    schema = T.StructType([T.StructField("text", T.StringType()), T.StructField(CORRUPT, T.StringType())])
-    raw = (spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", CORRUPT).json(path)
-           .withColumn("path", F.input_file_name()))
-    raw = raw.cache()  # a corrupt-record column may only be queried on a materialised scan
-    errors = raw.filter(F.col(CORRUPT).isNotNull()).select("path").distinct()
-    arts = raw.filter(F.col(CORRUPT).isNull() & F.col("text").isNotNull()).select("path", "text")
-    return arts, errors
+    reported, not fatal, and give no article. A file is read by many tasks (``sources.split``)."""
+    records, files = cut_records(spark, path, "json")
+    items = records.select("path", F.from_json("record", f"text string, {CORRUPT} string",
+                                               {"columnNameOfCorruptRecord": CORRUPT}).alias("item"))
+    bad = files.filter("not complete").select("path").union(items.filter(F.col(f"item.{CORRUPT}").isNotNull()).select("path"))
+    bad = small_side(bad.distinct())
+    arts = items.join(bad, "path", "left_anti").filter(F.col("item.text").isNotNull()).select("path", "item.text")
+    return arts, bad
 
 
 # --------------------------------------------------------------------------- S2
@@ -52,8 +52,14 @@ def read_edges(spark: SparkSession, path: str) -> tuple[DataFrame, int | None]:
 
 # --------------------------------------------------------------------------- S3 / S4
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """S3: CSV with a header row, quoted multi-line fields, explicit schema."""
-    return spark.read.csv(path, header=True, schema=schema, multiLine=True, escape='"')
+    """S3: CSV with a header row, quoted multi-line fields, explicit schema. A file is read by many tasks
+    (``sources.split``); as with Spark's own reader, fields that do not fit are null."""
+    if isinstance(schema, T.StructType):
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    records, _ = cut_records(spark, path, "csv")
+    line = F.regexp_replace("record", r"\r?\n\z", "")
+    rows = records.filter(~F.col("first")).select(line.alias("line")).filter("line != ''")
+    return rows.select(F.from_csv("line", schema, {"escape": '"', "multiLine": "true"}).alias("row")).select("row.*")
 
 
 def read_labelled(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
