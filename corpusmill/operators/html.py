@@ -66,17 +66,20 @@ def main_content(pages: DataFrame, key: str = "page_id", html: str = "html") ->
     b = pages.select(key, X.page_bits(html).alias("bits"), X.page_words(html).alias("words"))
     n = F.length("bits")
     ones = n - F.length(F.regexp_replace("bits", "1", ""))
-    acc = _fold_span(F.col("bits"))
     one_char = F.when(F.substring("bits", 1, 1) == "0", 1).otherwise(-1)
     short = n < 2
-    i = F.when(short, F.lit(0)).otherwise(acc["bi"])
-    j = F.when(short, F.lit(1)).otherwise(acc["bj"])
-    si = F.when(short, F.lit(0)).otherwise(acc["bsi"])
-    sj = F.when(short, F.when(n == 1, one_char).otherwise(0)).otherwise(acc["bsj"])
-    out = b.select(
-        key, "words", n.alias("n"), i.alias("i"), j.alias("j"), (ones + sj - si).alias("f"),
-        ((i + si) / 2).cast("int").alias("start"), (((j + sj) - (i + si)) / 2).cast("int").alias("len"),
-    )
+
+    def span(acc: Column) -> Column:
+        """All fields of one fold; read within one lambda, or the optimiser repeats the fold for each."""
+        i = F.when(short, F.lit(0)).otherwise(acc["bi"])
+        j = F.when(short, F.lit(1)).otherwise(acc["bj"])
+        si = F.when(short, F.lit(0)).otherwise(acc["bsi"])
+        sj = F.when(short, F.when(n == 1, one_char).otherwise(0)).otherwise(acc["bsj"])
+        return F.struct(i.alias("i"), j.alias("j"), (ones + sj - si).alias("f"), ((i + si) / 2).cast("int").alias("start"),
+                        (((j + sj) - (i + si)) / 2).cast("int").alias("len"))
+
+    spans = F.transform(F.array(_fold_span(F.col("bits"))), span)
+    out = b.select(key, "words", n.alias("n"), F.inline_outer(spans))
     content = F.array_join(F.slice("words", F.col("start") + 1, F.greatest(F.col("len"), F.lit(0))), " ")
     return out.select(
         key, F.col("n").cast("bigint").alias("n"), F.col("i").cast("bigint").alias("i"),

@@ -12,7 +12,8 @@ from typing import Sequence
 import numpy as np
 import pandas as pd
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import keyword_only
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LinearSVC,
@@ -25,6 +26,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.feature import (
     IDF,
     CountVectorizer,
+    ElementwiseProduct,
     HashingTF,
     Normalizer,
     RegexTokenizer,
@@ -34,6 +36,8 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,9 +48,23 @@ from corpusmill.operators import stats as ST
 NUM_HASH_FEATURES = 1 << 17
 
 
+class SmoothIDF(Estimator, HasInputCol, HasOutputCol):
+    """Weights tf * (ln((1 + N) / (1 + df)) + 1), as ``features.tfidf_raw`` has them: MLlib's IDF and one more tf. The fitted
+    stage is MLlib's own product with a fixed vector, so it is stored and loaded as any other."""
+
+    @keyword_only
+    def __init__(self, *, inputCol: str, outputCol: str) -> None:
+        super().__init__()
+        self._set(inputCol=inputCol, outputCol=outputCol)
+
+    def _fit(self, df: DataFrame) -> ElementwiseProduct:
+        weights = IDF(inputCol=self.getInputCol()).fit(df).idf.toArray() + 1.0
+        return ElementwiseProduct(inputCol=self.getInputCol(), outputCol=self.getOutputCol(), scalingVec=Vectors.dense(weights))
+
+
 def text_stages(text: str = "text", vocab: bool = False, idf: bool = True, min_df: float = 1.0,
                 n_features: int = NUM_HASH_FEATURES, vocab_size: int = 1 << 24) -> list:
-    """Tokenise (vectoriser pattern, lower-case) -> stop words -> counts -> IDF -> L2.
+    """Tokenise (vectoriser pattern, lower-case) -> stop words -> counts -> IDF (M2) -> L2.
 
     ``vocab=True`` uses CountVectorizer (at most ``vocab_size`` terms, fitted and held by the model);
     the default hashes terms to ``n_features`` slots, so nothing vocabulary-sized reaches the driver.
@@ -61,7 +79,7 @@ def text_stages(text: str = "text", vocab: bool = False, idf: bool = True, min_d
     else:
         stages.append(HashingTF(inputCol="_terms", outputCol=tf_out, numFeatures=n_features))
     if idf:
-        stages += [IDF(inputCol=tf_out, outputCol="_tfidf"), Normalizer(inputCol="_tfidf", outputCol="features", p=2.0)]
+        stages += [SmoothIDF(inputCol=tf_out, outputCol="_tfidf"), Normalizer(inputCol="_tfidf", outputCol="features", p=2.0)]
     else:
         stages.append(Normalizer(inputCol=tf_out, outputCol="features", p=2.0))
     return stages

@@ -136,9 +136,9 @@ def q_calibrated(spark, sf):
 
 @register("cv_scores")
 def q_cv_scores(spark, sf):
-    d = table(spark, sf, "labels").join(table(spark, sf, "documents").select("doc_id", "text"), "doc_id").select(
-        "doc_id", "text", F.col("quality").cast("double").alias("label"))
-    d = FE.stratified_folds(d, "label", "doc_id", 5)
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    keys = table(spark, sf, "labels").join(docs.select("doc_id"), "doc_id").select("doc_id", F.col("quality").cast("double").alias("label"))
+    d = docs.join(FE.stratified_folds(keys, "label", "doc_id", 5), "doc_id")  # folds are dealt out by key; texts join them
     return M.cross_validate(d, M.text_stages(), M.classifier("complement"), "label", "fold", 5)
 
 
