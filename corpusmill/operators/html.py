@@ -1,5 +1,5 @@
-"""Stored-page jobs: main-content span, links, page collection and boilerplate
-classes (T7-T10, T13, X8, X9, X16, X20, P8, J6, W4, W9, O8).
+"""Stored-page jobs: main-content span, links, page collection and page records
+(T7, T8, T10, T13, X8, X9, X16, X20, P8, J6, W4, O8); boilerplate classes are in ``paragraphs``.
 
 Pages are independent rows, so everything per page is a row expression (regex,
 higher-order array functions) or a window partitioned by page; nothing shuffles
@@ -12,17 +12,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import text as X
 from corpusmill.operators.ordered import dense_id
-from corpusmill.operators.text import STOP_WORDS_EN
-
-# Boilerplate classifier thresholds (jusText defaults, Pomikalek 2011).
-LENGTH_LOW = 70
-LENGTH_HIGH = 200
-STOPWORDS_LOW = 0.30
-STOPWORDS_HIGH = 0.32
-MAX_LINK_DENSITY = 0.2
-# Block-level tags that separate text blocks.
-BLOCK_TAGS = r"(?i)</?(p|div|h[1-6]|li|ul|ol|dl|dt|dd|td|th|tr|table|article|section|nav|header|footer|aside|main|br|title|blockquote|pre|form|body|head|html)(\s[^>]*)?/?>"
-SCRIPT_STYLE = r"(?is)<(script|style)[^>]*>.*?</\1>|<!--.*?-->"
+from corpusmill.operators.paragraphs import good_text
 
 
 def _fold_span(bits: Column) -> Column:
@@ -155,72 +145,12 @@ def published(pages: DataFrame, key: str = "page_id") -> DataFrame:
     return pages.select(key, X.published_at("html").alias("published_at"))
 
 
-# --------------------------------------------------------------------------- T9 / T10
-def blocks(pages: DataFrame, key: str = "page_id", stops=STOP_WORDS_EN) -> DataFrame:
-    """Text blocks of each page with the classifier's features: length, link
-    density and stop-word density. Script, style and comments are removed first."""
-    body = F.regexp_replace(F.regexp_replace("html", SCRIPT_STYLE, " "), BLOCK_TAGS, "\u0001")
-    parts = pages.select(key, F.posexplode_outer(F.split(body, "\u0001")).alias("block", "raw")).filter(
-        F.col("raw").isNotNull())
-    link_text = F.array_join(F.regexp_extract_all("raw", F.lit(r"(?is)<a[^>]*>(.*?)</a>"), 1), " ")
-    clean = lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]*>", " "), r"[ \t\r\n]+", " "))
-    b = parts.select(key, "block", clean("raw").alias("text"), clean(link_text).alias("link_text"))
-    b = b.filter(F.col("text") != "")
-    words = X.split_words(F.lower(X.strip_punct("text")))
-    stop_arr = F.array(*[F.lit(w) for w in stops])
-    return b.select(
-        key, "block", "text",
-        F.length("text").alias("length"),
-        (F.length("link_text") / F.length("text")).alias("link_density"),
-        F.size(words).alias("n_words"),
-        F.size(F.filter(words, lambda w: F.array_contains(stop_arr, w))).alias("n_stop"),
-    )
-
-
-def classify_blocks(blk: DataFrame, key: str = "page_id") -> DataFrame:
-    """Context-free class, then neighbour smoothing (W9) over each page:
-    short blocks take the class of their nearest non-short neighbours when those
-    agree, otherwise they become near-good; near-good blocks are good when a
-    nearest good-or-bad neighbour is good. Page edges count as bad."""
-    sd = F.when(F.col("n_words") > 0, F.col("n_stop") / F.col("n_words")).otherwise(0.0)
-    cf = (
-        F.when(F.col("link_density") > MAX_LINK_DENSITY, "bad")
-        .when(F.col("length") < LENGTH_LOW, F.when(F.col("link_density") > 0, "bad").otherwise("short"))
-        .when(sd >= STOPWORDS_HIGH, F.when(F.col("length") > LENGTH_HIGH, "good").otherwise("neargood"))
-        .when(sd >= STOPWORDS_LOW, "neargood")
-        .otherwise("bad")
-    )
-    b = blk.withColumn("cf_class", cf)
-    before = Window.partitionBy(key).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy(key).orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
-    nonshort = F.when(F.col("cf_class") != "short", F.col("cf_class"))
-    prev_ns = F.coalesce(F.last(nonshort, ignorenulls=True).over(before), F.lit("bad"))
-    next_ns = F.coalesce(F.last(nonshort, ignorenulls=True).over(after), F.lit("bad"))
-    stage1 = F.when(
-        F.col("cf_class") == "short",
-        F.when((prev_ns == "good") & (next_ns == "good"), "good")
-        .when((prev_ns == "bad") & (next_ns == "bad"), "bad")
-        .otherwise("neargood"),
-    ).otherwise(F.col("cf_class"))
-    b = b.withColumn("s1", stage1)
-    decided = F.when(F.col("s1").isin("good", "bad"), F.col("s1"))
-    prev_d = F.coalesce(F.last(decided, ignorenulls=True).over(before), F.lit("bad"))
-    next_d = F.coalesce(F.last(decided, ignorenulls=True).over(after), F.lit("bad"))
-    final = F.when(F.col("s1") == "neargood", F.when((prev_d == "good") | (next_d == "good"), "good").otherwise("bad"))
-    return b.withColumn("class", final.otherwise(F.col("s1"))).drop("s1")
-
-
+# --------------------------------------------------------------------------- T10
 def extract_page(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    """Page record: main text (good blocks joined by newline), links and
-    published time."""
-    good = classify_blocks(blocks(pages, key), key).filter(F.col("class") == "good")
-    content = good.groupBy(key).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "text"))), lambda s: s["text"]),
-                     "\n").alias("content"))
-    one = pages.select(key, "url", X.page_links("html").alias("hrefs"), X.published_at("html").alias("published_at"))
-    one = one.select(key, "url", "published_at", F.transform("hrefs", lambda h: X.resolve_link(h, F.col("url"))).alias("links"))
-    return one.join(content, key, "left").select(
-        key, "url", F.coalesce("content", F.lit("")).alias("content"), "links", "published_at")
+    """Page record: main text (good paragraphs, one a line), links and published time; a row expression of each page."""
+    cols = [F.col(key), F.col("url"), X.page_links("html"), X.published_at("html")]
+    r = good_text(pages, cols).toDF(key, "url", "hrefs", "published_at", "content")
+    return r.select(key, "url", "content", F.transform("hrefs", lambda h: X.resolve_link(h, F.col("url"))).alias("links"), "published_at")
 
 
 # --------------------------------------------------------------------------- T11

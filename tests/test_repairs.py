@@ -10,6 +10,7 @@ from corpusmill.functions import text as X
 from corpusmill.operators import cluster as C
 from corpusmill.operators import features as FE
 from corpusmill.operators import html as H
+from corpusmill.operators import paragraphs as PG
 from corpusmill.operators import models as M
 from corpusmill.operators import ordered as O
 from corpusmill.operators import stats as ST
@@ -144,7 +145,7 @@ def test_intake_numbers_go_on(spark, tmp_path):
 
 def test_frames_run_from_the_end(spark):
     pages = spark.createDataFrame([(1, "<a>x<b>yy zz")], "page_id long, html string")
-    for df in (H.surface_row_max(pages), H.classify_blocks(H.blocks(pages))):
+    for df in (H.surface_row_max(pages), PG.classified_blocks(pages)):
         assert "unboundedfollowing" not in df._jdf.queryExecution().optimizedPlan().toString().lower()
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corpusmill.operators import cluster as C
 from corpusmill.operators import features as FE
 from corpusmill.operators import html as H
+from corpusmill.operators import paragraphs as PG
 from corpusmill.operators import stats as ST
 from tests.conftest import SF01
 
@@ -112,7 +113,7 @@ def test_block_classes(spark):
     good = "<p>" + " ".join(["the cat is on the mat and it is not in the house"] * 20) + "</p>"
     bad = "<div><a href='/x'>link one</a> <a href='/y'>link two</a></div>"
     df = spark.createDataFrame([(0, "<html><body>" + bad + good + bad + "</body></html>")], "page_id long, html string")
-    cls = [r["class"] for r in H.classify_blocks(H.blocks(df)).orderBy("block").collect()]
+    cls = [r["class"] for r in PG.classified_blocks(df).orderBy("block").collect()]
     assert cls == ["bad", "good", "bad"]
 
 
