@@ -22,7 +22,7 @@ EPS_KERAS = 1e-7
 
 
 # --------------------------------------------------------------------------- quantiles
-def _same_keys(by: Sequence[str]) -> Column:
+def same_keys(by: Sequence[str]) -> Column:
     """Null-safe equality of the keys with their copies __k0, __k1, ..."""
     out = F.lit(True)
     for i, k in enumerate(by):
@@ -41,7 +41,7 @@ def quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence[str]
     c = prefix_sum(d, by + [value], "__w", "__cum").withColumn("__lo", F.col("__cum") - F.col("__w"))
     if by:
         ks = c.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(by)]).agg(F.min("__lo").alias("__base"), F.sum("__w").alias("__n"))
-        c = c.join(small_side(ks), _same_keys(by)).drop(*[f"__k{i}" for i in range(len(by))])
+        c = c.join(small_side(ks), same_keys(by)).drop(*[f"__k{i}" for i in range(len(by))])
         base, n = F.col("__base"), F.col("__n")
     else:
         base, n = F.lit(0).cast("bigint"), d.select(F.sum("__w")).scalar()
@@ -84,7 +84,7 @@ def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> D
     df = df.filter(x.isNotNull() & ~F.isnan(x))
     if by:
         mm = df.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(by)]).agg(F.min(x).alias("__mn"), F.max(x).alias("__mx"))
-        j = df.join(small_side(mm), _same_keys(by))
+        j = df.join(small_side(mm), same_keys(by))
     else:  # global bounds enter as scalar subqueries
         j = df.withColumn("__mn", df.select(F.min(x)).scalar()).withColumn("__mx", df.select(F.max(x)).scalar())
     width = (F.col("__mx") - F.col("__mn")) / F.lit(bins)
@@ -102,7 +102,7 @@ def boxplot(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     qs = quantiles(df, value, [0.25, 0.5, 0.75], by)
     wide = qs.groupBy(*by).pivot("q", [0.25, 0.5, 0.75]).agg(F.first("quantile")).toDF(*by, "q1", "median", "q3")
     keyed = small_side(wide.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(by)], "q1", "median", "q3"))
-    j = df.select(*by, F.col(value).cast("double").alias("x")).join(keyed, _same_keys(by))
+    j = df.select(*by, F.col(value).cast("double").alias("x")).join(keyed, same_keys(by))
     iqr = F.col("q3") - F.col("q1")
     lo_f, hi_f = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
     return j.groupBy(*by, "q1", "median", "q3").agg(

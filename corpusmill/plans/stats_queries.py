@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as X
+from corpusmill.operators import sketches as SK
 from corpusmill.operators import stats as ST
 from corpusmill.plans import sqlfrag as S
 from corpusmill.plans.registry import register
@@ -310,3 +311,42 @@ def q_drop_all_zero(spark, sf):
         "l_orderkey", "l_linenumber", F.round("l_quantity").cast("int").alias("q"),
         F.round(F.col("l_discount") * 100).cast("int").alias("d"), F.round(F.col("l_tax") * 100).cast("int").alias("t"))
     return drop_all_zero(li, ["q", "d", "t"])
+
+
+# A6 / A7 / A9 / A11 from stored summaries -------------------------------------------
+PARTED = ["l_quantity", "l_extendedprice", "l_discount", "l_suppkey"]
+
+
+def _month_parts(spark, sf):
+    """Line items summed up by month of shipping and return flag, stored once and read back."""
+    import uuid
+
+    from corpusmill.session import ensure_checkpoint_dir
+
+    path = f"{ensure_checkpoint_dir(spark)}/line-months-{uuid.uuid4().hex}"
+    li = table(spark, sf, "lineitem")
+    SK.store(SK.summarise(li, PARTED, F.date_format("l_shipdate", "yyyy-MM"), ["l_returnflag"]), path)
+    return SK.stored(spark, path)
+
+
+_MOMENTS_SQL = " UNION ALL ".join(
+    f"SELECT l_returnflag, '{c}' AS \"column\", count({c}) AS count, count(*) - count({c}) AS missing, round(avg({c}), {R}) AS mean, "
+    f"round(stddev_samp({c}), {R}) AS std, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM lineitem GROUP BY l_returnflag"
+    for c in PARTED)
+
+
+@register("describe_merged", _MOMENTS_SQL)
+def q_describe_merged(spark, sf):
+    d = SK.describe_sketch(_month_parts(spark, sf), ["l_returnflag"])
+    return d.select("l_returnflag", "column", "count", "missing", F.round("mean", R).alias("mean"), F.round("std", R).alias("std"), "min", "max")
+
+
+@register("describe_sketch")
+def q_describe_sketch(spark, sf):
+    """Quartiles and distinct counts of the whole table from the months' sketches (estimates)."""
+    return SK.describe_sketch(_month_parts(spark, sf)).select("column", "count", "q25", "q50", "q75", "distinct")
+
+
+@register("boxplot_sketch")
+def q_boxplot_sketch(spark, sf):
+    return SK.boxplot_sketch(_month_parts(spark, sf), ["l_returnflag"])
