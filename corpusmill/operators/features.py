@@ -149,3 +149,15 @@ def tfidf(counts: DataFrame, key: str = "doc_id") -> DataFrame:
     w = tfidf_raw(counts, key)
     norm = w.groupBy(key).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
     return w.join(norm, key).select(key, "term", (F.col("weight") / F.col("norm")).alias("weight"))
+
+
+def tfidf_fitted(counts: DataFrame, train: DataFrame, key: str = "doc_id") -> DataFrame:
+    """M2/M3 for scoring: rows of ``counts`` weighed by the document frequencies of the training counts ``train`` and brought to
+    unit length; terms that no training document holds are left out, as a fitted vectoriser leaves them out."""
+    train = cut_lineage(train)
+    n_docs = train.select(F.count_distinct(key)).scalar()
+    df_ = train.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    w = cut_lineage(counts.join(df_, "term").select(
+        key, "term", (F.col("n") * (F.log((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + 1)).alias("weight")))
+    norm = w.groupBy(key).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
+    return w.join(norm, key).select(key, "term", (F.col("weight") / F.col("norm")).alias("weight"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.operators import cluster as C
 from corpusmill.operators import features as FE
+from corpusmill.operators import kernels as KN
 from corpusmill.operators import models as M
 from corpusmill.operators import sparse as SP
 from corpusmill.operators import stats as ST
@@ -124,6 +125,22 @@ def q_svm_rbf(spark, sf):
     return m.transform(te).select("vec_id", "label", F.col("prediction").cast("double").alias("prediction"))
 
 
+@register("svm_text")
+def q_svm_text(spark, sf):
+    """M7 on text: language of the held-out documents by RBF machines, one against the rest, on TF-IDF rows."""
+    from pyspark.ml.classification import LinearSVC, OneVsRest
+
+    from corpusmill.session import cut_lineage
+
+    docs = _docs_lang(spark, sf)
+    counts = cut_lineage(FE.term_counts(docs.select("doc_id", "text")))
+    ids = docs.select("doc_id", "label", "is_train")
+    weights = FE.tfidf_fitted(counts, counts.join(ids.filter("is_train").select("doc_id"), "doc_id"))
+    tr, te = _train_test(cut_lineage(KN.rbf_rows(ids, weights)))
+    m = OneVsRest(classifier=LinearSVC(regParam=1e-3, maxIter=20), parallelism=4).fit(tr)
+    return m.transform(te).select("doc_id", "label", F.col("prediction").cast("double").alias("prediction"))
+
+
 @register("calibrated")
 def q_calibrated(spark, sf):
     tr, te = _train_test(_docs_lang(spark, sf))
