@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.operators import balltree
+from corpusmill.operators import stats as ST
 from corpusmill.session import cut_lineage
 
 def _vec(c) -> Column:
@@ -161,3 +162,31 @@ def bisecting(df: DataFrame, key: str, vec: str, k: int, seed: int = 42) -> Data
     data = df.select(key, array_to_vector(_vec(vec)).alias("features"))
     m = BisectingKMeans(k=k, seed=seed).fit(data)
     return m.transform(data).select(key, F.col("prediction").cast("bigint").alias("cluster"))
+
+
+def fit_clusters(rows: DataFrame, key: str, method: str, k: int, restarts: int = 2, seed: int = 42, max_iter: int = 20) -> DataFrame:
+    """M14, M15 on prepared rows (key, features; sparse ones stay sparse): (key, cluster) by ``kmeans`` (the restart of lowest
+    training cost) or ``bisecting``. Only the k centres are held by the driver. Fewer distinct rows than k give fewer clusters."""
+    if method == "kmeans":
+        fits = [KMeans(k=k, seed=seed + r, maxIter=max_iter).fit(rows) for r in range(restarts)]
+        model = min(fits, key=lambda m: m.summary.trainingCost)
+    elif method == "bisecting":
+        model = BisectingKMeans(k=k, seed=seed, maxIter=max_iter).fit(rows)
+    else:
+        raise ValueError(f"method is kmeans or bisecting, not {method}")
+    return model.transform(rows).select(key, F.col("prediction").cast("bigint").alias("cluster"))
+
+
+def report(labels: DataFrame, clusterings: dict, key: str, label: str) -> DataFrame:
+    """Rows (method, k, clusters, ari, completeness, ami) of several clusterings {(method, k): (key, cluster)} against
+    ``labels`` (key, label). k is null for methods that find their own number; rows without a label or cluster take no part."""
+    out = None
+    for (method, k), found in clusterings.items():
+        both = labels.select(key, F.col(label).alias("__l")).join(found.select(key, F.col("cluster").alias("__c")), key)
+        j = cut_lineage(both.select("__l", "__c").filter("__l IS NOT NULL AND __c IS NOT NULL"))
+        values = {name: fn(j, "__l", "__c").first()[0] for name, fn in (("ari", ST.ari), ("completeness", ST.completeness), ("ami", ST.ami))}
+        row = j.agg(F.count_distinct("__c").alias("clusters")).select(
+            F.lit(method).alias("method"), F.lit(k).cast("bigint").alias("k"), "clusters",
+            *[F.lit(v).cast("double").alias(name) for name, v in values.items()])
+        out = row if out is None else out.unionByName(row)
+    return out

@@ -344,3 +344,17 @@ def q_cluster_report(spark, sf):
         row = cut_lineage(m.select(F.lit("kmeans").alias("method"), F.lit(10).alias("k"), F.lit(name).alias("metric"), F.col(m.columns[0]).cast("double").alias("value")))
         out = row if out is None else out.unionByName(row)
     return out
+
+
+@register("text_cluster_report")
+def q_text_cluster_report(spark, sf):
+    """M14, M15, M16, M17 on text: TF-IDF rows of the documents clustered by three methods and several k, against their languages."""
+    from corpusmill.session import cut_lineage
+
+    docs = table(spark, sf, "documents").select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text"))
+    rows = cut_lineage(Pipeline(stages=M.text_stages()).fit(docs).transform(docs).select("doc_id", "features"))
+    found = {(m, k): C.fit_clusters(rows, "doc_id", m, k) for m in ("kmeans", "bisecting") for k in (4, 8)}
+    ids, members, pairs = _text_join(spark, sf)
+    found["dbscan", None] = SP.dbscan_sparse(ids, "doc_id", members, pairs, 5)
+    r = C.report(docs, found, "doc_id", "lang")
+    return r.select("method", "k", "clusters", *[F.round(c, 6).alias(c) for c in ("ari", "completeness", "ami")])
