@@ -1,8 +1,6 @@
 """Shared helpers: table reads, written intermediates in the shared folder, Arrow batches of bounded size."""
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,7 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.session import ensure_checkpoint_dir, ship_package
+from corpusmill.session import discard, shared_path, ship_package, stored  # noqa: F401 (operators import them from here)
 
 #: Bytes of text a task turns into numpy arrays at once.
 TEXT_BYTES = 4 << 20
@@ -24,35 +22,6 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below ``spark.checkpoint.dir``."""
-    return os.path.join(ensure_checkpoint_dir(spark), f"{label}-{uuid.uuid4().hex}")
-
-
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back.
-
-    Cuts lineage as checkpoint() does, but columnar and compressed, with sizes
-    that the planner and AQE see. Survives lost executors.
-    """
-    spark = df.sparkSession
-    path = shared_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.stored_path = path
-    return out
-
-
-def discard(*frames: DataFrame) -> None:
-    """Delete the files of ``stored`` frames that nothing reads any more."""
-    for df in frames:
-        path = getattr(df, "stored_path", None)
-        if path:
-            spark = df.sparkSession
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = TEXT_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch by rows so that each piece has about ``limit`` bytes of ``column`` (one row at least)."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
