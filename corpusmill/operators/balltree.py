@@ -25,6 +25,8 @@ from corpusmill.session import cut_lineage
 #: Rows and values of the sample, rows of a leaf, most leaves.
 SAMPLE_ROWS, SAMPLE_VALUES = 1 << 15, 1 << 22
 LEAF, MAX_LEAVES, LEAST_LEAVES = 2048, 1 << 12, 4
+#: Visitors that are compared with a chunk at once.
+BLOCK = 128
 
 
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -203,13 +205,15 @@ def nearest(queries: DataFrame, base: DataFrame, k: int, exclude_self: bool = Fa
         out: list[tuple] = []
         if want.num_rows and have.num_rows:
             x, y, ids = matrix(want["v"]), matrix(have["v"]), have["id"].to_numpy()
-            sq = (x * x).sum(1)[:, None] + (y * y).sum(1)[None, :]
-            rough = sq - 2 * (x @ y.T)
-            slack = 1e-9 * np.maximum(sq, 1.0)  # above the rounding error of the product form
-            for i, name in enumerate(want["id"].to_pylist()):
-                r = np.where(ids == name, np.inf, rough[i]) if exclude_self else rough[i]
+            xx, yy, names = (x * x).sum(1), (y * y).sum(1), want["id"].to_pylist()
+            for i, name in enumerate(names):
+                if i % BLOCK == 0:
+                    sq = xx[i:i + BLOCK, None] + yy[None, :]
+                    rough = sq - 2 * (x[i:i + BLOCK] @ y.T)
+                    slack = 1e-9 * np.maximum(sq.max(1), 1.0)  # above the rounding error of the product form
+                r = np.where(ids == name, np.inf, rough[i % BLOCK]) if exclude_self else rough[i % BLOCK]
                 m = min(k, len(r)) - 1
-                near_by = np.flatnonzero(r <= np.partition(r, m)[m] + 2 * slack[i].max() + 10.0 ** (1 - digits))
+                near_by = np.flatnonzero(r <= np.partition(r, m)[m] + 2 * slack[i % BLOCK] + 10.0 ** (1 - digits))
                 near_by = near_by[np.isfinite(r[near_by])]
                 d = np.round(np.sqrt(((y[near_by] - x[i]) ** 2).sum(axis=1)), digits)
                 out += [(name, int(ids[j]), e) for e, j in sorted(zip(d.tolist(), near_by.tolist()), key=lambda t: (t[0], ids[t[1]]))[:k]]
@@ -262,15 +266,18 @@ def within(rows: DataFrame, min_cos: float, digits: int = 6, leaf: int = LEAF) -
         return np.nonzero(meets)
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        a, b, cos = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        found = [pa.table({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64), "cos": np.zeros(0)})]
         if left.num_rows and right.num_rows:
-            c = np.round(matrix(left["v"]) @ matrix(right["v"]).T, digits)
-            i, j = np.nonzero(c >= round(min_cos, digits))
-            x, y = left["id"].to_numpy()[i], right["id"].to_numpy()[j]
-            same = left["own"].to_numpy()[i] == right["leaf"].to_numpy()[j]
-            keep = np.where(same, x < y, x != y)
-            a, b, cos = np.minimum(x, y)[keep], np.maximum(x, y)[keep], c[i, j][keep]
-        return pa.table({"a": a, "b": b, "cos": cos})
+            v, w = matrix(left["v"]), matrix(right["v"])
+            own, leaf_, ids, others = (t[n].to_numpy() for t, n in ((left, "own"), (right, "leaf"), (left, "id"), (right, "id")))
+            for k in range(0, len(v), BLOCK):
+                c = np.round(v[k:k + BLOCK] @ w.T, digits)
+                i, j = np.nonzero(c >= round(min_cos, digits))
+                x, y = ids[k + i], others[j]
+                keep = np.where(own[k + i] == leaf_[j], x < y, x != y)
+                x, y = x[keep], y[keep]
+                found.append(pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y), "cos": c[i[keep], j[keep]]}))
+        return pa.concat_tables(found)
 
     visitors = visits(tree, placed.select("id", "v", F.col("leaf").alias("own")), choose, ", own int")
     return met(tree, visitors, placed, compare, schema)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.operators import balltree
 from corpusmill.operators import stats as ST
-from corpusmill.session import cut_lineage
+from corpusmill.session import cut_lineage, stored
 
 def _vec(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("array<double>")
@@ -87,9 +87,8 @@ def eps_pairs(df: DataFrame, key: str, vec: str, min_cos: float, digits: int = 6
 # --------------------------------------------------------------------------- M16
 def core_points(df: DataFrame, pairs: DataFrame, key: str, min_pts: int) -> DataFrame:
     """DBSCAN core flags: neighbours + 1 >= min_pts."""
-    pr = pairs.select("a", "b")
-    both = pr.union(pr.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    deg = both.groupBy("a").agg(F.count(F.lit(1)).alias("deg"))
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("a"))  # the pairs are found once
+    deg = ends.groupBy("a").agg(F.count(F.lit(1)).alias("deg"))
     return df.select(F.col(key).alias("a")).join(deg, "a", "left").select(
         F.col("a").alias(key), (F.coalesce("deg", F.lit(0)) + 1 >= min_pts).alias("core"))
 
@@ -122,14 +121,14 @@ def dbscan(df: DataFrame, key: str, vec: str, min_cos: float, min_pts: int = 5,
     checkpointed); border points take the smallest neighbouring core label;
     noise is -1. Output: key, cluster (smallest core key of the component), core."""
     pr = pairs if pairs is not None else eps_pairs(df, key, vec, min_cos)
-    pr = cut_lineage(pr.select("a", "b"))  # read for degrees, core edges and borders
+    pr = stored(pr.select("a", "b"), "pairs")  # read for degrees, core edges and borders
     both = pr.union(pr.select(F.col("b").alias("a"), F.col("a").alias("b")))
     deg = both.groupBy("a").agg(F.count(F.lit(1)).alias("deg"))
     ids = df.select(F.col(key).alias("a"))
     info = ids.join(deg, "a", "left").withColumn("core", F.coalesce("deg", F.lit(0)) + 1 >= min_pts)
     core = info.filter("core").select("a")
     ce = both.join(core, "a").join(core.withColumnRenamed("a", "b"), "b")  # core-core edges
-    ce = cut_lineage(ce)
+    ce = stored(ce.select("a", "b"), "core-pairs")
     lab = core_components(core, ce)
     border = both.join(lab.withColumnRenamed("a", "b").withColumnRenamed("lab", "nl"), "b").groupBy("a").agg(
         F.min("nl").alias("bl"))

@@ -36,6 +36,33 @@ def test_unit_rows_come_from_one_weighing(spark):
     assert norm.keys() == {1, 2} and all(abs(v - 1) < 1e-12 for v in norm.values())
 
 
+def test_core_points_find_the_pairs_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    pairs = spark.createDataFrame([(1, 2), (1, 3)], "a long, b long").mapInArrow(look, "a long, b long")
+    rows = spark.createDataFrame([(1,), (2,), (3,), (4,)], "id long")
+    got = {r.id: r.core for r in C.core_points(rows, pairs, "id", 3).collect()}
+    assert got == {1: True, 2: False, 3: False, 4: False} and seen.value == 2
+
+
+@pytest.mark.parametrize("block", [1, 3, 128])
+def test_neighbours_do_not_depend_on_the_block(spark, monkeypatch, block):
+    monkeypatch.setattr(balltree, "BLOCK", block)
+    x = np.random.default_rng(5).normal(size=(40, 3))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vec array<double>")
+    u = x / np.sqrt((x * x).sum(1, keepdims=True))
+    want = {(i, j) for i in range(40) for j in range(i + 1, 40) if round(float(u[i] @ u[j]), 6) >= 0.5}
+    assert {(r.a, r.b) for r in C.eps_pairs(rows, "id", "vec", 0.5).collect()} == want
+    near = C.knn(rows.withColumnRenamed("id", "qid"), rows.withColumnRenamed("id", "bid"), 2, exclude_self=True).collect()
+    dist = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2)) + np.diag([np.inf] * 40)
+    assert {(r.qid, r.rank): r.bid for r in near} == {(i, k + 1): int(np.argsort(dist[i])[k]) for i in range(40) for k in range(2)}
+
+
 def test_heads_end_where_the_rest_is_short(spark):
     rows = spark.createDataFrame([(1, [0, 1, 2], [0.6, 0.64, 0.48])], "rep long, ids array<long>, ws array<double>")
     out = SP.postings(rows, 0.79)
