@@ -7,6 +7,10 @@ except the joins of the collection job.
 """
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +19,10 @@ from corpusmill.operators.ordered import dense_id
 from corpusmill.operators.paragraphs import good_text
 
 
+#: Rows of a batch that leaves ``surface_row_max``.
+ROWS_OUT = 1 << 16
+
+
 def _fold_span(bits: Column) -> Column:
     """W4/O8 as one pass over the bit string: running S(k) = zeros - ones over the
     first k characters, running arg-min of S over earlier positions (smallest index
@@ -83,22 +91,27 @@ def surface_row_max(pages: DataFrame, key: str = "page_id", html: str = "html")
     """T13 (re-aimed): instead of all n^2 points of f(i, j), the best j for every
     i: max over j > i of f(i, j) = T + max_{j>i} S(j) - S(i), a suffix maximum per
     page. Output: key, i, f_max (i in 0 .. n-2)."""
-    b = pages.select(key, X.page_bits(html).alias("bits"))
-    n = F.length("bits")
-    b = b.withColumn("T", n - F.length(F.regexp_replace("bits", "1", ""))).withColumn("n", n)
-    pos = b.select(key, "T", "n", F.posexplode_outer(F.split("bits", "")).alias("k", "c")).filter(
-        F.col("c").isNotNull())
-    w = Window.partitionBy(key).orderBy("k")
-    pos = pos.withColumn("step", F.when(F.col("c") == "0", 1).otherwise(-1))
-    pos = pos.withColumn("s_before", F.coalesce(F.sum("step").over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                                                F.lit(0)))
-    # S(j) for j = k is s_before at row k; suffix max over j in (i, n-1]
-    # (a running maximum from the page's end, linear in the page)
-    suffix = Window.partitionBy(key).orderBy(F.desc("k")).rowsBetween(Window.unboundedPreceding, -1)
-    pos = pos.withColumn("max_sj", F.max("s_before").over(suffix))
-    return pos.filter(F.col("k") <= F.col("n") - 2).select(
-        key, F.col("k").cast("bigint").alias("i"), (F.col("T") + F.col("max_sj") - F.col("s_before")).cast(
-            "bigint").alias("f_max"))
+    # one short row a page: its bits; rows that repeat a key count as one sequence, in the order of their places
+    b = pages.select(key, X.page_bits(html).alias("bits")).filter(F.col("bits").isNotNull())
+    b = b.groupBy(key).agg(F.collect_list("bits").alias("all"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r, own in enumerate(batch.column("all").to_pylist()):
+                bits = [np.frombuffer(x.encode("utf-32-le"), np.uint32) for x in own]
+                k, n, ones = (np.concatenate(c) for c in zip(*((np.arange(len(x)), np.full(len(x), len(x)), np.full(len(x), (x == ord("1")).sum())) for x in bits)))
+                order = np.argsort(k, kind="stable")
+                k, n, ones, step = k[order], n[order], ones[order], np.where(np.concatenate(bits)[order] == ord("0"), 1, -1)
+                before = np.cumsum(step) - step
+                best = np.maximum.accumulate(before[::-1])[::-1]  # of this place and all later ones
+                at = np.flatnonzero(k <= n - 2)  # never the last place
+                for a in range(0, len(at), ROWS_OUT):
+                    cut = at[a:a + ROWS_OUT]
+                    name = batch.column(key).take(pa.array(np.full(len(cut), r)))
+                    yield pa.RecordBatch.from_arrays([name, pa.array(k[cut]), pa.array(ones[cut] + best[cut + 1] - before[cut])], names=[key, "i", "f_max"])
+
+    kind = b.schema[key].dataType.simpleString()
+    return b.mapInArrow(run, f"`{key}` {kind}, i bigint, f_max bigint")
 
 
 def links(pages: DataFrame, key: str = "page_id") -> DataFrame:

@@ -36,6 +36,18 @@ def test_unit_rows_come_from_one_weighing(spark):
     assert norm.keys() == {1, 2} and all(abs(v - 1) < 1e-12 for v in norm.values())
 
 
+def test_surface_rows_are_folded_without_windows(spark):
+    pages = spark.createDataFrame([(1, "<p>one two</p> three <b>"), (2, ""), (3, None), (4, "x"), (None, "a b <i> c")], "page_id long, html string")
+    out = H.surface_row_max(pages)
+    assert "Window" not in _plan(out)
+    bits = {r.page_id: r.bits for r in pages.select("page_id", H.X.page_bits("html").alias("bits")).collect()}
+    want = set()
+    for k, b in bits.items():
+        s = np.concatenate([[0], np.cumsum([1 if c == "0" else -1 for c in b or ""])])
+        want |= {(k, i, (b.count("1") + max(s[i + 1:len(b)]) - s[i])) for i in range(len(b or "") - 1)}
+    assert want and {tuple(r) for r in out.collect()} == want
+
+
 def test_core_points_find_the_pairs_once(spark):
     seen = spark.sparkContext.accumulator(0)
 
