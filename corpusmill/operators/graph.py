@@ -14,7 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.session import cut_lineage
+from corpusmill.operators.ordered import dense_id
+from corpusmill.session import cut_lineage, stored
 
 
 def edges_from_lines(lineitem: DataFrame) -> DataFrame:
@@ -56,9 +57,9 @@ class CutEdges:
         self.heavy = None
         if not self.hubs.isEmpty():
             heavy = adj.join(self.hubs, "src").withColumn("chunk", F.pmod(F.xxhash64("dst"), F.col("k"))).drop("k")
-            self.heavy = heavy.repartition(parts, "src", "chunk").cache()
+            self.heavy = heavy.repartition(parts, "src", "chunk").sortWithinPartitions("src", "chunk").cache()
             adj = adj.join(self.hubs, "src", "left_anti")
-        self.light = adj.repartition(parts, "src").cache()
+        self.light = adj.repartition(parts, "src").sortWithinPartitions("src").cache()  # sorted once, not in each join
 
     def contributions(self, ranks: DataFrame) -> DataFrame:
         """(node, s): the sums of pr / out over in-links; partial sums of all chunks and tasks are merged."""
@@ -102,7 +103,7 @@ def pagerank(edges: DataFrame, nodes: DataFrame, lam: float = 0.25, max_iter: in
     adj = CutEdges(links.join(out, "src"), parts, hub)
     # nodes (and so every rank table) hash-partitioned like the edges: each
     # iteration then shuffles only the contributions
-    nodes = nodes.repartition(parts, "node").cache()
+    nodes = nodes.repartition(parts, "node").sortWithinPartitions("node").cache()
     ranks = nodes.select("node", F.lit(1.0 / n).alias("pr"))
     stopped_at = None
     it = 0
@@ -141,13 +142,17 @@ def lookup(ranks: DataFrame, ids: DataFrame) -> DataFrame:
 def bipartite_rank(pairs: DataFrame, left: str, right: str, iters: int = 20, hub: int = HUB) -> DataFrame:
     """JR(u) = sum over linked v of JR(v) / L(v) on a bipartite graph (both
     directions), no teleport, start 1/N over all vertices."""
-    l_ = pairs.select(F.concat(F.lit("L:"), F.col(left).cast("string")).alias("a"),
-                      F.concat(F.lit("R:"), F.col(right).cast("string")).alias("b")).distinct()
+    # vertices are numbers while ranks move, and are named at the end; a null one stays null
+    named = stored(pairs.select(F.concat(F.lit("L:"), F.col(left).cast("string")).alias("a"),
+                                F.concat(F.lit("R:"), F.col(right).cast("string")).alias("b")).distinct(), "pairs")
+    names = named.select(F.explode(F.array("a", "b")).alias("name")).filter("name IS NOT NULL").distinct()
+    names = stored(dense_id(names, ["name"], out="no"), "vertices")
+    l_ = named.join(names.toDF("a", "ano"), "a", "left").join(names.toDF("b", "bno"), "b", "left").select(F.col("ano").alias("a"), F.col("bno").alias("b"))
     edges = l_.select(F.col("a").alias("src"), F.col("b").alias("dst")).union(
         l_.select(F.col("b").alias("src"), F.col("a").alias("dst")))
     deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("out"))
     parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    verts = edges.select(F.col("src").alias("node")).distinct().repartition(parts, "node").cache()
+    verts = edges.select(F.col("src").alias("node")).distinct().repartition(parts, "node").sortWithinPartitions("node").cache()
     n = verts.count()
     adj = CutEdges(edges.join(deg, "src"), parts, hub)
     ranks = verts.select("node", F.lit(1.0 / n).alias("pr"))
@@ -158,4 +163,4 @@ def bipartite_rank(pairs: DataFrame, left: str, right: str, iters: int = 20, hub
     ranks = cut_lineage(ranks)
     adj.release()
     verts.unpersist()
-    return ranks
+    return ranks.join(names.toDF("name", "node"), "node", "left").select(F.col("name").alias("node"), "pr")

@@ -75,6 +75,21 @@ def test_neighbours_do_not_depend_on_the_block(spark, monkeypatch, block):
     assert {(r.qid, r.rank): r.bid for r in near} == {(i, k + 1): int(np.argsort(dist[i])[k]) for i in range(40) for k in range(2)}
 
 
+def test_ranks_move_between_numbers(spark):
+    pairs = spark.createDataFrame([(1, 1), (1, 2), (2, 2), (2, None)], "l long, r long")
+    got = {r.node: r.pr for r in G.bipartite_rank(pairs, "l", "r", iters=2).collect()}
+    pr = {n: 1 / 5 for n in ("L:1", "L:2", "R:1", "R:2", None)}
+    edges = [("L:1", "R:1"), ("L:1", "R:2"), ("L:2", "R:2"), ("L:2", None)]
+    edges += [(b, a) for a, b in edges]
+    out = {n: sum(s == n for s, _ in edges) for n in pr}
+    for _ in range(2):
+        pr = {n: sum(pr[s] / out[s] for s, d in edges if d == n and n is not None and s is not None) for n in pr}
+    assert got.keys() == pr.keys() and all(abs(got[n] - pr[n]) < 1e-12 for n in pr)
+    cut = G.CutEdges(spark.createDataFrame([(1, 2, 1)], "src long, dst long, out long"), 2)
+    assert "Sort [src" in cut.light._jdf.logicalPlan().toString()
+    cut.release()
+
+
 def test_heads_end_where_the_rest_is_short(spark):
     rows = spark.createDataFrame([(1, [0, 1, 2], [0.6, 0.64, 0.48])], "rep long, ids array<long>, ws array<double>")
     out = SP.postings(rows, 0.79)
