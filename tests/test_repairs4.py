@@ -90,6 +90,16 @@ def test_ranks_move_between_numbers(spark):
     cut.release()
 
 
+def test_texts_are_cut_into_terms_once_for_all_folds(spark):
+    docs = spark.createDataFrame([(i, "apple pear" if i % 2 else "stone sand", float(i % 2), i % 3) for i in range(12)], "doc_id long, text string, label double, fold int")
+    rows, rest = M.prepared(docs, M.text_stages(), ["label", "fold"])
+    assert rows.columns == ["label", "fold", "_tf"] and len(rest) == 2
+    rows, rest = M.prepared(docs.withColumn("x", docs.label), M.tabular_stages(["x"]), ["label"])
+    assert rows.columns == ["label", "features"] and not rest
+    out = M.cross_validate(docs, M.text_stages(), M.classifier("complement"), k=3)
+    assert "text" not in _plan(out).split() and [r.accuracy for r in out.collect()] == [1.0] * 3
+
+
 def test_heads_end_where_the_rest_is_short(spark):
     rows = spark.createDataFrame([(1, [0, 1, 2], [0.6, 0.64, 0.48])], "rep long, ids array<long>, ws array<double>")
     out = SP.postings(rows, 0.79)
