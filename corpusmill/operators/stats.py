@@ -126,7 +126,8 @@ def shape(df: DataFrame) -> DataFrame:
 def confusion(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     """(y, p, n) over the full label x label grid (zeros included); a null label is a class."""
     counts = df.groupBy(F.col(y).alias("y"), F.col(p).alias("p")).agg(F.count(F.lit(1)).alias("n"))
-    labels = df.select(F.col(y).alias("l")).union(df.select(F.col(p).alias("l"))).distinct()
+    counts = cut_lineage(counts)  # a row a pair of classes: the rows are read once, for the counts and the classes
+    labels = counts.select(F.col("y").alias("l")).union(counts.select(F.col("p").alias("l"))).distinct()
     # one row of |classes| entries: the grid that is asked for has their square; structs, as a list keeps no nulls
     dom = labels.agg(F.array_sort(F.collect_list(F.struct("l"))).alias("d"))
     grid = dom.select(F.explode("d.l").alias("gy"), "d").select("gy", F.explode("d.l").alias("gp"))

@@ -36,6 +36,20 @@ def test_unit_rows_come_from_one_weighing(spark):
     assert norm.keys() == {1, 2} and all(abs(v - 1) < 1e-12 for v in norm.values())
 
 
+def test_confusion_reads_its_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = spark.createDataFrame([("a", "b"), ("a", "a"), (None, "b")], "y string, p string").mapInArrow(look, "y string, p string")
+    got = {(r.y, r.p): r.n for r in ST.confusion(rows).collect()}
+    assert seen.value == 3
+    assert len(got) == 9 and got["a", "b"] == got["a", "a"] == got[None, "b"] == 1 and sum(got.values()) == 3
+
+
 def test_surface_rows_are_folded_without_windows(spark):
     pages = spark.createDataFrame([(1, "<p>one two</p> three <b>"), (2, ""), (3, None), (4, "x"), (None, "a b <i> c")], "page_id long, html string")
     out = H.surface_row_max(pages)
