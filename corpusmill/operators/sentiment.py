@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as X
+from corpusmill.session import small_side
 
 # Rule constants of the published method.
 BOOST = 0.293
@@ -51,13 +52,14 @@ def sentiment(df: DataFrame, text: str, lexicon: DataFrame, out: str = "compound
     while key in df.columns:
         key += "_"
     digest = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
-    valence = lexicon.select("word", F.col("valence").cast("double").alias("v")).dropna().groupBy("word").agg(F.avg("v").alias("v"))
+    valence = small_side(lexicon.select("word", F.col("valence").cast("double").alias("v")).dropna().groupBy("word").agg(F.avg("v").alias("v")))
     toks = df.select(digest.alias("d"), X.split_words(X.normalize_text(text)).alias("toks"))
     copies = df.select(digest.alias("d")).groupBy("d").agg(F.count(F.lit(1)).alias("copies"))
-    uses = toks.select("d", F.inline(word_uses(F.col("toks")))).groupBy("d", "word", "lift", "negated").agg(F.count(F.lit(1)).alias("n"))
+    # words outside the lexicon go before the uses are dealt out
+    uses = toks.select("d", F.inline(word_uses(F.col("toks")))).join(valence, "word").groupBy("d", "word", "lift", "negated", "v").agg(F.count(F.lit(1)).alias("n"))
     lifted = F.col("v") + F.col("lift") * F.signum("v") * BOOST
     each = F.when(F.col("negated"), lifted * NEGATION_SCALAR).otherwise(lifted)
-    sums = uses.join(valence, "word").groupBy("d").agg(F.sum(F.col("n") * each).alias("s"))
+    sums = uses.groupBy("d").agg(F.sum(F.col("n") * each).alias("s"))
     scores = sums.join(copies, "d").select(F.col("d").alias(key), (F.col("s") / F.col("copies")).alias(f"{key}s"))
     s = F.coalesce(f"{key}s", F.lit(0.0))
     j = df.withColumn(key, digest).join(scores, key, "left")

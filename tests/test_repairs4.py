@@ -50,6 +50,18 @@ def test_confusion_reads_its_rows_once(spark):
     assert len(got) == 9 and got["a", "b"] == got["a", "a"] == got[None, "b"] == 1 and sum(got.values()) == 3
 
 
+def test_words_outside_the_lexicon_are_not_dealt_out(spark):
+    docs = spark.createDataFrame([(1, "very good x y z"), (2, "x y"), (3, None), (1, "not good")], "doc_id long, text string")
+    lex = spark.createDataFrame([("good", 2.0), ("good", 4.0)], "word string, valence double")
+    out = SE.sentiment(docs, "text", lex)
+    plan = _plan(out)
+    counted = plan.index("count(1) AS n#") if "count(1) AS n#" in plan else plan.index("lift")
+    assert plan.index("Join", counted) > counted  # the lexicon's join is below the count of uses
+    got = sorted((r.doc_id, round(r.compound, 6)) for r in out.collect())
+    s, t = 3.293, 3 * -0.74
+    assert got == sorted([(1, round(s / (s * s + 15) ** 0.5, 6)), (1, round(t / (t * t + 15) ** 0.5, 6)), (2, 0.0), (3, 0.0)])
+
+
 def test_surface_rows_are_folded_without_windows(spark):
     pages = spark.createDataFrame([(1, "<p>one two</p> three <b>"), (2, ""), (3, None), (4, "x"), (None, "a b <i> c")], "page_id long, html string")
     out = H.surface_row_max(pages)
