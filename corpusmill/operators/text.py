@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import text as X
 from corpusmill.operators.ordered import dense_id
-from corpusmill.session import cut_lineage
+from corpusmill.session import cut_lineage, stored
 
 # The default English stop-word list of Spark MLlib's
 # StopWordsRemover (181 words), used as the default stop list.
@@ -93,9 +93,9 @@ def index_nested(post: DataFrame, key: str = "doc_id", max_postings: int = MAX_P
     postings (``doc:tf`` sorted by doc, comma separated).
     """
     stats = post.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").cast("bigint").alias("total_tf"))
-    with_chunk = post.join(stats, "token").withColumn(
-        "chunk", F.pmod(md5_bucket(key), F.ceil(F.col("df") / F.lit(max_postings))).cast("bigint")
-    )
+    # the chunk's hash only for terms of several chunks
+    bucket = F.when(F.col("df") <= max_postings, F.lit(0)).otherwise(F.pmod(md5_bucket(key), F.ceil(F.col("df") / F.lit(max_postings))))
+    with_chunk = post.join(stats, "token").withColumn("chunk", bucket.cast("bigint"))
     # dealt out by chunk, or the join's partitioning by token would keep a hot term's chunks in one task
     with_chunk = with_chunk.repartition("token", "chunk")
     return with_chunk.groupBy("token", "chunk", "df", "total_tf").agg(
@@ -200,7 +200,8 @@ def vocabulary(post: DataFrame) -> DataFrame:
 def resolve_terms(words: DataFrame, vocab: DataFrame) -> DataFrame:
     """Word -> the exact term, else the alphabetically first term with the same
     soundex, else dropped. Output: word, term, matched ('exact' | 'soundex')."""
-    terms = vocab.select(F.col("token").alias("term"), "soundex")
+    # read for the exact and for the phonetic match, but counted once
+    terms = stored(vocab.select(F.col("token").alias("term"), "soundex"), "terms")
     by_code = terms.groupBy("soundex").agg(F.min("term").alias("sx_term"))
     w = words.select("word").distinct().withColumn("soundex", X.soundex_code("word"))
     exact = w.join(terms.select("term"), w["word"] == F.col("term"), "left")

@@ -62,6 +62,23 @@ def test_words_outside_the_lexicon_are_not_dealt_out(spark):
     assert got == sorted([(1, round(s / (s * s + 15) ** 0.5, 6)), (1, round(t / (t * t + 15) ** 0.5, 6)), (2, 0.0), (3, 0.0)])
 
 
+def test_vocabulary_is_counted_once_for_both_matches(spark):
+    words = spark.createDataFrame([("apple",), ("appel",), ("zzz",)], "word string")
+    post = spark.createDataFrame([("apple", 1, 1), ("apple", 2, 1), ("apply", 2, 1)], "token string, doc_id long, tf long")
+    out = TX.resolve_terms(words, TX.vocabulary(post))
+    assert "count(" not in _plan(out)
+    assert sorted(out.collect()) == [("appel", "apple", "soundex"), ("apple", "apple", "exact")]
+
+
+def test_rare_terms_need_no_chunk_hash(spark):
+    post = spark.createDataFrame([("hot", d, 1) for d in range(7)] + [("rare", 3, 2)], "token string, doc_id long, tf long")
+    out = TX.index_nested(post, max_postings=3)
+    assert "CASE WHEN (df" in _plan(out)
+    rows = {(r.token, r.chunk): r.postings for r in out.collect()}
+    assert rows["rare", 0] == "3:2" and len([1 for t, _ in rows if t == "hot"]) > 1
+    assert sorted(e for (t, _), p in rows.items() if t == "hot" for e in p.split(",")) == [f"{d}:1" for d in range(7)]
+
+
 def test_surface_rows_are_folded_without_windows(spark):
     pages = spark.createDataFrame([(1, "<p>one two</p> three <b>"), (2, ""), (3, None), (4, "x"), (None, "a b <i> c")], "page_id long, html string")
     out = H.surface_row_max(pages)
