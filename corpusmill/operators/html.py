@@ -103,12 +103,14 @@ def surface_row_max(pages: DataFrame, key: str = "page_id", html: str = "html")
                 order = np.argsort(k, kind="stable")
                 k, n, ones, step = k[order], n[order], ones[order], np.where(np.concatenate(bits)[order] == ord("0"), 1, -1)
                 before = np.cumsum(step) - step
-                best = np.maximum.accumulate(before[::-1])[::-1]  # of this place and all later ones
+                down = np.argsort(-k, kind="stable")
+                best = np.zeros_like(before)
+                best[down[1:]] = np.maximum.accumulate(before[down])[:-1]  # of all rows that come first from the page's end
                 at = np.flatnonzero(k <= n - 2)  # never the last place
                 for a in range(0, len(at), ROWS_OUT):
                     cut = at[a:a + ROWS_OUT]
                     name = batch.column(key).take(pa.array(np.full(len(cut), r)))
-                    yield pa.RecordBatch.from_arrays([name, pa.array(k[cut]), pa.array(ones[cut] + best[cut + 1] - before[cut])], names=[key, "i", "f_max"])
+                    yield pa.RecordBatch.from_arrays([name, pa.array(k[cut]), pa.array(ones[cut] + best[cut] - before[cut])], names=[key, "i", "f_max"])
 
     kind = b.schema[key].dataType.simpleString()
     return b.mapInArrow(run, f"`{key}` {kind}, i bigint, f_max bigint")
