@@ -7,15 +7,22 @@ whether or not that one goes itself.
 
 Words are ordered by rarity, and of a set of n only the first n - ceil(t n) + 1 are posted:
 two similar sets share one of these. Posted pairs must pass
-the length filter, the positional filter and a 64-bit bitmap filter (a lower bound of the symmetric
-difference), none of which loses a similar pair; what is left is verified on the full
-texts. Word counts cover all lines; the counts of the ``FREQUENT`` most frequent words
+the length filter, the positional filter and a 128-bit parity filter (each word flips one of 128 bits, so bits that
+differ are a lower bound of the symmetric difference), none of which loses a similar pair; what is left is verified on
+the full texts. Word counts cover all lines; the counts of the ``FREQUENT`` most frequent words
 are sent to the tasks (the bound of that broadcast), others rank as rarer. Any fixed order gives the same result.
 
 Hot groups. A class needs one earlier similar class to go. So classes are first compared with
 the earliest class that shares their rarest and second rarest word, which settles large groups of
 variants at linear cost; then every class not settled is joined with all
-classes before it over all posted words (both sides read one exchange). Nothing is capped.
+classes before it over all posted words. Of the pairs found, each class's most often met one is verified first, then all
+pairs of the classes that are still open. Nothing is capped.
+
+The join is dealt out by word to buckets, whose number grows with the postings. A task packs its postings of
+a bucket column by column into one row, so the exchange holds bytes and few rows; a bucket sorts them by (word, size) and
+compares a posting only with those of the word that are small enough and not too small, ``PAIRS`` at a time. A word
+that more than ``CROWD`` classes post (looked for among the frequent ones; all others are rarer) is cut into parts, and each two
+parts meet in a bucket of their own.
 
 Texts for verification are fetched by document: a bitmap of hashed doc_ids of fixed size, 8 MB at most
 whatever the input, is broadcast to leave out most others before the join on doc_id.
@@ -36,7 +43,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import discard, free_name, map_slices, stored, strings
+from corpusmill.llm.common import discard, free_name, map_slices, parted, stored, strings
 from corpusmill.llm.shingles import mix, word_hashes
 
 THRESHOLD = 0.75
@@ -44,6 +51,12 @@ FREQUENT = 1 << 16
 #: A word is counted for rarity if a slice of text has it in so many lines.
 COMMON = 4
 ROUNDS = 2
+#: Classes that post a word, above which their pairs are dealt out to several buckets.
+CROWD = 1 << 14
+#: Postings a bucket holds about, and buckets there are at least.
+BUCKET, BUCKETS = 1 << 18, 256
+#: Postings a task holds before it hands them on, and pairs that a bucket looks at in one step.
+HELD, PAIRS = 1 << 19, 1 << 21
 #: Bits of the bitmap of wanted documents, as a power of two.
 BITMAP = 26
 
@@ -88,7 +101,7 @@ def frequent_words(docs: DataFrame, most: int = FREQUENT, common: int = COMMON)
 
 
 def prefixes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], threshold: float = THRESHOLD) -> DataFrame:
-    """One row a line with words: doc_id, line, digest (d1, d2) of its set, size n, bitmap, prefix (posted words, rarest first)."""
+    """One row a line with words: doc_id, line, digest (d1, d2) of its set, size n, parity bits (low, high), prefix (posted words, rarest first)."""
     t = Fraction(threshold).limit_denominator(1000)
     known, counts = frequent
 
@@ -110,31 +123,168 @@ def prefixes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], threshold
             place = np.arange(len(words)) - np.repeat(starts, n)
             keep = place < np.repeat(posted, n)
             lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(posted)]).astype(np.int32), (words[keep] >> np.uint64(32)).astype(np.uint32).view(np.int32))
-            bits = np.bitwise_or.reduceat(np.uint64(1) << (words >> np.uint64(58)), starts)
+            bins = (words >> np.uint64(57)).astype(np.int64)
+            low, high = (np.bitwise_xor.reduceat(np.where(bins >> 6 == k, np.uint64(1) << (words >> np.uint64(57) & np.uint64(63)), np.uint64(0)), starts) for k in (0, 1))
             d1, d2 = (np.add.reduceat(mix(words ^ np.uint64(s)), starts).view(np.int64) for s in (0xA5A5, 0x5A5A5A))
             docs_of = part.column("doc_id").take(pa.array(text[has]))
             return pa.RecordBatch.from_arrays(
-                [docs_of, pa.array(number[has].astype(np.int32)), pa.array(d1), pa.array(d2), pa.array(n.astype(np.int32)), pa.array(bits.view(np.int64)), lists],
-                names=["doc_id", "line", "d1", "d2", "n", "bits", "prefix"],
+                [docs_of, pa.array(number[has].astype(np.int32)), pa.array(d1), pa.array(d2), pa.array(n.astype(np.int32)), pa.array(low.view(np.int64)), pa.array(high.view(np.int64)), lists],
+                names=["doc_id", "line", "d1", "d2", "n", "low", "high", "prefix"],
             )
 
         return one
 
-    return map_slices(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "text", make, "doc_id long, line int, d1 long, d2 long, n int, bits long, prefix array<int>")
+    return map_slices(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "text", make, "doc_id long, line int, d1 long, d2 long, n int, low long, high long, prefix array<int>")
 
 
-def _filters(t: Fraction, a: str, b: str, posted: bool) -> Column:
-    """Length, bitmap and (for posted words with places) positional filter of rows prefixed a and b."""
+def _filters(t: Fraction, a: str, b: str) -> Column:
+    """Length and parity filter of rows prefixed a and b."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    both = na + nb
     ok = F.least(na, nb) * t.denominator >= F.greatest(na, nb) * t.numerator
-    # overlap needed: both * t / (1 + t); symmetric difference allowed: both * (1 - t) / (1 + t)
-    ok &= F.bit_count(F.col(f"{a}.bits").bitwiseXOR(F.col(f"{b}.bits"))) * (t.denominator + t.numerator) <= both * (t.denominator - t.numerator)
-    if posted:
+    # overlap needed: (na + nb) * t / (1 + t); symmetric difference allowed: (na + nb) * (1 - t) / (1 + t)
+    differ = sum((F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in ("low", "high")), F.lit(0))
+    return ok & (differ * (t.denominator + t.numerator) <= (na + nb) * (t.denominator - t.numerator))
+
+
+#: A posting: word, part (of a crowded word), doc_id, line, size, place in the prefix, parity bits (low, high), flags (1: doc_id is not null, 2: open).
+_POSTING = [np.dtype(x) for x in ("u4", "i4", "i8", "i4", "i4", "i4", "i8", "i8", "u1")]
+
+
+def _packed(columns: list[np.ndarray]) -> bytes:
+    """The columns of some postings, byte plane by byte plane (high bytes are mostly zero)."""
+    return b"".join(np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T.tobytes() for c in columns)
+
+
+def _unpacked(rows: list[bytes]) -> list[np.ndarray]:
+    """The columns of the postings of several ``_packed``."""
+    out: list[list[np.ndarray]] = [[] for _ in _POSTING]
+    for row in rows:
+        data, n = np.frombuffer(row, np.uint8), len(row) // sum(d.itemsize for d in _POSTING)
+        at = 0
+        for column, d in zip(out, _POSTING):
+            planes = data[at : at + n * d.itemsize].reshape(d.itemsize, n)
+            column.append(np.ascontiguousarray(planes.T).view(d).reshape(n))
+            at += n * d.itemsize
+    return [np.concatenate(c) for c in out]
+
+
+def crowded(classes: DataFrame, frequent: tuple[np.ndarray, np.ndarray], crowd: int = CROWD) -> tuple[np.ndarray, np.ndarray]:
+    """(posted words, parts) of the words that more than ``crowd`` classes post, sorted; only frequent words can be."""
+    hashes, counts = frequent
+    some = np.unique((hashes[counts > crowd] >> np.uint64(32)).astype(np.uint32))
+    if not len(some):
+        return some, np.zeros(0, np.int64)
+
+    def run(batches):
+        n = np.zeros(len(some), np.int64)
+        for batch in batches:
+            w = batch.column("prefix").flatten().to_numpy().view(np.uint32)
+            i = np.minimum(np.searchsorted(some, w), len(some) - 1)
+            n += np.bincount(i[some[i] == w], minlength=len(some))
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], names=["i", "n"])
+
+    found = classes.select("prefix").mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).filter(F.col("n") > crowd).orderBy("i").toArrow()
+    return some[found["i"].to_numpy()], -(-found["n"].to_numpy() // crowd)
+
+
+def postings(classes: DataFrame, buckets: int, crowds: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """(bucket, posts) from classes (d, l, n, low, high, open, prefix): their postings, packed; those of a word and part share a bucket."""
+    hot, parts = crowds
+
+    def columns(batch: pa.RecordBatch) -> list[np.ndarray]:
+        prefix = batch.column("prefix")
+        m = np.diff(prefix.offsets.to_numpy())
+        w = prefix.flatten().to_numpy().view(np.uint32)
+        at = np.arange(len(w)) - np.repeat(np.cumsum(m) - m, m)
+        d, l, n, low, high = (pc.fill_null(batch.column(c), 0).to_numpy() for c in ("d", "l", "n", "low", "high"))
+        flags = batch.column("d").is_valid().to_numpy(zero_copy_only=False) + 2 * batch.column("open").to_numpy(zero_copy_only=False).astype(np.uint8)
+        row, part = np.repeat(np.arange(len(m)), m), np.zeros(len(w), np.int64)
+        if len(hot):
+            i = np.minimum(np.searchsorted(hot, w), len(hot) - 1)
+            k = np.where(hot[i] == w, parts[i], 1)
+            own = (mix(d.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + l.astype(np.uint64))[row] % k.astype(np.uint64)).astype(np.int64)
+            # a crowded word's posting goes to one bucket for each part that its own part meets
+            again = np.repeat(np.arange(len(w)), k)
+            other = np.arange(len(again)) - np.repeat(np.cumsum(k) - k, k)
+            w, at, row, own, k = w[again], at[again], row[again], own[again], k[again]
+            part = np.where(k > 1, np.minimum(own, other) * k + np.maximum(own, other) + 1, 0)
+        return [c.astype(t, copy=False) for c, t in zip((w, part, d[row], l[row], n[row], at, low[row], high[row], flags[row]), _POSTING)]
+
+    def out(held: list[list[np.ndarray]]) -> pa.RecordBatch:
+        cols = [np.concatenate(c) for c in zip(*held)]
+        bucket = (mix(cols[0].astype(np.uint64) + (cols[1].astype(np.uint64) << np.uint64(32))) % np.uint64(buckets)).astype(np.int32)
+        order = np.lexsort((cols[0], bucket))
+        bucket, cols = bucket[order], [c[order] for c in cols]
+        has, starts = np.unique(bucket, return_index=True)
+        ends = np.append(starts[1:], len(bucket))
+        rows = [_packed([c[i:j] for c in cols]) for i, j in zip(starts.tolist(), ends.tolist())]
+        return pa.RecordBatch.from_arrays([pa.array(has), pa.array(rows, pa.binary())], names=["bucket", "posts"])
+
+    def run(batches):
+        held: list[list[np.ndarray]] = []
+        for batch in batches:
+            held.append(columns(batch))
+            if sum(len(c[0]) for c in held) > HELD:
+                yield out(held)
+                held = []
+        if sum(len(c[0]) for c in held):
+            yield out(held)
+
+    return classes.select("d", "l", "n", "low", "high", "open", "prefix").mapInArrow(run, "bucket int, posts binary")
+
+
+def _meet(rows: list[bytes], t: Fraction, step: int = PAIRS):
+    """Yields (ad, al, bd, bl), d masked where null: pairs of a bucket's postings of a word whose b is open, a stands before b, and that pass the filters."""
+    w, part, d, l, n, at, bits, more, flags = _unpacked(rows)
+    order = np.lexsort((n, part, w))
+    w, part, d, l, n, at, bits, more, flags = (c[order] for c in (w, part, d, l, n, at, bits, more, flags))
+    n, at = n.astype(np.int64), at.astype(np.int64)
+    known, open_ = (flags & 1).astype(bool), flags > 1
+    new = np.ones(len(w), bool)
+    new[1:] = (w[1:] != w[:-1]) | (part[1:] != part[:-1])
+    group = np.cumsum(new) << 32
+    both = t.denominator + t.numerator
+    # of two similar sets, the smaller one's place leaves room for the overlap with a set of its own size at least
+    small = np.flatnonzero((n - at) * both >= 2 * n * t.numerator)
+    low = np.searchsorted((group + n)[small], group - (-n * t.numerator // t.denominator))
+    high = np.searchsorted(small, np.arange(len(w)))
+    reach = np.maximum(high - low, 0)
+    total = np.cumsum(reach)
+    start = 0
+    while start < len(w):
+        end = max(start + 1, int(np.searchsorted(total, (total[start - 1] if start else 0) + step, side="right")))
+        r = reach[start:end]
+        i = np.repeat(np.arange(start, end), r)
+        j = small[np.arange(len(i)) - np.repeat(np.cumsum(r) - r, r) + np.repeat(low[start:end], r)]
+        start = end
         # holds at the first word that two similar sets share, which is enough
-        rest = F.least(na - F.col(f"{a}.at"), nb - F.col(f"{b}.at"))
-        ok &= rest * (t.denominator + t.numerator) >= both * t.numerator
-    return ok
+        ok = np.minimum(n[i] - at[i], n[j] - at[j]) * both >= (n[i] + n[j]) * t.numerator
+        i, j = i[ok], j[ok]
+        differ = sum(np.bitwise_count((x[i] ^ x[j]).view(np.uint64)).astype(np.int64) for x in (bits, more))
+        ok = differ * both <= (n[i] + n[j]) * (t.denominator - t.numerator)
+        i, j = i[ok], j[ok]
+        same = (known[i] == known[j]) & (d[i] == d[j])
+        before = np.where(same, l[i] < l[j], ~known[i] & known[j] | (known[i] == known[j]) & (d[i] < d[j]))
+        after = np.where(same, l[j] < l[i], ~before)
+        a, b = np.where(before, i, j), np.where(before, j, i)
+        ok = (before | after) & open_[b]
+        a, b = a[ok], b[ok]
+        if len(a):
+            yield [pa.array(d[a], mask=~known[a]), pa.array(l[a]), pa.array(d[b], mask=~known[b]), pa.array(l[b])]
+
+
+def met(classes: DataFrame, frequent: tuple[np.ndarray, np.ndarray], t: Fraction, crowd: int = CROWD) -> DataFrame:
+    """(ad, al, bd, bl, k): the pairs of classes (d, l, n, low, high, open, prefix) that may be similar, a before b, b open, and how often they met."""
+    total = classes.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    names = ["ad", "al", "bd", "bl"]
+    schema = pa.schema([(c, pa.int64() if c[1] == "d" else pa.int32()) for c in names])
+
+    def run(bucket: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([pa.RecordBatch.from_arrays(p, schema=schema) for p in _meet(bucket["posts"].to_pylist(), t)], schema)
+
+    posts = postings(classes, max(BUCKETS, total // BUCKET), crowded(classes, frequent, crowd))
+    return posts.groupBy("bucket").applyInArrow(run, "ad long, al int, bd long, bl int").groupBy(*names).agg(F.count(F.lit(1)).alias("k"))
 
 
 def _wanted(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -146,6 +296,16 @@ def _wanted(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return j.filter(F.expr("shiftright(__bits, int(h % 64)) & 1L") == 1).select("d", "text")
 
 
+def _distinct_words(lines: pa.Array) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """How many distinct words each line has, and (line, word) of all of them."""
+    off, words = word_hashes(lines)
+    line = np.repeat(np.arange(len(lines)), np.diff(off))
+    order = np.lexsort((words, line))
+    line, words = line[order], words[order]
+    new = _first(line, words)
+    return np.bincount(line[new], minlength=len(lines)), (line[new], words[new])
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, t: Fraction) -> DataFrame:
     """The ends (d, l) of b of the pairs (ad, al, bd, bl) whose lines are similar."""
     ends = pairs.select(F.col("ad").alias("d"), F.col("al").alias("l")).unionByName(pairs.select(F.col("bd").alias("d"), F.col("bl").alias("l"))).distinct()
@@ -169,12 +329,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, t: Fraction) -> DataFrame:
 
     def make():
         def one(part: pa.RecordBatch) -> pa.RecordBatch:
-            (oa, wa), (ob, wb) = word_hashes(strings(part, "x")), word_hashes(strings(part, "y"))
-            ok = []
-            for i in range(part.num_rows):
-                x, y = np.unique(wa[oa[i] : oa[i + 1]]), np.unique(wb[ob[i] : ob[i + 1]])
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(both * t.denominator >= (len(x) + len(y) - both) * t.numerator and both > 0)
+            (na, ka), (nb, kb) = _distinct_words(strings(part, "x")), _distinct_words(strings(part, "y"))
+            row, word = np.concatenate([ka[0], kb[0]]), np.concatenate([ka[1], kb[1]])
+            order = np.lexsort((word, row))
+            row, word = row[order], word[order]
+            both = np.bincount(row[1:][~_first(row, word)[1:]], minlength=part.num_rows)
+            ok = (both * t.denominator >= (na + nb - both) * t.numerator) & (both > 0)
             return part.select(["d", "l"]).filter(pa.array(ok, pa.bool_()))
 
         return one
@@ -187,42 +347,50 @@ def _verified(pairs: DataFrame, docs: DataFrame, t: Fraction) -> DataFrame:
     return out
 
 
-def later_matches(docs: DataFrame, threshold: float = THRESHOLD, most: int = FREQUENT, rounds: int = ROUNDS) -> DataFrame:
+def later_matches(docs: DataFrame, threshold: float = THRESHOLD, most: int = FREQUENT, rounds: int = ROUNDS, crowd: int = CROWD) -> DataFrame:
     """One row a line with words: doc_id, line, first_doc, first_line (its class's first line), gone."""
     t = Fraction(threshold).limit_denominator(1000)
-    lines = stored(prefixes(docs, frequent_words(docs, most), threshold), "op5-lines")
+    frequent = frequent_words(docs, most)
+    wide = stored(prefixes(docs, frequent, threshold), "op5-prefixes")
     first = F.min(F.struct("doc_id", "line"))
-    classes = lines.groupBy("d1", "d2").agg(first.alias("p"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
-    classes = stored(classes.select("d1", "d2", F.col("p.doc_id").alias("d"), F.col("p.line").alias("l"), "n", "bits", "prefix"), "op5-classes")
+    classes = wide.groupBy("d1", "d2").agg(first.alias("p"), *(F.first(c).alias(c) for c in ("n", "low", "high", "prefix")))
+    classes = stored(classes.select("d1", "d2", F.col("p.doc_id").alias("d"), F.col("p.line").alias("l"), "n", "low", "high", "prefix"), "op5-classes")
+    lines = stored(wide.select("doc_id", "line", "d1", "d2"), "op5-lines")
+    discard(wide)
     settled: list[DataFrame] = []
 
-    def left_over(frame: DataFrame) -> DataFrame:
+    def left_over(frame: DataFrame, d: str = "d", l: str = "l") -> DataFrame:
         for s in settled:
             known = s.select(F.col("d").alias("__d"), F.col("l").alias("__l"))
-            frame = frame.join(known, F.col("d").eqNullSafe(F.col("__d")) & (F.col("l") == F.col("__l")), "left_anti")
+            frame = frame.join(known, _same(d, l, "__d", "__l"), "left_anti")
         return frame
 
     for k in range(rounds):
-        open_ = left_over(classes).select(F.get("prefix", F.lit(k)).alias("w"), "d", "l", "n", "bits").filter("w is not null")
-        leader = open_.groupBy("w").agg(F.min(F.struct("d", "l", "n", "bits")).alias("a"), F.count(F.lit(1)).alias("m")).filter("m > 1").select("w", "a")
-        near = open_.alias("b").join(leader, "w").filter(_before("a", "b") & _filters(t, "a", "b", False))
+        open_ = left_over(classes.select(F.get("prefix", F.lit(k)).alias("w"), "d", "l", "n", "low", "high")).filter("w is not null")
+        leader = open_.groupBy("w").agg(F.min(F.struct("d", "l", "n", "low", "high")).alias("a"), F.count(F.lit(1)).alias("m")).filter("m > 1").select("w", "a")
+        near = open_.alias("b").join(leader, "w").filter(_before("a", "b") & _filters(t, "a", "b"))
         pairs = stored(near.select(F.col("a.d").alias("ad"), F.col("a.l").alias("al"), F.col("b.d").alias("bd"), F.col("b.l").alias("bl")), "op5-pairs")
         settled.append(_verified(pairs, docs, t))
         discard(pairs)
 
-    marked = classes.join(_union(settled), _same("d", "l", "__d", "__l"), "left") if settled else classes.withColumn("__l", F.lit(None))
-    post = marked.select("d", "l", "n", "bits", F.col("__l").isNull().alias("open"), F.posexplode("prefix").alias("at", "w"))
-    a, b = post.alias("a"), post.alias("b")
-    # "open" is tested beside a's column, or it would be pushed down and the two sides would need an exchange each
-    b_open = F.col("b.open") | (F.col("a.n") < 0)
-    met = a.join(b, (F.col("a.w") == F.col("b.w")) & b_open & _before("a", "b") & _filters(t, "a", "b", True))
-    pairs = stored(met.select(F.col("a.d").alias("ad"), F.col("a.l").alias("al"), F.col("b.d").alias("bd"), F.col("b.l").alias("bl")).distinct(), "op5-pairs")
-    settled.append(_verified(pairs, docs, t))
-    gone = _union(settled)
-    named = classes.join(gone, _same("d", "l", "__d", "__l"), "left").select("d1", "d2", "d", "l", F.col("__l").isNotNull().alias("match"))
-    out = lines.select("doc_id", "line", "d1", "d2").join(named, ["d1", "d2"])
+    marked = classes.withColumn("open", F.lit(True))
+    if settled:
+        # classes whose place surely is not settled go straight on; only the rest is joined
+        place = F.xxhash64("d", "l")
+        maybe, rest = parted(classes, place, _union(settled).select(F.xxhash64("__d", "__l").alias("key")))
+        there = maybe.join(_union(settled), _same("d", "l", "__d", "__l"), "left").withColumn("open", F.col("__l").isNull()).drop("__d", "__l")
+        marked = rest.withColumn("open", F.lit(True)).unionByName(there)
+    pairs = stored(met(marked, frequent, t, crowd), "op5-pairs")
+    best = stored(pairs.groupBy("bd", "bl").agg(F.max(F.struct("k", "ad", "al")).alias("o")).select("o.ad", "o.al", "bd", "bl"), "op5-best")
+    settled.append(_verified(best, docs, t))
+    more = stored(pairs.join(settled[-1].select(F.col("d").alias("__d"), F.col("l").alias("__l")), _same("bd", "bl", "__d", "__l"), "left_anti").drop("k"), "op5-more")
+    discard(pairs, best)
+    if not more.isEmpty():
+        settled.append(_verified(more, docs, t))
+    discard(more)
+    named = classes.join(_union(settled), _same("d", "l", "__d", "__l"), "left").select("d1", "d2", "d", "l", F.col("__l").isNotNull().alias("match"))
+    out = lines.join(named, ["d1", "d2"])
     later = ~(F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("line") == F.col("l")))
-    discard(pairs)
     return out.select("doc_id", "line", F.col("d").alias("first_doc"), F.col("l").alias("first_line"), (F.col("match") | later).alias("gone"))
 
 
