@@ -15,8 +15,9 @@ are sent to the tasks (the bound of that broadcast), others rank as rarer. Any f
 Hot groups. A class needs one earlier similar class to go. So classes are first compared with
 the earliest class that shares their rarest and second rarest word, which settles large groups of
 variants at linear cost; then every class not settled is joined with all
-classes before it over all posted words. Of the pairs found, each class's most often met one is verified first, then all
-pairs of the classes that are still open. Nothing is capped.
+classes before it over all posted words. At first a class keeps ``KEPT`` pairs of each word it
+posts, so a group makes rows in proportion to its postings; its likeliest pair is verified first, then the others if that is none. For
+the classes that these do not settle and that met more, the words they post are joined again and all pairs are taken. Nothing is capped.
 
 The join is dealt out by word to buckets, whose number grows with the postings. A task packs its postings of
 a bucket column by column into one row, so the exchange holds bytes and few rows; a bucket sorts them by (word, size) and
@@ -43,7 +44,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import discard, free_name, map_slices, parted, stored, strings
+from corpusmill.llm.common import TEXT_BYTES, discard, free_name, map_slices, parted, stored, strings
+from corpusmill.llm.phrases import _has, bitmap
 from corpusmill.llm.shingles import mix, word_hashes
 
 THRESHOLD = 0.75
@@ -51,12 +53,16 @@ FREQUENT = 1 << 16
 #: A word is counted for rarity if a slice of text has it in so many lines.
 COMMON = 4
 ROUNDS = 2
+#: Bits of the parity sketch by which pairs are tested before their texts are.
+SKETCH = 512
 #: Classes that post a word, above which their pairs are dealt out to several buckets.
 CROWD = 1 << 14
 #: Postings a bucket holds about, and buckets there are at least.
 BUCKET, BUCKETS = 1 << 18, 256
 #: Postings a task holds before it hands them on, and pairs that a bucket looks at in one step.
 HELD, PAIRS = 1 << 19, 1 << 21
+#: Pairs that a class keeps of each word it posts, before all are taken of those classes that these do not settle.
+KEPT = 4
 #: Bits of the bitmap of wanted documents, as a power of two.
 BITMAP = 26
 
@@ -188,8 +194,10 @@ def crowded(classes: DataFrame, frequent: tuple[np.ndarray, np.ndarray], crowd:
     return some[found["i"].to_numpy()], -(-found["n"].to_numpy() // crowd)
 
 
-def postings(classes: DataFrame, buckets: int, crowds: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(bucket, posts) from classes (d, l, n, low, high, open, prefix): their postings, packed; those of a word and part share a bucket."""
+def postings(classes: DataFrame, buckets: int, crowds: tuple[np.ndarray, np.ndarray], words: np.ndarray | None = None) -> DataFrame:
+    """(bucket, posts) from classes (d, l, n, low, high, open, prefix): their postings, packed; those of a word and part share a bucket.
+
+    words: bitmap; postings of words that it has not are left out."""
     hot, parts = crowds
 
     def columns(batch: pa.RecordBatch) -> list[np.ndarray]:
@@ -199,7 +207,11 @@ def postings(classes: DataFrame, buckets: int, crowds: tuple[np.ndarray, np.ndar
         at = np.arange(len(w)) - np.repeat(np.cumsum(m) - m, m)
         d, l, n, low, high = (pc.fill_null(batch.column(c), 0).to_numpy() for c in ("d", "l", "n", "low", "high"))
         flags = batch.column("d").is_valid().to_numpy(zero_copy_only=False) + 2 * batch.column("open").to_numpy(zero_copy_only=False).astype(np.uint8)
-        row, part = np.repeat(np.arange(len(m)), m), np.zeros(len(w), np.int64)
+        row = np.repeat(np.arange(len(m)), m)
+        if words is not None:
+            some = _has(words, w.astype(np.uint64))
+            w, at, row = w[some], at[some], row[some]
+        part = np.zeros(len(w), np.int64)
         if len(hot):
             i = np.minimum(np.searchsorted(hot, w), len(hot) - 1)
             k = np.where(hot[i] == w, parts[i], 1)
@@ -234,8 +246,10 @@ def postings(classes: DataFrame, buckets: int, crowds: tuple[np.ndarray, np.ndar
     return classes.select("d", "l", "n", "low", "high", "open", "prefix").mapInArrow(run, "bucket int, posts binary")
 
 
-def _meet(rows: list[bytes], t: Fraction, step: int = PAIRS):
-    """Yields (ad, al, bd, bl), d masked where null: pairs of a bucket's postings of a word whose b is open, a stands before b, and that pass the filters."""
+def _meet(rows: list[bytes], t: Fraction, every: bool, step: int = PAIRS):
+    """Yields (ad, al, bd, bl, score, more) from a bucket's postings of the same word whose b is open, a stands before b, and
+    that pass the filters; score: share of parity bits that differ. All such pairs, or ``KEPT`` for each b and then, for those
+    that met more, the pair of the least score once more with more set."""
     w, part, d, l, n, at, bits, more, flags = _unpacked(rows)
     order = np.lexsort((n, part, w))
     w, part, d, l, n, at, bits, more, flags = (c[order] for c in (w, part, d, l, n, at, bits, more, flags))
@@ -251,6 +265,11 @@ def _meet(rows: list[bytes], t: Fraction, step: int = PAIRS):
     high = np.searchsorted(small, np.arange(len(w)))
     reach = np.maximum(high - low, 0)
     total = np.cumsum(reach)
+    least, of, found = np.full(len(w), np.inf), np.zeros(len(w), np.int64), np.zeros(len(w), np.int64)
+
+    def columns(a: np.ndarray, b: np.ndarray, score: np.ndarray, more: np.ndarray) -> list[pa.Array]:
+        return [pa.array(d[a], mask=~known[a]), pa.array(l[a]), pa.array(d[b], mask=~known[b]), pa.array(l[b]), pa.array(score), pa.array(more)]
+
     start = 0
     while start < len(w):
         end = max(start + 1, int(np.searchsorted(total, (total[start - 1] if start else 0) + step, side="right")))
@@ -263,28 +282,49 @@ def _meet(rows: list[bytes], t: Fraction, step: int = PAIRS):
         i, j = i[ok], j[ok]
         differ = sum(np.bitwise_count((x[i] ^ x[j]).view(np.uint64)).astype(np.int64) for x in (bits, more))
         ok = differ * both <= (n[i] + n[j]) * (t.denominator - t.numerator)
-        i, j = i[ok], j[ok]
+        i, j, score = i[ok], j[ok], differ[ok] / (n[i] + n[j])[ok]
         same = (known[i] == known[j]) & (d[i] == d[j])
         before = np.where(same, l[i] < l[j], ~known[i] & known[j] | (known[i] == known[j]) & (d[i] < d[j]))
         after = np.where(same, l[j] < l[i], ~before)
         a, b = np.where(before, i, j), np.where(before, j, i)
         ok = (before | after) & open_[b]
-        a, b = a[ok], b[ok]
+        a, b, score = a[ok], b[ok], score[ok]
+        if not every and len(a):
+            order = np.lexsort((score, b))
+            a, b, score = a[order], b[order], score[order]
+            first = np.flatnonzero(_first(b, b))
+            m = np.diff(np.append(first, len(b)))
+            place = np.arange(len(b)) - np.repeat(first, m) + found[b]
+            low_b = b[first]
+            found[low_b] += m
+            better = score[first] < least[low_b]
+            least[low_b[better]], of[low_b[better]] = score[first][better], a[first][better]
+            few = place < KEPT
+            a, b, score = a[few], b[few], score[few]
         if len(a):
-            yield [pa.array(d[a], mask=~known[a]), pa.array(l[a]), pa.array(d[b], mask=~known[b]), pa.array(l[b])]
+            yield columns(a, b, score, np.zeros(len(a), bool))
+    b = np.flatnonzero(found > KEPT)
+    if len(b):
+        yield columns(of[b], b, least[b], np.ones(len(b), bool))
 
 
-def met(classes: DataFrame, frequent: tuple[np.ndarray, np.ndarray], t: Fraction, crowd: int = CROWD) -> DataFrame:
-    """(ad, al, bd, bl, k): the pairs of classes (d, l, n, low, high, open, prefix) that may be similar, a before b, b open, and how often they met."""
+def met(classes: DataFrame, frequent: tuple[np.ndarray, np.ndarray], t: Fraction, crowd: int = CROWD, words: np.ndarray | None = None) -> DataFrame:
+    """Of classes (d, l, n, low, high, open, prefix), those that may be similar, a before b, b open, by posted words.
+
+    Without words: pairs ad, al, bd, bl, score (share of parity bits that differ) and more: ``KEPT`` of each posting of a b, and whether there are others.
+    With words (a bitmap): all pairs ad, al, bd, bl that share a posted word in it."""
     total = classes.agg(F.sum(F.size("prefix"))).first()[0] or 0
-    names = ["ad", "al", "bd", "bl"]
-    schema = pa.schema([(c, pa.int64() if c[1] == "d" else pa.int32()) for c in names])
+    types = [("ad", pa.int64()), ("al", pa.int32()), ("bd", pa.int64()), ("bl", pa.int32()), ("score", pa.float64()), ("more", pa.bool_())]
+    schema, every = pa.schema(types), words is not None
 
     def run(bucket: pa.Table) -> pa.Table:
-        return pa.Table.from_batches([pa.RecordBatch.from_arrays(p, schema=schema) for p in _meet(bucket["posts"].to_pylist(), t)], schema)
+        return pa.Table.from_batches([pa.RecordBatch.from_arrays(p, schema=schema) for p in _meet(bucket["posts"].to_pylist(), t, every)], schema)
 
-    posts = postings(classes, max(BUCKETS, total // BUCKET), crowded(classes, frequent, crowd))
-    return posts.groupBy("bucket").applyInArrow(run, "ad long, al int, bd long, bl int").groupBy(*names).agg(F.count(F.lit(1)).alias("k"))
+    posts = postings(classes, max(BUCKETS, total // BUCKET), crowded(classes, frequent, crowd), words)
+    found = posts.groupBy("bucket").applyInArrow(run, "ad long, al int, bd long, bl int, score double, more boolean")
+    if every:
+        return found.select("ad", "al", "bd", "bl").distinct()
+    return found.groupBy("ad", "al", "bd", "bl").agg(F.min("score").alias("score"), F.max("more").alias("more"))
 
 
 def _wanted(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -321,11 +361,16 @@ def _verified(pairs: DataFrame, docs: DataFrame, t: Fraction) -> DataFrame:
                 own = text.split("\n")
                 out += [(d, i, own[i]) for i in ls if i < len(own)]
             d, at, x = zip(*out) if out else ((), (), ())
-            return pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(at, pa.int32()), pa.array(x, pa.string())], names=["d", "l", "x"])
+            x = pa.array(x, pa.string())
+            n, (line, words) = _distinct_words(x)
+            odd = np.bincount(line * SKETCH + (words >> np.uint64(32)).astype(np.int64) % SKETCH, minlength=SKETCH * len(x)).astype(np.uint8) & 1
+            sketch = np.packbits(odd.reshape(len(x), SKETCH), axis=1).view(np.int64).ravel()
+            sketch = pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * (SKETCH // 64), sketch)
+            return pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(at, pa.int32()), x, pa.array(n.astype(np.int32)), sketch], names=["d", "l", "x", "n", "s"])
 
         return one
 
-    lines = stored(map_slices(known.select("d", "ls", "text"), "text", pick, "d long, l int, x string"), "op5-texts")
+    lines = stored(map_slices(known.select("d", "ls", "text"), "text", pick, "d long, l int, x string, n int, s array<long>", TEXT_BYTES >> 1), "op5-texts")
 
     def make():
         def one(part: pa.RecordBatch) -> pa.RecordBatch:
@@ -339,9 +384,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, t: Fraction) -> DataFrame:
 
         return one
 
-    x = lines.select(F.col("d").alias("xd"), F.col("l").alias("xl"), "x")
-    y = lines.select(F.col("d").alias("yd"), F.col("l").alias("yl"), F.col("x").alias("y"))
-    j = pairs.join(x, _same("ad", "al", "xd", "xl")).join(y, _same("bd", "bl", "yd", "yl"))
+    x = lines.select(F.col("d").alias("xd"), F.col("l").alias("xl"), "x", F.col("n").alias("xn"), F.col("s").alias("xs"))
+    y = lines.select(F.col("d").alias("yd"), F.col("l").alias("yl"), F.col("x").alias("y"), F.col("n").alias("yn"), F.col("s").alias("ys"))
+    # again a lower bound of the symmetric difference, by more bits
+    differ = sum((F.bit_count(F.col("xs")[i].bitwiseXOR(F.col("ys")[i])) for i in range(SKETCH // 64)), F.lit(0))
+    ok = differ * (t.denominator + t.numerator) <= (F.col("xn") + F.col("yn")) * (t.denominator - t.numerator)
+    j = pairs.join(x, _same("ad", "al", "xd", "xl")).join(y, _same("bd", "bl", "yd", "yl") & ok)
     out = stored(map_slices(j.select(F.col("bd").alias("d"), F.col("bl").alias("l"), "x", "y"), "x", make, "d long, l int").distinct(), "op5-settled")
     discard(per_doc, lines)
     return out
@@ -381,13 +429,23 @@ def later_matches(docs: DataFrame, threshold: float = THRESHOLD, most: int = FRE
         there = maybe.join(_union(settled), _same("d", "l", "__d", "__l"), "left").withColumn("open", F.col("__l").isNull()).drop("__d", "__l")
         marked = rest.withColumn("open", F.lit(True)).unionByName(there)
     pairs = stored(met(marked, frequent, t, crowd), "op5-pairs")
-    best = stored(pairs.groupBy("bd", "bl").agg(F.max(F.struct("k", "ad", "al")).alias("o")).select("o.ad", "o.al", "bd", "bl"), "op5-best")
-    settled.append(_verified(best, docs, t))
-    more = stored(pairs.join(settled[-1].select(F.col("d").alias("__d"), F.col("l").alias("__l")), _same("bd", "bl", "__d", "__l"), "left_anti").drop("k"), "op5-more")
-    discard(pairs, best)
-    if not more.isEmpty():
-        settled.append(_verified(more, docs, t))
-    discard(more)
+    best = pairs.groupBy("bd", "bl").agg(F.min(F.struct("score", "ad", "al")).alias("o")).select("o.ad", "o.al", "bd", "bl")
+    settled.append(_verified(stored(best, "op5-best"), docs, t))
+    others = stored(left_over(pairs, "bd", "bl"), "op5-others")
+    discard(pairs)
+    settled.append(_verified(others, docs, t))
+    left = left_over(others.filter("more"), "bd", "bl").select(F.col("bd").alias("__d"), F.col("bl").alias("__l"))
+    left = stored(classes.join(left.distinct(), _same("d", "l", "__d", "__l")), "op5-left")
+    if not left.isEmpty():
+        # all pairs of the classes that are still open; only words that these post matter
+        words = bitmap(left.select(F.explode("prefix").alias("w")).distinct().select(F.expr("w & 4294967295L").alias("id")))
+        place = F.xxhash64("d", "l")
+        maybe, rest = parted(classes, place, left.select(place.alias("key")))
+        there = maybe.join(left.select("__d", "__l").distinct(), _same("d", "l", "__d", "__l"), "left").withColumn("open", F.col("__l").isNotNull()).drop("__d", "__l")
+        pairs = stored(met(rest.withColumn("open", F.lit(False)).unionByName(there), frequent, t, crowd, words), "op5-pairs")
+        settled.append(_verified(pairs, docs, t))
+        discard(pairs)
+    discard(others, left)
     named = classes.join(_union(settled), _same("d", "l", "__d", "__l"), "left").select("d1", "d2", "d", "l", F.col("__l").isNotNull().alias("match"))
     out = lines.join(named, ["d1", "d2"])
     later = ~(F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("line") == F.col("l")))

@@ -1,6 +1,7 @@
 """Exact, near and line dedup against brute force, with hot groups and odd rows."""
 import hashlib
 import random
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -217,3 +218,25 @@ def test_very_long_texts(spark):
     twice = df.unionByName(df.select((df.doc_id + 10).alias("doc_id"), "text"))
     assert {r.doc_id for r in exact_dedup.drop_exact_duplicates(twice).collect()} == {11, 12, 13}
     assert {r.doc_id for r in near_dedup.drop_near_duplicates(twice).collect()} == {1, 2, 3}
+
+
+@pytest.mark.parametrize("crowd", [2, 1 << 14])
+def test_line_dedup_crowded_words(spark, crowd):
+    """Words that many classes post are dealt out in parts; the result stays that of brute force."""
+    rows = lines_corpus(5)
+    gone, first = brute_lines(rows)
+    got = line_dedup.later_matches(frame(spark, rows), rounds=0, crowd=crowd).collect()
+    assert {(r.doc_id, r.line) for r in got if r.gone} == gone
+    assert {(r.first_doc, r.first_line) for r in got} == set(first.values())
+
+
+def test_line_postings_make_a_row_a_class(spark):
+    """A group of variants makes rows in proportion to its lines, not to their pairs; a posting's bytes are a few, not a row."""
+    base = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join([*base[: i % 40], f"x{i}", *base[i % 40 + 1 :]])) for i in range(200)]
+    docs = frame(spark, rows)
+    frequent = line_dedup.frequent_words(docs)
+    c = line_dedup.prefixes(docs, frequent).withColumnRenamed("doc_id", "d").withColumnRenamed("line", "l").withColumn("open", F.lit(True))
+    assert line_dedup.met(c, frequent, Fraction(3, 4)).count() <= 200 * 12 * line_dedup.KEPT < 200 * 199 // 2
+    posts = line_dedup.postings(c, 4, line_dedup.crowded(c, frequent))
+    assert posts.select("bucket").distinct().count() <= 4 and posts.count() <= 4 * c.rdd.getNumPartitions()
