@@ -17,7 +17,7 @@ the earliest class that shares their rarest and second rarest word, which settle
 variants at linear cost; then every class not settled is joined with all
 classes before it over all posted words. At first a class keeps ``KEPT`` pairs of each word it
 posts, so a group makes rows in proportion to its postings; its likeliest pair is verified first, then the others if that is none. For
-the classes that these do not settle and that met more, the words they post are joined again and all pairs are taken. Nothing is capped.
+the classes that these do not settle, the words by which they met more are joined again and all pairs are taken. Nothing is capped.
 
 The join is dealt out by word to buckets, whose number grows with the postings. A task packs its postings of
 a bucket column by column into one row, so the exchange holds bytes and few rows; a bucket sorts them by (word, size) and
@@ -247,9 +247,9 @@ def postings(classes: DataFrame, buckets: int, crowds: tuple[np.ndarray, np.ndar
 
 
 def _meet(rows: list[bytes], t: Fraction, every: bool, step: int = PAIRS):
-    """Yields (ad, al, bd, bl, score, more) from a bucket's postings of the same word whose b is open, a stands before b, and
+    """Yields (ad, al, bd, bl, score, word) from a bucket's postings of the same word whose b is open, a stands before b, and
     that pass the filters; score: share of parity bits that differ. All such pairs, or ``KEPT`` for each b and then, for those
-    that met more, the pair of the least score once more with more set."""
+    that met more, the pair of the least score once more with the word (else null)."""
     w, part, d, l, n, at, bits, more, flags = _unpacked(rows)
     order = np.lexsort((n, part, w))
     w, part, d, l, n, at, bits, more, flags = (c[order] for c in (w, part, d, l, n, at, bits, more, flags))
@@ -267,8 +267,8 @@ def _meet(rows: list[bytes], t: Fraction, every: bool, step: int = PAIRS):
     total = np.cumsum(reach)
     least, of, found = np.full(len(w), np.inf), np.zeros(len(w), np.int64), np.zeros(len(w), np.int64)
 
-    def columns(a: np.ndarray, b: np.ndarray, score: np.ndarray, more: np.ndarray) -> list[pa.Array]:
-        return [pa.array(d[a], mask=~known[a]), pa.array(l[a]), pa.array(d[b], mask=~known[b]), pa.array(l[b]), pa.array(score), pa.array(more)]
+    def columns(a: np.ndarray, b: np.ndarray, score: np.ndarray, more: bool) -> list[pa.Array]:
+        return [pa.array(d[a], mask=~known[a]), pa.array(l[a]), pa.array(d[b], mask=~known[b]), pa.array(l[b]), pa.array(score), pa.array(w[b].view(np.int32), mask=np.full(len(b), not more))]
 
     start = 0
     while start < len(w):
@@ -302,29 +302,30 @@ def _meet(rows: list[bytes], t: Fraction, every: bool, step: int = PAIRS):
             few = place < KEPT
             a, b, score = a[few], b[few], score[few]
         if len(a):
-            yield columns(a, b, score, np.zeros(len(a), bool))
+            yield columns(a, b, score, False)
     b = np.flatnonzero(found > KEPT)
     if len(b):
-        yield columns(of[b], b, least[b], np.ones(len(b), bool))
+        yield columns(of[b], b, least[b], True)
 
 
 def met(classes: DataFrame, frequent: tuple[np.ndarray, np.ndarray], t: Fraction, crowd: int = CROWD, words: np.ndarray | None = None) -> DataFrame:
     """Of classes (d, l, n, low, high, open, prefix), those that may be similar, a before b, b open, by posted words.
 
-    Without words: pairs ad, al, bd, bl, score (share of parity bits that differ) and more: ``KEPT`` of each posting of a b, and whether there are others.
+    Without words: pairs ad, al, bd, bl, score (share of parity bits that differ) and word: ``KEPT`` of each posting of a b, and with a word
+    (else null) one of each word by which it met more.
     With words (a bitmap): all pairs ad, al, bd, bl that share a posted word in it."""
     total = classes.agg(F.sum(F.size("prefix"))).first()[0] or 0
-    types = [("ad", pa.int64()), ("al", pa.int32()), ("bd", pa.int64()), ("bl", pa.int32()), ("score", pa.float64()), ("more", pa.bool_())]
+    types = [("ad", pa.int64()), ("al", pa.int32()), ("bd", pa.int64()), ("bl", pa.int32()), ("score", pa.float64()), ("word", pa.int32())]
     schema, every = pa.schema(types), words is not None
 
     def run(bucket: pa.Table) -> pa.Table:
         return pa.Table.from_batches([pa.RecordBatch.from_arrays(p, schema=schema) for p in _meet(bucket["posts"].to_pylist(), t, every)], schema)
 
     posts = postings(classes, max(BUCKETS, total // BUCKET), crowded(classes, frequent, crowd), words)
-    found = posts.groupBy("bucket").applyInArrow(run, "ad long, al int, bd long, bl int, score double, more boolean")
+    found = posts.groupBy("bucket").applyInArrow(run, "ad long, al int, bd long, bl int, score double, word int")
     if every:
         return found.select("ad", "al", "bd", "bl").distinct()
-    return found.groupBy("ad", "al", "bd", "bl").agg(F.min("score").alias("score"), F.max("more").alias("more"))
+    return found.groupBy("ad", "al", "bd", "bl", "word").agg(F.min("score").alias("score"))
 
 
 def _wanted(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -433,14 +434,14 @@ def later_matches(docs: DataFrame, threshold: float = THRESHOLD, most: int = FRE
     settled.append(_verified(stored(best, "op5-best"), docs, t))
     others = stored(left_over(pairs, "bd", "bl"), "op5-others")
     discard(pairs)
-    settled.append(_verified(others, docs, t))
-    left = left_over(others.filter("more"), "bd", "bl").select(F.col("bd").alias("__d"), F.col("bl").alias("__l"))
-    left = stored(classes.join(left.distinct(), _same("d", "l", "__d", "__l")), "op5-left")
+    settled.append(_verified(others.select("ad", "al", "bd", "bl").distinct(), docs, t))
+    left = left_over(others.filter("word is not null"), "bd", "bl").select(F.col("bd").alias("__d"), F.col("bl").alias("__l"), "word")
+    left = stored(left.distinct(), "op5-left")
     if not left.isEmpty():
-        # all pairs of the classes that are still open; only words that these post matter
-        words = bitmap(left.select(F.explode("prefix").alias("w")).distinct().select(F.expr("w & 4294967295L").alias("id")))
+        # all pairs of the classes that are still open, by the words that have more
+        words = bitmap(left.select(F.expr("word & 4294967295L").alias("id")).distinct())
         place = F.xxhash64("d", "l")
-        maybe, rest = parted(classes, place, left.select(place.alias("key")))
+        maybe, rest = parted(classes, place, left.select(F.xxhash64("__d", "__l").alias("key")))
         there = maybe.join(left.select("__d", "__l").distinct(), _same("d", "l", "__d", "__l"), "left").withColumn("open", F.col("__l").isNotNull()).drop("__d", "__l")
         pairs = stored(met(rest.withColumn("open", F.lit(False)).unionByName(there), frequent, t, crowd, words), "op5-pairs")
         settled.append(_verified(pairs, docs, t))
