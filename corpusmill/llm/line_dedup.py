@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm.common import TEXT_BYTES, discard, free_name, map_slices, parted, stored, strings
 from corpusmill.llm.phrases import _has, bitmap
-from corpusmill.llm.shingles import mix, word_hashes
+from corpusmill.llm.shingles import chunk_hashes, mix, word_hashes
 
 THRESHOLD = 0.75
 FREQUENT = 1 << 16
@@ -65,17 +65,32 @@ HELD, PAIRS = 1 << 19, 1 << 21
 KEPT = 4
 #: Bits of the bitmap of wanted documents, as a power of two.
 BITMAP = 26
-
-
-def line_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
-    """(text, number, set, word hash) as arrays: text and number of each line; set and hash of each word, repeated ones too; the lines."""
-    split = pc.split_pattern(texts, "\n")
-    lines = split.flatten()
-    n = np.diff(split.offsets.to_numpy())
+#: Bits of a word's hash or place by which the words of a line are sorted at first.
+RARITY_BITS = 41
+#: Beginnings of hashes by which known words are looked up, as a power of two.
+SLOTS = 20
+
+
+def line_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, number, line, word hash) as arrays: text and number of each line; line and hash of each word, repeated ones too."""
+    wide = texts.cast(pa.large_binary())
+    off = np.frombuffer(wide.buffers()[1], np.int64)[wide.offset : wide.offset + len(wide) + 1]
+    data = np.frombuffer(wide.buffers()[2] or b"", np.uint8)[off[0] : off[-1]]
+    off = off - off[0]
+    feeds = np.flatnonzero(data == 10)
+    n = np.diff(np.searchsorted(feeds, off)) + 1
     text = np.repeat(np.arange(len(n)), n)
     number = np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)
-    off, words = word_hashes(lines)
-    return text, number, np.repeat(np.arange(len(lines)), np.diff(off)), words, lines
+    begins = np.sort(np.concatenate([off[:-1], feeds + 1]), kind="stable")
+    # words end where a text does, too: a line feed after each text
+    data, shift = np.insert(data, off[1:], 10), np.arange(len(n))
+    space = (data == 32) | (data - np.uint8(9) < 5)
+    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+    if len(data) and not space[0]:
+        edge = np.concatenate([[0], edge])
+    starts, lengths = edge[::2], edge[1::2] - edge[::2]
+    line = np.repeat(np.arange(len(text)), np.diff(np.append(np.searchsorted(starts, begins + shift[text]), len(starts))))
+    return text, number, line, chunk_hashes(data, starts, lengths)
 
 
 def _first(line: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -90,8 +105,9 @@ def frequent_words(docs: DataFrame, most: int = FREQUENT, common: int = COMMON)
 
     def make():
         def one(part: pa.RecordBatch) -> pa.RecordBatch:
-            _, _, line, words, _ = line_sets(strings(part, "text"))
-            order = np.lexsort((line, words))
+            _, _, line, words = line_sets(strings(part, "text"))
+            # one number a word; what it fails to bring together counts twice, which changes the order only
+            order = np.argsort(line.astype(np.uint64) << np.uint64(RARITY_BITS) | words >> np.uint64(64 - RARITY_BITS), kind="stable")
             line, words = line[order], words[order]
             words, n = np.unique(words[_first(line, words)], return_counts=True)
             some = n >= common
@@ -106,20 +122,56 @@ def frequent_words(docs: DataFrame, most: int = FREQUENT, common: int = COMMON)
     return w[order], n[order]
 
 
+class Rarity:
+    """The order of words by rarity: unknown ones by hash, then the known ones by count and hash."""
+
+    def __init__(self, known: np.ndarray, counts: np.ndarray, bits: int = RARITY_BITS):
+        self.known, self.bits = known, bits
+        self.place = np.empty(len(known), np.uint64)
+        self.place[np.lexsort((known, counts))] = np.arange(1, len(known) + 1, dtype=np.uint64)
+        # where the known words of each beginning (``SLOTS`` bits) stand
+        self.first = np.searchsorted(known >> np.uint64(64 - SLOTS), np.arange((1 << SLOTS) + 1, dtype=np.uint64)).astype(np.int32)
+
+    def places(self, words: np.ndarray) -> np.ndarray:
+        """Places of the words from 1 on; 0: not known."""
+        out = np.zeros(len(words), np.uint64)
+        slot = (words >> np.uint64(64 - SLOTS)).astype(np.int64)
+        at, end = self.first[slot], self.first[slot + 1]
+        left = np.flatnonzero(at < end)
+        at, end, own = at[left], end[left], words[left]
+        while len(left):
+            hit = self.known[at] == own
+            out[left[hit]] = self.place[at[hit]]
+            more = ~hit & (at + 1 < end)
+            left, at, end, own = left[more], at[more] + 1, end[more], own[more]
+        return out
+
+    def sort(self, line: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(line, word) by line, which ascends already, then rarity: sorted by one number a word, that holds its line and ``bits`` of its
+        place or hash; in full where that does not tell words apart."""
+        place, bits = self.places(words), self.bits
+        if not len(line) or (int(line[-1]) < 1 << (63 - bits) and len(self.known) < 1 << bits):
+            of = np.where(place > 0, place | np.uint64(1 << bits), words >> np.uint64(64 - bits))
+            key = line.astype(np.uint64) << np.uint64(bits + 1) | of
+            order = np.argsort(key, kind="stable")
+            key, w = key[order], words[order]
+            if not np.any((key[1:] == key[:-1]) & (w[1:] != w[:-1])):
+                return line[order], w
+        order = np.lexsort((words, place, line))
+        return line[order], words[order]
+
+
 def prefixes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], threshold: float = THRESHOLD) -> DataFrame:
     """One row a line with words: doc_id, line, digest (d1, d2) of its set, size n, parity bits (low, high), prefix (posted words, rarest first)."""
     t = Fraction(threshold).limit_denominator(1000)
     known, counts = frequent
 
     def make():
+        rarity = Rarity(known, counts)
+
         def one(part: pa.RecordBatch) -> pa.RecordBatch:
-            text, number, line, words, lines = line_sets(strings(part, "text"))
-            rank = np.zeros(len(words), np.int64)
-            if len(known) and len(words):
-                i = np.minimum(np.searchsorted(known, words), len(known) - 1)
-                rank = np.where(known[i] == words, counts[i], 0)
-            order = np.lexsort((words, rank, line))
-            line, words = line[order], words[order]
+            text, number, line, words = line_sets(strings(part, "text"))
+            line, words = rarity.sort(line, words)
             new = _first(line, words)
             line, words = line[new], words[new]
             has, starts, n = np.unique(line, return_index=True, return_counts=True)
@@ -194,6 +246,11 @@ def crowded(classes: DataFrame, frequent: tuple[np.ndarray, np.ndarray], crowd:
     return some[found["i"].to_numpy()], -(-found["n"].to_numpy() // crowd)
 
 
+def posted(classes: DataFrame, frequent: tuple[np.ndarray, np.ndarray], crowd: int = CROWD) -> tuple[int, tuple[np.ndarray, np.ndarray]]:
+    """How many words the classes post in all, and those that are ``crowded``."""
+    return classes.agg(F.sum(F.size("prefix"))).first()[0] or 0, crowded(classes, frequent, crowd)
+
+
 def postings(classes: DataFrame, buckets: int, crowds: tuple[np.ndarray, np.ndarray], words: np.ndarray | None = None) -> DataFrame:
     """(bucket, posts) from classes (d, l, n, low, high, open, prefix): their postings, packed; those of a word and part share a bucket.
 
@@ -308,20 +365,22 @@ def _meet(rows: list[bytes], t: Fraction, every: bool, step: int = PAIRS):
         yield columns(of[b], b, least[b], True)
 
 
-def met(classes: DataFrame, frequent: tuple[np.ndarray, np.ndarray], t: Fraction, crowd: int = CROWD, words: np.ndarray | None = None) -> DataFrame:
+def met(classes: DataFrame, frequent: tuple[np.ndarray, np.ndarray], t: Fraction, crowd: int = CROWD, words: np.ndarray | None = None,
+        sizes: tuple[int, tuple[np.ndarray, np.ndarray]] | None = None) -> DataFrame:
     """Of classes (d, l, n, low, high, open, prefix), those that may be similar, a before b, b open, by posted words.
 
     Without words: pairs ad, al, bd, bl, score (share of parity bits that differ) and word: ``KEPT`` of each posting of a b, and with a word
     (else null) one of each word by which it met more.
-    With words (a bitmap): all pairs ad, al, bd, bl that share a posted word in it."""
-    total = classes.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    With words (a bitmap): all pairs ad, al, bd, bl that share a posted word in it.
+    sizes: what ``posted`` tells of the classes, if that is known."""
+    total, crowds = sizes or posted(classes, frequent, crowd)
     types = [("ad", pa.int64()), ("al", pa.int32()), ("bd", pa.int64()), ("bl", pa.int32()), ("score", pa.float64()), ("word", pa.int32())]
     schema, every = pa.schema(types), words is not None
 
     def run(bucket: pa.Table) -> pa.Table:
         return pa.Table.from_batches([pa.RecordBatch.from_arrays(p, schema=schema) for p in _meet(bucket["posts"].to_pylist(), t, every)], schema)
 
-    posts = postings(classes, max(BUCKETS, total // BUCKET), crowded(classes, frequent, crowd), words)
+    posts = postings(classes, max(BUCKETS, total // BUCKET), crowds, words)
     found = posts.groupBy("bucket").applyInArrow(run, "ad long, al int, bd long, bl int, score double, word int")
     if every:
         return found.select("ad", "al", "bd", "bl").distinct()
@@ -429,7 +488,8 @@ def later_matches(docs: DataFrame, threshold: float = THRESHOLD, most: int = FRE
         maybe, rest = parted(classes, place, _union(settled).select(F.xxhash64("__d", "__l").alias("key")))
         there = maybe.join(_union(settled), _same("d", "l", "__d", "__l"), "left").withColumn("open", F.col("__l").isNull()).drop("__d", "__l")
         marked = rest.withColumn("open", F.lit(True)).unionByName(there)
-    pairs = stored(met(marked, frequent, t, crowd), "op5-pairs")
+    sizes = posted(classes, frequent, crowd)  # both joins post the words of the same classes
+    pairs = stored(met(marked, frequent, t, crowd, sizes=sizes), "op5-pairs")
     best = pairs.groupBy("bd", "bl").agg(F.min(F.struct("score", "ad", "al")).alias("o")).select("o.ad", "o.al", "bd", "bl")
     settled.append(_verified(stored(best, "op5-best"), docs, t))
     others = stored(left_over(pairs, "bd", "bl"), "op5-others")
@@ -443,7 +503,7 @@ def later_matches(docs: DataFrame, threshold: float = THRESHOLD, most: int = FRE
         place = F.xxhash64("d", "l")
         maybe, rest = parted(classes, place, left.select(F.xxhash64("__d", "__l").alias("key")))
         there = maybe.join(left.select("__d", "__l").distinct(), _same("d", "l", "__d", "__l"), "left").withColumn("open", F.col("__l").isNotNull()).drop("__d", "__l")
-        pairs = stored(met(rest.withColumn("open", F.lit(False)).unionByName(there), frequent, t, crowd, words), "op5-pairs")
+        pairs = stored(met(rest.withColumn("open", F.lit(False)).unionByName(there), frequent, t, crowd, words, sizes), "op5-pairs")
         settled.append(_verified(pairs, docs, t))
         discard(pairs)
     discard(others, left)

@@ -7,9 +7,14 @@ probability below 1e-10 for a million shingles.
 """
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 
+#: Bytes up to which ``chunk_hashes`` takes a word by chunks.
+CHUNKED = 64
+
 _RNG = np.random.Generator(np.random.PCG64(20_071))
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -21,6 +26,8 @@ _BYTE = _BYTE[_LOWER]
 with np.errstate(over="ignore"):
     _POWER = np.cumprod(np.full(1 << 16, 0x9E3779B97F4A7C15, dtype=np.uint64))
 _PLACE = _RNG.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_LENGTH = _RNG.integers(1, 1 << 63, CHUNKED + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -75,6 +82,32 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.searchsorted(starts, off), mix(np.add.reduceat(part, starts))
 
 
+def _chunks(wide: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place of the bytes that ``wide`` holds as 64-bit words."""
+    i, shift = at >> 3, (at & 7).astype(np.uint64) << np.uint64(3)
+    return wide[i] >> shift | wide[i + 1] << np.uint64(1) << (np.uint64(63) - shift)
+
+
+def chunk_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words data[start : start + length], A-Z lower-cased, taken eight bytes at a time. They are others than
+    those of ``word_hashes``; long words are digested one by one."""
+    lower = np.zeros(len(data) // 8 * 8 + 16, np.uint8)
+    lower[: len(data)] = data | (data - np.uint8(65) < 26).view(np.uint8) << np.uint8(5)
+    wide = lower.view("<u8")
+    h = mix((_chunks(wide, starts) & _MASK[np.minimum(lengths, 8)]) + _LENGTH[np.minimum(lengths, CHUNKED)])
+    more = np.flatnonzero((lengths > 8) & (lengths <= CHUNKED))
+    for k in range(8, CHUNKED, 8):
+        if not len(more):
+            break
+        left = lengths[more] - k
+        h[more] = mix((h[more] ^ _chunks(wide, starts[more] + k) & _MASK[np.minimum(left, 8)]) * _PLACE[k >> 3])
+        more = more[left > 8]
+    for i in np.flatnonzero(lengths > CHUNKED).tolist():
+        word = lower[starts[i] : starts[i] + lengths[i]].tobytes()
+        h[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+    return h
+
+
 def shingle_hashes(texts: pa.Array, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """(offsets, hashes) of all shingles in order, repeated ones too.
 
