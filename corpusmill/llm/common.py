@@ -1,6 +1,7 @@
 """Shared helpers: table reads, written intermediates in the shared folder, Arrow batches of bounded size."""
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -35,6 +36,16 @@ def text_slices(batch: pa.RecordBatch, column: str, limit: int = TEXT_BYTES) ->
         yield batch.slice(start)
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+
+
+def release() -> None:
+    """Give freed memory back to the system: Spark keeps its Python workers, and what they hold on to adds to that of later stages."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
 def map_slices(df: DataFrame, column: str, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str, limit: int = TEXT_BYTES) -> DataFrame:
     """mapInArrow over slices of bounded text; ``make`` runs once per task and returns the slice function."""
 
@@ -45,6 +56,7 @@ def map_slices(df: DataFrame, column: str, make: Callable[[], Callable[[pa.Recor
                 out = fn(part)
                 if out is not None and out.num_rows:
                     yield out
+        release()
 
     return df.mapInArrow(run, schema)
 

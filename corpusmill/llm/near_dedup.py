@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import discard, free_name, map_slices, parted, stored, strings
+from corpusmill.llm.common import TEXT_BYTES, discard, free_name, map_slices, parted, stored, strings
 from corpusmill.llm.shingles import distinct, shingle_hashes
 
 WIDTH = 5
@@ -50,6 +50,8 @@ ROUNDS, ENOUGH = 2, 50
 SKETCH = 16
 #: Shingles that one step of the minhash loop takes, so that they stay in the CPU cache.
 _STEP = 1 << 15
+#: Bytes of text whose shingles a task holds at once.
+SLICE = TEXT_BYTES >> 2
 
 
 def _seeds(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -111,7 +113,7 @@ def signatures(docs: DataFrame, width: int = WIDTH, side: int = SIDE, rows: int
 
         return one
 
-    return map_slices(docs.select("doc_id", "text"), "text", make, "doc_id long, n_shingles long, digest binary, sig array<long>, sketch array<long>")
+    return map_slices(docs.select("doc_id", "text"), "text", make, "doc_id long, n_shingles long, digest binary, sig array<long>, sketch array<long>", SLICE)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int = WIDTH, similarity: int = SIMILARITY) -> DataFrame:
@@ -135,7 +137,7 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int = WIDTH, similarity:
 
     t = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
     t = t.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
-    return map_slices(t.select("a", "b", "ta", "tb"), "ta", make, "a long, b long")
+    return map_slices(t.select("a", "b", "ta", "tb"), "ta", make, "a long, b long", SLICE)
 
 
 def components(edges: DataFrame, label: str = "cc") -> DataFrame:

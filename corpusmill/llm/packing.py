@@ -36,12 +36,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import strings, text_slices
+from corpusmill.llm.common import release, strings, text_slices
 
-#: Text that a task tokenises at once.
-SLICE = 8 << 20
+#: Text that a task tokenises at once; a task's memory grows with it.
+SLICE = 2 << 20
 #: Words remembered before the memory is emptied; no effect on results.
-WORDS = 600_000
+WORDS = 400_000
 #: Pieces a task pools; more gives the heuristic more choice and costs more time a piece.
 POOL = 1024
 _MARK = "\x01"
@@ -328,6 +328,7 @@ def pack(examples: DataFrame, tokenizer: str, end_id: int, limits: Limits | None
         note(packer.finish())
         if rows:
             yield _batch(rows)
+        release()
 
     return chosen.mapInArrow(run, SCHEMA)
 

@@ -27,10 +27,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import map_slices, strings, text_slices
+from corpusmill.llm.common import TEXT_BYTES, map_slices, release, strings, text_slices
 from corpusmill.llm.shingles import mix, prefix_hashes, word_hashes
 
 SLOTS = 1 << 20
+#: Bytes of text whose features a task holds at once.
+SLICE = TEXT_BYTES >> 2
 PREFIXES = (4, 5)
 #: Bounds of the training sample.
 MAX_POSITIVE, MAX_UNLABELLED = 5_000, 10_000
@@ -122,9 +124,10 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
 
     def run(batches):
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", SLICE):
                 off, slots = features(strings(part, "text"))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("p"), pa.ListArray.from_arrays(off.astype(np.int32), slots)], names=["doc_id", "p", "slots"])
+        release()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
     # one row an id and side at most, however often a doc_id is repeated
@@ -164,7 +167,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float] | None, k
 
         return one
 
-    return map_slices(docs.select(*keep, F.col("text").alias("__text")), "__text", make, schema)
+    return map_slices(docs.select(*keep, F.col("text").alias("__text")), "__text", make, schema, SLICE)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -188,8 +191,9 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
         weights = np.zeros(SLOTS)
         weights[model[0]] = model[1]
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", SLICE):
                 s = sigmoid(margins(*features(strings(part, "text")), weights, model[2]))
                 yield part.filter(pa.array(s < 0.5))
+        release()
 
     return docs.mapInArrow(run, docs.schema)

@@ -1,16 +1,18 @@
 """BPE, packing, token files: round trips against the libraries."""
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from corpusmill.llm import bpe, packing, token_scan
-from corpusmill.llm.common import shared_path
+from corpusmill.llm.common import shared_path, strings, text_slices
 
 RANKS, WORDS = P.path("byte_bpe_multi_50k.tiktoken"), P.path("word_bpe_49k.json")
 TEXTS = ["Hello  world, it's\n\nme 123!", "", None, "a", " \t\n ", "naïve façade 漢字 😀 don't", "x" * 3000, "<|endoftext|> it́s H̱ \x01 K"]
@@ -104,6 +106,21 @@ def check_packing(rows, want, tokens, segments=None, loss=None):
     return by_seq
 
 
+def test_packing_tokenises_in_small_slices():
+    """What a task holds to tokenise a batch stays small, however long the batch's texts are together."""
+    text = " ".join(f"w{i % 5000}" for i in range(100_000))
+    batch = pa.RecordBatch.from_arrays([pa.array([text] * 16)], names=["text"])
+    code = packing.WordCoder(WORDS)
+    one = np.diff(code.encode(pa.array([text]))[0])[0]
+    tracemalloc.start()
+    try:
+        for part in text_slices(batch, "text", packing.SLICE):
+            assert np.diff(code.encode(strings(part, "text"))[0]).tolist() == [one] * part.num_rows
+        assert tracemalloc.get_traced_memory()[1] < 64 << 20
+    finally:
+        tracemalloc.stop()
+
+
 def test_packing_documents(spark):
     texts = TEXTS + ["many words here " * 3000, "many words here " * 5]
     rows = packing.pack(docs(spark, texts).repartition(2), WORDS, 1).collect()
