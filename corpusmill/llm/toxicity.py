@@ -146,7 +146,10 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
     del got
     weights, bias = fit(*p, *u, prior)
     slots = np.flatnonzero(weights)
-    return slots, weights[slots], bias
+    model = slots, weights[slots], bias
+    del p, u, weights
+    release()  # the driver goes on to other work
+    return model
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float] | None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -80,6 +80,17 @@ def test_toxicity_held_out(spark):
     assert hit >= 0.8 and false <= 0.01
 
 
+def test_training_frees_the_drivers_memory(spark, monkeypatch):
+    """What the driver needed to train is given back before its next work."""
+    freed = []
+    monkeypatch.setattr(toxicity, "release", lambda: freed.append(1))
+    rows = [(i, "bad worse" if i % 2 else "good fine", i % 2) for i in range(60)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    assert toxicity.train(docs, labels) is not None
+    assert freed == [1]
+
+
 def test_toxicity_odd_rows(spark):
     good, bad = "the sun is up and warm over there", "you stupid idiot clown go away from here"
     rows = [(i, bad if i % 4 == 0 else f"{good} {i}") for i in range(200)] + [(None, bad), (500, None), (501, ""), (502, bad), (502, bad)]
