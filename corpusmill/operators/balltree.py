@@ -4,6 +4,7 @@ The upper levels are built on a sample of fixed size: each node cuts its points
 ones, at the median. Every row descends to a leaf; a leaf's ball is its centre and its farthest row, measured over all
 rows. There are at most ``MAX_LEAVES`` balls, so they can be sent to every task. A leaf of many rows is dealt into
 chunks of about ``leaf`` rows, and many visitors of one leaf into parts of as many, so a group never grows with the data.
+For neighbours within a distance, leaves make up blocks, and a row is copied once for each block that its distance meets.
 
 Nearest neighbours: a query visits its nearest leaves until they hold enough rows, which bounds how far its neighbours
 can be; the second visit goes only to the balls that this radius meets. Neighbours within a distance: a row visits only the
@@ -19,14 +20,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
-from corpusmill.session import cut_lineage
+from corpusmill.session import cut_lineage, stored
 
 #: Rows and values of the sample, rows of a leaf, most leaves.
 SAMPLE_ROWS, SAMPLE_VALUES = 1 << 15, 1 << 22
 LEAF, MAX_LEAVES, LEAST_LEAVES = 2048, 1 << 12, 4
 #: Visitors that are compared with a chunk at once.
 BLOCK = 128
+#: Values of a block of ``within``, blocks that it cuts few rows into, rows of a block that are compared with a leaf at once.
+BLOCK_VALUES, LEAST_BLOCKS, TILE = 1 << 22, 8, 512
 
 
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -61,6 +65,7 @@ class Tree:
     radii: np.ndarray | None = None
     counts: np.ndarray | None = None
     leaf: int = LEAF
+    blocks: int = 0
 
     @property
     def leaves(self) -> int:
@@ -106,13 +111,27 @@ def grow(points: np.ndarray, leaves: int) -> Tree:
     return Tree(depth, normals, cuts, centres)
 
 
-def planted(rows: DataFrame, n: int, leaf: int = LEAF) -> tuple[Tree, DataFrame]:
-    """The tree of rows (id, v) and the rows with their leaf and chunk: (id, v, leaf, chunk)."""
+def sampled(rows: DataFrame, n: int, leaf: int = LEAF) -> Tree:
+    """The tree of a sample of rows (id, v), its balls still without rows."""
     dims = max(1, rows.select(F.max(F.size("v"))).first()[0] or 1)
     take = min(SAMPLE_ROWS, max(64, SAMPLE_VALUES // dims))
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(take).select("v").toArrow()  # of fixed size
     tree = grow(matrix(sample["v"]), min(MAX_LEAVES, max(LEAST_LEAVES, -(-n // leaf))))
     tree.leaf = leaf
+    return tree
+
+
+def measured(tree: Tree, placed: DataFrame) -> None:
+    """Radius and rows of each ball, from rows (leaf, far)."""
+    balls = placed.groupBy("leaf").agg(F.max("far").alias("r"), F.count(F.lit(1)).alias("n")).collect()  # one row a leaf
+    tree.radii, tree.counts = np.full(tree.leaves, -np.inf), np.zeros(tree.leaves, np.int64)
+    for leaf, r, m in balls:
+        tree.radii[leaf], tree.counts[leaf] = r * (1 + 1e-9) + 1e-9, m
+
+
+def planted(rows: DataFrame, n: int, leaf: int = LEAF) -> tuple[Tree, DataFrame]:
+    """The tree of rows (id, v) and the rows with their leaf and chunk: (id, v, leaf, chunk)."""
+    tree = sampled(rows, n, leaf)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,10 +142,7 @@ def planted(rows: DataFrame, n: int, leaf: int = LEAF) -> tuple[Tree, DataFrame]
                 yield batch.append_column("leaf", pa.array(at.astype(np.int32))).append_column("far", pa.array(far))
 
     placed = cut_lineage(rows.mapInArrow(place, "id bigint, v array<double>, leaf int, far double"))
-    balls = placed.groupBy("leaf").agg(F.max("far").alias("r"), F.count(F.lit(1)).alias("n")).collect()  # one row a leaf
-    tree.radii, tree.counts = np.full(tree.leaves, -np.inf), np.zeros(tree.leaves, np.int64)
-    for leaf_, r, m in balls:
-        tree.radii[leaf_], tree.counts[leaf_] = r * (1 + 1e-9) + 1e-9, m
+    measured(tree, placed)
     return tree, with_count(placed.drop("far"), "leaf", tree.chunks(), "chunk")
 
 
@@ -153,7 +169,11 @@ def visits(tree: Tree, rows: DataFrame, choose, extra: str = "") -> DataFrame:
 
 
 def met(tree: Tree, visitors: DataFrame, placed: DataFrame, compare, schema: str) -> DataFrame:
-    """``compare(visitors, rows)`` of every chunk of a leaf with every part of its visitors."""
+    """``compare(visitors, rows)`` of every chunk of a leaf with every part of its visitors; where visitors name two blocks (lo, hi),
+    ``compare(batches)`` of tasks that have all visitors of a pair of blocks together."""
+    if "lo" in visitors.columns:
+        groups = tree.blocks * (tree.blocks + 1) // 2
+        return visitors.repartition(min(groups, 1 << 14), "lo", "hi").sortWithinPartitions("lo", "hi").mapInArrow(compare, schema)
     visitors = cut_lineage(visitors)
     crowd = np.zeros(tree.leaves, np.int64)
     for leaf, n in visitors.groupBy("leaf").count().collect():  # one row a leaf
@@ -235,49 +255,136 @@ def nearest(queries: DataFrame, base: DataFrame, k: int, exclude_self: bool = Fa
     return best(first.unionByName(second).distinct()).select("id", "rank", "bid", "dist")
 
 
+def _unit(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(axis=1, initial=0.0)[:, None]
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+
+
 def within(rows: DataFrame, min_cos: float, digits: int = 6, leaf: int = LEAF) -> DataFrame:
     """(a, b, cos), a < b: all pairs of rows (id, v) whose unit vectors have round(cosine, digits) >= min_cos.
 
-    Rows whose vector is null, zero or not finite have no pairs."""
+    Rows whose vector is null, zero or not finite have no pairs. Leaves make up blocks of a bounded number of values. A task compares
+    two blocks; a row goes to it if its distance meets a leaf of the other block, once, with its numbers as they were read. Pairs
+    are handed on as they are found."""
+    schema = "a bigint, b bigint, cos double"
+    rows = finite(rows).filter(F.exists("v", lambda x: x != 0.0))
+    n = counted(rows)
+    if not n:
+        return rows.sparkSession.createDataFrame([], schema)
+    kind = np.dtype(np.float32 if isinstance(rows.schema["v"].dataType.elementType, FloatType) else np.float64)
+    dims = rows.select(F.max(F.size("v"))).first()[0]
 
     def unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                x = matrix(batch.column("v"))
-                x = x / np.abs(x).max(axis=1, initial=0.0)[:, None]
-                x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+                x = _unit(matrix(batch.column("v")).astype(float))
                 off = pa.array(np.arange(0, x.size + 1, max(1, x.shape[1]), dtype=np.int32)[: len(x) + 1])
                 yield pa.RecordBatch.from_arrays([batch.column("id"), pa.ListArray.from_arrays(off, pa.array(x.ravel()))], names=["id", "v"])
 
-    schema = "a bigint, b bigint, cos double"
-    rows = finite(rows).filter(F.exists("v", lambda x: x != 0.0))
-    n = counted(rows)
-    if not n:
-        return rows.sparkSession.createDataFrame([], schema)
-    tree, placed = planted(rows.mapInArrow(unit, "id bigint, v array<double>"), n, leaf)
+    tree = sampled(rows.mapInArrow(unit, "id bigint, v array<double>"), n, leaf)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                raw = np.ascontiguousarray(matrix(batch.column("v")), kind)
+                x = _unit(raw.astype(float))
+                at = tree.route(x)
+                far = np.sqrt(((x - tree.centres[at]) ** 2).sum(1))
+                off = pa.array(np.arange(len(raw) + 1, dtype=np.int32) * (dims * kind.itemsize))
+                v = pa.Array.from_buffers(pa.binary(), len(raw), [None, off.buffers()[1], pa.py_buffer(raw.tobytes())])
+                yield pa.RecordBatch.from_arrays([batch.column("id"), v, pa.array(at.astype(np.int32)), pa.array(far)], names=["id", "v", "leaf", "far"])
+
+    placed = stored(rows.mapInArrow(place, "id bigint, v binary, leaf int, far double"), "placed")
+    measured(tree, placed)
     reach = np.sqrt(max(0.0, 2 - 2 * (min_cos - 10.0**-digits))) + 1e-6
 
-    def choose(tree: Tree, batch: pa.RecordBatch, x: np.ndarray):
-        """The own leaf, and later ones that the distance meets: each pair of leaves is met from one side."""
-        meets = (tree.from_centres(x) - tree.radii[None, :] <= reach) & (tree.counts > 0)
-        own = batch.column("own").to_numpy(zero_copy_only=False)
-        meets &= np.arange(tree.leaves)[None, :] > own[:, None]
-        meets[np.arange(len(x)), own] = True
-        return np.nonzero(meets)
+    # leaves that follow each other make a block, a leaf of too many rows is dealt into several
+    most = max(1, min(max(leaf, -(-n // LEAST_BLOCKS)), BLOCK_VALUES // dims))
+    first, parts, blocks, room = np.zeros(tree.leaves, np.int64), np.maximum(-(-tree.counts // most), 1), 0, 0
+    for i in range(tree.leaves):
+        if parts[i] > 1 or tree.counts[i] > room:
+            blocks += 1
+            room = most
+        first[i] = blocks - 1
+        if parts[i] > 1:
+            blocks += int(parts[i]) - 1
+            room = 0
+        else:
+            room -= int(tree.counts[i])
+
+    tree.blocks = blocks
+
+    def vectors(column: pa.Array) -> np.ndarray:
+        off = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+        return np.frombuffer(column.buffers()[2], np.uint8)[off[0]:off[-1]].view(kind).reshape(len(column), -1)
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for i in range(0, whole.num_rows, 256):
+                batch = whole.slice(i, 256)
+                x = _unit(vectors(batch.column("v")).astype(float))
+                at = batch.column("leaf").to_numpy()
+                own = first[at] + batch.column("part").to_numpy() % parts[at]
+                meets = (tree.from_centres(x) - tree.radii[None, :] <= reach) & (tree.counts > 0)
+                other = np.zeros((len(x), blocks), bool)
+                for leaf_ in np.flatnonzero(meets.any(0)):
+                    other[:, first[leaf_]:first[leaf_] + parts[leaf_]] |= meets[:, leaf_, None]
+                other[np.arange(len(x)), own] = True
+                row, to = np.nonzero(other)
+                lo, hi = np.minimum(own[row], to), np.maximum(own[row], to)
+                out = batch.select(["id", "v", "leaf"]).take(pa.array(row))
+                for name, col in (("lo", lo), ("hi", hi), ("side", own[row] > lo)):
+                    out = out.append_column(name, pa.array(col.astype(np.int32)))
+                yield out
+
+    def compare(left: tuple, right: tuple | None) -> Iterator[pa.RecordBatch]:
+        ids, v, _ = left
+        others, w, leaves = right or left
+        for leaf_ in np.unique(leaves):
+            there = np.flatnonzero(leaves == leaf_)
+            ball = Tree(0, tree.normals, tree.cuts, tree.centres[leaf_:leaf_ + 1])
+            here = np.flatnonzero(ball.from_centres(v)[:, 0] - tree.radii[leaf_] <= reach)
+            if right is None:
+                here = np.union1d(here, there)
+            y, names = w[there], others[there]
+            for k in range(0, len(here), TILE):
+                some = here[k:k + TILE]
+                c = v[some] @ y.T
+                i, j = np.nonzero(c >= min_cos - 10.0**-digits)
+                cos = np.round(c[i, j], digits)
+                x, z = ids[some[i]], names[j]
+                keep = (cos >= round(min_cos, digits)) & ((x < z) if right is None else (x != z))
+                x, z = x[keep], z[keep]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, z)), pa.array(np.maximum(x, z)), pa.array(cos[keep])], names=["a", "b", "cos"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        now = None
+
+        def group() -> Iterator[pa.RecordBatch]:
+            side = np.concatenate([b.column("side").to_numpy() for b in held])
+            ids, leaves = (np.concatenate([b.column(c).to_numpy() for b in held]) for c in ("id", "leaf"))
+            x = _unit(np.concatenate([vectors(b.column("v")) for b in held]).astype(float))
+            held.clear()
+            sides = [(ids[side == s], x[side == s], leaves[side == s]) for s in (0, 1)]
+            if now[0] == now[1]:
+                yield from compare(sides[0], None)
+            elif len(sides[0][0]) and len(sides[1][0]):
+                yield from compare(*sides)
 
-    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        found = [pa.table({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64), "cos": np.zeros(0)})]
-        if left.num_rows and right.num_rows:
-            v, w = matrix(left["v"]), matrix(right["v"])
-            own, leaf_, ids, others = (t[n].to_numpy() for t, n in ((left, "own"), (right, "leaf"), (left, "id"), (right, "id")))
-            for k in range(0, len(v), BLOCK):
-                c = np.round(v[k:k + BLOCK] @ w.T, digits)
-                i, j = np.nonzero(c >= round(min_cos, digits))
-                x, y = ids[k + i], others[j]
-                keep = np.where(own[k + i] == leaf_[j], x < y, x != y)
-                x, y = x[keep], y[keep]
-                found.append(pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y), "cos": c[i[keep], j[keep]]}))
-        return pa.concat_tables(found)
-
-    visitors = visits(tree, placed.select("id", "v", F.col("leaf").alias("own")), choose, ", own int")
-    return met(tree, visitors, placed, compare, schema)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lo, hi = (batch.column(c).to_numpy().astype(np.int64) for c in ("lo", "hi"))
+            cuts = [0, *(np.flatnonzero(np.diff(lo * blocks + hi)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:]):
+                if held and now != (lo[a], hi[a]):
+                    yield from group()
+                now = (lo[a], hi[a])
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield from group()
+
+    parted = placed.select("id", "v", "leaf", F.pmod(F.xxhash64("id"), F.lit(1 << 30)).cast("int").alias("part"))
+    visitors = parted.mapInArrow(visit, "id bigint, v binary, leaf int, lo int, hi int, side int")
+    return met(tree, visitors, placed, run, schema)
