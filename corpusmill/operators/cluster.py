@@ -5,12 +5,16 @@ Nearest neighbours and neighbours within a distance are exact and come from the
 """
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from corpusmill.operators import balltree
 from corpusmill.operators import stats as ST
@@ -81,7 +85,9 @@ def eps_pairs(df: DataFrame, key: str, vec: str, min_cos: float, digits: int = 6
     """Pairs (a < b) of vectors whose L2-normalised forms have cosine >= min_cos
     (Euclidean distance <= sqrt(2 - 2 min_cos)); exact. Zero, null or not finite vectors have no pairs; lengths that
     differ raise ValueError."""
-    return balltree.within(_rows(df, key, vec), min_cos, digits, leaf)
+    kind = df.schema[vec].dataType
+    v = F.col(vec) if isinstance(kind, ArrayType) and isinstance(kind.elementType, FloatType) else _vec(vec)
+    return balltree.within(df.select(F.col(key).cast("bigint").alias("id"), v.alias("v")), min_cos, digits, leaf)
 
 
 # --------------------------------------------------------------------------- M16
@@ -93,6 +99,86 @@ def core_points(df: DataFrame, pairs: DataFrame, key: str, min_pts: int) -> Data
         F.col("a").alias(key), (F.coalesce("deg", F.lit(0)) + 1 >= min_pts).alias("core"))
 
 
+#: Pairs that a task thins at a time, and points from which on it begins anew.
+THIN_PAIRS, THIN_POINTS = 1 << 20, 1 << 20
+
+
+def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest of 0 .. n - 1 that each reaches by the edges (a, b)."""
+    root = np.arange(n)
+    while len(a):
+        ra, rb = root[a], root[b]
+        more = ra != rb
+        a, b, ra, rb = a[more], b[more], ra[more], rb[more]
+        np.minimum.at(root, np.maximum(ra, rb), np.minimum(ra, rb))
+        while True:
+            up = root[root]
+            if (up == root).all():
+                break
+            root = up
+    return root
+
+
+def thinned(pairs: DataFrame, min_pts: int) -> DataFrame:
+    """What DBSCAN needs of neighbours (a, b; each pair once), at most about ``min_pts`` rows a point and task instead of all pairs:
+    rows (a, null, near) that add up to the weight of a's neighbours, and edges (a, b, null). Columns wa, wb: the points' own
+    weights (1 without them); core points have a weight of ``min_pts`` with their neighbours.
+
+    A point that is known to be core by the pairs of one task is so by all. Among those, the task keeps one edge to the smallest point
+    reached; points that are not have few neighbours there, and keep all edges."""
+    kind = pairs.schema["a"].dataType.simpleString()
+    weighted = "wa" in pairs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state, held, n = None, [], 0
+
+        def thin():
+            nonlocal held, n
+            cols = [pa.concat_arrays([b.column(c) for b in held]).to_numpy(zero_copy_only=False) for c in range(4 if weighted else 2)]
+            held, n = [], 0
+            old, near, own, x, y = state if state is not None else (cols[0][:0], *(np.zeros(0, np.int64) for _ in range(4)))
+            names, code = np.unique(np.concatenate([old, *cols[:2]]), return_inverse=True)
+            code = code.reshape(-1)
+            was, a, b = np.split(code, [len(old), len(old) + len(cols[0])])
+            wa, wb = cols[2:] if weighted else (np.ones(len(a), np.int64),) * 2
+            weight, sums = np.ones(len(names), np.int64), np.zeros(len(names), np.int64)
+            sums[was], weight[was] = near, own
+            weight[a], weight[b] = wa, wb
+            sums += np.bincount(a, wb, len(names)).astype(np.int64) + np.bincount(b, wa, len(names)).astype(np.int64)
+            x, y = np.concatenate([was[x], a]), np.concatenate([was[y], b])
+            sure = sums + weight >= min_pts
+            core = sure[x] & sure[y]
+            root = _roots(len(names), x[core], y[core])
+            below = np.flatnonzero(root != np.arange(len(names)))
+            return names, sums, weight, np.concatenate([root[below], x[~core]]), np.concatenate([below, y[~core]])
+
+        def told() -> pa.RecordBatch:
+            names, sums, _, x, y = state
+            none = pa.nulls(len(names), kind_)
+            a = pa.concat_arrays([pa.array(names, kind_), pa.array(names[x], kind_)])
+            b = pa.concat_arrays([none, pa.array(names[y], kind_)])
+            return pa.RecordBatch.from_arrays([a, b, pa.concat_arrays([pa.array(sums), pa.nulls(len(x), pa.int64())])], names=["a", "b", "near"])
+
+        kind_ = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            kind_ = batch.column(0).type
+            held.append(batch)
+            n += batch.num_rows
+            if n >= THIN_PAIRS:
+                state = thin()
+                if len(state[0]) >= THIN_POINTS:
+                    yield told()
+                    state = None
+        if held:
+            state = thin()
+        if state is not None:
+            yield told()
+
+    return pairs.mapInArrow(run, f"a {kind}, b {kind}, near bigint")
+
+
 def core_components(core: DataFrame, ce: DataFrame) -> DataFrame:
     """(a, lab) of core points (a): the smallest core point that the core-core edges (a, b; both ways) reach;
     by min-label propagation, one join and aggregate per round, checkpointed."""
@@ -121,9 +207,10 @@ def dbscan(df: DataFrame, key: str, vec: str, min_cos: float, min_pts: int = 5,
     checkpointed); border points take the smallest neighbouring core label;
     noise is -1. Output: key, cluster (smallest core key of the component), core."""
     pr = pairs if pairs is not None else eps_pairs(df, key, vec, min_cos)
-    pr = stored(pr.select("a", "b"), "pairs")  # read for degrees, core edges and borders
+    few = stored(thinned(pr.select("a", "b"), min_pts), "pairs")  # read for degrees, core edges and borders
+    deg = few.filter("b is null").groupBy("a").agg(F.sum("near").alias("deg"))
+    pr = few.filter("b is not null").select("a", "b")
     both = pr.union(pr.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    deg = both.groupBy("a").agg(F.count(F.lit(1)).alias("deg"))
     ids = df.select(F.col(key).alias("a"))
     info = ids.join(deg, "a", "left").withColumn("core", F.coalesce("deg", F.lit(0)) + 1 >= min_pts)
     core = info.filter("core").select("a")
