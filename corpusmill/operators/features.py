@@ -6,15 +6,25 @@ from the range-partitioned dense id (W8), never from a global window.
 """
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from corpusmill.functions import text as X
 from corpusmill.operators.ordered import block_of, dense_id
 from corpusmill.operators.text import STOP_WORDS_EN
-from corpusmill.session import small_side, stored
+from corpusmill.session import discard, small_side, stored
+
+#: Terms that ``tfidf_raw`` sends to all tasks at once when it looks up packed terms (16 bytes each).
+LOOKUP = 1 << 22
+#: Documents whose words are counted at a time.
+SLICE = 2048
 
 
 def seeded_hash(seed: int, *cols) -> Column:
@@ -123,11 +133,16 @@ def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, out: str =
 
 # --------------------------------------------------------------------------- M1 / M2
 def term_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", stops=STOP_WORDS_EN,
-                accents: bool = True) -> DataFrame:
+                accents: bool = True, packed: bool = False) -> DataFrame:
     """M1: long-form term counts (key, term, n): lower-case, accents stripped,
     vectoriser tokens, stop words removed (a short list, tested in place: a join would exchange every token).
-    Texts are dealt out by key, so that a document's tokens are counted where they are made."""
+    Texts are dealt out by key, so that a document's tokens are counted where they are made.
+
+    ``packed``: the same counts as one row per key with arrays ``term`` and ``n``, stored; no text and no count is exchanged, but
+    those of repeated keys (the counts of a repeated null key are several rows of different terms)."""
     t = X.strip_accents(F.col(text)) if accents else F.col(text)
+    if packed:
+        return _packed_counts(docs.select(key, F.coalesce(X.vec_tokens(t), F.array().cast("array<string>")).alias("term")), key, stops)
     toks = docs.select(key, F.col(text)).repartition(key).select(key, F.explode_outer(X.vec_tokens(t)).alias("term")).filter(F.col("term").isNotNull())
     words = sorted({w for w in stops if w is not None})
     if words:
@@ -135,10 +150,119 @@ def term_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", stops=
     return toks.groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, values) of a list column without nulls."""
+    off = column.offsets.to_numpy().astype(np.int64)
+    return off - off[0], column.flatten().to_numpy(zero_copy_only=False)
+
+
+def _packed_counts(rows: DataFrame, key: str, stops) -> DataFrame:
+    """``term_counts`` of rows (key, term: tokens) as rows (key, term, n), stored."""
+    words = sorted({w for w in stops if w is not None})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for i in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(i, SLICE)
+                column = batch.column("term")
+                off = column.offsets.to_numpy().astype(np.int64)
+                coded = column.flatten().dictionary_encode()
+                names, codes = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+                row = np.repeat(np.arange(batch.num_rows), np.diff(off))
+                if words and len(names):
+                    keep = ~pc.is_in(names, value_set=pa.array(words, names.type)).to_numpy(zero_copy_only=False)[codes]
+                    row, codes = row[keep], codes[keep]
+                cell, n = np.unique(row * max(1, len(names)) + codes, return_counts=True)
+                row, codes = np.divmod(cell, max(1, len(names)))
+                sizes = np.bincount(row, minlength=batch.num_rows)
+                some = np.flatnonzero(sizes)
+                ends = pa.array(np.concatenate([[0], np.cumsum(sizes[some])]).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(ends, x) for x in (names.take(pa.array(codes)), pa.array(n.astype(np.int64)))]
+                yield pa.RecordBatch.from_arrays([batch.column(key).take(pa.array(some)), *lists], names=[key, "term", "n"])
+
+    kind = rows.schema[key].dataType.simpleString()
+    rows = stored(rows.mapInArrow(run, f"`{key}` {kind}, term array<string>, n array<bigint>"), "counts")
+    again = rows.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select("__key")
+    again = small_side(again)
+    if again.isEmpty():
+        return rows
+    same = F.col(key).eqNullSafe(F.col("__key"))
+    each = rows.join(again, same, "left_semi").select(key, F.inline(F.arrays_zip("term", "n"))).groupBy(key, "term").agg(F.sum("n").alias("n"))
+    # a null key has the words of any number of documents
+    part = F.when(F.col(key).isNull(), F.pmod(F.xxhash64("term"), F.lit(4096))).otherwise(F.lit(0).cast("long"))
+    each = each.groupBy(key, part.alias("__part")).agg(F.collect_list(F.struct("term", "n")).alias("__r"))
+    whole = rows.join(again, same, "left_anti").unionByName(each.select(key, F.col("__r.term").alias("term"), F.col("__r.n").alias("n")))
+    out = stored(whole, "merged-counts")
+    discard(rows)
+    return out
+
+
+def _packed_tfidf(counts: DataFrame, key: str) -> DataFrame:
+    """``tfidf_raw`` of packed counts. Terms are found by a hash that is known to tell all of them apart, in tables of ``LOOKUP``
+    terms at most; so no count is exchanged, and terms of one document need no table."""
+    spark = counts.sparkSession
+    counts = counts if getattr(counts, "stored_path", None) else stored(counts, "counts")  # read for N, for df and for the weights
+    n_docs = counts.select(F.count_distinct(key)).first()[0]
+    terms = stored(counts.select(F.explode("term").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df")), "terms")
+    seed = 0
+    while not terms.groupBy(F.xxhash64("term", F.lit(seed)).alias("h")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+        seed += 1
+    shared = dense_id(terms.filter("df > 1"), ["df", "term"], out="id").select(F.xxhash64("term", F.lit(seed)).alias("h"), "id", "df")
+    shared = stored(shared, "shared-terms")
+    discard(terms)
+    kind = counts.schema[key].dataType.simpleString()
+
+    def step(rows: DataFrame, sent, first: bool, last: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            least, hashes, ids, dfs = sent.value
+            for whole in batches:
+                for i in range(0, whole.num_rows, SLICE):
+                    batch = whole.slice(i, SLICE)
+                    off, h = _lists(batch.column("h"))
+                    at, df = (np.full(len(h), -1), np.ones(len(h), np.int64)) if first else (_lists(batch.column(c))[1].copy() for c in ("id", "df"))
+                    if len(hashes):
+                        place = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+                        hit = hashes[place] == h
+                        at[hit], df[hit] = ids[place[hit]].astype(np.int64) + least, dfs[place[hit]]
+                    ends = pa.array(off.astype(np.int32))
+                    if last:
+                        w = _lists(batch.column("n"))[1] * (np.log((1.0 + n_docs) / (1.0 + df)) + 1.0)
+                        cols = {key: batch.column(key), "term": pa.ListArray.from_arrays(ends, pa.array(at)), "weight": pa.ListArray.from_arrays(ends, pa.array(w))}
+                    else:
+                        cols = {c: batch.column(c) for c in (key, "term", "n")} | {c: pa.ListArray.from_arrays(ends, pa.array(x)) for c, x in (("id", at), ("df", df))}
+                    yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+
+        h = F.transform("term", lambda x: F.xxhash64(x, F.lit(seed))).alias("h")
+        rows = rows.select(key, h, "n", *([] if first else ["id", "df"]), *([] if last else ["term"]))
+        more = "term array<bigint>, weight array<double>" if last else "term array<string>, n array<bigint>, id array<bigint>, df array<bigint>"
+        return rows.mapInArrow(run, f"`{key}` {kind}, {more}")
+
+    rounds = max(1, -(-shared.count() // LOOKUP))
+    rows = counts
+    for r in range(rounds):
+        table = shared.filter(F.col("id").between(r * LOOKUP, (r + 1) * LOOKUP - 1)).toArrow()  # of bounded size
+        order = np.argsort(table["h"].to_numpy())
+        sent = spark.sparkContext.broadcast((r * LOOKUP, table["h"].to_numpy()[order], *(x[order].astype(np.uint32) for x in (table["id"].to_numpy() - r * LOOKUP, table["df"].to_numpy()))))
+        del table, order
+        out = step(rows, sent, r == 0, r == rounds - 1)
+        if r < rounds - 1:
+            out = stored(out, "looked-up")
+            if r:
+                discard(rows)
+            sent.destroy()
+        rows = out
+    discard(shared)
+    return out
+
+
 def tfidf_raw(counts: DataFrame, key: str = "doc_id") -> DataFrame:
     """M2: smooth TF-IDF tf * (ln((1 + N) / (1 + df)) + 1), not yet normalised: (key, term, weight).
+    Packed counts give one row per key with arrays ``term`` and ``weight``; a term is then its place in the order by (df, term)
+    among those of several documents, from 0, and -1 if no other document has it.
 
     MLlib's IDF lacks the +1 term, so it is written out here."""
+    if isinstance(counts.schema["term"].dataType, ArrayType):
+        return _packed_tfidf(counts, key)
     counts = stored(counts, "counts")  # counted once, read for N, for df and for the weights
     n_docs = counts.select(F.count_distinct(key)).scalar()
     df_ = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))

@@ -12,7 +12,7 @@ from corpusmill.operators import sparse as SP
 from corpusmill.operators import stats as ST
 from corpusmill.plans.feature_queries import TERM_COUNTS_SQL
 from corpusmill.plans.registry import register
-from corpusmill.session import stored
+from corpusmill.session import discard, stored
 from corpusmill.sources.tables import table
 
 SPLIT_SQL = "('0x' || substr(md5('42:' || CAST({k} AS VARCHAR)), 1, 8))::BIGINT % 1000 < 800"
@@ -287,7 +287,10 @@ TEXT_SQL = f"""c AS ({TERM_COUNTS_SQL}), nd AS (SELECT count(DISTINCT doc_id) AS
 
 def _text_join(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return docs, *SP.cosine_join(FE.tfidf_raw(FE.term_counts(docs)), "doc_id", TEXT_COS)
+    counts = FE.term_counts(docs, packed=True)
+    members, pairs = SP.cosine_join(FE.tfidf_raw(counts), "doc_id", TEXT_COS)
+    discard(counts)
+    return docs, members, pairs
 
 
 @register(
