@@ -124,21 +124,26 @@ def classifier(kind: str, label: str = "label", **kw):
     raise ValueError(kind)
 
 
+def transformed(df: DataFrame, stages: list) -> tuple[DataFrame, list]:
+    """The rows after the leading stages that learn nothing, and the stages that are left."""
+    n = next((i for i, s in enumerate(stages) if not isinstance(s, Transformer)), len(stages))
+    for s in stages[:n]:
+        df = s.transform(df)
+    return df, stages[n:]
+
+
 def prepared(df: DataFrame, stages: list, keep: Sequence[str]) -> tuple[DataFrame, list]:
     """The rows after the leading stages that learn nothing, stored once for all fits and scores that read them, and the stages
     that are left. Kept are ``keep`` and what those stages read."""
-    n = next((i for i, s in enumerate(stages) if not isinstance(s, Transformer)), len(stages))
+    rows, rest = transformed(df, stages)
     made = {c: None for c in keep}
-    rows = df
-    for s in stages[:n]:
-        rows = s.transform(rows)
-    for s in stages[n:]:
+    for s in rest:
         for c in (s.getInputCols() if s.hasParam("inputCols") and s.isSet("inputCols") else [s.getInputCol()]):
             if c in rows.columns:
                 made[c] = None
-    if n == len(stages):
+    if not rest:
         made["features"] = None
-    return stored(rows.select(*made), "prepared"), stages[n:]
+    return stored(rows.select(*made), "prepared"), rest
 
 
 def fit_predict(train: DataFrame, test: DataFrame, stages: list, est, keep: Sequence[str]) -> DataFrame:

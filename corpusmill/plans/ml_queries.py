@@ -1,6 +1,7 @@
 """Model, similarity and clustering queries."""
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
@@ -359,8 +360,12 @@ def q_text_cluster_report(spark, sf):
     from corpusmill.session import cut_lineage
 
     docs = table(spark, sf, "documents").select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text"))
-    rows = cut_lineage(Pipeline(stages=M.text_stages()).fit(docs).transform(docs).select("doc_id", "features"))
-    found = {(m, k): C.fit_clusters(rows, "doc_id", m, k) for m in ("kmeans", "bisecting") for k in (4, 8)}
+    # kept are the counts, which are small on disk; each pass weighs them anew
+    hashed, stages = M.transformed(docs, M.text_stages())
+    hashed = hashed.select("doc_id", stages[0].getInputCol()).persist(StorageLevel.DISK_ONLY)
+    rows = Pipeline(stages=stages).fit(hashed).transform(hashed).select("doc_id", "features")
+    found = {(m, k): cut_lineage(C.fit_clusters(rows, "doc_id", m, k)) for m in ("kmeans", "bisecting") for k in (4, 8)}
+    hashed.unpersist()
     ids, members, pairs = _text_join(spark, sf)
     found["dbscan", None] = SP.dbscan_sparse(ids, "doc_id", members, pairs, 5)
     r = C.report(docs, found, "doc_id", "lang")
