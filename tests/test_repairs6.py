@@ -74,3 +74,30 @@ def test_meetings_in_pieces(monkeypatch):
         found.append(sorted(p for b in S._met(slab, 0, batch) for p in zip(b["a"].to_pylist(), b["b"].to_pylist())))
     cos = {(a, b): sum(w * dict(zip(ids[b], ws[b])).get(i, 0) for i, w in zip(ids[a], ws[a])) for a in range(60) for b in range(a + 1, 60)}
     assert found[0] == found[1] == found[2] and set(found[0]) >= {p for p, c in cos.items() if c >= 0.3}
+
+
+def test_packed_weights_give_the_same_kernel_rows(spark):
+    from corpusmill.operators import kernels as KN
+
+    docs = spark.createDataFrame([(i, " ".join(d), i % 3 != 0) for i, d in enumerate(texts(60) + [[], ["onlyhere"], ["onlythere"]])], "doc_id long, text string, is_train boolean")
+    ids = docs.select("doc_id", "is_train")
+    counts = FE.term_counts(docs.select("doc_id", "text"))
+    plain = FE.tfidf_fitted(counts, counts.join(ids.filter("is_train").select("doc_id"), "doc_id"))
+    packed = FE.tfidf_fitted(FE.term_counts(docs.select("doc_id", "text"), packed=True).join(ids, "doc_id"), "is_train")
+    a, b = ({r.doc_id: r.features.toArray() for r in KN.rbf_rows(ids, w, dim=32).collect()} for w in (plain, packed))
+    assert a.keys() == b.keys() and len(a) == docs.count()
+    assert max(abs(a[k] - b[k]).max() for k in a) < 1e-12
+
+
+def test_one_vs_rest_equals_the_library(spark):
+    from pyspark.ml.classification import LinearSVC, OneVsRest
+    from pyspark.ml.linalg import Vectors
+
+    from corpusmill.operators import models as M
+
+    rng = np.random.default_rng(6)
+    rows = spark.createDataFrame([(float(i % 3), Vectors.dense((rng.normal(size=3) + 2 * np.eye(3)[i % 3]).tolist())) for i in range(90)], ["label", "features"])
+    svc = LinearSVC(regParam=1e-3, maxIter=20)
+    a, b = M.one_vs_rest(rows, svc), OneVsRest(classifier=svc).fit(rows)
+    assert all(np.allclose(x.coefficients.toArray(), y.coefficients.toArray()) for x, y in zip(a.models, b.models, strict=True))
+    assert [r.prediction for r in a.transform(rows).collect()] == [r.prediction for r in b.transform(rows).collect()]
