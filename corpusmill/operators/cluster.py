@@ -213,7 +213,7 @@ def dbscan(df: DataFrame, key: str, vec: str, min_cos: float, min_pts: int = 5,
     both = pr.union(pr.select(F.col("b").alias("a"), F.col("a").alias("b")))
     ids = df.select(F.col(key).alias("a"))
     info = ids.join(deg, "a", "left").withColumn("core", F.coalesce("deg", F.lit(0)) + 1 >= min_pts)
-    core = info.filter("core").select("a")
+    core = info.filter("core").select("a").distinct()  # a repeated key is one point
     ce = both.join(core, "a").join(core.withColumnRenamed("a", "b"), "b")  # core-core edges
     ce = stored(ce.select("a", "b"), "core-pairs")
     lab = core_components(core, ce)

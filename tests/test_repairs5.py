@@ -58,3 +58,10 @@ def test_dbscan_keeps_few_of_the_pairs(spark, monkeypatch, step, points):
     pairs = C.eps_pairs(df, "id", "v", 0.8).select("a", "b").coalesce(1)
     if step > 7:
         assert C.thinned(pairs, 5).count() < 4 * len(x) < pairs.count() / 2
+
+
+def test_dbscan_gives_a_row_for_each_row_of_a_repeated_key(spark):
+    x = np.vstack([np.ones(4) + 0.01 * np.random.default_rng(7).normal(size=(9, 4)), -np.ones((1, 4))])
+    df = spark.createDataFrame([(i % 9 if i < 12 else 9, x[i % 9 if i < 12 else 9].tolist()) for i in range(13)], "id long, v array<double>")
+    got = sorted((r.id, r.cluster, r.core) for r in C.dbscan(df, "id", "v", 0.8, 5).collect())
+    assert got == sorted([(i % 9, 0, True) for i in range(12)] + [(9, -1, False)])
